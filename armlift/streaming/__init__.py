@@ -1,0 +1,5 @@
+"""Empty on purpose: the platform this package covers is batch only.
+
+Late data is corrected by replacing an experiment's partition, see
+``armlift.sources.tables.replace_partitions``.
+"""
