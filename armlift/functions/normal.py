@@ -1,4 +1,4 @@
-"""Standard normal tail, critical values and normal confidence intervals.
+"""Standard normal tail, critical values and normal confidence intervals, as SQL text.
 
 Spark has no ``erf``.  The upper tail below is the double-precision rational
 approximation of Hart (1968) in the form given by West, "Better approximations
@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
-
 # Published coefficients, highest power first.
 _NUMERATOR = (
     0.0352624965998911,
@@ -42,40 +40,46 @@ Z_CRITICAL = {
     0.99: 2.5758293035489004,
 }
 # Fixed value: the rounded multiplier used for every reported 95% interval.
-Z_95 = 1.96
+Z_95 = "1.96D"
+
+
+def double(value: float) -> str:
+    """A double literal; a bare decimal point would make a DECIMAL."""
+    return f"{value!r}D"
 
 
-def _horner(x: Column, coefficients: tuple[float, ...]) -> Column:
-    first, *rest = coefficients
-    return reduce(lambda acc, c: acc * x + F.lit(c), rest, F.lit(first))
+def _horner(x: str, coefficients: tuple[float, ...]) -> str:
+    first, *rest = map(double, coefficients)
+    return reduce(lambda acc, c: f"({acc} * {x} + {c})", rest, first)
 
 
-def upper_tail(x: Column) -> Column:
+def upper_tail(x: str) -> str:
     """P(Z > x) for x >= 0; NULL stays NULL."""
-    density = F.exp(-x * x / 2)
-    near = density * _horner(x, _NUMERATOR) / _horner(x, _DENOMINATOR)
-    fraction = reduce(lambda acc, k: x + F.lit(float(k)) / acc, (4, 3, 2, 1), x + F.lit(0.65))
-    far = density / fraction / _ROOT_TWO_PI
-    return F.when(x < _FAR_TAIL_FROM, near).otherwise(far)
+    density = f"exp(-{x} * {x} / 2)"
+    near = f"{density} * {_horner(x, _NUMERATOR)} / {_horner(x, _DENOMINATOR)}"
+    fraction = reduce(lambda acc, k: f"({x} + {k} / {acc})", (4, 3, 2, 1), f"({x} + 0.65D)")
+    far = f"{density} / {fraction} / {double(_ROOT_TWO_PI)}"
+    return f"CASE WHEN {x} < {double(_FAR_TAIL_FROM)} THEN {near} ELSE {far} END"
 
 
-def two_sided_p(z: Column) -> Column:
-    """Two-sided p-value of a z statistic.  Pass a plain column, it is used often."""
-    return 2 * upper_tail(F.abs(z))
+def two_sided_p(z: str) -> str:
+    """Two-sided p-value of a z statistic.  Give a column name: it is used many times."""
+    return f"2 * ({upper_tail(f'abs({z})')})"
 
 
-def z_critical(confidence: Column) -> Column:
+def z_critical(confidence: str) -> str:
     """Two-sided critical value at 0.90, 0.95 or 0.99; any other level fails the query."""
-    cases = reduce(
-        lambda acc, kv: acc.when(F.abs(confidence - kv[0]) < 1e-9, F.lit(kv[1])),
-        Z_CRITICAL.items(),
-        F,
+    cases = " ".join(
+        f"WHEN abs({confidence} - {double(level)}) < 1e-9D THEN {double(value)}"
+        for level, value in Z_CRITICAL.items()
     )
-    message = F.lit("Unsupported confidence. Use 0.90, 0.95, or 0.99.")
-    return cases.otherwise(F.raise_error(message).cast("double"))
+    message = "Unsupported confidence. Use 0.90, 0.95, or 0.99."
+    return f"CASE {cases} ELSE CAST(raise_error('{message}') AS DOUBLE) END"
 
 
-def ci_95(estimate: Column, se: Column) -> tuple[Column, Column]:
-    """estimate -/+ 1.96 se, NULL when se is NULL or not positive."""
-    usable = F.when(se > 0, se)
-    return estimate - Z_95 * usable, estimate + Z_95 * usable
+def ci_95(estimate: str, se: str, suffix: str = "") -> list[str]:
+    """Select items ci_low, ci_high: estimate -/+ 1.96 se, NULL when se is NULL or not positive."""
+    return [
+        f"CASE WHEN {se} > 0 THEN {estimate} {sign} {Z_95} * {se} END AS ci_{side}{suffix}"
+        for sign, side in (("-", "low"), ("+", "high"))
+    ]

@@ -1,4 +1,4 @@
-"""Student's t tail and quantile as column expressions.
+"""Student's t tail and quantile, as SQL text.
 
 Tail: asymptotic normalising expansion of Hill, CACM Algorithm 395 (1970).
 Quantile: Hill, CACM Algorithm 396 (1970).  Both take real degrees of freedom.
@@ -9,47 +9,48 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from armlift.functions.normal import Z_CRITICAL, double
 
-from armlift.functions.normal import Z_CRITICAL, upper_tail
 
-
-def equivalent_z(t: Column, df: Column) -> Column:
+def equivalent_z(t: str, df: str) -> str:
     """|z| whose normal tail equals the t tail at ``t`` with ``df`` degrees of freedom."""
-    a = df - 0.5
-    b = 48.0 * a * a
-    y = a * F.log1p(t * t / df)
-    series = (((-0.4 * y - 3.3) * y - 24.0) * y - 85.5) / (0.8 * y * y + 100.0 + b)
-    return ((series + y + 3.0) / b + 1.0) * F.sqrt(y)
-
-
-def t_two_sided_p(t_as_z: Column) -> Column:
-    """p-value from the column produced by :func:`equivalent_z`."""
-    return 2 * upper_tail(t_as_z)
+    a = f"({df} - 0.5D)"
+    b = f"(48 * {a} * {a})"
+    y = f"({a} * log1p({t} * {t} / {df}))"
+    series = (
+        f"(((-0.4D * {y} - 3.3D) * {y} - 24) * {y} - 85.5D) / (0.8D * {y} * {y} + 100 + {b})"
+    )
+    return f"(({series} + {y} + 3) / {b} + 1) * sqrt({y})"
 
 
-def t_critical(df: Column, confidence: float = 0.95) -> Column:
+def t_critical(df: str, confidence: float = 0.95) -> str:
     """Two-sided t quantile at a tabulated confidence level."""
     tail = 1.0 - confidence
     x = -Z_CRITICAL[confidence]
-    a = 1.0 / (df - 0.5)
-    b = 48.0 / (a * a)
-    c = ((20700.0 * a / b - 98.0) * a - 16.0) * a + 96.36
-    d = ((94.5 / (b + c) - 3.0) / b + 1.0) * F.sqrt(a * (math.pi / 2)) * df
-    small = F.pow(d * tail, 2.0 / df)
-
-    y0 = x * x
-    c1 = F.when(df < 5.0, c + 0.3 * (df - 4.5) * (x + 0.6)).otherwise(c)
-    c2 = (((0.05 * d * x - 5.0) * x - 7.0) * x - 2.0) * x + b + c1
-    y1 = (((((0.4 * y0 + 6.3) * y0 + 36.0) * y0 + 94.5) / c2 - y0 - 3.0) / b + 1.0) * x
-    central = F.expm1(a * y1 * y1)
-
-    inner = 1.0 / (((df + 6.0) / (df * small) - 0.089 * d - 0.822) * (df + 2.0) * 3.0)
-    far = ((inner + 0.5 / (df + 4.0)) * small - 1.0) * (df + 1.0) / (df + 2.0) + 1.0 / small
-
-    general = F.sqrt(df * F.when(small > a + 0.05, central).otherwise(far))
-    return (
-        F.when(df <= 1.0, F.lit(1.0 / math.tan(tail * math.pi / 2)))
-        .when(df == 2.0, F.lit(math.sqrt(2.0 / (tail * (2.0 - tail)) - 2.0)))
-        .otherwise(general)
+    a = f"(1 / ({df} - 0.5D))"
+    b = f"(48 / ({a} * {a}))"
+    c = f"(((20700 * {a} / {b} - 98) * {a} - 16) * {a} + 96.36D)"
+    d = f"(((94.5D / ({b} + {c}) - 3) / {b} + 1) * sqrt({a} * {double(math.pi / 2)}) * {df})"
+    small = f"pow({d} * {double(tail)}, 2 / {df})"
+
+    correction = f"CASE WHEN {df} < 5 THEN {double(0.3 * (x + 0.6))} * ({df} - 4.5D) ELSE 0D END"
+    lower = f"(((0.05D * {d} * {double(x)} - 5) * {double(x)} - 7) * {double(x)} - 2) * {double(x)}"
+    scale = f"({lower} + {b} + {c} + {correction})"
+    square = x * x
+    head = double(((0.4 * square + 6.3) * square + 36.0) * square + 94.5)
+    y = f"((({head} / {scale} - {double(square)} - 3) / {b} + 1) * {double(x)})"
+    central = f"expm1({a} * {y} * {y})"
+
+    inner = (
+        f"(1 / ((({df} + 6) / ({df} * {small}) - 0.089D * {d} - 0.822D) * ({df} + 2) * 3))"
+    )
+    far = (
+        f"(({inner} + 0.5D / ({df} + 4)) * {small} - 1) * ({df} + 1) / ({df} + 2) + 1 / {small}"
     )
+    one = 1.0 / math.tan(tail * math.pi / 2)
+    two = math.sqrt(2.0 / (tail * (2.0 - tail)) - 2.0)
+    return f"""
+      CASE WHEN {df} <= 1 THEN {double(one)}
+           WHEN {df} = 2 THEN {double(two)}
+           ELSE sqrt({df} * CASE WHEN {small} > {a} + 0.05D THEN {central} ELSE {far} END) END
+    """

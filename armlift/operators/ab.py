@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from armlift.functions.normal import Z_95, two_sided_p
-from armlift.functions.scalars import divide
-from armlift.functions.student import equivalent_z, t_critical, t_two_sided_p
-from armlift.operators.grain import arms, merged_variance, user_columns, user_moments
+from pyspark.sql import DataFrame, functions as F
+
+from armlift.functions.normal import Z_95, Z_CRITICAL, double, two_sided_p
+from armlift.functions.student import equivalent_z, t_critical
+from armlift.operators.grain import (
+    MERGED_MEAN,
+    MERGED_VARIANCE,
+    arms,
+    user_columns,
+    user_moments,
+)
 from armlift.sources.schemas import ANALYSIS_RESULTS, DEFAULT_METRICS, KEY, MetricSpec
 
 # Metric names tested as proportions.
@@ -17,6 +22,11 @@ BINARY_METRICS = ("conversion", "converted", "purchase", "signup")
 
 ARM_STATS = ("n", "mean", "var", "std")
 TEST_OUTPUT = ("se", "z", "p_value", "ci_low", "ci_high", "method")
+LIFT = [
+    "mean_treatment - mean_control AS delta",
+    "try_divide(mean_treatment - mean_control, mean_control) AS rel_lift",
+]
+INTERVAL = [f"delta - {Z_95} * se AS ci_low", f"delta + {Z_95} * se AS ci_high"]
 
 
 def ab_stats(outcomes: DataFrame, exposures: DataFrame) -> DataFrame:
@@ -31,10 +41,10 @@ def ab_stats(outcomes: DataFrame, exposures: DataFrame) -> DataFrame:
         .groupBy("experiment_id", "metric_name", "variant")
         .agg(
             F.sum("rows").alias("n"),
-            divide(F.sum("total"), F.sum("n")).alias("mean"),
-            merged_variance().alias("var"),
+            F.expr(MERGED_MEAN).alias("mean"),
+            F.expr(MERGED_VARIANCE).alias("var"),
         )
-        .withColumn("std", F.sqrt("var"))
+        .selectExpr("*", "sqrt(var) AS std")
     )
 
 
@@ -56,23 +66,20 @@ def arm_stats_of(
     users: DataFrame, specs: Sequence[MetricSpec], names: Sequence[str]
 ) -> DataFrame:
     """Per-arm statistics of a user table that holds the metrics as columns ``names``."""
-    filled = {n: F.coalesce(F.col(f"`{n}`"), F.lit(0.0)) for n in names}
     per_arm = users.groupBy("experiment_id", "variant").agg(
         *[
             F.struct(
                 F.lit(s.name).alias("metric_name"),
-                F.count(F.lit(1)).alias("n"),
-                F.avg(filled[n]).alias("mean"),
-                F.var_samp(filled[n]).alias("var"),
+                F.expr("count(1) AS n"),
+                F.expr(f"avg(coalesce(`{n}`, 0D)) AS mean"),
+                F.expr(f"var_samp(coalesce(`{n}`, 0D)) AS var"),
             ).alias(f"stats_{i}")
             for i, (s, n) in enumerate(zip(specs, names))
         ]
     )
-    stats = F.inline(F.array(*[f"stats_{i}" for i in range(len(specs))]))
-    return (
-        per_arm.select("experiment_id", "variant", stats)
-        .withColumn("std", F.sqrt("var"))
-        .select("experiment_id", "metric_name", "variant", *ARM_STATS)
+    stats = ", ".join(f"stats_{i}" for i in range(len(specs)))
+    return per_arm.selectExpr("experiment_id", "variant", f"inline(array({stats}))").selectExpr(
+        "experiment_id", "metric_name", "variant", "n", "mean", "var", "sqrt(var) AS std"
     )
 
 
@@ -83,7 +90,7 @@ def pair_arms(
 ) -> DataFrame:
     """One row per key with ``*_control`` and ``*_treatment``; keys missing an arm are left out."""
     sides = [
-        F.max(F.when(F.col("variant") == arm, F.col(c))).alias(f"{c}_{arm}")
+        F.expr(f"max(CASE WHEN variant = '{arm}' THEN {c} END) AS {c}_{arm}")
         for arm in ("control", "treatment")
         for c in columns
     ]
@@ -94,46 +101,28 @@ def pair_arms(
     )
 
 
-def _interval(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "ci_low": F.col("delta") - Z_95 * F.col("se"),
-            "ci_high": F.col("delta") + Z_95 * F.col("se"),
-        }
-    )
-
-
-def _lift(df: DataFrame) -> DataFrame:
-    delta = F.col("mean_treatment") - F.col("mean_control")
-    return df.withColumns({"delta": delta, "rel_lift": divide(delta, F.col("mean_control"))})
-
-
-def _per_user(name: str, arm: str) -> Column:
-    return F.col(f"{name}_{arm}") / F.greatest(F.col(f"n_{arm}"), F.lit(1))
-
-
 def ab_proportion(paired: DataFrame) -> DataFrame:
     """Two-proportion test: pooled error for z and p, unpooled error for ``se`` and the interval."""
-    successes = sum(F.col(f"mean_{a}") * F.col(f"n_{a}") for a in ("control", "treatment"))
-    trials = F.col("n_control") + F.col("n_treatment")
-    share = F.col("_share")
-    spread = share * (1 - share)
-    unpooled = sum(
-        F.col(f"mean_{a}") * (1 - F.col(f"mean_{a}")) / F.greatest(F.col(f"n_{a}"), F.lit(1))
-        for a in ("control", "treatment")
-    )
-    pooled = spread / F.greatest(F.col("n_control"), F.lit(1)) + spread / F.greatest(
-        F.col("n_treatment"), F.lit(1)
+    successes = "mean_control * n_control + mean_treatment * n_treatment"
+    per_trial = "(1 / greatest(n_control, 1) + 1 / greatest(n_treatment, 1))"
+    unpooled = " + ".join(
+        f"mean_{a} * (1 - mean_{a}) / greatest(n_{a}, 1)" for a in ("control", "treatment")
     )
-    return _interval(
-        _lift(paired)
-        .withColumn("_share", F.coalesce(divide(successes, trials), F.lit(0.0)))
-        .withColumn("_pooled_se", F.sqrt(F.greatest(pooled, F.lit(0.0))))
-        .withColumn("se", F.sqrt(F.greatest(unpooled, F.lit(0.0))))
-        .withColumn("z", F.coalesce(divide(F.col("delta"), F.col("_pooled_se")), F.lit(0.0)))
-        .withColumn("p_value", two_sided_p(F.col("z")))
-        .withColumn("method", F.lit("two_proportion_z"))
-        .drop("_share", "_pooled_se")
+    return (
+        paired.selectExpr(
+            "*",
+            *LIFT,
+            f"sqrt(greatest({unpooled}, 0D)) AS se",
+            f"coalesce(try_divide({successes}, n_control + n_treatment), 0D) AS _share",
+        )
+        .selectExpr(
+            "* EXCEPT (_share)",
+            "coalesce(try_divide(delta, sqrt(greatest("
+            f"_share * (1 - _share) * {per_trial}, 0D))), 0D) AS z",
+        )
+        .selectExpr(
+            "*", f"{two_sided_p('z')} AS p_value", *INTERVAL, "'two_proportion_z' AS method"
+        )
     )
 
 
@@ -143,21 +132,20 @@ def ab_welch(paired: DataFrame) -> DataFrame:
     When either variance is missing both fall back to m(1 - m) for a mean in
     [0, 1], else to 0.
     """
-    known = F.col("var_control").isNotNull() & F.col("var_treatment").isNotNull()
-
-    def variance(arm: str) -> Column:
-        m = F.col(f"mean_{arm}")
-        fallback = F.when(m.between(0, 1), m * (1 - m)).otherwise(F.lit(0.0))
-        return F.when(known, F.col(f"var_{arm}")).otherwise(fallback)
-
-    filled = paired.withColumns({f"_v_{a}": variance(a) for a in ("control", "treatment")})
-    return _interval(
-        _lift(filled)
-        .withColumn("se", F.sqrt(_per_user("_v", "control") + _per_user("_v", "treatment")))
-        .withColumn("z", F.coalesce(divide(F.col("delta"), F.col("se")), F.lit(0.0)))
-        .withColumn("p_value", two_sided_p(F.col("z")))
-        .withColumn("method", F.lit("welch_normal_approx"))
-    ).drop("_v_control", "_v_treatment")
+    known = "var_control IS NOT NULL AND var_treatment IS NOT NULL"
+    variance = {
+        a: f"CASE WHEN {known} THEN var_{a} "
+        f"WHEN mean_{a} BETWEEN 0 AND 1 THEN mean_{a} * (1 - mean_{a}) ELSE 0D END"
+        for a in ("control", "treatment")
+    }
+    error = " + ".join(f"({v}) / greatest(n_{a}, 1)" for a, v in variance.items())
+    return (
+        paired.selectExpr("*", *LIFT, f"sqrt({error}) AS se")
+        .selectExpr("*", "coalesce(try_divide(delta, se), 0D) AS z")
+        .selectExpr(
+            "*", f"{two_sided_p('z')} AS p_value", *INTERVAL, "'welch_normal_approx' AS method"
+        )
+    )
 
 
 def ab_analysis(stats: DataFrame) -> DataFrame:
@@ -167,23 +155,17 @@ def ab_analysis(stats: DataFrame) -> DataFrame:
     Welch.  A metric seen in one arm only has no result.  A control mean of 0
     gives a NULL relative lift.
     """
-    binary = F.lower("metric_name").isin(*BINARY_METRICS)
-    proportion = ab_proportion(pair_arms(stats)).withColumnsRenamed(
-        {c: f"{c}_proportion" for c in TEST_OUTPUT}
-    )
-    return (
-        ab_welch(proportion)
-        .withColumns(
-            {c: F.when(binary, F.col(f"{c}_proportion")).otherwise(F.col(c)) for c in TEST_OUTPUT}
-        )
-        .select(
-            "experiment_id",
-            "metric_name",
-            *[f"{c}_{a}" for a in ("control", "treatment") for c in ("n", "mean", "std")],
-            "delta",
-            "rel_lift",
-            *TEST_OUTPUT,
-        )
+    names = ", ".join(f"'{m}'" for m in BINARY_METRICS)
+    binary = f"lower(metric_name) IN ({names})"
+    proportion = ab_proportion(pair_arms(stats)).drop("delta", "rel_lift")
+    both = ab_welch(proportion.withColumnsRenamed({c: f"proportion_{c}" for c in TEST_OUTPUT}))
+    return both.selectExpr(
+        "experiment_id",
+        "metric_name",
+        *[f"{c}_{a}" for a in ("control", "treatment") for c in ("n", "mean", "std")],
+        "delta",
+        "rel_lift",
+        *[f"if({binary}, proportion_{c}, {c}) AS {c}" for c in TEST_OUTPUT],
     )
 
 
@@ -202,30 +184,31 @@ def welch_t(stats: DataFrame) -> DataFrame:
 
     Arms with fewer than two users, or no variance at all, give NULLs.
     """
-    a, b = (F.col(f"var_{arm}") / F.col(f"n_{arm}") for arm in ("control", "treatment"))
-    df = divide(
-        (a + b) * (a + b),
-        divide(a * a, F.col("n_control") - 1) + divide(b * b, F.col("n_treatment") - 1),
+    c, t = "(var_control / n_control)", "(var_treatment / n_treatment)"
+    df = (
+        f"try_divide(({c} + {t}) * ({c} + {t}),"
+        f" try_divide({c} * {c}, n_control - 1) + try_divide({t} * {t}, n_treatment - 1))"
     )
-    margin = F.col("_critical") * F.col("se")
     return (
-        _lift(pair_arms(stats))
-        .withColumn("se", F.sqrt(a + b))
-        .withColumn("t_stat", divide(F.col("delta"), F.col("se")))
-        .withColumn("df", df)
-        .withColumn("_z", equivalent_z(F.col("t_stat"), F.col("df")))
-        .withColumn("p_value", t_two_sided_p(F.col("_z")))
-        .withColumn("_critical", t_critical(F.col("df")))
-        .withColumn("ci_low", F.col("delta") - margin)
-        .withColumn("ci_high", F.col("delta") + margin)
-        .drop("_z", "_critical")
+        pair_arms(stats)
+        .selectExpr("*", *LIFT, f"sqrt({c} + {t}) AS se", f"{df} AS df")
+        .selectExpr("*", "try_divide(delta, se) AS t_stat")
+        .selectExpr(
+            "*", f"{equivalent_z('t_stat', 'df')} AS _z", f"{t_critical('df')} * se AS _margin"
+        )
+        .selectExpr(
+            "* EXCEPT (_z, _margin)",
+            f"{two_sided_p('_z')} AS p_value",
+            "delta - _margin AS ci_low",
+            "delta + _margin AS ci_high",
+        )
     )
 
 
 def converted_users(joined: DataFrame) -> DataFrame:
     """Rows, distinct users with a non-zero value, and their ratio, per variant and metric."""
     users = joined.groupBy("experiment_id", "variant", "metric_name", "user_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.col("value") != 0).alias("converted")
+        F.count(F.lit(1)).alias("rows"), F.expr("max(value <> 0) AS converted")
     )
     return (
         users.groupBy("experiment_id", "variant", "metric_name")
@@ -233,42 +216,50 @@ def converted_users(joined: DataFrame) -> DataFrame:
             F.sum("rows").alias("total_users"),
             F.count_if("converted").alias("converted_users"),
         )
-        .withColumn("conversion_proportion", F.col("converted_users") / F.col("total_users"))
+        .selectExpr("*", "converted_users / total_users AS conversion_proportion")
     )
 
 
 def _pair_counts(counts: DataFrame) -> DataFrame:
     renamed = counts.withColumnsRenamed({"total_users": "n", "converted_users": "x"})
-    return pair_arms(renamed, columns=("n", "x")).withColumns(
-        {f"p_{a}": F.col(f"x_{a}") / F.col(f"n_{a}") for a in ("control", "treatment")}
+    return pair_arms(renamed, columns=("n", "x")).selectExpr(
+        "*", "x_control / n_control AS p_control", "x_treatment / n_treatment AS p_treatment"
     )
 
 
 def ztest_pooled(counts: DataFrame) -> DataFrame:
     """Pooled two-proportion z test on (converted, total) counts, treatment minus control."""
-    share = (F.col("x_control") + F.col("x_treatment")) / (F.col("n_control") + F.col("n_treatment"))
-    se = F.sqrt(share * (1 - share) * (1 / F.col("n_control") + 1 / F.col("n_treatment")))
+    share = "((x_control + x_treatment) / (n_control + n_treatment))"
+    error = f"sqrt({share} * (1 - {share}) * (1 / n_control + 1 / n_treatment))"
     return (
         _pair_counts(counts)
-        .withColumn("z", divide(F.col("p_treatment") - F.col("p_control"), se))
-        .withColumn("p_value", two_sided_p(F.col("z")))
+        .selectExpr("*", f"try_divide(p_treatment - p_control, {error}) AS z")
+        .selectExpr("*", f"{two_sided_p('z')} AS p_value")
     )
 
 
-def newcombe_ci(counts: DataFrame, z: float = 1.959963984540054) -> DataFrame:
+def newcombe_ci(counts: DataFrame, confidence: float = 0.95) -> DataFrame:
     """Newcombe's hybrid score interval for the difference of two proportions."""
-    paired = _pair_counts(counts)
-    for arm in ("control", "treatment"):
-        n, p = F.col(f"n_{arm}"), F.col(f"p_{arm}")
-        centre = (p + z * z / (2 * n)) / (1 + z * z / n)
-        half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / (1 + z * z / n)
-        paired = paired.withColumns({f"low_{arm}": centre - half, f"high_{arm}": centre + half})
-    p_c, p_t = F.col("p_control"), F.col("p_treatment")
-    below = F.hypot(p_t - F.col("low_treatment"), F.col("high_control") - p_c)
-    above = F.hypot(F.col("high_treatment") - p_t, p_c - F.col("low_control"))
+    q = double(Z_CRITICAL[confidence])
+
+    def wilson(arm: str, sign: str) -> str:
+        n, p = f"n_{arm}", f"p_{arm}"
+        half = f"{q} * sqrt({p} * (1 - {p}) / {n} + {q} * {q} / (4 * {n} * {n}))"
+        return f"({p} + {q} * {q} / (2 * {n}) {sign} {half}) / (1 + {q} * {q} / {n})"
+
+    bounds = [
+        f"{wilson(arm, sign)} AS _{side}_{arm}"
+        for arm in ("control", "treatment")
+        for sign, side in (("-", "low"), ("+", "high"))
+    ]
+    below = "hypot(p_treatment - _low_treatment, _high_control - p_control)"
+    above = "hypot(_high_treatment - p_treatment, p_control - _low_control)"
     return (
-        paired.withColumn("delta", p_t - p_c)
-        .withColumn("ci_low", F.col("delta") - below)
-        .withColumn("ci_high", F.col("delta") + above)
-        .drop(*[f"{s}_{a}" for s in ("low", "high") for a in ("control", "treatment")])
+        _pair_counts(counts)
+        .selectExpr("*", "p_treatment - p_control AS delta", *bounds)
+        .selectExpr(
+            "* EXCEPT (_low_control, _high_control, _low_treatment, _high_treatment)",
+            f"delta - {below} AS ci_low",
+            f"delta + {above} AS ci_high",
+        )
     )

@@ -2,34 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from armlift.functions.normal import ci_95, two_sided_p
-from armlift.functions.scalars import divide
 from armlift.operators.ab import pair_arms
 from armlift.operators.moments import arm_moments, pooled_moments
 from armlift.sources.schemas import CUPED_RESULTS
 
+_FORMS = ("raw", "cuped")
+_ARMS = ("control", "treatment")
+
 
 def cuped_moments(users: DataFrame) -> DataFrame:
     """Pooled mean and variance of the covariate, covariance with the target, theta."""
-    return pooled_moments(arm_moments(users)).select(
-        "experiment_id", F.col("n_all").alias("n"), "x_mean", "x_var", "yx_covar", "theta"
-    ).dropDuplicates(["experiment_id"])
+    return (
+        pooled_moments(arm_moments(users))
+        .selectExpr("experiment_id", "n_all AS n", "x_mean", "x_var", "yx_covar", "theta")
+        .dropDuplicates(["experiment_id"])
+    )
 
 
 def theta_from_moments(users: DataFrame) -> DataFrame:
     """Theta from raw first and second moments; 0 when the covariate does not vary."""
     moments = users.groupBy("experiment_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("x").alias("x_mean"),
-        F.avg("y").alias("y_mean"),
-        F.avg(F.col("x") * F.col("x")).alias("x2_mean"),
-        F.avg(F.col("x") * F.col("y")).alias("xy_mean"),
+        F.expr("count(1) AS n"),
+        F.expr("avg(x) AS x_mean"),
+        F.expr("avg(y) AS y_mean"),
+        F.expr("avg(x * x) AS x2_mean"),
+        F.expr("avg(x * y) AS xy_mean"),
+    )
+    var_x = "(x2_mean - x_mean * x_mean)"
+    return moments.selectExpr(
+        "*", f"CASE WHEN {var_x} > 0 THEN (xy_mean - x_mean * y_mean) / {var_x} ELSE 0D END AS theta"
     )
-    var_x = F.col("x2_mean") - F.col("x_mean") * F.col("x_mean")
-    cov_xy = F.col("xy_mean") - F.col("x_mean") * F.col("y_mean")
-    return moments.withColumn("theta", F.when(var_x > 0, cov_xy / var_x).otherwise(F.lit(0.0)))
 
 
 def cuped_group_stats(users: DataFrame) -> DataFrame:
@@ -38,29 +43,16 @@ def cuped_group_stats(users: DataFrame) -> DataFrame:
     With y* = y - theta (x - mean x) the adjusted moments follow from the arm's
     own: no second pass over the users.
     """
-    theta = F.col("theta")
-    adjusted_mean = F.col("mean_y") - theta * (F.col("mean_x") - F.col("x_mean"))
-    adjusted_var = F.col("var_y") + theta * theta * F.col("var_x") - 2 * theta * F.col("cov_xy")
-    return (
-        pooled_moments(arm_moments(users))
-        .withColumn("mean_cuped", adjusted_mean)
-        .withColumn("var_cuped", F.greatest(adjusted_var, F.when(F.col("var_y").isNotNull(), 0.0)))
-        .select(
-            "experiment_id", "variant", "n", "theta", "x_mean",
-            F.col("mean_y").alias("mean_raw"), F.col("var_y").alias("var_raw"),
-            "mean_cuped", "var_cuped",
-        )
+    adjusted_var = "var_y + theta * theta * var_x - 2 * theta * cov_xy"
+    return pooled_moments(arm_moments(users)).selectExpr(
+        "experiment_id", "variant", "n", "theta", "x_mean",
+        "mean_y AS mean_raw",
+        "var_y AS var_raw",
+        "mean_y - theta * (mean_x - x_mean) AS mean_cuped",
+        f"CASE WHEN var_y IS NOT NULL THEN greatest({adjusted_var}, 0D) END AS var_cuped",
     )
 
 
-def _spread(form: str) -> Column:
-    parts = [
-        F.coalesce(F.col(f"var_{form}_{arm}"), F.lit(0.0)) / F.col(f"n_{arm}")
-        for arm in ("control", "treatment")
-    ]
-    return F.sqrt(parts[0] + parts[1])
-
-
 def cuped(
     users: DataFrame, target: str = "revenue", covariate: str = "pre_revenue"
 ) -> DataFrame:
@@ -71,33 +63,26 @@ def cuped(
     NULL, and so is the interval, when the error is 0.
     """
     columns = ("n", "theta", "x_mean", "mean_raw", "var_raw", "mean_cuped", "var_cuped")
-    out = pair_arms(cuped_group_stats(users), ["experiment_id"], columns).withColumns(
-        {
-            "metric_name": F.lit(target),
-            "covariate_name": F.lit(covariate),
-            "theta": F.col("theta_control"),
-            "x_mean": F.col("x_mean_control"),
-        }
+    paired = pair_arms(cuped_group_stats(users), ["experiment_id"], columns)
+    error = " + ".join("coalesce(var_{f}_%s, 0D) / n_%s" % (a, a) for a in _ARMS)
+    effects = paired.selectExpr(
+        "*",
+        "theta_control AS theta",
+        "x_mean_control AS x_mean",
+        *[f"mean_{f}_{a} AS mean_{a}_{f}" for f in _FORMS for a in _ARMS],
+        *[f"mean_{f}_treatment - mean_{f}_control AS delta_{f}" for f in _FORMS],
+        *[f"sqrt({error.format(f=f)}) AS se_{f}" for f in _FORMS],
     )
-    for form in ("raw", "cuped"):
-        delta, se, z = (F.col(f"{c}_{form}") for c in ("delta", "se", "z"))
-        means = [F.col(f"mean_{form}_{arm}") for arm in ("control", "treatment")]
-        out = out.withColumns({f"delta_{form}": means[1] - means[0], f"se_{form}": _spread(form)})
-        low, high = ci_95(delta, se)
-        out = out.withColumn(f"z_{form}", divide(delta, se)).withColumns(
-            {
-                f"p_value_{form}": two_sided_p(z),
-                f"ci_low_{form}": low,
-                f"ci_high_{form}": high,
-                f"mean_control_{form}": means[0],
-                f"mean_treatment_{form}": means[1],
-            }
+    tested = effects.selectExpr("*", *[f"try_divide(delta_{f}, se_{f}) AS z_{f}" for f in _FORMS])
+    intervals = [item for f in _FORMS for item in ci_95(f"delta_{f}", f"se_{f}", f"_{f}")]
+    return (
+        tested.selectExpr(
+            "*", *intervals, *[f"{two_sided_p(f'z_{f}')} AS p_value_{f}" for f in _FORMS]
+        )
+        .withColumns({"metric_name": F.lit(target), "covariate_name": F.lit(covariate)})
+        .select(
+            *CUPED_RESULTS, "z_raw", "z_cuped", *[f"var_{f}_{a}" for f in _FORMS for a in _ARMS]
         )
-    return out.select(
-        *CUPED_RESULTS,
-        "z_raw",
-        "z_cuped",
-        *[f"var_{form}_{arm}" for form in ("raw", "cuped") for arm in ("control", "treatment")],
     )
 
 
@@ -108,22 +93,22 @@ def cuped_results(result: DataFrame) -> DataFrame:
 
 def cuped_results_v1(result: DataFrame) -> DataFrame:
     """The adjusted effect as a ``<metric>__cuped`` row of the A/B results layout."""
-    return result.select(
+    return result.selectExpr(
         "experiment_id",
-        F.concat("metric_name", F.lit("__cuped")).alias("metric_name"),
+        "concat(metric_name, '__cuped') AS metric_name",
         "n_control",
-        F.col("mean_control_cuped").alias("mean_control"),
-        F.sqrt("var_cuped_control").alias("std_control"),
+        "mean_control_cuped AS mean_control",
+        "sqrt(var_cuped_control) AS std_control",
         "n_treatment",
-        F.col("mean_treatment_cuped").alias("mean_treatment"),
-        F.sqrt("var_cuped_treatment").alias("std_treatment"),
-        F.col("delta_cuped").alias("delta"),
-        F.col("se_cuped").alias("se"),
-        F.col("z_cuped").alias("z"),
-        F.col("p_value_cuped").alias("p_value"),
-        F.col("ci_low_cuped").alias("ci_low"),
-        F.col("ci_high_cuped").alias("ci_high"),
-        divide(F.col("delta_cuped"), F.col("mean_control_cuped")).alias("rel_lift"),
+        "mean_treatment_cuped AS mean_treatment",
+        "sqrt(var_cuped_treatment) AS std_treatment",
+        "delta_cuped AS delta",
+        "se_cuped AS se",
+        "z_cuped AS z",
+        "p_value_cuped AS p_value",
+        "ci_low_cuped AS ci_low",
+        "ci_high_cuped AS ci_high",
+        "try_divide(delta_cuped, mean_control_cuped) AS rel_lift",
     )
 
 
@@ -133,14 +118,11 @@ def cuped_variance_reduction(result: DataFrame, least: float = 0.0) -> DataFrame
     ``status`` is SKIPPED when the covariate cannot help: theta is 0 or the
     reduction does not exceed ``least``.  The raw estimate is always there.
     """
-    reduction = 1 - divide(F.col("se_cuped") * F.col("se_cuped"), F.col("se_raw") * F.col("se_raw"))
-    raw_width = F.col("ci_high_raw") - F.col("ci_low_raw")
-    width = F.col("ci_high_cuped") - F.col("ci_low_cuped")
-    return result.select(
+    return result.selectExpr(
         "experiment_id", "metric_name", "covariate_name", "theta",
         "delta_raw", "se_raw", "delta_cuped", "se_cuped",
-        reduction.alias("variance_reduction"),
-        (1 - divide(width, raw_width)).alias("ci_width_reduction"),
+        "1 - try_divide(se_cuped * se_cuped, se_raw * se_raw) AS variance_reduction",
+        "1 - try_divide(ci_high_cuped - ci_low_cuped, ci_high_raw - ci_low_raw) AS ci_width_reduction",
     ).withColumn(
         "status",
         F.when((F.col("theta") != 0) & (F.col("variance_reduction") > least), "APPLIED")

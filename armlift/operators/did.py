@@ -5,58 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from armlift.functions.normal import ci_95, two_sided_p, z_critical
-from armlift.functions.scalars import divide
 from armlift.operators.ab import pair_arms
 from armlift.operators.moments import arm_moments
 from armlift.sources.schemas import DID_RESULTS
 
 _SIDES = (("ctrl", "control"), ("treat", "treatment"))
-_PERIODS = (("pre", "x"), ("post", "y"))
+_PERIODS = ("pre", "post")
 
 
 def did_cells(users: DataFrame) -> DataFrame:
     """Per arm: users, mean and variance before and after."""
-    return arm_moments(users).select(
-        "experiment_id",
-        "variant",
-        "n",
-        F.col("mean_x").alias("pre_mean"),
-        F.col("mean_y").alias("post_mean"),
-        F.col("var_x").alias("pre_var"),
-        F.col("var_y").alias("post_var"),
-        F.col("var_d").alias("change_var"),
+    return arm_moments(users).selectExpr(
+        "experiment_id", "variant", "n",
+        "mean_x AS pre_mean", "mean_y AS post_mean",
+        "var_x AS pre_var", "var_y AS post_var", "var_d AS change_var",
     )
 
 
 def _paired_cells(users: DataFrame) -> DataFrame:
-    """One row per experiment: four cell means, four squared errors, users per arm."""
+    """One row per experiment: cell means, arm variances, the estimate and its plain error."""
     paired = pair_arms(
         did_cells(users),
         ["experiment_id"],
         ("n", "pre_mean", "post_mean", "pre_var", "post_var", "change_var"),
     )
-    means = {
-        f"y_{side}_{period}": F.col(f"{period}_mean_{arm}")
-        for side, arm in _SIDES
-        for period, _ in _PERIODS
-    }
-    errors = {
-        f"se2_{side}_{period}": F.coalesce(F.col(f"{period}_var_{arm}"), F.lit(0.0))
-        / F.col(f"n_{arm}")
-        for side, arm in _SIDES
-        for period, _ in _PERIODS
-    }
-    return paired.withColumns({**means, **errors}).withColumn(
-        "did",
-        (F.col("y_treat_post") - F.col("y_treat_pre"))
-        - (F.col("y_ctrl_post") - F.col("y_ctrl_pre")),
-    ).withColumn(
-        "se",
-        F.sqrt(
-            F.col("se2_treat_post") + F.col("se2_treat_pre")
-            + F.col("se2_ctrl_post") + F.col("se2_ctrl_pre")
-        ),
-    )
+    cells = [(side, arm, period) for side, arm in _SIDES for period in _PERIODS]
+    error = " + ".join(f"coalesce({p}_var_{a}, 0D) / n_{a}" for _, a, p in cells)
+    return paired.selectExpr(
+        "*",
+        *[f"{p}_mean_{a} AS y_{s}_{p}" for s, a, p in cells],
+        "(post_mean_treatment - pre_mean_treatment) - (post_mean_control - pre_mean_control) AS did",
+        f"sqrt({error}) AS se",
+    ).selectExpr("*", "try_divide(did, se) AS z")
 
 
 def did(
@@ -73,22 +53,17 @@ def did(
     ``confidence`` is reported too; the interval is always the 95% one.  For
     other levels see :func:`did_confidence`.
     """
-    low, high = ci_95(F.col("did"), F.col("se"))
+    labels = {
+        "metric_name": F.lit(metric_name or metric_post),
+        "metric_pre": F.lit(metric_pre),
+        "metric_post": F.lit(metric_post),
+        "confidence": F.lit(float(confidence)),
+    }
     return (
         _paired_cells(users)
+        .selectExpr("*", f"{two_sided_p('z')} AS p_value", *ci_95("did", "se"))
         .join(window, "experiment_id", "left")
-        .withColumns(
-            {
-                "metric_name": F.lit(metric_name or metric_post),
-                "metric_pre": F.lit(metric_pre),
-                "metric_post": F.lit(metric_post),
-                "confidence": F.lit(float(confidence)),
-                "z": divide(F.col("did"), F.col("se")),
-                "ci_low": low,
-                "ci_high": high,
-            }
-        )
-        .withColumn("p_value", two_sided_p(F.col("z")))
+        .withColumns(labels)
         .select(*[c for c in DID_RESULTS if c != "analysis_ts"], "n_control", "n_treatment")
     )
 
@@ -100,22 +75,18 @@ def did_results(result: DataFrame) -> DataFrame:
 
 def did_results_v1(result: DataFrame) -> DataFrame:
     """The estimate as a ``<metric>__did`` row of the A/B results layout; lift is over post control."""
-    return result.select(
+    return result.selectExpr(
         "experiment_id",
-        F.concat("metric_name", F.lit("__did")).alias("metric_name"),
+        "concat(metric_name, '__did') AS metric_name",
         "n_control",
-        F.col("y_ctrl_post").alias("mean_control"),
-        F.lit(None).cast("double").alias("std_control"),
+        "y_ctrl_post AS mean_control",
+        "CAST(NULL AS DOUBLE) AS std_control",
         "n_treatment",
-        F.col("y_treat_post").alias("mean_treatment"),
-        F.lit(None).cast("double").alias("std_treatment"),
-        F.col("did").alias("delta"),
-        "se",
-        "z",
-        "p_value",
-        "ci_low",
-        "ci_high",
-        divide(F.col("did"), F.col("y_ctrl_post")).alias("rel_lift"),
+        "y_treat_post AS mean_treatment",
+        "CAST(NULL AS DOUBLE) AS std_treatment",
+        "did AS delta",
+        "se", "z", "p_value", "ci_low", "ci_high",
+        "try_divide(did, y_ctrl_post) AS rel_lift",
     )
 
 
@@ -125,19 +96,15 @@ def did_confidence(users: DataFrame, confidence: float | list[float] = 0.95) ->
     With no error at all z and p are NULL and the interval is the estimate.
     """
     levels = confidence if isinstance(confidence, list) else [confidence]
-    margin = z_critical(F.col("confidence")) * F.col("se")
     return (
         _paired_cells(users)
         .withColumn("confidence", F.explode(F.array(*[F.lit(float(c)) for c in levels])))
-        .withColumn("z", divide(F.col("did"), F.col("se")))
-        .withColumn("p_value", two_sided_p(F.col("z")))
-        .withColumn("margin", margin)
-        .select(
+        .selectExpr("*", f"{z_critical('confidence')} * se AS _margin")
+        .selectExpr(
             "experiment_id", "confidence",
             "y_treat_pre", "y_treat_post", "y_ctrl_pre", "y_ctrl_post",
-            "did", "se", "z", "p_value",
-            (F.col("did") - F.col("margin")).alias("ci_low"),
-            (F.col("did") + F.col("margin")).alias("ci_high"),
+            "did", "se", "z", f"{two_sided_p('z')} AS p_value",
+            "did - _margin AS ci_low", "did + _margin AS ci_high",
         )
     )
 
@@ -150,54 +117,39 @@ def did_clustered(users: DataFrame) -> DataFrame:
     period and interaction.  The usual small-sample factor applies, with G
     users as clusters, 2G rows and 4 coefficients.
     """
-    cells = _paired_cells(users)
-    g = F.col("n_control") + F.col("n_treatment")
-    factor = (g / (g - 1)) * ((2 * g - 1) / (2 * g - 4))
-
-    def squared_error(kind: str, arm: str):
-        n = F.col(f"n_{arm}")
-        return F.coalesce(F.col(f"{kind}_var_{arm}"), F.lit(0.0)) * (n - 1) / (n * n)
-
-    change = {a: F.col(f"y_{s}_post") - F.col(f"y_{s}_pre") for s, a in _SIDES}
+    error = lambda kind, arm: f"coalesce({kind}_var_{arm}, 0D) * (n_{arm} - 1) / (n_{arm} * n_{arm})"
+    both = lambda kind: f"{error(kind, 'control')} + {error(kind, 'treatment')}"
     terms = {
-        "Intercept": (F.col("y_ctrl_pre"), squared_error("pre", "control")),
-        "group": (
-            F.col("y_treat_pre") - F.col("y_ctrl_pre"),
-            squared_error("pre", "control") + squared_error("pre", "treatment"),
-        ),
-        "period": (change["control"], squared_error("change", "control")),
-        "group:period": (
-            F.col("did"),
-            squared_error("change", "control") + squared_error("change", "treatment"),
-        ),
+        "Intercept": ("y_ctrl_pre", error("pre", "control")),
+        "group": ("y_treat_pre - y_ctrl_pre", both("pre")),
+        "period": ("y_ctrl_post - y_ctrl_pre", error("change", "control")),
+        "group:period": ("did", both("change")),
     }
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(term).alias("term"),
-                coef.alias("coef"),
-                F.when(g > 2, F.sqrt(factor * error)).alias("se"),
-            )
-            for term, (coef, error) in terms.items()
-        ]
+    rows = ", ".join(
+        f"named_struct('term', '{term}', 'coef', {coef}, 'error', {squared})"
+        for term, (coef, squared) in terms.items()
     )
-    low, high = ci_95(F.col("coef"), F.col("se"))
+    factor = "(g / (g - 1)) * ((2 * g - 1) / (2 * g - 4))"
     return (
-        cells.select("experiment_id", (2 * g).alias("n_obs"), F.inline(rows))
-        .withColumn("z", divide(F.col("coef"), F.col("se")))
-        .withColumn("p_value", two_sided_p(F.col("z")))
-        .withColumns({"ci_low": low, "ci_high": high})
+        _paired_cells(users)
+        .selectExpr("experiment_id", "n_control + n_treatment AS g", f"inline(array({rows}))")
+        .selectExpr(
+            "experiment_id", "2 * g AS n_obs", "term", "coef",
+            f"CASE WHEN g > 2 THEN sqrt({factor} * error) END AS se",
+        )
+        .selectExpr("*", "try_divide(coef, se) AS z")
+        .selectExpr("*", f"{two_sided_p('z')} AS p_value", *ci_95("coef", "se"))
     )
 
 
 def did_long(users: DataFrame) -> DataFrame:
     """Two rows per user: (group, period, measure), pre as period 0 and post as period 1."""
-    group = F.when(F.col("variant") == "treatment", 1).otherwise(0)
-    periods = F.array(
-        F.struct(F.lit(1).alias("period"), F.col("y").alias("measure")),
-        F.struct(F.lit(0).alias("period"), F.col("x").alias("measure")),
+    return users.selectExpr(
+        "experiment_id",
+        "user_id",
+        "if(variant = 'treatment', 1, 0) AS group",
+        "stack(2, 1, y, 0, x) AS (period, measure)",
     )
-    return users.select("experiment_id", "user_id", group.alias("group"), F.inline(periods))
 
 
 def cell_regression_table(users: DataFrame) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from armlift.functions.normal import Z_95, two_sided_p
-from armlift.functions.scalars import bucket_start, divide, event_time_k
+from armlift.functions.scalars import bucket_start, event_time_k
 from armlift.operators.grain import arms
 from armlift.operators.windows import event_window
 from armlift.sources.schemas import KEY
 
 REFERENCE_K = -1
 SERIES = ["experiment_id", "metric_name"]
+_DELTA = """
+  max(mean_y) FILTER (WHERE variant = 'treatment')
+  - max(mean_y) FILTER (WHERE variant = 'control') AS delta
+"""
 
 
 def user_bucket_mean(
@@ -53,11 +57,9 @@ def bucket_cells(user_buckets: DataFrame) -> DataFrame:
 
 def bucket_delta(cells: DataFrame, grain: str = "day") -> DataFrame:
     """Treatment minus control per bucket; buckets seen in one arm only are dropped."""
-    mean_of = lambda arm: F.max(F.when(F.col("variant") == arm, F.col("mean_y")))
     return (
         cells.groupBy(*SERIES, "bucket_ts", "k")
-        .agg(mean_of("control").alias("control"), mean_of("treatment").alias("treatment"))
-        .withColumn("delta", F.col("treatment") - F.col("control"))
+        .agg(F.expr(_DELTA))
         .dropna(subset=["delta"])
         .select(*SERIES, F.lit(grain).alias("grain"), "bucket_ts", "k", "delta")
     )
@@ -72,46 +74,34 @@ def event_study(cells: DataFrame, grain: str = "day") -> DataFrame:
     N / (N - P): N user-bucket rows, P cells.  A series without a reference
     bucket in both arms has no coefficients.
     """
-    n, s = F.col("n_users"), F.coalesce(F.col("std_y"), F.lit(0.0))
-    term = s * s * (n - 1) / (n * n)
-    of = lambda arm, value: F.max(F.when(F.col("variant") == arm, value))
-    total = lambda c: F.sum(F.when(F.col("variant").isin("control", "treatment"), c))
+    in_arms = "FILTER (WHERE variant IN ('control', 'treatment'))"
+    term = "coalesce(std_y * std_y, 0D) * (n_users - 1) / (n_users * n_users)"
+    over = "OVER (PARTITION BY experiment_id, metric_name)"
+    at_reference = f"max(CASE WHEN k = {REFERENCE_K} THEN {{c}} END) {over}"
     buckets = (
         cells.groupBy(*SERIES, "k")
         .agg(
-            (of("treatment", F.col("mean_y")) - of("control", F.col("mean_y"))).alias("delta"),
-            total(term).alias("error"),
-            total(n).alias("rows"),
+            F.expr(_DELTA),
+            F.expr(f"sum({term}) {in_arms} AS error"),
+            F.expr(f"sum(n_users) {in_arms} AS rows"),
         )
         .dropna(subset=["delta"])
     )
-    series = Window.partitionBy(*SERIES)
-    at_reference = lambda c: F.max(F.when(F.col("k") == REFERENCE_K, F.col(c))).over(series)
-    rows = F.sum("rows").over(series)
-    free = rows - 2 * F.count(F.lit(1)).over(series)
     return (
-        buckets.withColumns(
-            {
-                "ref_delta": at_reference("delta"),
-                "ref_error": at_reference("error"),
-                "scale": F.when(free > 0, rows / free),
-            }
+        buckets.selectExpr(
+            "*",
+            f"delta - {at_reference.format(c='delta')} AS beta",
+            f"error + {at_reference.format(c='error')} AS variance",
+            f"sum(rows) {over} AS n_all",
+            f"sum(rows) {over} - 2 * count(1) {over} AS free",
         )
-        .where((F.col("k") != REFERENCE_K) & F.col("ref_delta").isNotNull())
-        .withColumn("beta", F.col("delta") - F.col("ref_delta"))
-        .withColumn("se", F.sqrt(F.col("scale") * (F.col("error") + F.col("ref_error"))))
-        .withColumn("z", divide(F.col("beta"), F.col("se")))
-        .withColumn("p_value", two_sided_p(F.col("z")))
-        .select(
-            *SERIES,
-            F.lit(grain).alias("grain"),
-            "k",
-            "beta",
-            "se",
-            "p_value",
-            (F.col("beta") - Z_95 * F.col("se")).alias("ci_low"),
-            (F.col("beta") + Z_95 * F.col("se")).alias("ci_high"),
-            F.lit(REFERENCE_K).alias("ref_k"),
+        .where(f"k <> {REFERENCE_K} AND beta IS NOT NULL")
+        .selectExpr("*", "CASE WHEN free > 0 THEN sqrt(variance * n_all / free) END AS se")
+        .selectExpr("*", "try_divide(beta, se) AS z")
+        .selectExpr(
+            *SERIES, f"'{grain}' AS grain", "k", "beta", "se", f"{two_sided_p('z')} AS p_value",
+            f"beta - {Z_95} * se AS ci_low", f"beta + {Z_95} * se AS ci_high",
+            f"{REFERENCE_K} AS ref_k",
         )
     )
 

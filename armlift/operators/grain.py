@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from armlift.functions.scalars import divide
 from armlift.operators.exposure import dedup_exposures
 from armlift.sources.schemas import KEY, MetricSpec
 
@@ -119,25 +118,26 @@ def user_moments(outcomes: DataFrame, *extra: str | Column) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.count("value").alias("n"),
         F.sum("value").alias("total"),
-        (F.var_pop("value") * F.count("value")).alias("m2"),
+        F.expr("var_pop(value) * count(value)").alias("m2"),
         F.min("value").alias("lowest"),
         F.max("value").alias("highest"),
     )
 
 
-def merged_variance() -> Column:
-    """Sample variance of all rows from the per-user parts of :func:`user_moments`.
-
-    Squared deviations within users add up.  Those between users are the
-    weighted sum of n_i (mean_i - mean)^2, written with two covariances over
-    users (of total and of count against the user mean) so that no large
-    squares are subtracted.
-    """
-    weight, total = F.sum("n"), F.sum("total")
-    user_mean = divide(F.col("total"), F.col("n"))
-    between = F.count("total") * (
-        F.covar_pop("total", user_mean)
-        - divide(total, weight) * F.covar_pop("n", user_mean)
-    )
-    squares = F.greatest(F.sum("m2") + between, F.lit(0.0))
-    return F.when(weight > 1, squares / (weight - 1))
+# Mean of all rows from the per-user parts of user_moments.
+MERGED_MEAN = "try_divide(sum(total), sum(n))"
+
+# Sample variance of all rows from the per-user parts of user_moments.  Squared
+# deviations within users add up.  Those between users are the weighted sum of
+# n_i (mean_i - mean)^2, written with two covariances over users (of total and
+# of count against the user mean) so that no large squares are subtracted.
+MERGED_VARIANCE = """
+  CASE WHEN sum(n) > 1 THEN
+    greatest(
+      sum(m2) + count(total) * (
+        covar_pop(total, try_divide(total, n))
+        - try_divide(sum(total), sum(n)) * covar_pop(n, try_divide(total, n))
+      ), 0D
+    ) / (sum(n) - 1)
+  END
+"""

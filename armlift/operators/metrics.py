@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from armlift.functions.scalars import divide
-from armlift.operators.grain import arms, merged_variance, user_moments
+from armlift.operators.grain import MERGED_MEAN, MERGED_VARIANCE, arms, user_moments
 from armlift.operators.windows import window_filter
 from armlift.sources.schemas import DEFAULT_METRICS, KEY, MetricSpec, require_columns
 
@@ -35,9 +34,9 @@ def metric_overall(
         .groupBy("experiment_id", "variant", "metric_name")
         .agg(
             F.sum("rows").alias("n"),
-            divide(F.sum("total"), F.sum("n")).alias("mean"),
+            F.expr(MERGED_MEAN).alias("mean"),
             F.sum("total").alias("sum"),
-            F.sqrt(merged_variance()).alias("stddev"),
+            F.expr(f"sqrt({MERGED_VARIANCE})").alias("stddev"),
             F.min("lowest").alias("min"),
             F.max("highest").alias("max"),
         )
@@ -62,7 +61,7 @@ def metric_daily(
         .groupBy("experiment_id", "variant", "metric_name", "day")
         .agg(
             F.sum("rows").alias("n"),
-            divide(F.sum("total"), F.sum("n")).alias("mean"),
+            F.expr(MERGED_MEAN).alias("mean"),
             F.sum("total").alias("sum"),
         )
     )

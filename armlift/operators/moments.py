@@ -6,23 +6,19 @@ arm.  Everything after it works on experiments x arms rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
-
-ARM_MOMENTS = (
-    "n", "mean_x", "mean_y", "var_x", "var_y", "cov_xy", "var_d",
-)
+from pyspark.sql import DataFrame, functions as F
 
 
 def arm_moments(users: DataFrame) -> DataFrame:
     """Per experiment and variant: moments of x, y and of the paired difference d = y - x."""
     return users.groupBy("experiment_id", "variant").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("x").alias("mean_x"),
-        F.avg("y").alias("mean_y"),
-        F.var_samp("x").alias("var_x"),
-        F.var_samp("y").alias("var_y"),
-        F.covar_samp("y", "x").alias("cov_xy"),
-        F.var_samp(F.col("y") - F.col("x")).alias("var_d"),
+        F.expr("count(1) AS n"),
+        F.expr("avg(x) AS mean_x"),
+        F.expr("avg(y) AS mean_y"),
+        F.expr("var_samp(x) AS var_x"),
+        F.expr("var_samp(y) AS var_y"),
+        F.expr("covar_samp(y, x) AS cov_xy"),
+        F.expr("var_samp(y - x) AS var_d"),
     )
 
 
@@ -32,27 +28,22 @@ def pooled_moments(arm: DataFrame) -> DataFrame:
     Arms are pooled by adding squared deviations within and between them, so
     the users are not read a second time.
     """
-    whole = Window.partitionBy("experiment_id")
-    weight = F.col("n")
-    centred = arm.withColumns(
-        {
-            "n_all": F.sum("n").over(whole),
-            "x_mean": F.sum(weight * F.col("mean_x")).over(whole) / F.sum("n").over(whole),
-            "y_mean": F.sum(weight * F.col("mean_y")).over(whole) / F.sum("n").over(whole),
-        }
-    )
-    dx, dy = F.col("mean_x") - F.col("x_mean"), F.col("mean_y") - F.col("y_mean")
-    within = lambda c: F.coalesce(F.col(c), F.lit(0.0)) * (weight - 1)
-    sums = centred.withColumns(
-        {
-            "s_xx": F.sum(within("var_x") + weight * dx * dx).over(whole),
-            "s_xy": F.sum(within("cov_xy") + weight * dx * dy).over(whole),
-        }
+    over = "OVER (PARTITION BY experiment_id)"
+    within = "coalesce({c}, 0D) * (n - 1)"
+    s_xx = f"{within.format(c='var_x')} + n * (mean_x - x_mean) * (mean_x - x_mean)"
+    s_xy = f"{within.format(c='cov_xy')} + n * (mean_x - x_mean) * (mean_y - _y_mean)"
+    return (
+        arm.selectExpr(
+            "*",
+            f"sum(n) {over} AS n_all",
+            f"sum(n * mean_x) {over} / sum(n) {over} AS x_mean",
+            f"sum(n * mean_y) {over} / sum(n) {over} AS _y_mean",
+        )
+        .selectExpr("*", f"sum({s_xx}) {over} AS _s_xx", f"sum({s_xy}) {over} AS _s_xy")
+        .selectExpr(
+            "* EXCEPT (_y_mean, _s_xx, _s_xy)",
+            "CASE WHEN n_all > 1 THEN _s_xx / (n_all - 1) END AS x_var",
+            "CASE WHEN n_all > 1 THEN _s_xy / (n_all - 1) END AS yx_covar",
+            "CASE WHEN _s_xx > 0 THEN _s_xy / _s_xx ELSE 0D END AS theta",
+        )
     )
-    return sums.withColumns(
-        {
-            "x_var": F.when(F.col("n_all") > 1, F.col("s_xx") / (F.col("n_all") - 1)),
-            "yx_covar": F.when(F.col("n_all") > 1, F.col("s_xy") / (F.col("n_all") - 1)),
-            "theta": F.when(F.col("s_xx") > 0, F.col("s_xy") / F.col("s_xx")).otherwise(F.lit(0.0)),
-        }
-    ).drop("s_xx", "s_xy")

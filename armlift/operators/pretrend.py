@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from armlift.functions.normal import two_sided_p
-from armlift.functions.scalars import divide
-from armlift.functions.student import equivalent_z, t_two_sided_p
-from armlift.operators.grain import arms
+from armlift.functions.normal import double, two_sided_p
+from armlift.functions.student import equivalent_z
+from armlift.operators.grain import MERGED_MEAN, arms
 from armlift.sources.schemas import KEY
 
 ALPHA = 0.05
@@ -27,22 +26,23 @@ def pretrend_daily(
         .groupBy(*KEY, F.to_date("ts").alias("day"))
         .agg(F.sum("value").alias("total"), F.count("value").alias("n"))
     )
-    k = F.datediff(F.col("day"), F.col("exposure_ts"))
     return (
         days.join(arms(exposures, "exposure_ts"), KEY)
-        .withColumn("k_days", k)
+        .withColumn("k_days", F.datediff("day", "exposure_ts"))
         .where("k_days < 0")
         .groupBy("experiment_id", "k_days", "variant")
-        .agg(divide(F.sum("total"), F.sum("n")).alias("mean"))
+        .agg(F.expr(MERGED_MEAN).alias("mean"))
     )
 
 
 def _deltas(daily: DataFrame) -> DataFrame:
-    mean_of = lambda arm: F.max(F.when(F.col("variant") == arm, F.col("mean")))
     return (
         daily.groupBy("experiment_id", "k_days")
-        .agg(mean_of("treatment").alias("treat_mean"), mean_of("control").alias("control_mean"))
-        .withColumn("delta", F.col("treat_mean") - F.col("control_mean"))
+        .agg(
+            F.expr("max(mean) FILTER (WHERE variant = 'treatment') AS treat_mean"),
+            F.expr("max(mean) FILTER (WHERE variant = 'control') AS control_mean"),
+        )
+        .selectExpr("*", "treat_mean - control_mean AS delta")
     )
 
 
@@ -57,17 +57,15 @@ def pretrend_moments(daily: DataFrame) -> DataFrame:
     ``distinct_k`` counts days before the arms are paired; the other columns
     use paired days only.
     """
+    named = {
+        "n": "count", "xbar": "avgx", "ybar": "avgy", "s_xx": "sxx", "s_xy": "sxy", "s_yy": "syy",
+    }
     return (
         _deltas(daily)
         .groupBy("experiment_id")
         .agg(
-            F.count(F.lit(1)).alias("distinct_k"),
-            F.regr_count("delta", "k_days").alias("n"),
-            F.regr_avgx("delta", "k_days").alias("xbar"),
-            F.regr_avgy("delta", "k_days").alias("ybar"),
-            F.regr_sxx("delta", "k_days").alias("s_xx"),
-            F.regr_sxy("delta", "k_days").alias("s_xy"),
-            F.regr_syy("delta", "k_days").alias("s_yy"),
+            F.expr("count(1) AS distinct_k"),
+            *[F.expr(f"regr_{f}(delta, k_days) AS {name}") for name, f in named.items()],
         )
     )
 
@@ -79,30 +77,19 @@ def pretrend_slope(daily: DataFrame, alpha: float = ALPHA) -> DataFrame:
     days, three paired points or without spread in k.  A perfect fit has no
     error: a zero slope then passes with p = 1 and any other fails with p = 0.
     """
-    enough = (
-        (F.col("distinct_k") >= LEAST_POINTS)
-        & (F.col("n") >= LEAST_POINTS)
-        & F.coalesce(F.col("s_xx") > 0, F.lit(False))
-    )
-    residual = F.greatest(
-        F.col("s_yy") - F.col("slope") * F.col("s_xy"), F.when(F.col("slope").isNotNull(), 0.0)
-    )
-    exact = F.when(F.col("slope") == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    enough = f"distinct_k >= {LEAST_POINTS} AND n >= {LEAST_POINTS} AND s_xx > 0"
+    residual = "CASE WHEN slope IS NOT NULL THEN greatest(s_yy - slope * s_xy, 0D) END"
+    exact = "if(slope = 0, 1D, 0D)"
     return (
         pretrend_moments(daily)
-        .withColumn("slope", F.when(enough, F.col("s_xy") / F.col("s_xx")))
-        .withColumn("se", F.sqrt(residual / F.greatest(F.col("n") - 2, F.lit(1)) / F.col("s_xx")))
-        .withColumn("z", divide(F.col("slope"), F.col("se")))
-        .withColumn("p_value", F.when(F.col("se") == 0, exact).otherwise(two_sided_p(F.col("z"))))
-        .withColumn(
-            "verdict",
-            F.when(F.col("slope").isNull(), "INSUFFICIENT_DATA")
-            .when(F.col("p_value") > alpha, "PASS")
-            .otherwise("FAIL"),
-        )
-        .select(
-            "experiment_id", "distinct_k", F.col("n").alias("num_pre_points"),
-            "slope", "se", "z", "p_value", "verdict",
+        .selectExpr("*", f"CASE WHEN {enough} THEN s_xy / s_xx END AS slope")
+        .selectExpr("*", f"sqrt({residual} / greatest(n - 2, 1) / s_xx) AS se")
+        .selectExpr("*", "try_divide(slope, se) AS z")
+        .selectExpr("*", f"CASE WHEN se = 0 THEN {exact} ELSE {two_sided_p('z')} END AS p_value")
+        .selectExpr(
+            "experiment_id", "distinct_k", "n AS num_pre_points", "slope", "se", "z", "p_value",
+            "CASE WHEN slope IS NULL THEN 'INSUFFICIENT_DATA' "
+            f"WHEN p_value > {double(alpha)} THEN 'PASS' ELSE 'FAIL' END AS verdict",
         )
     )
 
@@ -113,54 +100,45 @@ def pretrend_slope_hc3(delta: DataFrame) -> DataFrame:
     The classical test refers to t with n - 2 degrees of freedom, the HC3 one
     to the normal.  Windows run over one experiment's day series.
     """
-    whole = Window.partitionBy("experiment_id")
-    x, y = F.col("k_days").cast("double"), F.col("delta")
-    n = F.col("n")
+    over = "OVER (PARTITION BY experiment_id)"
     points = (
-        delta.withColumn("n", F.count(F.lit(1)).over(whole))
-        .withColumn("xbar", F.avg(x).over(whole))
-        .withColumn("ybar", F.avg(y).over(whole))
-        .withColumn("dx", x - F.col("xbar"))
-        .withColumn("s_xx", F.sum(F.col("dx") * F.col("dx")).over(whole))
-        .withColumn("slope", F.sum(F.col("dx") * (y - F.col("ybar"))).over(whole) / F.col("s_xx"))
-        .withColumn("residual", y - F.col("ybar") - F.col("slope") * F.col("dx"))
-        .withColumn("leverage", 1 / n + F.col("dx") * F.col("dx") / F.col("s_xx"))
-    )
-    e = F.col("residual")
-    robust = e * e / F.pow(1 - F.col("leverage"), F.lit(2))
-    to_slope = F.col("dx") / F.col("s_xx")
-    to_intercept = 1 / n - F.col("xbar") * F.col("dx") / F.col("s_xx")
-    fits = (
-        points.where("n >= 3 AND s_xx > 0")
-        .groupBy("experiment_id", "n", "xbar", "ybar", "s_xx", "slope")
-        .agg(
-            (F.sum(e * e) / (n - 2)).alias("sigma2"),
-            F.sqrt(F.sum(to_slope * to_slope * robust)).alias("slope_hc3"),
-            F.sqrt(F.sum(to_intercept * to_intercept * robust)).alias("intercept_hc3"),
+        delta.selectExpr(
+            "experiment_id", "delta AS y",
+            f"count(1) {over} AS n",
+            f"avg(k_days) {over} AS xbar",
+            f"avg(delta) {over} AS ybar",
+            f"k_days - avg(k_days) {over} AS dx",
+        )
+        .selectExpr(
+            "*", f"sum(dx * dx) {over} AS s_xx", f"sum(dx * (y - ybar)) {over} AS _s_xy"
+        )
+        .where("n >= 3 AND s_xx > 0")
+        .selectExpr(
+            "*",
+            "_s_xy / s_xx AS slope",
+            "y - ybar - _s_xy / s_xx * dx AS e",
+            "1 - 1 / n - dx * dx / s_xx AS room",
         )
     )
-    rows = F.array(
-        F.struct(
-            F.lit("Intercept").alias("term"),
-            (F.col("ybar") - F.col("slope") * F.col("xbar")).alias("coef"),
-            F.sqrt(
-                F.col("sigma2") * (1 / n + F.col("xbar") * F.col("xbar") / F.col("s_xx"))
-            ).alias("se_ols"),
-            F.col("intercept_hc3").alias("se_hc3"),
-        ),
-        F.struct(
-            F.lit("k_days").alias("term"),
-            F.col("slope").alias("coef"),
-            F.sqrt(F.col("sigma2") / F.col("s_xx")).alias("se_ols"),
-            F.col("slope_hc3").alias("se_hc3"),
-        ),
+    fits = points.groupBy("experiment_id", "n", "xbar", "ybar", "s_xx", "slope").agg(
+        F.expr("sum(e * e) / (n - 2) AS sigma2"),
+        F.expr("sqrt(sum(pow(dx / s_xx * e / room, 2))) AS slope_hc3"),
+        F.expr("sqrt(sum(pow((1 / n - xbar * dx / s_xx) * e / room, 2))) AS intercept_hc3"),
     )
     return (
-        fits.select("experiment_id", "n", F.inline(rows))
-        .withColumn("t_ols", divide(F.col("coef"), F.col("se_ols")))
-        .withColumn("_z", equivalent_z(F.col("t_ols"), F.col("n") - 2.0))
-        .withColumn("p_ols", t_two_sided_p(F.col("_z")))
-        .withColumn("z_hc3", divide(F.col("coef"), F.col("se_hc3")))
-        .withColumn("p_hc3", two_sided_p(F.col("z_hc3")))
-        .drop("_z")
+        fits.selectExpr(
+            "experiment_id",
+            "n",
+            """stack(2,
+                'Intercept', ybar - slope * xbar, sqrt(sigma2 * (1 / n + xbar * xbar / s_xx)), intercept_hc3,
+                'k_days', slope, sqrt(sigma2 / s_xx), slope_hc3
+            ) AS (term, coef, se_ols, se_hc3)""",
+        )
+        .selectExpr(
+            "*", "try_divide(coef, se_ols) AS t_ols", "try_divide(coef, se_hc3) AS z_hc3"
+        )
+        .selectExpr("*", f"{equivalent_z('t_ols', '(n - 2)')} AS _z")
+        .selectExpr(
+            "* EXCEPT (_z)", f"{two_sided_p('_z')} AS p_ols", f"{two_sided_p('z_hc3')} AS p_hc3"
+        )
     )

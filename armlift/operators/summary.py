@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from armlift.functions.scalars import divide, format_general
+from armlift.functions.scalars import format_general
 
 RESULT_KEY = ["experiment_id", "metric_name"]
 
@@ -51,24 +51,22 @@ def precision_scaling(results: DataFrame) -> DataFrame:
     ``width_ratio`` is the smallest experiment's width over this one's; under
     root-n scaling it should be near ``expected_ratio``.
     """
-    width = F.col("ci_high") - F.col("ci_low")
-    sized = results.select(
+    sized = results.selectExpr(
         *RESULT_KEY,
-        (F.col("n_control") + F.col("n_treatment")).alias("n_users"),
-        width.alias("ci_width"),
-        divide(F.abs(F.col("delta")), width).alias("effect_to_width"),
+        "n_control + n_treatment AS n_users",
+        "ci_high - ci_low AS ci_width",
+        "try_divide(abs(delta), ci_high - ci_low) AS effect_to_width",
     )
     smallest = sized.groupBy("metric_name").agg(
         F.min_by(
             F.struct("experiment_id", "n_users", "ci_width"), F.struct("n_users", "experiment_id")
         ).alias("base")
     )
-    return (
-        sized.join(smallest, "metric_name")
-        .withColumn("base_experiment_id", F.col("base.experiment_id"))
-        .withColumn("width_ratio", divide(F.col("base.ci_width"), F.col("ci_width")))
-        .withColumn("expected_ratio", F.sqrt(F.col("n_users") / F.col("base.n_users")))
-        .drop("base")
+    return sized.join(smallest, "metric_name").selectExpr(
+        *sized.columns,
+        "base.experiment_id AS base_experiment_id",
+        "try_divide(base.ci_width, ci_width) AS width_ratio",
+        "sqrt(n_users / base.n_users) AS expected_ratio",
     )
 
 
@@ -104,14 +102,6 @@ def results_json(results: DataFrame, analysis: str = "ab") -> DataFrame:
     return results.groupBy("experiment_id").agg(F.to_json(document).alias("document"))
 
 
-def _cells(*columns: str) -> list[Column]:
-    return [format_general(F.col(c)) for c in columns]
-
-
-def _table_line(*cells: Column) -> Column:
-    return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
-
-
 def decision_summary(
     ab: DataFrame,
     cuped: DataFrame,
@@ -123,76 +113,55 @@ def decision_summary(
 
     The table in the body has one line per metric of the experiment.
     """
-    line = _table_line(
-        F.col("metric_name"),
-        *_cells(
-            "mean_control", "mean_treatment", "delta", "rel_lift", "ci_low", "ci_high", "p_value"
-        ),
-        F.col("method"),
-        F.coalesce("guardrail_status", F.lit("-")),
-    )
+    g = lambda *columns: [format_general(c) for c in columns]
+    shown = lambda **named: ", ', ', ".join(f"'{k}=', {format_general(c)}" for k, c in named.items())
+    values = g("mean_control", "mean_treatment", "delta", "rel_lift", "ci_low", "ci_high", "p_value")
+    cells = ["metric_name", *values, "method", "coalesce(guardrail_status, '-')"]
     lines = (
-        ab.join(flags.select(*RESULT_KEY, "role", "guardrail_status"), RESULT_KEY, "left")
-        .withColumn("line", line)
+        ab.join(flags.select(*RESULT_KEY, "guardrail_status"), RESULT_KEY, "left")
+        .selectExpr(
+            "experiment_id",
+            "guardrail_status = 'FAIL' AS failed",
+            f"concat('| ', concat_ws(' | ', {', '.join(cells)}), ' |') AS line",
+        )
         .groupBy("experiment_id")
         .agg(
-            F.count(F.lit(1)).alias("metrics"),
-            F.count_if(F.col("guardrail_status") == "FAIL").alias("guardrails_failed"),
-            F.array_join(F.sort_array(F.collect_list("line")), "\n").alias("ab_table"),
+            F.expr("count(1) AS metrics"),
+            F.expr("if(count_if(failed) > 0, 'FAIL', 'PASS') AS guardrail_status"),
+            F.expr("array_join(sort_array(collect_list(line)), '\n') AS ab_table"),
         )
     )
-    cuped_text = F.concat_ws(
-        ", ",
-        *[
-            F.concat(F.lit(f"{c}="), text)
-            for c, text in zip(
-                ("theta", "delta_cuped", "ci_low_cuped", "ci_high_cuped"),
-                _cells("theta", "delta_cuped", "ci_low_cuped", "ci_high_cuped"),
-            )
-        ],
-    )
-    did_text = F.concat_ws(
-        ", ",
-        *[
-            F.concat(F.lit(f"{c}="), text)
-            for c, text in zip(("did", "se", "p"), _cells("did", "se", "p_value"))
-        ],
+    cuped_text = shown(
+        theta="theta", delta_cuped="delta_cuped",
+        ci_low_cuped="ci_low_cuped", ci_high_cuped="ci_high_cuped",
     )
-    trend_text = F.concat(
-        F.lit("slope="), format_general(F.col("slope")),
-        F.lit(", p="), format_general(F.col("p_value")),
-        F.lit(", verdict="), F.col("verdict"),
+    did_text = shown(did="did", se="se", p="p_value")
+    trend_text = f"{shown(slope='slope', p='p_value')}, ', verdict=', verdict"
+    part = lambda df, text, name: df.selectExpr("experiment_id", f"concat({text}) AS {name}")
+    trend = pretrend.selectExpr(
+        "experiment_id", "verdict", f"concat({trend_text}) AS pretrend_text"
     )
-    missing = F.lit("not available")
-    body = F.concat_ws(
-        "\n",
-        F.concat(F.lit("# Decision memo: "), F.col("experiment_id")),
-        F.lit("| metric | control | treatment | delta | rel lift | CI low | CI high | p | method | guardrail |"),
-        F.col("ab_table"),
-        F.concat(F.lit("CUPED: "), F.coalesce("cuped_text", missing)),
-        F.concat(F.lit("DiD: "), F.coalesce("did_text", missing)),
-        F.concat(F.lit("Pre-trend: "), F.coalesce("pretrend_text", missing)),
-        F.concat(
-            F.lit("Guardrails: "),
-            F.when(F.col("guardrails_failed") > 0, "FAIL").otherwise("PASS"),
-        ),
+    columns = ("metric", "control", "treatment", "delta", "rel lift", "CI low", "CI high", "p",
+               "method", "guardrail")
+    optional = lambda title, c: f"concat('{title}: ', coalesce({c}, 'not available'))"
+    body = ", ".join(
+        [
+            "concat('# Decision memo: ', experiment_id)",
+            f"'| {' | '.join(columns)} |'",
+            "ab_table",
+            optional("CUPED", "cuped_text"),
+            optional("DiD", "did_text"),
+            optional("Pre-trend", "pretrend_text"),
+            "concat('Guardrails: ', guardrail_status)",
+        ]
     )
     return (
-        lines.join(cuped.select("experiment_id", cuped_text.alias("cuped_text")), "experiment_id", "left")
-        .join(did.select("experiment_id", did_text.alias("did_text")), "experiment_id", "left")
-        .join(
-            pretrend.select(
-                "experiment_id", F.col("verdict").alias("pretrend_verdict"),
-                trend_text.alias("pretrend_text"),
-            ),
-            "experiment_id",
-            "left",
-        )
-        .select(
-            "experiment_id",
-            "metrics",
-            F.when(F.col("guardrails_failed") > 0, "FAIL").otherwise("PASS").alias("guardrail_status"),
-            F.coalesce("pretrend_verdict", missing).alias("pretrend_verdict"),
-            body.alias("memo"),
+        lines.join(part(cuped, cuped_text, "cuped_text"), "experiment_id", "left")
+        .join(part(did, did_text, "did_text"), "experiment_id", "left")
+        .join(trend, "experiment_id", "left")
+        .selectExpr(
+            "experiment_id", "metrics", "guardrail_status",
+            "coalesce(verdict, 'not available') AS pretrend_verdict",
+            f"concat_ws('\n', {body}) AS memo",
         )
     )

@@ -7,7 +7,7 @@ from the hash alone, so no join is needed to build either table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from armlift.operators.exposure import assign_variants
 from armlift.sources.readers import align_exposures, align_outcomes
@@ -58,8 +58,10 @@ def per_experiment(df: DataFrame) -> DataFrame:
     return df.select("*", F.inline(windows))
 
 
-def _assigned(df: DataFrame, user: str) -> DataFrame:
+def _assigned(df: DataFrame, user: str, kept: Column | None = None) -> DataFrame:
+    """Rows of exposed users, per experiment; rows that fail ``kept`` are not even hashed."""
     users = per_experiment(df.withColumn("user_id", F.col(user).cast("string")))
+    users = users if kept is None else users.where(kept)
     offset = F.make_dt_interval(F.pmod("assignment_hash", F.lit(EXPOSURE_DAYS)).cast("int"))
     return (
         assign_variants(users, EXPOSURE_RATE, TREATMENT_SHARE)
@@ -115,8 +117,7 @@ def outcomes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate") < F.col("exposure_ts"), F.array(metric("pre_revenue", amount))
     ).otherwise(F.array(metric("revenue", amount), metric("conversion", fulfilled)))
     return (
-        _assigned(orders, "o_custkey")
-        .where(F.col("o_orderdate") <= F.col("end_ts"))
+        _assigned(orders, "o_custkey", F.col("o_orderdate") <= F.col("end_ts"))
         .select(
             "experiment_id",
             F.col("o_custkey").alias("user_id"),

@@ -36,7 +36,7 @@ def normal_tail(spark, sf):
     z = (F.col("o_totalprice") - 250000) / 50000
     orders = fx.table(spark, sf, "orders").select("o_orderpriority", z.alias("z"))
     return (
-        orders.withColumn("p", two_sided_p(F.col("z")))
+        orders.selectExpr("*", f"{two_sided_p('z')} AS p")
         .groupBy("o_orderpriority")
         .agg(
             F.count(F.lit(1)).alias("rows"),

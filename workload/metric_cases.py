@@ -26,7 +26,7 @@ CUT_SQL = """
     WHERE metric_name = 'pre_revenue' OR o.ts BETWEEN r.start_ts AND r.end_ts - INTERVAL 90 DAY
     GROUP BY ALL
     """,
-    digits="total:3",
+    digits="total:5",
 )
 def window_filter(spark, sf):
     kept = windows.window_filter(fx.outcomes(spark, sf), fx.registry(spark, CUT))
@@ -75,7 +75,7 @@ def event_window(spark, sf):
     SELECT o.experiment_id, e.variant, count(*) AS rows, count(DISTINCT o.user_id) AS users, sum(value) AS total
     FROM order_values o LEFT JOIN exposures e USING (experiment_id, user_id) GROUP BY ALL
     """,
-    digits="total:3",
+    digits="total:5",
 )
 def join_left_exposed(spark, sf):
     joined = grain.join_left_exposed(fx.order_values(spark, sf), fx.exposures(spark, sf))
@@ -139,7 +139,7 @@ def quantiles(spark, sf):
            stddev_samp(value) AS stddev, min(value) AS min, max(value) AS max
     FROM {CUT_SQL} GROUP BY ALL
     """,
-    digits="mean sum:3 stddev min max",
+    digits="mean sum:5 stddev min max",
 )
 def metric_overall(spark, sf):
     return metrics.metric_overall(
@@ -153,7 +153,7 @@ _DAILY_SQL = f"""
 """
 
 
-@case(_DAILY_SQL, digits="mean:9 sum:4")
+@case(_DAILY_SQL, digits="mean:9 sum:6")
 def metric_daily(spark, sf):
     return metrics.metric_daily(
         fx.outcomes(spark, sf), fx.exposures(spark, sf), fx.registry(spark, CUT)
@@ -162,7 +162,7 @@ def metric_daily(spark, sf):
 
 @case(
     f"SELECT * FROM ({_DAILY_SQL}) ORDER BY experiment_id, day, metric_name, variant LIMIT 10",
-    digits="mean:9 sum:4",
+    digits="mean:9 sum:6",
 )
 def daily_preview(spark, sf):
     return metrics.daily_preview(
