@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from armlift.functions.normal import Z_95, Z_CRITICAL, double, two_sided_p
 from armlift.functions.student import equivalent_z, t_critical
@@ -59,26 +59,29 @@ def user_arm_stats(
     aggregated, so the long form has only experiments x variants x metrics rows.
     """
     names = [f"m{i}" for i in range(len(specs))]
-    return arm_stats_of(user_columns(outcomes, exposures, specs, names), specs, names)
-
-
-def arm_stats_of(
-    users: DataFrame, specs: Sequence[MetricSpec], names: Sequence[str]
-) -> DataFrame:
-    """Per-arm statistics of a user table that holds the metrics as columns ``names``."""
+    users = user_columns(outcomes, exposures, specs, names)
     per_arm = users.groupBy("experiment_id", "variant").agg(
-        *[
-            F.struct(
-                F.lit(s.name).alias("metric_name"),
-                F.expr("count(1) AS n"),
-                F.expr(f"avg(coalesce(`{n}`, 0D)) AS mean"),
-                F.expr(f"var_samp(coalesce(`{n}`, 0D)) AS var"),
-            ).alias(f"stats_{i}")
-            for i, (s, n) in enumerate(zip(specs, names))
-        ]
+        F.array(*stats_items(specs, names)).alias("stats")
     )
-    stats = ", ".join(f"stats_{i}" for i in range(len(specs)))
-    return per_arm.selectExpr("experiment_id", "variant", f"inline(array({stats}))").selectExpr(
+    return unfold_stats(per_arm)
+
+
+def stats_items(specs: Sequence[MetricSpec], names: Sequence[str]) -> list[Column]:
+    """One aggregate per metric column: a struct (metric_name, n, mean, var), NULL counting as 0."""
+    return [
+        F.struct(
+            F.lit(s.name).alias("metric_name"),
+            F.expr("count(1) AS n"),
+            F.expr(f"avg(coalesce(`{n}`, 0D)) AS mean"),
+            F.expr(f"var_samp(coalesce(`{n}`, 0D)) AS var"),
+        )
+        for s, n in zip(specs, names)
+    ]
+
+
+def unfold_stats(arms_table: DataFrame) -> DataFrame:
+    """Long per-metric statistics from an arm table with a ``stats`` array."""
+    return arms_table.selectExpr("experiment_id", "variant", "inline(stats)").selectExpr(
         "experiment_id", "metric_name", "variant", "n", "mean", "var", "sqrt(var) AS std"
     )
 
@@ -97,7 +100,7 @@ def pair_arms(
     return (
         stats.groupBy(*by)
         .agg(*sides)
-        .where("n_control IS NOT NULL AND n_treatment IS NOT NULL")
+        .where("n_control > 0 AND n_treatment > 0")
     )
 
 

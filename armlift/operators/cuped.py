@@ -1,4 +1,7 @@
-"""CUPED: pre-period covariate adjustment with a pooled theta."""
+"""CUPED: pre-period covariate adjustment with a pooled theta.
+
+``moments`` is the table of :func:`armlift.operators.moments.arm_moments`.
+"""
 
 from __future__ import annotations
 
@@ -6,24 +9,24 @@ from pyspark.sql import DataFrame, functions as F
 
 from armlift.functions.normal import ci_95, two_sided_p
 from armlift.operators.ab import pair_arms
-from armlift.operators.moments import arm_moments, pooled_moments
+from armlift.operators.moments import pooled_moments
 from armlift.sources.schemas import CUPED_RESULTS
 
 _FORMS = ("raw", "cuped")
 _ARMS = ("control", "treatment")
 
 
-def cuped_moments(users: DataFrame) -> DataFrame:
+def cuped_moments(moments: DataFrame) -> DataFrame:
     """Pooled mean and variance of the covariate, covariance with the target, theta."""
     return (
-        pooled_moments(arm_moments(users))
+        pooled_moments(moments)
         .selectExpr("experiment_id", "n_all AS n", "x_mean", "x_var", "yx_covar", "theta")
         .dropDuplicates(["experiment_id"])
     )
 
 
 def theta_from_moments(users: DataFrame) -> DataFrame:
-    """Theta from raw first and second moments; 0 when the covariate does not vary."""
+    """Theta of complete cases from raw moments; 0 when the covariate does not vary."""
     moments = users.groupBy("experiment_id").agg(
         F.expr("count(1) AS n"),
         F.expr("avg(x) AS x_mean"),
@@ -37,14 +40,14 @@ def theta_from_moments(users: DataFrame) -> DataFrame:
     )
 
 
-def cuped_group_stats(users: DataFrame) -> DataFrame:
+def cuped_group_stats(moments: DataFrame) -> DataFrame:
     """Per arm: n, mean and variance of the target, raw and adjusted.
 
     With y* = y - theta (x - mean x) the adjusted moments follow from the arm's
     own: no second pass over the users.
     """
     adjusted_var = "var_y + theta * theta * var_x - 2 * theta * cov_xy"
-    return pooled_moments(arm_moments(users)).selectExpr(
+    return pooled_moments(moments).selectExpr(
         "experiment_id", "variant", "n", "theta", "x_mean",
         "mean_y AS mean_raw",
         "var_y AS var_raw",
@@ -54,16 +57,15 @@ def cuped_group_stats(users: DataFrame) -> DataFrame:
 
 
 def cuped(
-    users: DataFrame, target: str = "revenue", covariate: str = "pre_revenue"
+    moments: DataFrame, target: str = "revenue", covariate: str = "pre_revenue"
 ) -> DataFrame:
-    """Raw and adjusted effect per experiment.
+    """Raw and adjusted effect per experiment, with the target as y and the covariate as x.
 
-    ``users`` has one complete case per row: variant, target ``y`` and
-    covariate ``x``.  Experiments with a missing arm have no row.  z and p are
+    Experiments with a missing arm have no row.  z and p are
     NULL, and so is the interval, when the error is 0.
     """
     columns = ("n", "theta", "x_mean", "mean_raw", "var_raw", "mean_cuped", "var_cuped")
-    paired = pair_arms(cuped_group_stats(users), ["experiment_id"], columns)
+    paired = pair_arms(cuped_group_stats(moments), ["experiment_id"], columns)
     error = " + ".join("coalesce(var_{f}_%s, 0D) / n_%s" % (a, a) for a in _ARMS)
     effects = paired.selectExpr(
         "*",

@@ -1,4 +1,7 @@
-"""Difference-in-differences on user-level pre (x) and post (y) values."""
+"""Difference-in-differences on user-level pre (x) and post (y) values.
+
+``moments`` is the table of :func:`armlift.operators.moments.arm_moments`.
+"""
 
 from __future__ import annotations
 
@@ -6,26 +9,25 @@ from pyspark.sql import DataFrame, functions as F
 
 from armlift.functions.normal import ci_95, two_sided_p, z_critical
 from armlift.operators.ab import pair_arms
-from armlift.operators.moments import arm_moments
 from armlift.sources.schemas import DID_RESULTS
 
 _SIDES = (("ctrl", "control"), ("treat", "treatment"))
 _PERIODS = ("pre", "post")
 
 
-def did_cells(users: DataFrame) -> DataFrame:
+def did_cells(moments: DataFrame) -> DataFrame:
     """Per arm: users, mean and variance before and after."""
-    return arm_moments(users).selectExpr(
+    return moments.selectExpr(
         "experiment_id", "variant", "n",
         "mean_x AS pre_mean", "mean_y AS post_mean",
         "var_x AS pre_var", "var_y AS post_var", "var_d AS change_var",
     )
 
 
-def _paired_cells(users: DataFrame) -> DataFrame:
+def _paired_cells(moments: DataFrame) -> DataFrame:
     """One row per experiment: cell means, arm variances, the estimate and its plain error."""
     paired = pair_arms(
-        did_cells(users),
+        did_cells(moments),
         ["experiment_id"],
         ("n", "pre_mean", "post_mean", "pre_var", "post_var", "change_var"),
     )
@@ -40,7 +42,7 @@ def _paired_cells(users: DataFrame) -> DataFrame:
 
 
 def did(
-    users: DataFrame,
+    moments: DataFrame,
     window: DataFrame,
     metric_pre: str = "pre_revenue",
     metric_post: str = "revenue",
@@ -60,7 +62,7 @@ def did(
         "confidence": F.lit(float(confidence)),
     }
     return (
-        _paired_cells(users)
+        _paired_cells(moments)
         .selectExpr("*", f"{two_sided_p('z')} AS p_value", *ci_95("did", "se"))
         .join(window, "experiment_id", "left")
         .withColumns(labels)
@@ -90,14 +92,14 @@ def did_results_v1(result: DataFrame) -> DataFrame:
     )
 
 
-def did_confidence(users: DataFrame, confidence: float | list[float] = 0.95) -> DataFrame:
+def did_confidence(moments: DataFrame, confidence: float | list[float] = 0.95) -> DataFrame:
     """The same estimate with an interval at 0.90, 0.95 or 0.99; other levels fail the query.
 
     With no error at all z and p are NULL and the interval is the estimate.
     """
     levels = confidence if isinstance(confidence, list) else [confidence]
     return (
-        _paired_cells(users)
+        _paired_cells(moments)
         .withColumn("confidence", F.explode(F.array(*[F.lit(float(c)) for c in levels])))
         .selectExpr("*", f"{z_critical('confidence')} * se AS _margin")
         .selectExpr(
@@ -109,7 +111,7 @@ def did_confidence(users: DataFrame, confidence: float | list[float] = 0.95) ->
     )
 
 
-def did_clustered(users: DataFrame) -> DataFrame:
+def did_clustered(moments: DataFrame) -> DataFrame:
     """Coefficients of ``measure ~ group * period`` with errors clustered by user.
 
     Each user gives one pre and one post row, so the sandwich collapses to arm
@@ -131,7 +133,7 @@ def did_clustered(users: DataFrame) -> DataFrame:
     )
     factor = "(g / (g - 1)) * ((2 * g - 1) / (2 * g - 4))"
     return (
-        _paired_cells(users)
+        _paired_cells(moments)
         .selectExpr("experiment_id", "n_control + n_treatment AS g", f"inline(array({rows}))")
         .selectExpr(
             "experiment_id", "2 * g AS n_obs", "term", "coef",

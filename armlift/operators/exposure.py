@@ -2,36 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from armlift.sources.schemas import KEY
 
 
-def assignment_hash(experiment_id: Column, user_id: Column) -> Column:
-    """Stable 32-bit hash of (experiment, user) from md5, the same in any engine."""
-    digest = F.md5(F.concat(experiment_id, F.lit(":"), user_id))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+# Stable 32-bit hash of (experiment, user) from md5, the same in any engine.
+ASSIGNMENT_HASH = (
+    "CAST(conv(substring(md5(concat(experiment_id, ':', user_id)), 1, 8), 16, 10) AS BIGINT)"
+)
 
 
 def assign_variants(
     users: DataFrame, exposure_rate: float = 0.85, treatment_share: float = 0.5
 ) -> DataFrame:
-    """Exposed users with their arm.
+    """Exposed users with their arm and ``assignment_hash``.
 
     ``users`` has (experiment_id, user_id, ...); a user is exposed in an
     experiment at ``exposure_rate`` and treated at ``treatment_share``, both in
     steps of one percent.  Narrow: no shuffle, no state, repeatable.
     """
-    percent = F.pmod(F.col("assignment_hash"), F.lit(100))
-    arm_percent = F.pmod(F.floor(F.col("assignment_hash") / 100), F.lit(100))
+    exposed, treated = round(exposure_rate * 100), round(treatment_share * 100)
+    # The one-element explode is a barrier: without it the filter is pushed
+    # below the projection and the hash is computed twice per row.
     return (
-        users.withColumn(
-            "assignment_hash", assignment_hash(F.col("experiment_id"), F.col("user_id"))
-        )
-        .where(percent < round(exposure_rate * 100))
-        .withColumn(
-            "variant",
-            F.when(arm_percent < round(treatment_share * 100), "treatment").otherwise("control"),
+        users.selectExpr("*", f"explode(array({ASSIGNMENT_HASH})) AS assignment_hash")
+        .where(f"assignment_hash % 100 < {exposed}")
+        .selectExpr(
+            "*",
+            f"if((assignment_hash DIV 100) % 100 < {treated}, 'treatment', 'control') AS variant",
         )
     )
 
@@ -44,13 +43,11 @@ def dedup_exposures(exposures: DataFrame) -> DataFrame:
     minimum is combined on the map side, so repeated exposures of one user
     never travel as rows.
     """
-    rest = [c for c in exposures.columns if c not in KEY + ["exposure_ts", "variant"]]
-    order = F.struct(
-        F.col("exposure_ts").isNull().alias("undated"), "exposure_ts", "variant", *rest
-    )
+    rest = [c for c in exposures.columns if c not in (*KEY, "exposure_ts", "variant")]
+    order = ", ".join(["exposure_ts IS NULL AS undated", "exposure_ts", "variant", *rest])
     return (
         exposures.dropna(subset=KEY)
         .groupBy(*KEY)
-        .agg(F.min(order).alias("first"))
-        .select(*[c if c in KEY else F.col(f"first.{c}").alias(c) for c in exposures.columns])
+        .agg(F.expr(f"min(struct({order})) AS first"))
+        .selectExpr(*[c if c in KEY else f"first.{c} AS {c}" for c in exposures.columns])
     )

@@ -43,12 +43,18 @@ def join_left_exposed(outcomes: DataFrame, exposures: DataFrame) -> DataFrame:
     return outcomes.join(exposures.select(*KEY, "variant"), KEY, "left")
 
 
-def _user_value(agg: str, ts: str | None, only: Column | None = None) -> Column:
-    """Roll-up of ``value`` for one user, over rows where ``only`` holds."""
-    value = F.col("value") if only is None else F.when(only, F.col("value"))
-    if agg == "first":
-        ordered = F.struct(F.col(ts).isNull(), F.col(ts), F.col("value").alias("value"))
-        return F.min(F.when(F.lit(True) if only is None else only, ordered))["value"]
+def _user_value(agg: str, metric: str | None = None) -> Column:
+    """Roll-up of ``value`` for one user, over the rows of one metric if given.
+
+    ``first`` takes the earliest value; undated rows sort last and ties go to
+    the smaller value.
+    """
+    first = agg == "first"
+    value = F.expr("struct(ts IS NULL AS undated, ts, value)") if first else F.col("value")
+    if metric is not None:
+        value = F.when(F.col("metric_name") == metric, value)
+    if first:
+        return F.min(value)["value"]
     return {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min}[agg](value)
 
 
@@ -56,7 +62,7 @@ def user_rollup(outcomes: DataFrame, forms: dict[str, str] | None = None) -> Dat
     """One row per user and metric, with one column per roll-up in ``forms`` (agg -> name)."""
     forms = forms or {"sum": "value"}
     return outcomes.groupBy(*USER_METRIC).agg(
-        *[_user_value(agg, "ts").alias(name) for agg, name in forms.items()]
+        *[_user_value(agg).alias(name) for agg, name in forms.items()]
     )
 
 
@@ -75,10 +81,7 @@ def user_columns(
     """
     wanted = outcomes.where(F.col("metric_name").isin([s.name for s in specs]))
     per_user = wanted.groupBy(*KEY).agg(
-        *[
-            _user_value(s.agg, "ts", F.col("metric_name") == s.name).alias(n)
-            for s, n in zip(specs, names)
-        ]
+        *[_user_value(s.agg, s.name).alias(n) for s, n in zip(specs, names)]
     )
     return arms(exposures).join(per_user, KEY, how)
 

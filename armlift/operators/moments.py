@@ -9,16 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+# Select items of one arm's moments over its complete cases, d = y - x.
+COMPLETE = "FILTER (WHERE x IS NOT NULL AND y IS NOT NULL)"
+MOMENTS = {
+    "n": "count(1)",
+    "mean_x": "avg(x)",
+    "mean_y": "avg(y)",
+    "var_x": "var_samp(x)",
+    "var_y": "var_samp(y)",
+    "cov_xy": "covar_samp(y, x)",
+    "var_d": "var_samp(y - x)",
+}
+
+
 def arm_moments(users: DataFrame) -> DataFrame:
-    """Per experiment and variant: moments of x, y and of the paired difference d = y - x."""
+    """Moments of x, y and y - x per experiment and variant, over users that have both.
+
+    CUPED and DiD work on this table alone: it is all they need to know about
+    the users.
+    """
     return users.groupBy("experiment_id", "variant").agg(
-        F.expr("count(1) AS n"),
-        F.expr("avg(x) AS mean_x"),
-        F.expr("avg(y) AS mean_y"),
-        F.expr("var_samp(x) AS var_x"),
-        F.expr("var_samp(y) AS var_y"),
-        F.expr("covar_samp(y, x) AS cov_xy"),
-        F.expr("var_samp(y - x) AS var_d"),
+        *[F.expr(f"{value} {COMPLETE} AS {name}") for name, value in MOMENTS.items()]
     )
 
 
@@ -33,7 +44,7 @@ def pooled_moments(arm: DataFrame) -> DataFrame:
     s_xx = f"{within.format(c='var_x')} + n * (mean_x - x_mean) * (mean_x - x_mean)"
     s_xy = f"{within.format(c='cov_xy')} + n * (mean_x - x_mean) * (mean_y - _y_mean)"
     return (
-        arm.selectExpr(
+        arm.where("n > 0").selectExpr(
             "*",
             f"sum(n) {over} AS n_all",
             f"sum(n * mean_x) {over} / sum(n) {over} AS x_mean",

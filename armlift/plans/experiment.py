@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from armlift.operators import ab, cuped, did, event_study, metrics, pretrend, quality, summary
 from armlift.operators.exposure import dedup_exposures
 from armlift.operators.grain import user_columns
+from armlift.operators.moments import COMPLETE, MOMENTS
 from armlift.operators.windows import window_from_registry
 from armlift.sources import readers, tables
 from armlift.sources.contracts import contract_violations
@@ -49,30 +50,41 @@ def open_tables(spark: SparkSession, root: str) -> Inputs:
     return Inputs(read("exposures"), read("outcomes"), read("experiment_registry"))
 
 
-def analyse(
+def arm_table(
     inputs: Inputs,
     specs: Sequence[MetricSpec] = DEFAULT_METRICS,
     target: str = "revenue",
     covariate: str = "pre_revenue",
-    users: DataFrame | None = None,
-) -> dict[str, DataFrame]:
-    """Every result table as a lazy DataFrame.
+) -> DataFrame:
+    """Sufficient statistics of every arm in one pass over the users.
 
-    ``users`` is the user-grain table of :func:`user_grain`, read back from
-    storage; with it the A/B, CUPED and DiD results do not touch the outcomes
-    again.
+    One row per experiment and variant: per-metric statistics in ``stats`` and
+    the joint moments of target and covariate.  A/B, CUPED and DiD results all
+    follow from it without reading outcomes or exposures again.
     """
+    names = [f"m{i}" for i in range(len(specs))]
+    column = {s.name: n for s, n in zip(specs, names)}
+    users = user_columns(inputs.outcomes, inputs.exposures, specs, names).selectExpr(
+        "*", f"{column[target]} AS y", f"{column[covariate]} AS x"
+    )
+    return users.groupBy("experiment_id", "variant").agg(
+        F.array(*ab.stats_items(specs, names)).alias("stats"),
+        *[F.expr(f"{value} {COMPLETE} AS {name}") for name, value in MOMENTS.items()],
+    )
+
+
+def analyse(
+    inputs: Inputs,
+    arms: DataFrame,
+    specs: Sequence[MetricSpec] = DEFAULT_METRICS,
+    target: str = "revenue",
+    covariate: str = "pre_revenue",
+) -> dict[str, DataFrame]:
+    """Every result table as a lazy DataFrame; ``arms`` is a stored :func:`arm_table`."""
     exposures, outcomes, registry = inputs.exposures, inputs.outcomes, inputs.registry
-    users = user_grain(inputs, specs) if users is None else users
-    names = [s.name for s in specs]
-    stats = ab.arm_stats_of(users, specs, names)
-    results = ab.ab_analysis(stats)
-    paired = users.select(
-        "experiment_id", "user_id", "variant",
-        F.col(f"`{target}`").alias("y"), F.col(f"`{covariate}`").alias("x"),
-    ).dropna(subset=["x", "y"])
-    cuped_result = cuped.cuped(paired, target, covariate)
-    did_result = did.did(paired, window_from_registry(registry, exposures), covariate, target)
+    results = ab.ab_analysis(ab.unfold_stats(arms))
+    cuped_result = cuped.cuped(arms, target, covariate)
+    did_result = did.did(arms, window_from_registry(registry, exposures), covariate, target)
     daily = pretrend.pretrend_daily(outcomes, exposures, covariate)
     slope = pretrend.pretrend_slope(daily)
     flags = summary.guardrail_flags(results, registry)
@@ -90,11 +102,6 @@ def analyse(
     }
 
 
-def user_grain(inputs: Inputs, specs: Sequence[MetricSpec] = DEFAULT_METRICS) -> DataFrame:
-    """One row per exposed user with one column per metric."""
-    return user_columns(inputs.outcomes, inputs.exposures, specs, [s.name for s in specs])
-
-
 def event_studies(
     inputs: Inputs, metric: str = "revenue", grain: str = "day", pre: int = 28, post: int = 28
 ) -> dict[str, DataFrame]:
@@ -129,8 +136,8 @@ def run(
 ) -> dict[str, str]:
     """Ingest, check, analyse and store; returns the path of every table written.
 
-    The user-grain table is written once and feeds every user-level analysis.
-    A second run over the same input leaves the same tables.
+    The arm table is written once and feeds every user-level analysis.  A
+    second run over the same input leaves the same tables.
     """
     inputs = ingest(spark, raw, root, experiment_ids)
     written: dict[str, str] = {}
@@ -148,8 +155,8 @@ def run(
         contract_violations(inputs.outcomes, "outcomes")
     ).unionByName(contract_violations(inputs.registry, "experiment_registry"))
     store("contract_violations", broken)
-    store("user_grain", user_grain(inputs, specs))
-    users = tables.read_table(spark, f"{root}/user_grain")
-    for name, df in analyse(inputs, specs, users=users).items():
+    store("arm_statistics", arm_table(inputs, specs))
+    arms = tables.read_table(spark, f"{root}/arm_statistics")
+    for name, df in analyse(inputs, arms, specs).items():
         store(name, df)
     return written

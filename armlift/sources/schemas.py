@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 Columns = dict[str, str]
 
@@ -158,10 +158,10 @@ def align(df: DataFrame, columns: Columns) -> DataFrame:
     missing array an empty array; a value that cannot be cast becomes NULL.
     """
 
-    def one(name: str, dtype: str):
+    def one(name: str, dtype: str) -> str:
         if name in df.columns:
-            return F.col(name).try_cast(dtype).alias(name)
-        blank = F.array() if dtype.startswith("array") else F.lit(None)
-        return blank.cast(dtype).alias(name)
+            return f"try_cast(`{name}` AS {dtype}) AS `{name}`"
+        blank = "array()" if dtype.startswith("array") else "NULL"
+        return f"CAST({blank} AS {dtype}) AS `{name}`"
 
-    return df.select(*[one(name, dtype) for name, dtype in columns.items()])
+    return df.selectExpr(*[one(name, dtype) for name, dtype in columns.items()])

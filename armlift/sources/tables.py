@@ -34,6 +34,14 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed now and kept in the shared folder, for plans that use it several times."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -53,8 +61,19 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(handle, True)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table with ``experiment_id`` as text, whatever the ids look like."""
+def has_partitions(spark: SparkSession, path: str) -> bool:
+    """Whether anything was ever stored: writing no rows leaves a folder without a schema."""
+    handle, fs = _hadoop_path(spark, f"{path}/{PARTITION}=*")
+    return bool(fs.globStatus(handle))
+
+
+def read_table(spark: SparkSession, path: str, layout: StructType | None = None) -> DataFrame:
+    """The table with ``experiment_id`` as text, whatever the ids look like.
+
+    ``layout`` is the schema to report when nothing was ever stored.
+    """
+    if layout is not None and not has_partitions(spark, path):
+        return spark.createDataFrame([], layout)
     found = spark.read.parquet(path).schema
     fields = [StructField(PARTITION, StringType()) if f.name == PARTITION else f for f in found]
     return spark.read.schema(StructType(fields)).parquet(path)
@@ -117,7 +136,7 @@ def delete_append_by_metric(
     metric_names: Sequence[str] | None = None,
 ) -> None:
     """Drop (experiment, metric) rows for the listed metrics, or whole experiments, then append."""
-    if not metric_names or not exists(df.sparkSession, path):
+    if not metric_names or not has_partitions(df.sparkSession, path):
         return delete_append(df, path, experiment_ids)
     mine = F.col(PARTITION).isin(list(experiment_ids))
     kept = read_table(df.sparkSession, path).where(
@@ -127,19 +146,27 @@ def delete_append_by_metric(
 
 
 def merge_upsert(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Insert or overwrite by key.  A key given twice in ``df`` is an error."""
-    keys = list(keys)
-    if not df.groupBy(*keys).count().where("count > 1").isEmpty():
-        raise ValueError(f"merge source has several rows for one key {keys}")
-    if not exists(df.sparkSession, path):
-        return replace_partitions(df, path)
-    touched = df.select(PARTITION).distinct()
-    kept = (
-        read_table(df.sparkSession, path)
-        .join(touched, PARTITION, "left_semi")
-        .join(df.select(*keys), keys, "left_anti")
-    )
-    _swap_in(_same_layout(kept, df).unionByName(df), path)
+    """Insert or overwrite by key.  A key given twice in ``df`` is an error.
+
+    ``df`` is computed once, into a staging table that the checks and the
+    merge then read.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    staged = _stage(df, "merge")
+    try:
+        rows = spark.read.schema(df.schema).parquet(staged)
+        if not rows.groupBy(*keys).count().where("count > 1").isEmpty():
+            raise ValueError(f"merge source has several rows for one key {keys}")
+        if not has_partitions(spark, path):
+            return replace_partitions(rows, path)
+        kept = (
+            read_table(spark, path)
+            .join(rows.select(PARTITION).distinct(), PARTITION, "left_semi")
+            .join(rows.select(*keys), keys, "left_anti")
+        )
+        _swap_in(_same_layout(kept, df).unionByName(rows), path)
+    finally:
+        drop_path(spark, staged)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -7,7 +7,7 @@ from the hash alone, so no join is needed to build either table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from armlift.operators.exposure import assign_variants
 from armlift.sources.readers import align_exposures, align_outcomes
@@ -45,28 +45,19 @@ def registry(spark: SparkSession, cut_days: int = 0) -> DataFrame:
 
 def per_experiment(df: DataFrame) -> DataFrame:
     """Each row once per experiment, with the experiment's window."""
-    windows = F.array(
-        *[
-            F.struct(
-                F.lit(e).alias("experiment_id"),
-                F.lit(a).cast("timestamp_ntz").alias("start_ts"),
-                F.lit(b).cast("timestamp_ntz").alias("end_ts"),
-            )
-            for e, a, b in EXPERIMENTS
-        ]
+    windows = ", ".join(
+        f"named_struct('experiment_id', '{e}', 'start_ts', TIMESTAMP_NTZ '{a}', 'end_ts', TIMESTAMP_NTZ '{b}')"
+        for e, a, b in EXPERIMENTS
     )
-    return df.select("*", F.inline(windows))
+    return df.selectExpr("*", f"inline(array({windows}))")
 
 
-def _assigned(df: DataFrame, user: str, kept: Column | None = None) -> DataFrame:
+def _assigned(df: DataFrame, user: str, kept: str = "TRUE") -> DataFrame:
     """Rows of exposed users, per experiment; rows that fail ``kept`` are not even hashed."""
-    users = per_experiment(df.withColumn("user_id", F.col(user).cast("string")))
-    users = users if kept is None else users.where(kept)
-    offset = F.make_dt_interval(F.pmod("assignment_hash", F.lit(EXPOSURE_DAYS)).cast("int"))
-    return (
-        assign_variants(users, EXPOSURE_RATE, TREATMENT_SHARE)
-        .withColumn("exposure_ts", F.col("start_ts") + offset)
-        .withColumn("unit", F.lit("user_id"))
+    users = per_experiment(df.selectExpr("*", f"CAST({user} AS STRING) AS user_id")).where(kept)
+    offset = f"make_dt_interval(CAST(assignment_hash % {EXPOSURE_DAYS} AS INT))"
+    return assign_variants(users, EXPOSURE_RATE, TREATMENT_SHARE).selectExpr(
+        "*", f"start_ts + {offset} AS exposure_ts", "'user_id' AS unit"
     )
 
 
@@ -82,27 +73,21 @@ def exposures_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers two days later under an unknown label and unit, and customers in
     debt also leave a row without a user.
     """
-    flipped = F.when(F.col("variant") == "control", "treatment").otherwise("control")
-    later = lambda days: F.col("exposure_ts") + F.make_dt_interval(F.lit(days))
-
-    def row(user, variant, ts, unit):
-        return F.struct(
-            user.alias("user_id"), variant.alias("variant"), ts.alias("exposure_ts"), unit.alias("unit")
-        )
-
-    user, variant, ts, unit = (F.col(c) for c in ("c_custkey", "variant", "exposure_ts", "unit"))
-    segment = F.col("c_mktsegment")
-    copies = F.array(
-        row(user, variant, ts, unit),
-        F.when(segment == "BUILDING", row(user, flipped, later(1), unit)),
-        F.when(segment == "MACHINERY", row(user, F.lit("holdout"), later(2), F.lit("device_id"))),
-        F.when(F.col("c_acctbal") < 0, row(F.lit(None).cast("bigint"), variant, ts, unit)),
-    )
-    logged = _assigned(table(spark, sf_dir, "customer"), "c_custkey").select(
-        "experiment_id",
-        F.inline(F.filter(copies, lambda r: r.isNotNull())),
+    def row(user, variant, ts, unit, when="TRUE"):
+        fields = f"'user_id', {user}, 'variant', {variant}, 'exposure_ts', {ts}, 'unit', {unit}"
+        return f"if({when}, named_struct({fields}), NULL)"
+
+    later = "exposure_ts + make_dt_interval({})".format
+    flipped = "if(variant = 'control', 'treatment', 'control')"
+    copies = [
+        row("c_custkey", "variant", "exposure_ts", "unit"),
+        row("c_custkey", flipped, later(1), "unit", "c_mktsegment = 'BUILDING'"),
+        row("c_custkey", "'holdout'", later(2), "'device_id'", "c_mktsegment = 'MACHINERY'"),
+        row("CAST(NULL AS BIGINT)", "variant", "exposure_ts", "unit", "c_acctbal < 0"),
+    ]
+    return _assigned(table(spark, sf_dir, "customer"), "c_custkey").selectExpr(
+        "experiment_id", f"inline(array_compact(array({', '.join(copies)})))"
     )
-    return logged
 
 
 def outcomes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,21 +95,19 @@ def outcomes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
-    amount = F.col("o_totalprice") / 1000
-    fulfilled = (F.col("o_orderstatus") == "F").cast("double")
-    metric = lambda name, value: F.struct(F.lit(name).alias("metric_name"), value.alias("value"))
-    rows = F.when(
-        F.col("o_orderdate") < F.col("exposure_ts"), F.array(metric("pre_revenue", amount))
-    ).otherwise(F.array(metric("revenue", amount), metric("conversion", fulfilled)))
-    return (
-        _assigned(orders, "o_custkey", F.col("o_orderdate") <= F.col("end_ts"))
-        .select(
-            "experiment_id",
-            F.col("o_custkey").alias("user_id"),
-            F.inline(rows),
-            F.col("o_orderdate").alias("outcome_ts"),
-            "o_orderkey",
-        )
+    metric = "named_struct('metric_name', '{}', 'value', {})".format
+    amount = "o_totalprice / 1000"
+    fulfilled = "CAST(o_orderstatus = 'F' AS DOUBLE)"
+    rows = (
+        f"if(o_orderdate < exposure_ts, array({metric('pre_revenue', amount)}),"
+        f" array({metric('revenue', amount)}, {metric('conversion', fulfilled)}))"
+    )
+    return _assigned(orders, "o_custkey", "o_orderdate <= end_ts").selectExpr(
+        "experiment_id",
+        "o_custkey AS user_id",
+        f"inline({rows})",
+        "o_orderdate AS outcome_ts",
+        "o_orderkey",
     )
 
 
@@ -134,27 +117,19 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order of every customer, exposed or not, as one metric over the whole time span."""
-    orders = table(spark, sf_dir, "orders")
-    return align_outcomes(
-        per_experiment(
-            orders.select(
-                F.col("o_custkey").alias("user_id"),
-                F.lit("order_value").alias("metric_name"),
-                (F.col("o_totalprice") / 1000).alias("value"),
-                F.col("o_orderdate").alias("ts"),
-            )
-        )
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS user_id",
+        "'order_value' AS metric_name",
+        "o_totalprice / 1000 AS value",
+        "o_orderdate AS ts",
     )
+    return align_outcomes(per_experiment(orders))
 
 
 def event_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event stream as outcomes of one experiment, a metric per event type."""
     return align_outcomes(
-        table(spark, sf_dir, "events").select(
-            F.lit("exp_events").alias("experiment_id"),
-            "user_id",
-            F.col("event_type").alias("metric_name"),
-            "value",
-            "ts",
+        table(spark, sf_dir, "events").selectExpr(
+            "'exp_events' AS experiment_id", "user_id", "event_type AS metric_name", "value", "ts"
         )
     )

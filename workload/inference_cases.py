@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from armlift.functions.normal import two_sided_p
 from armlift.operators import ab, cuped as cu, did as dd, event_study as es, grain, pretrend, summary, windows
+from armlift.operators.moments import arm_moments
+from armlift.plans.experiment import Inputs, arm_table
+from armlift.sources.tables import checkpointed
 from workload import fixtures as fx
 from workload.case import case
 from workload.metric_cases import converted_users, pretrend_daily, pretrend_delta, user_buckets
@@ -24,6 +27,10 @@ def complete_cases(spark, sf) -> DataFrame:
     return grain.user_pivot(fx.outcomes(spark, sf), fx.exposures(spark, sf), agg="sum")
 
 
+def moments(spark, sf) -> DataFrame:
+    return arm_moments(complete_cases(spark, sf))
+
+
 @case(
     """
     SELECT o_orderpriority, count(*) AS rows, avg(p) AS mean_p, min(p) AS least_p, max(p) AS largest_p
@@ -104,7 +111,7 @@ def balance_check(spark, sf):
     digits="x_mean x_var:2 yx_covar:2 theta",
 )
 def cuped_moments(spark, sf):
-    return cu.cuped_moments(complete_cases(spark, sf))
+    return cu.cuped_moments(moments(spark, sf))
 
 
 @case(
@@ -121,7 +128,7 @@ def theta_from_moments(spark, sf):
 
 @case("SELECT * FROM cuped_arm", digits="theta x_mean mean_raw var_raw:3 mean_cuped var_cuped:3")
 def cuped_group_stats(spark, sf):
-    return cu.cuped_group_stats(complete_cases(spark, sf))
+    return cu.cuped_group_stats(moments(spark, sf))
 
 
 _CUPED_DIGITS = " ".join(
@@ -136,7 +143,7 @@ _CUPED_DIGITS = " ".join(
     "SELECT * EXCLUDE (z_cuped, var_control_cuped, var_treatment_cuped) FROM cuped", digits=_CUPED_DIGITS
 )
 def cuped(spark, sf):
-    return cu.cuped_results(cu.cuped(complete_cases(spark, sf)))
+    return cu.cuped_results(cu.cuped(moments(spark, sf)))
 
 
 @case(
@@ -151,7 +158,7 @@ def cuped(spark, sf):
     digits=_PAIRED,
 )
 def cuped_results_v1(spark, sf):
-    return cu.cuped_results_v1(cu.cuped(complete_cases(spark, sf)))
+    return cu.cuped_results_v1(cu.cuped(moments(spark, sf)))
 
 
 @case(
@@ -165,7 +172,7 @@ def cuped_results_v1(spark, sf):
     digits="theta delta_raw se_raw delta_cuped se_cuped variance_reduction ci_width_reduction",
 )
 def cuped_variance_reduction(spark, sf):
-    return cu.cuped_variance_reduction(cu.cuped(complete_cases(spark, sf)))
+    return cu.cuped_variance_reduction(cu.cuped(moments(spark, sf)))
 
 
 @case(
@@ -174,7 +181,7 @@ def cuped_variance_reduction(spark, sf):
     digits="pre_mean post_mean pre_var:3 post_var:3 change_var:3",
 )
 def did_cells(spark, sf):
-    return dd.did_cells(complete_cases(spark, sf))
+    return dd.did_cells(moments(spark, sf))
 
 
 _CELLS = "y_treat_pre y_treat_post y_ctrl_pre y_ctrl_post"
@@ -182,7 +189,7 @@ _CELLS = "y_treat_pre y_treat_post y_ctrl_pre y_ctrl_post"
 
 def _did(spark, sf) -> DataFrame:
     window = windows.window_from_registry(fx.registry(spark), fx.exposures(spark, sf))
-    return dd.did(complete_cases(spark, sf), window)
+    return dd.did(moments(spark, sf), window)
 
 
 @case(
@@ -220,7 +227,7 @@ def did_results_v1(spark, sf):
     digits=f"{_CELLS} confidence did se z p_value:8 ci_low ci_high",
 )
 def did_confidence(spark, sf):
-    return dd.did_confidence(complete_cases(spark, sf), [0.90, 0.95, 0.99])
+    return dd.did_confidence(moments(spark, sf), [0.90, 0.95, 0.99])
 
 
 @case(
@@ -245,7 +252,7 @@ def did_confidence(spark, sf):
     digits="coef se z p_value:8 ci_low ci_high",
 )
 def did_clustered(spark, sf):
-    return dd.did_clustered(complete_cases(spark, sf))
+    return dd.did_clustered(moments(spark, sf))
 
 
 @case(
@@ -508,13 +515,14 @@ def _g(expression: str) -> str:
     """
 )
 def decision_summary(spark, sf):
-    results = ab_analysis(spark, sf)
-    users = complete_cases(spark, sf)
-    window = windows.window_from_registry(fx.registry(spark), fx.exposures(spark, sf))
+    inputs = Inputs(fx.exposures(spark, sf), fx.outcomes(spark, sf), fx.registry(spark))
+    arms = checkpointed(arm_table(inputs, fx.SPECS))
+    results = ab.ab_analysis(ab.unfold_stats(arms))
+    window = windows.window_from_registry(inputs.registry, inputs.exposures)
     return summary.decision_summary(
         results,
-        cu.cuped(users),
-        dd.did(users, window),
+        cu.cuped(arms),
+        dd.did(arms, window),
         pretrend_slope(spark, sf),
-        summary.guardrail_flags(results, fx.registry(spark)),
+        summary.guardrail_flags(results, inputs.registry),
     )

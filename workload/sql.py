@@ -243,7 +243,7 @@ study AS (
   WHERE d.k <> -1
 ),
 event_study AS (
-  SELECT *, @P(beta / se)@ AS p_value, beta - 1.96 * se AS ci_low, beta + 1.96 * se AS ci_high, -1 AS ref_k
+  SELECT *, @P(beta / nullif(se, 0))@ AS p_value, beta - 1.96 * se AS ci_low, beta + 1.96 * se AS ci_high, -1 AS ref_k
   FROM study
 )
 """
