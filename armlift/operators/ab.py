@@ -21,7 +21,6 @@ from armlift.sources.schemas import ANALYSIS_RESULTS, DEFAULT_METRICS, KEY, Metr
 BINARY_METRICS = ("conversion", "converted", "purchase", "signup")
 
 ARM_STATS = ("n", "mean", "var", "std")
-TEST_OUTPUT = ("se", "z", "p_value", "ci_low", "ci_high", "method")
 LIFT = [
     "mean_treatment - mean_control AS delta",
     "try_divide(mean_treatment - mean_control, mean_control) AS rel_lift",
@@ -104,51 +103,53 @@ def pair_arms(
     )
 
 
+def _tested(paired: DataFrame, se: str, z: str, method: str) -> DataFrame:
+    """Effect, error, z, p and 95% interval from SQL text; ``z`` may use delta and se."""
+    return (
+        paired.selectExpr("*", *LIFT, f"{se} AS se")
+        .selectExpr("*", f"{z} AS z")
+        .selectExpr("*", f"{two_sided_p('z')} AS p_value", *INTERVAL, f"{method} AS method")
+    )
+
+
+_SUCCESSES = "(mean_control * n_control + mean_treatment * n_treatment)"
+_SHARE = f"coalesce(try_divide({_SUCCESSES}, n_control + n_treatment), 0D)"
+_PER_TRIAL = "(1 / greatest(n_control, 1) + 1 / greatest(n_treatment, 1))"
+_UNPOOLED = " + ".join(
+    f"mean_{a} * (1 - mean_{a}) / greatest(n_{a}, 1)" for a in ("control", "treatment")
+)
+PROPORTION_SE = f"sqrt(greatest({_UNPOOLED}, 0D))"
+PROPORTION_Z = (
+    f"coalesce(try_divide(delta, sqrt(greatest({_SHARE} * (1 - {_SHARE}) * {_PER_TRIAL}, 0D))), 0D)"
+)
+
+
 def ab_proportion(paired: DataFrame) -> DataFrame:
     """Two-proportion test: pooled error for z and p, unpooled error for ``se`` and the interval."""
-    successes = "mean_control * n_control + mean_treatment * n_treatment"
-    per_trial = "(1 / greatest(n_control, 1) + 1 / greatest(n_treatment, 1))"
-    unpooled = " + ".join(
-        f"mean_{a} * (1 - mean_{a}) / greatest(n_{a}, 1)" for a in ("control", "treatment")
-    )
+    return _tested(paired, PROPORTION_SE, PROPORTION_Z, "'two_proportion_z'")
+
+
+def _welch_variance(arm: str) -> str:
+    mean = f"mean_{arm}"
     return (
-        paired.selectExpr(
-            "*",
-            *LIFT,
-            f"sqrt(greatest({unpooled}, 0D)) AS se",
-            f"coalesce(try_divide({successes}, n_control + n_treatment), 0D) AS _share",
-        )
-        .selectExpr(
-            "* EXCEPT (_share)",
-            "coalesce(try_divide(delta, sqrt(greatest("
-            f"_share * (1 - _share) * {per_trial}, 0D))), 0D) AS z",
-        )
-        .selectExpr(
-            "*", f"{two_sided_p('z')} AS p_value", *INTERVAL, "'two_proportion_z' AS method"
-        )
+        f"CASE WHEN var_control IS NOT NULL AND var_treatment IS NOT NULL THEN var_{arm}"
+        f" WHEN {mean} BETWEEN 0 AND 1 THEN {mean} * (1 - {mean}) ELSE 0D END"
     )
 
 
+WELCH_SE = "sqrt({})".format(
+    " + ".join(f"({_welch_variance(a)}) / greatest(n_{a}, 1)" for a in ("control", "treatment"))
+)
+WELCH_Z = "coalesce(try_divide(delta, se), 0D)"
+
+
 def ab_welch(paired: DataFrame) -> DataFrame:
     """Difference in means with unpooled variance and a normal reference.
 
     When either variance is missing both fall back to m(1 - m) for a mean in
     [0, 1], else to 0.
     """
-    known = "var_control IS NOT NULL AND var_treatment IS NOT NULL"
-    variance = {
-        a: f"CASE WHEN {known} THEN var_{a} "
-        f"WHEN mean_{a} BETWEEN 0 AND 1 THEN mean_{a} * (1 - mean_{a}) ELSE 0D END"
-        for a in ("control", "treatment")
-    }
-    error = " + ".join(f"({v}) / greatest(n_{a}, 1)" for a, v in variance.items())
-    return (
-        paired.selectExpr("*", *LIFT, f"sqrt({error}) AS se")
-        .selectExpr("*", "coalesce(try_divide(delta, se), 0D) AS z")
-        .selectExpr(
-            "*", f"{two_sided_p('z')} AS p_value", *INTERVAL, "'welch_normal_approx' AS method"
-        )
-    )
+    return _tested(paired, WELCH_SE, WELCH_Z, "'welch_normal_approx'")
 
 
 def ab_analysis(stats: DataFrame) -> DataFrame:
@@ -159,17 +160,14 @@ def ab_analysis(stats: DataFrame) -> DataFrame:
     gives a NULL relative lift.
     """
     names = ", ".join(f"'{m}'" for m in BINARY_METRICS)
-    binary = f"lower(metric_name) IN ({names})"
-    proportion = ab_proportion(pair_arms(stats)).drop("delta", "rel_lift")
-    both = ab_welch(proportion.withColumnsRenamed({c: f"proportion_{c}" for c in TEST_OUTPUT}))
-    return both.selectExpr(
-        "experiment_id",
-        "metric_name",
-        *[f"{c}_{a}" for a in ("control", "treatment") for c in ("n", "mean", "std")],
-        "delta",
-        "rel_lift",
-        *[f"if({binary}, proportion_{c}, {c}) AS {c}" for c in TEST_OUTPUT],
+    choose = f"if(lower(metric_name) IN ({names}), {{}}, {{}})".format
+    tested = _tested(
+        pair_arms(stats),
+        choose(PROPORTION_SE, WELCH_SE),
+        choose(PROPORTION_Z, WELCH_Z),
+        choose("'two_proportion_z'", "'welch_normal_approx'"),
     )
+    return tested.drop("var_control", "var_treatment")
 
 
 def ab_results_table(results: DataFrame) -> DataFrame:

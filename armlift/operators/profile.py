@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 PERCENTS = tuple(range(1, 100))
 # Rank error of a quantile is at most rows / ACCURACY; below ACCURACY / 2 rows it is exact.
-ACCURACY = 100_000
+ACCURACY = 30_000
 
 
 def distinct_users(df: DataFrame, by: Sequence[str], approximate: bool = False) -> DataFrame:

@@ -57,16 +57,21 @@ def dq_leakage(outcomes: DataFrame, exposures: DataFrame, registry: DataFrame) -
 
     Counts post outcomes before the user's exposure, pre outcomes at or after
     it, post outcomes outside the experiment window, and outcomes without a
-    time.  ``exposures`` holds one row per (experiment, user), so its shuffle
-    feeds the join directly and a user with too many outcomes can be split.
+    time.  The window is attached to the users, not to the outcomes.
+
+    ``exposures`` holds one row per (experiment, user), so its shuffle feeds
+    the join directly and a user with too many outcomes can be split.
     """
-    joined = outcomes.join(exposures.select(*KEY, "exposure_ts"), KEY)
-    pre = F.col("metric_name").startswith("pre_")
-    outside = F.lit(False)
+    users = exposures.select(*KEY, "exposure_ts")
     window = registry_window(registry)
-    if window is not None:
-        joined = lookup(joined, window)
-        outside = ~F.col("ts").between(F.col("window_start"), F.col("window_end"))
+    bounds = ["window_start", "window_end"]
+    if window is None:
+        users = users.selectExpr("*", *[f"CAST(NULL AS TIMESTAMP) AS {c}" for c in bounds])
+    else:
+        users = lookup(users, window)
+    joined = outcomes.join(users, KEY)
+    pre = F.col("metric_name").startswith("pre_")
+    outside = ~F.col("ts").between(F.col("window_start"), F.col("window_end"))
     return joined.groupBy("experiment_id", "metric_name").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~pre & (F.col("ts") < F.col("exposure_ts"))).alias("post_before_exposure"),
