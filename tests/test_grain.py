@@ -28,17 +28,21 @@ def test_window_is_closed_and_keeps_pre_rows(spark):
     assert kept(renamed) == 51
 
 
-def test_lookup_beyond_the_broadcast_size_gives_the_same_rows(spark, rows):
+def test_lookup_beyond_the_broadcast_bound_gives_the_same_rows(spark, rows, monkeypatch):
     out = b.outcomes(spark, [(f"u{i % 50}", "revenue", float(i), i % 20) for i in range(300)])
-    expected = rows(windows.window_filter(out, b.registry(spark)))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        filtered = windows.window_filter(out, b.registry(spark))
-        assert "SortMergeJoin" in filtered._jdf.queryExecution().executedPlan().toString()
-        assert rows(filtered) == expected
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    small = windows.window_filter(out, b.registry(spark))
+    assert "BroadcastHashJoin" in plan(small) and "_salt" not in plan(small)
+    monkeypatch.setattr(windows, "BROADCAST_ROWS", 0)
+    large = windows.window_filter(out, b.registry(spark))
+    assert "SortMergeJoin" in plan(large) and "_salt" in plan(large)
+    assert rows(large) == rows(small)
+
+
+def test_long_ids_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(windows, "BROADCAST_ID_BYTES", 10)
+    assert windows.fits_broadcast(spark.sql("SELECT 'short' AS experiment_id"))
+    assert not windows.fits_broadcast(spark.sql("SELECT 'a longer one' AS experiment_id"))
 
 
 def test_window_falls_back_to_exposures_and_fails_without_either(spark):
