@@ -4,7 +4,7 @@ import pytest
 
 import builders as b
 from armlift.plans import experiment
-from armlift.sources import contracts, readers, tables
+from armlift.sources import catalog, contracts, readers, tables
 from armlift.sources.schemas import ANALYSIS_RESULTS, require_columns
 
 
@@ -68,6 +68,23 @@ def test_upserts_into_a_table_that_never_had_rows(spark, path):
     assert stored(spark, path) == [("a", "m", 1.0)]
 
 
+def test_catalog_names(spark, path):
+    columns = {"metric_name": "string", "delta": "double", "experiment_id": "string"}
+    tables.replace_partitions(results(spark, [("a", "m", 1.0)]), path)
+    assert not catalog.table_exists(spark, "lab.results")
+    catalog.ensure_table(spark, "lab.results", columns, path)
+    tables.replace_partitions(results(spark, [("b", "m", 2.0)]), path)
+    catalog.ensure_table(spark, "lab.results", columns, path)
+    assert sorted(r.delta for r in spark.table("lab.results").collect()) == [1.0, 2.0]
+    catalog.create_or_replace(results(spark, [("c", "m", 3.0)]), "lab.latest")
+    catalog.create_or_replace(results(spark, [("d", "m", 4.0)]), "lab.latest")
+    assert [r.delta for r in spark.table("lab.latest").collect()] == [4.0]
+    catalog.publish_views({"stage_rows": spark.table("lab.latest")})
+    assert spark.sql("SELECT experiment_id FROM stage_rows").first()[0] == "d"
+    names = {r.table_name for r in catalog.list_tables(spark, "lab").where("NOT temporary").collect()}
+    assert names == {"results", "latest"}
+
+
 def test_align_fills_casts_and_drops(spark):
     raw = spark.sql("SELECT 7 AS experiment_id, 'x' AS start_ts, array(1, 2) AS variants, 1 AS extra")
     r = readers.align_registry(raw).first()

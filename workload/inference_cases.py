@@ -232,7 +232,7 @@ def did_confidence(spark, sf):
 
 @case(
     """
-    SELECT experiment_id, n_obs, term, coef, se, coef / se AS z, @P(coef / se)@ AS p_value,
+    SELECT experiment_id, n_obs::BIGINT AS n_obs, term, coef, se, coef / se AS z, @P(coef / se)@ AS p_value,
            coef - 1.96 * se AS ci_low, coef + 1.96 * se AS ci_high
     FROM (
       SELECT experiment_id, 2 * g AS n_obs, unnest(['Intercept', 'group', 'period', 'group:period']) AS term,
@@ -494,7 +494,7 @@ def _g(expression: str) -> str:
 
 @case(
     f"""
-    SELECT experiment_id, 3 AS metrics, guardrail_status, s.verdict AS pretrend_verdict,
+    SELECT experiment_id, metrics, guardrail_status, s.verdict AS pretrend_verdict,
            '# Decision memo: ' || experiment_id || chr(10)
            || '| metric | control | treatment | delta | rel lift | CI low | CI high | p | method | guardrail |' || chr(10)
            || ab_table || chr(10)
@@ -503,7 +503,7 @@ def _g(expression: str) -> str:
            || 'DiD: did=' || {_g("d.did")} || ', se=' || {_g("d.se")} || ', p=' || {_g("d.p_value")} || chr(10)
            || 'Pre-trend: slope=' || {_g("s.slope")} || ', p=' || {_g("s.p_value")} || ', verdict=' || s.verdict || chr(10)
            || 'Guardrails: ' || guardrail_status AS memo
-    FROM (SELECT experiment_id,
+    FROM (SELECT experiment_id, count(*) AS metrics,
                  CASE WHEN bool_or(metric_name = 'revenue' AND ci_high < 0) THEN 'FAIL' ELSE 'PASS' END AS guardrail_status,
                  string_agg('| ' || metric_name || ' | ' || {_g("mean_control")} || ' | ' || {_g("mean_treatment")}
                    || ' | ' || {_g("delta")} || ' | ' || {_g("rel_lift")} || ' | ' || {_g("ci_low")} || ' | ' || {_g("ci_high")}

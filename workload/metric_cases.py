@@ -275,7 +275,7 @@ def bucket_delta(spark, sf):
 @case(
     """
     SELECT experiment_id, grain, k, count(*) AS rows
-    FROM (SELECT o.experiment_id, 'day' AS grain, datediff('day', r.start_ts, o.ts) AS k
+    FROM (SELECT o.experiment_id, 'day' AS grain, datediff('day', r.start_ts, o.ts)::INTEGER AS k
           FROM outcomes o JOIN registry r USING (experiment_id)
           UNION ALL
           SELECT o.experiment_id, 'week', floor(datediff('day', r.start_ts, date_trunc('week', o.ts)::TIMESTAMP) / 7.0)::INTEGER
@@ -359,7 +359,7 @@ def dq_duplicates(spark, sf):
            count(*) FILTER (metric_name = 'order_value' AND ts < exposure_ts) AS post_before_exposure,
            count(*) FILTER (metric_name LIKE 'pre\\_%' ESCAPE '\\' AND ts >= exposure_ts) AS pre_after_exposure,
            count(*) FILTER (metric_name = 'order_value' AND NOT ts BETWEEN start_ts AND end_ts - INTERVAL 90 DAY) AS post_outside_window,
-           0 AS undated
+           0::BIGINT AS undated
     FROM (SELECT experiment_id, user_id, metric_name, value, ts FROM order_values
           UNION ALL SELECT experiment_id, user_id, 'pre_order_value', value, ts FROM order_values)
     JOIN exposures USING (experiment_id, user_id) JOIN registry USING (experiment_id)

@@ -172,7 +172,7 @@ did AS (
   FROM did_pair p JOIN registry r USING (experiment_id)
 ),
 trend_daily AS (
-  SELECT experiment_id, datediff('day', exposure_ts, ts) AS k_days, variant, avg(value) AS mean
+  SELECT experiment_id, datediff('day', exposure_ts, ts)::INTEGER AS k_days, variant, avg(value) AS mean
   FROM joined WHERE metric_name = 'pre_revenue' AND datediff('day', exposure_ts, ts) < 0
   GROUP BY ALL
 ),
