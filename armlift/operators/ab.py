@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from armlift.functions.normal import Z_95, Z_CRITICAL, double, two_sided_p
 from armlift.functions.student import equivalent_z, t_critical
 from armlift.operators.grain import (
-    MERGED_MEAN,
-    MERGED_VARIANCE,
+    MEAN,
+    VARIANCE,
     arms,
+    merge_moments,
     user_columns,
     user_moments,
 )
@@ -34,15 +35,10 @@ def ab_stats(outcomes: DataFrame, exposures: DataFrame) -> DataFrame:
     Every metric, no window.  The raw-row form; see :func:`user_arm_stats` for
     the form that counts users.
     """
+    key = ["experiment_id", "metric_name", "variant"]
     return (
-        user_moments(outcomes)
-        .join(arms(exposures), KEY)
-        .groupBy("experiment_id", "metric_name", "variant")
-        .agg(
-            F.sum("rows").alias("n"),
-            F.expr(MERGED_MEAN).alias("mean"),
-            F.expr(MERGED_VARIANCE).alias("var"),
-        )
+        merge_moments(user_moments(outcomes).join(arms(exposures), KEY), *key)
+        .selectExpr(*key, "rows AS n", f"{MEAN} AS mean", f"{VARIANCE} AS var")
         .selectExpr("*", "sqrt(var) AS std")
     )
 

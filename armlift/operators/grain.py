@@ -127,20 +127,31 @@ def user_moments(outcomes: DataFrame, *extra: str | Column) -> DataFrame:
     )
 
 
-# Mean of all rows from the per-user parts of user_moments.
-MERGED_MEAN = "try_divide(sum(total), sum(n))"
-
-# Sample variance of all rows from the per-user parts of user_moments.  Squared
-# deviations within users add up.  Those between users are the weighted sum of
-# n_i (mean_i - mean)^2, written with two covariances over users (of total and
-# of count against the user mean) so that no large squares are subtracted.
-MERGED_VARIANCE = """
-  CASE WHEN sum(n) > 1 THEN
-    greatest(
-      sum(m2) + count(total) * (
-        covar_pop(total, try_divide(total, n))
-        - try_divide(sum(total), sum(n)) * covar_pop(n, try_divide(total, n))
-      ), 0D
-    ) / (sum(n) - 1)
-  END
+# Mean and sample variance from merged moments.
+MEAN = "try_divide(total, n)"
+VARIANCE = "CASE WHEN n > 1 THEN m2 / (n - 1) END"
+
+# Squared deviations of all rows from those of their parts.  Deviations within
+# parts add up.  Those between parts are the weighted sum of n_i (mean_i -
+# mean)^2, written with two covariances over the parts (of total and of count
+# against the part's mean) so that no large squares are subtracted.
+_MERGED_M2 = """
+  greatest(
+    sum(m2) + count(total) * (
+      covar_pop(total, try_divide(total, n))
+      - try_divide(sum(total), sum(n)) * covar_pop(n, try_divide(total, n))
+    ), 0D
+  ) AS m2
 """
+
+
+def merge_moments(parts: DataFrame, *by: str) -> DataFrame:
+    """Moments per group from moments of parts; the columns stay those of user_moments."""
+    return parts.groupBy(*by).agg(
+        F.sum("rows").alias("rows"),
+        F.sum("n").alias("n"),
+        F.sum("total").alias("total"),
+        F.expr(_MERGED_M2),
+        F.min("lowest").alias("lowest"),
+        F.max("highest").alias("highest"),
+    )

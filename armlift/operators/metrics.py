@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from armlift.operators.grain import MERGED_MEAN, MERGED_VARIANCE, arms, user_moments
+from armlift.operators.grain import MEAN, VARIANCE, arms, merge_moments, user_moments
 from armlift.operators.windows import window_filter
 from armlift.sources.schemas import DEFAULT_METRICS, KEY, MetricSpec, require_columns
 
@@ -21,6 +21,37 @@ def _analysed_rows(
     return window_filter(listed, registry, pre=uncut)
 
 
+CELL = ["experiment_id", "variant", "metric_name"]
+
+
+def daily_moments(
+    outcomes: DataFrame,
+    exposures: DataFrame,
+    registry: DataFrame,
+    specs: Sequence[MetricSpec] = DEFAULT_METRICS,
+) -> DataFrame:
+    """Moments of outcome rows per experiment, variant, metric and day.
+
+    Both aggregate tables follow from it, see :func:`overall_table` and
+    :func:`daily_table`; stored, it saves the second pass over the outcomes.
+    """
+    rows = _analysed_rows(outcomes, registry, specs).withColumn("day", F.to_date("ts"))
+    return merge_moments(user_moments(rows, "day").join(arms(exposures), KEY), *CELL, "day")
+
+
+def overall_table(moments: DataFrame) -> DataFrame:
+    """n, mean, sum, stddev, min and max per cell, from moments at that or a finer grain."""
+    return merge_moments(moments, *CELL).selectExpr(
+        *CELL, "rows AS n", f"{MEAN} AS mean", "total AS sum", f"sqrt({VARIANCE}) AS stddev",
+        "lowest AS min", "highest AS max",
+    )
+
+
+def daily_table(moments: DataFrame) -> DataFrame:
+    """n, mean and sum per cell and day, from :func:`daily_moments`."""
+    return moments.selectExpr(*CELL, "day", "rows AS n", f"{MEAN} AS mean", "total AS sum")
+
+
 def metric_overall(
     outcomes: DataFrame,
     exposures: DataFrame,
@@ -29,18 +60,7 @@ def metric_overall(
 ) -> DataFrame:
     """n, mean, sum, stddev, min and max of outcome rows per experiment, variant and metric."""
     users = user_moments(_analysed_rows(outcomes, registry, specs))
-    return (
-        users.join(arms(exposures), KEY)
-        .groupBy("experiment_id", "variant", "metric_name")
-        .agg(
-            F.sum("rows").alias("n"),
-            F.expr(MERGED_MEAN).alias("mean"),
-            F.sum("total").alias("sum"),
-            F.expr(f"sqrt({MERGED_VARIANCE})").alias("stddev"),
-            F.min("lowest").alias("min"),
-            F.max("highest").alias("max"),
-        )
-    )
+    return overall_table(users.join(arms(exposures), KEY))
 
 
 def metric_daily(
@@ -50,21 +70,7 @@ def metric_daily(
     specs: Sequence[MetricSpec] = DEFAULT_METRICS,
 ) -> DataFrame:
     """n, mean and sum of outcome rows per experiment, variant, metric and day."""
-    rows = _analysed_rows(outcomes, registry, specs).withColumn("day", F.to_date("ts"))
-    users = rows.groupBy(*KEY, "metric_name", "day").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("value").alias("n"),
-        F.sum("value").alias("total"),
-    )
-    return (
-        users.join(arms(exposures), KEY)
-        .groupBy("experiment_id", "variant", "metric_name", "day")
-        .agg(
-            F.sum("rows").alias("n"),
-            F.expr(MERGED_MEAN).alias("mean"),
-            F.sum("total").alias("sum"),
-        )
-    )
+    return daily_table(daily_moments(outcomes, exposures, registry, specs))
 
 
 def daily_preview(daily: DataFrame, rows: int = 10) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from armlift.functions.normal import double, two_sided_p
 from armlift.functions.student import equivalent_z
-from armlift.operators.grain import MERGED_MEAN, arms
+from armlift.operators.grain import arms
 from armlift.sources.schemas import KEY
 
 ALPHA = 0.05
@@ -31,7 +31,7 @@ def pretrend_daily(
         .withColumn("k_days", F.datediff("day", "exposure_ts"))
         .where("k_days < 0")
         .groupBy("experiment_id", "k_days", "variant")
-        .agg(F.expr(MERGED_MEAN).alias("mean"))
+        .agg(F.expr("try_divide(sum(total), sum(n)) AS mean"))
     )
 
 

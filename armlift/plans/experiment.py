@@ -42,11 +42,18 @@ def ingest(
     }
     for name, df in canonical.items():
         tables.replace_partitions(df, f"{root}/{name}")
-    return open_tables(spark, root)
+    return open_tables(spark, root, experiment_ids)
 
 
-def open_tables(spark: SparkSession, root: str) -> Inputs:
-    read = lambda name: tables.read_table(spark, f"{root}/{name}")
+def _only(df: DataFrame, experiment_ids: Sequence[str] | None) -> DataFrame:
+    """The listed experiments' partitions, or all."""
+    return df if experiment_ids is None else df.where(F.col("experiment_id").isin(list(experiment_ids)))
+
+
+def open_tables(
+    spark: SparkSession, root: str, experiment_ids: Sequence[str] | None = None
+) -> Inputs:
+    read = lambda name: _only(tables.read_table(spark, f"{root}/{name}"), experiment_ids)
     return Inputs(read("exposures"), read("outcomes"), read("experiment_registry"))
 
 
@@ -73,24 +80,39 @@ def arm_table(
     )
 
 
-def analyse(
+def shared_tables(
     inputs: Inputs,
-    arms: DataFrame,
     specs: Sequence[MetricSpec] = DEFAULT_METRICS,
     target: str = "revenue",
     covariate: str = "pre_revenue",
 ) -> dict[str, DataFrame]:
-    """Every result table as a lazy DataFrame; ``arms`` is a stored :func:`arm_table`."""
-    exposures, outcomes, registry = inputs.exposures, inputs.outcomes, inputs.registry
+    """The three aggregates everything else is computed from: one pass over the outcomes each."""
+    exposures, outcomes = inputs.exposures, inputs.outcomes
+    return {
+        "arm_statistics": arm_table(inputs, specs, target, covariate),
+        "daily_moments": metrics.daily_moments(outcomes, exposures, inputs.registry, specs),
+        "did_pretrend_daily": pretrend.pretrend_daily(outcomes, exposures, covariate),
+    }
+
+
+def analyse(
+    inputs: Inputs,
+    shared: dict[str, DataFrame],
+    target: str = "revenue",
+    covariate: str = "pre_revenue",
+) -> dict[str, DataFrame]:
+    """Every result table as a lazy DataFrame; ``shared`` is :func:`shared_tables`, stored."""
+    arms, moments = shared["arm_statistics"], shared["daily_moments"]
+    daily = shared["did_pretrend_daily"]
+    window = window_from_registry(inputs.registry, inputs.exposures)
     results = ab.ab_analysis(ab.unfold_stats(arms))
     cuped_result = cuped.cuped(arms, target, covariate)
-    did_result = did.did(arms, window_from_registry(registry, exposures), covariate, target)
-    daily = pretrend.pretrend_daily(outcomes, exposures, covariate)
+    did_result = did.did(arms, window, covariate, target)
     slope = pretrend.pretrend_slope(daily)
-    flags = summary.guardrail_flags(results, registry)
+    flags = summary.guardrail_flags(results, inputs.registry)
     return {
-        "metric_aggregates_overall": metrics.metric_overall(outcomes, exposures, registry, specs),
-        "metric_aggregates_daily": metrics.metric_daily(outcomes, exposures, registry, specs),
+        "metric_aggregates_overall": metrics.overall_table(moments),
+        "metric_aggregates_daily": metrics.daily_table(moments),
         "analysis_results": readers.normalize_results(ab.ab_results_table(results)),
         "analysis_results_cuped": cuped.cuped_results(cuped_result),
         "did_results": readers.normalize_results(did.did_results(did_result), DID_RESULTS),
@@ -102,15 +124,21 @@ def analyse(
     }
 
 
-def event_studies(
+def event_cells(
     inputs: Inputs, metric: str = "revenue", grain: str = "day", pre: int = 28, post: int = 28
-) -> dict[str, DataFrame]:
-    """Delta series, coefficients and verdict of the event study of one metric."""
-    cells = event_study.bucket_cells(
+) -> DataFrame:
+    """Arm x bucket cells of the event study of one metric."""
+    return event_study.bucket_cells(
         event_study.user_bucket_mean(
             inputs.outcomes, inputs.exposures, inputs.registry, metric, grain, pre, post
         )
     )
+
+
+def event_studies(
+    cells: DataFrame, grain: str = "day", pre: int = 28, post: int = 28
+) -> dict[str, DataFrame]:
+    """Delta series, coefficients and verdict from stored :func:`event_cells`."""
     coefficients = event_study.event_study(cells, grain)
     return {
         "event_study_delta": event_study.bucket_delta(cells, grain),
@@ -133,30 +161,39 @@ def run(
     root: str,
     specs: Sequence[MetricSpec] = DEFAULT_METRICS,
     experiment_ids: Sequence[str] | None = None,
+    event_metric: str | None = None,
+    event_grain: str = "day",
+    event_buckets: tuple[int, int] = (28, 28),
 ) -> dict[str, str]:
     """Ingest, check, analyse and store; returns the path of every table written.
 
-    The arm table is written once and feeds every user-level analysis.  A
-    second run over the same input leaves the same tables.
+    Shared aggregates are written once and read back, so the outcomes are read
+    once per aggregate however many results need it.  A second run over the
+    same input leaves the same tables.  With ``event_metric`` the event study
+    of that metric is stored too.
     """
     inputs = ingest(spark, raw, root, experiment_ids)
     written: dict[str, str] = {}
 
-    def store(name: str, df: DataFrame) -> None:
-        path = f"{root}/{name}"
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = written[name] = f"{root}/{name}"
         if name in MERGE_KEYS:
             tables.merge_upsert(df, path, MERGE_KEYS[name])
         else:
             tables.replace_partitions(df, path)
-        written[name] = path
+        return _only(tables.read_table(spark, path, df.schema), experiment_ids)
 
     store("dq_summary", quality.dq_summary(inputs.exposures, inputs.outcomes, inputs.registry))
     broken = contract_violations(inputs.exposures, "exposures").unionByName(
         contract_violations(inputs.outcomes, "outcomes")
     ).unionByName(contract_violations(inputs.registry, "experiment_registry"))
     store("contract_violations", broken)
-    store("arm_statistics", arm_table(inputs, specs))
-    arms = tables.read_table(spark, f"{root}/arm_statistics")
-    for name, df in analyse(inputs, arms, specs).items():
+    shared = {name: store(name, df) for name, df in shared_tables(inputs, specs).items()}
+    for name, df in analyse(inputs, shared).items():
         store(name, df)
+    if event_metric is not None:
+        pre, post = event_buckets
+        cells = store("event_study_cells", event_cells(inputs, event_metric, event_grain, pre, post))
+        for name, df in event_studies(cells, event_grain, pre, post).items():
+            store(name, df)
     return written

@@ -3,6 +3,7 @@
 import pytest
 
 import builders as b
+from armlift.operators import metrics
 from armlift.plans import experiment
 from armlift.sources import catalog, contracts, readers, tables
 from armlift.sources.schemas import ANALYSIS_RESULTS, require_columns
@@ -139,7 +140,8 @@ def test_end_to_end_twice(spark, tmp_path, rows):
     b.outcomes(spark, out).withColumnRenamed("ts", "outcome_ts").write.parquet(f"{raw}/outcomes.parquet")
     b.registry(spark, [("e1", b.START, b.END), ("e2", b.START, b.END)]).write.parquet(f"{raw}/experiment_registry.parquet")
 
-    first = experiment.run(spark, raw, root)
+    options = {"event_metric": "pre_revenue", "event_buckets": (7, 7)}
+    first = experiment.run(spark, raw, root, **options)
     clocks = ("computed_ts", "analysis_ts")
     nothing = spark.createDataFrame([], "experiment_id string").schema
     snapshot = lambda: {n: rows(tables.read_table(spark, p, nothing).drop(*clocks)) for n, p in first.items()}
@@ -147,10 +149,16 @@ def test_end_to_end_twice(spark, tmp_path, rows):
     assert len(before["analysis_results"]) == 6
     assert len(before["decision_summary"]) == 2
     assert before["contract_violations"] == []
-    experiment.run(spark, raw, root)
+    experiment.run(spark, raw, root, experiment_ids=["e2"], **options)
     assert snapshot() == before
     counts = {(r.table_name, r.experiment_id): r.rows for r in tables.table_counts({"exposures": tables.read_table(spark, f"{root}/exposures")}).collect()}
     assert counts == {("exposures", "e1"): 40, ("exposures", "e2"): 40}
-    studies = experiment.event_studies(experiment.open_tables(spark, root), "pre_revenue", "day", 7, 7)
-    assert studies["event_study_coefficients"].count() == 10
-    assert {r.verdict for r in studies["event_study_tests"].collect()} <= {"PASS", "WARN", "FAIL"}
+    assert len(before["event_study_coefficients"]) == 10
+    assert {r["verdict"] for r in before["event_study_tests"]} <= {"PASS", "WARN", "FAIL"}
+    inputs = experiment.open_tables(spark, root)
+    overall = metrics.metric_overall(inputs.outcomes, inputs.exposures, inputs.registry)
+    plain = {(r.experiment_id, r.variant, r.metric_name): r for r in overall.collect()}
+    for r in before["metric_aggregates_overall"]:
+        other = plain[r["experiment_id"], r["variant"], r["metric_name"]]
+        assert (r["n"], r["min"], r["max"]) == (other.n, other["min"], other["max"])
+        assert abs(r["stddev"] - other.stddev) < 1e-9 and abs(r["mean"] - other["mean"]) < 1e-9
