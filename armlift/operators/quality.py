@@ -68,7 +68,7 @@ def dq_leakage(outcomes: DataFrame, exposures: DataFrame, registry: DataFrame) -
     if window is None:
         users = users.selectExpr("*", *[f"CAST(NULL AS TIMESTAMP) AS {c}" for c in bounds])
     else:
-        users = lookup(users, window)
+        users = lookup(users, window, sized_by=registry)
     joined = outcomes.join(users, KEY)
     pre = F.col("metric_name").startswith("pre_")
     outside = ~F.col("ts").between(F.col("window_start"), F.col("window_end"))

@@ -25,16 +25,22 @@ def fits_broadcast(dim: DataFrame) -> bool:
     return rows <= BROADCAST_ROWS and id_bytes <= BROADCAST_ID_BYTES
 
 
-def lookup(facts: DataFrame, dim: DataFrame, spread_by: str = "user_id") -> DataFrame:
+def lookup(
+    facts: DataFrame,
+    dim: DataFrame,
+    spread_by: str = "user_id",
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
     """Left join of a per-experiment table to facts, safe for an experiment of any size.
 
-    ``dim`` has at most one row per experiment.  It is counted first and
-    broadcast while it is small.  Otherwise both sides are shuffled, with a
+    ``dim`` has at most one row per experiment.  It is counted first (or
+    ``sized_by`` is, a cheaper table with no fewer rows) and broadcast while
+    it is small.  Otherwise both sides are shuffled, with a
     salt taken from ``spread_by`` in the key and ``dim`` repeated once per
     salt: one experiment's facts are spread over many tasks, and the adaptive
     planner may split those further.
     """
-    if fits_broadcast(dim):
+    if fits_broadcast(dim if sized_by is None else sized_by):
         return facts.join(F.broadcast(dim), "experiment_id", "left")
     salted = facts.selectExpr("*", f"pmod(xxhash64({spread_by}), {SPREAD}) AS _salt")
     repeated = dim.selectExpr("*", f"explode(sequence(0L, {SPREAD - 1}L)) AS _salt")
@@ -69,7 +75,7 @@ def window_filter(
     unbounded = F.col("window_start").isNull() | F.col("window_end").isNull()
     inside = F.col("ts").between(F.col("window_start"), F.col("window_end"))
     return (
-        lookup(outcomes, window)
+        lookup(outcomes, window, sized_by=registry)
         .where(pre | unbounded | inside)
         .drop("window_start", "window_end")
     )
@@ -119,7 +125,7 @@ def event_window(
     earliest = start - F.make_dt_interval(F.lit(pre_buckets * days))
     latest = start + F.make_dt_interval(F.lit(post_buckets * days))
     return (
-        lookup(outcomes, window)
+        lookup(outcomes, window, sized_by=registry)
         .where(F.col("ts").between(earliest, latest))
         .withColumnRenamed("window_start", "start_ts")
         .drop("window_end")
