@@ -6,23 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from armlift.llm import quality
+from armlift.llm import quality, simhash, wavelet
+from armlift.sources.tables import new_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file; every operator takes the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "wavelet")
+    wavelet.write(_table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return wavelet.documents(spark, path)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
+def op6_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Run] = {
+    "op2_wavelet_shards": op2_wavelet_shards,
     "op5_quality_rules": op5_quality_rules,
+    "op6_simhash_variants": op6_simhash_variants,
 }
 
 
