@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from armlift.llm import quality, simhash, wavelet
+from armlift.llm import licenses, prefix_counts, quality, simhash, wavelet
 from armlift.sources.tables import new_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -39,10 +39,20 @@ def op6_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op10_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_counts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Run] = {
     "op2_wavelet_shards": op2_wavelet_shards,
     "op5_quality_rules": op5_quality_rules,
     "op6_simhash_variants": op6_simhash_variants,
+    "op7_license_templates": op7_license_templates,
+    "op10_prefix_counts": op10_prefix_counts,
 }
 
 
