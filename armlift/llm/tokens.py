@@ -7,6 +7,7 @@ many in one call; a text is then the concatenation of what its stretches gave.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 from collections.abc import Iterator
@@ -26,6 +27,21 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+class _Stretches(dict):
+    """Ids by stretch.  A new stretch gets a holder to be filled, one that can't stand alone None."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, stretch: str) -> bytearray | None:
+        if not stretch or stretch[0].isspace() or stretch[-1].isspace():
+            self[stretch] = None
+            return None
+        holder = self[stretch] = bytearray()
+        self.new.append(stretch)
+        return holder
+
+
 class ByteBpe:
     """Little-endian unsigned 16- or 32-bit ids of texts under a byte-level BPE file.
 
@@ -42,7 +58,7 @@ class ByteBpe:
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)
         for piece, number in vocabulary.items():
             self.starts[number] = piece.startswith("Ġ")
-        self.cache: dict[str, bytes | None] = {}
+        self.cache = _Stretches()
         self.cache_words = cache_words
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -50,11 +66,9 @@ class ByteBpe:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, self.dtype).tobytes() for one in found]
 
-    def _learn(self, stretches: list[str]) -> dict[str, bytes | None]:
-        """Ids of each stretch behind a space; None where it can't stand alone."""
-        plain = [s for s in stretches if s and not (s[0].isspace() or s[-1].isspace())]
-        known: dict[str, bytes | None] = dict.fromkeys(stretches)
-        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
+    def _fill(self, stretches: list[str]) -> None:
+        """The holders of new stretches get the ids that each has behind a space."""
+        groups = [stretches[i : i + 500] for i in range(0, len(stretches), 500)]
         joined = self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)
         for group, encoding in zip(groups, joined):
             ids = np.array(encoding.ids, self.dtype)
@@ -62,34 +76,45 @@ class ByteBpe:
             if len(cuts) == len(group) and cuts[0] == 0:
                 buffer, size = ids.tobytes(), self.dtype.itemsize
                 edges = [*(cuts * size).tolist(), len(buffer)]
-                known.update(zip(group, (buffer[a:b] for a, b in itertools.pairwise(edges))))
+                found = [buffer[a:b] for a, b in itertools.pairwise(edges)]
             else:  # a stretch with a space mark of its own inside
-                known.update(zip(group, self.whole([" " + s for s in group])))
-        return known
+                found = self.whole([" " + s for s in group])
+            for stretch, own in zip(group, found):
+                self.cache[stretch][:] = own
+                if len(stretch) > LONG:
+                    del self.cache[stretch]
+                else:
+                    self.cache[stretch] = own
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as the library gives them for the whole text."""
-        parts = [text.split(" ") for text in texts]
-        rest = [p[1:] for p in parts]
-        new = set(itertools.chain.from_iterable(rest)).difference(self.cache)
-        if len(self.cache) + len(new) > self.cache_words:
+        if len(self.cache) > self.cache_words:
             self.cache.clear()
-            new = set(itertools.chain.from_iterable(rest))
-        learnt = self._learn(list(new))
-        extra = {s: ids for s, ids in learnt.items() if len(s) > LONG}
-        self.cache.update((s, ids) for s, ids in learnt.items() if len(s) <= LONG)
+        parts = [text.split(" ") for text in texts]
         heads = self.whole([p[0] for p in parts])
-        out: list[bytes | None] = []
-        for part, tail, head in zip(parts, rest, heads):
-            ids = [self.cache[s] if len(s) <= LONG else extra[s] for s in tail] if extra else list(map(self.cache.__getitem__, tail))
-            alone = not tail or bool(part[0]) and not part[0][-1].isspace()
-            out.append(head + b"".join(ids) if alone and None not in ids else None)
-        odd = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd])):
-            out[i] = ids
+        ids = [list(map(self.cache.__getitem__, p[1:])) for p in parts]
+        new, self.cache.new = self.cache.new, []
+        try:
+            self._fill(new)
+        except BaseException:
+            self.cache.clear()  # holders without ids must not outlive the call
+            raise
+        out: list[bytes] = []
+        for text, part, head, tail in zip(texts, parts, heads, ids):
+            joins = not tail or bool(part[0]) and not part[0][-1].isspace()
+            try:
+                out.append(head + b"".join(tail) if joins else self.whole([text])[0])
+            except TypeError:  # a stretch that can't stand alone
+                out.append(self.whole([text])[0])
         return out
 
 
+@functools.lru_cache(maxsize=2)
+def byte_bpe(path: str) -> ByteBpe:
+    """One encoder per worker process, so that its cache serves all its tasks."""
+    return ByteBpe(path)
+
+
 def batches(rows: Iterator[tuple], text_at: int, characters: int = 1_000_000) -> Iterator[list[tuple]]:
     """Rows in lists of about so many characters of text."""
     held, size = [], 0

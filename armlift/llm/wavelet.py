@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from armlift.llm.common import texts
-from armlift.llm.tokens import ByteBpe, batches
+from armlift.llm.tokens import batches, byte_bpe
 
 BLOCK = 512
 SHARD_TOKENS = 1 << 22
@@ -43,9 +43,9 @@ class WaveletMatrix:
             per_block = np.bitwise_count(padded).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.uint32)
             bits.append(packed)
             ranks.append(np.concatenate([[0], np.cumsum(per_block)]).astype("<u4"))
-            low = ids[~ones]
+            low = np.compress(~ones, ids)
             zeros.append(len(low))
-            ids = np.concatenate([low, ids[ones]])
+            ids = np.concatenate([low, np.compress(ones, ids)])
         return cls(len(ids), bits, ranks, zeros)
 
     def _ones(self, level: int, i: int) -> int:
@@ -111,8 +111,8 @@ class WaveletMatrix:
         for level in range(len(self.zeros) - 1, -1, -1):
             ones = np.unpackbits(self.bits[level], count=self.n).view(bool)
             before = np.empty_like(ids)
-            before[~ones] = ids[: self.zeros[level]]
-            before[ones] = ids[self.zeros[level] :] | ids.dtype.type(1 << (len(self.zeros) - 1 - level))
+            before[np.flatnonzero(~ones)] = ids[: self.zeros[level]]
+            before[np.flatnonzero(ones)] = ids[self.zeros[level] :] | ids.dtype.type(1 << (len(self.zeros) - 1 - level))
             ids = before
         return ids
 
@@ -147,7 +147,7 @@ def _shard(seq: int, doc_ids: list[int | None], buffers: list[bytes], dtype: np.
 
 def _encoder(tokenizer_path: str, end_id: int, shard_tokens: int):
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(tokenizer_path)
+        bpe = byte_bpe(tokenizer_path)
         end = np.array([end_id], bpe.dtype).tobytes()
         width = max(1, max(len(bpe.starts) - 1, end_id).bit_length())
         seq, held, doc_ids, buffers = 0, 0, [], []
