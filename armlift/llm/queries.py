@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from armlift.llm import licenses, prefix_counts, quality, simhash, wavelet
+from armlift.llm import decontaminate, licenses, mixing, prefix_counts, quality, sentence_spans, simhash, wavelet
 from armlift.sources.tables import new_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -23,12 +23,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: No source is repeated more than twice, and every source is used in full.
+MIX = mixing.Target(passes=2.0)
+MIX_SEED = 17
+
+
+def op1_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.draw(_table(spark, sf_dir, "documents"), MIX, seed=MIX_SEED)
+    return drawn.withColumns({c: F.round(c, 9) for c in ("weight", "slot")})
+
+
 def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "wavelet")
     wavelet.write(_table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return wavelet.documents(spark, path)
 
 
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.deduplicate(_table(spark, sf_dir, "documents"))
+
+
+def op4_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumn("similarity", F.round("similarity", 9))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -48,7 +67,10 @@ def op10_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op1_temperature_mix": op1_temperature_mix,
     "op2_wavelet_shards": op2_wavelet_shards,
+    "op3_sentence_spans": op3_sentence_spans,
+    "op4_benchmark_windows": op4_benchmark_windows,
     "op5_quality_rules": op5_quality_rules,
     "op6_simhash_variants": op6_simhash_variants,
     "op7_license_templates": op7_license_templates,
@@ -95,7 +117,47 @@ judged AS (
     OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted)
 """
 
+def _place(*keys: str) -> str:
+    text = " || ':' || ".join([f"'{MIX_SEED}'", *keys])
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
+MIX_SQL = f"""
+WITH rows AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS s,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n,
+    {_place("coalesce(doc_id::VARCHAR, '')", "'block'")} % {mixing.BLOCKS} AS block
+  FROM documents),
+mass AS (SELECT s, block, sum(n)::BIGINT AS m FROM rows GROUP BY ALL),
+totals AS (SELECT s, sum(m)::BIGINT AS tokens FROM mass GROUP BY s HAVING sum(m) > 0),
+shares AS (SELECT *, tokens / sum(tokens) OVER () AS share FROM totals),
+temperature AS (
+  SELECT CASE WHEN max(share) / min(share) <= {MIX.passes} THEN CASE WHEN max(share) = min(share) THEN 1.0 ELSE 0.0 END
+    ELSE 1 - ln({MIX.passes}) / ln(max(share) / min(share)) END AS a FROM shares),
+raised AS (SELECT *, pow(share, a) AS r FROM shares, temperature),
+budgets AS (
+  SELECT *, r / sum(r) OVER () AS weight,
+    greatest(tokens, round(r / sum(r) OVER () * (sum(tokens) OVER () * max(share / r) OVER () * sum(r) OVER ()))::BIGINT) AS budget
+  FROM raised),
+plans AS (SELECT s, weight, budget // tokens AS passes, budget - tokens * (budget // tokens) AS rest FROM budgets),
+placed AS (
+  SELECT *, {_place("s", "passes::VARCHAR", "block::VARCHAR")} AS place FROM mass JOIN plans USING (s)),
+drawn AS (
+  SELECT *, coalesce(sum(m) OVER (PARTITION BY s ORDER BY place, block
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed),
+cuts AS (
+  SELECT s, any_value(weight) AS weight, any_value(passes) AS passes,
+    coalesce(max(CASE WHEN (rest - before) * 2 > m THEN place END), -1) AS cut FROM drawn GROUP BY s),
+passed AS (
+  SELECT *, unnest(range(passes + CASE WHEN {_place("s", "passes::VARCHAR", "block::VARCHAR")} <= cut THEN 1 ELSE 0 END)) AS pass
+  FROM rows JOIN cuts USING (s))
+SELECT doc_id, source, n AS n_tokens, round(weight, 9) AS weight, pass, block,
+  round((pass + {_place("s", "pass::VARCHAR", "block::VARCHAR")} / pow(2, {mixing.HASH_BITS}))
+    / (passes + CASE WHEN cut >= 0 THEN 1 ELSE 0 END), 9) AS slot
+FROM passed"""
+
 SQL: dict[str, str] = {
+    "op1_temperature_mix": MIX_SQL,
     "op5_quality_rules": f"""
 WITH source AS (SELECT *, row_number() OVER () AS row_no FROM documents), {OP5_BODY}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
