@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from armlift.llm import decontaminate, licenses, mixing, prefix_counts, quality, sanitise, sentence_spans, simhash, wavelet
+from armlift.llm import decontaminate, licenses, mixing, ppm, prefix_counts, quality, sanitise, sentence_spans, simhash, wavelet
 from armlift.sources.tables import new_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op8_disclosing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op9_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Run] = {
     "op6_simhash_variants": op6_simhash_variants,
     "op7_license_templates": op7_license_templates,
     "op8_disclosing_terms": op8_disclosing_terms,
+    "op9_partial_matching": op9_partial_matching,
     "op10_prefix_counts": op10_prefix_counts,
 }
 
