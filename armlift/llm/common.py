@@ -50,3 +50,8 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     Without the mark the same join shuffles, and adaptive execution splits its hot keys.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def spread(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """``df`` dealt by ``key`` over as many tasks as give each about so many rows, before they multiply."""
+    return df.repartition(max(1, -(-df.count() // rows)), key)
