@@ -16,10 +16,7 @@ from armlift.operators.grain import (
     user_columns,
     user_moments,
 )
-from armlift.sources.schemas import ANALYSIS_RESULTS, DEFAULT_METRICS, KEY, MetricSpec
-
-# Metric names tested as proportions.
-BINARY_METRICS = ("conversion", "converted", "purchase", "signup")
+from armlift.sources.schemas import ANALYSIS_RESULTS, BINARY_METRICS, DEFAULT_METRICS, KEY, MetricSpec
 
 ARM_STATS = ("n", "mean", "var", "std")
 LIFT = [
@@ -50,8 +47,9 @@ def user_arm_stats(
 ) -> DataFrame:
     """n, mean, var and std over exposed *users* per experiment, metric and variant.
 
-    A user without an outcome counts as 0.  Metrics stay columns until they are
-    aggregated, so the long form has only experiments x variants x metrics rows.
+    A user without an outcome counts as its metric's spec says.  Metrics stay
+    columns until they are aggregated, so the long form has only experiments x
+    variants x metrics rows.
     """
     names = [f"m{i}" for i in range(len(specs))]
     users = user_columns(outcomes, exposures, specs, names)
@@ -62,18 +60,73 @@ def user_arm_stats(
 
 
 def stats_items(specs: Sequence[MetricSpec], names: Sequence[str]) -> list[Column]:
-    """One aggregate per metric column: a struct (metric_name, n, mean, var), NULL counting as 0."""
+    """One aggregate per metric column: a struct (metric_name, n, mean, var)."""
+    shown = [f"coalesce(`{n}`, 0D)" if s.zero_filled else f"`{n}`" for s, n in zip(specs, names)]
     return [
         F.struct(
             F.lit(s.name).alias("metric_name"),
-            F.expr("count(1) AS n"),
-            F.expr(f"avg(coalesce(`{n}`, 0D)) AS mean"),
-            F.expr(f"var_samp(coalesce(`{n}`, 0D)) AS var"),
+            F.expr(f"count({value}) AS n"),
+            F.expr(f"avg({value}) AS mean"),
+            F.expr(f"var_samp({value}) AS var"),
         )
-        for s, n in zip(specs, names)
+        for s, value in zip(specs, shown)
     ]
 
 
+def other_arm_stats(
+    outcomes: DataFrame,
+    exposures: DataFrame,
+    specs: Sequence[MetricSpec] = DEFAULT_METRICS,
+    unique: bool = False,
+) -> DataFrame:
+    """The table of :func:`user_arm_stats` for every metric of the outcomes that no spec names.
+
+    Any number of metrics: rows stay long.  A user's value is the sum, and exposed
+    users without one count as 0; they are added to the moments of the others as
+    so many zeros, whose squared deviations need no subtraction.
+    """
+    listed = [s.name for s in specs]
+    who = arms(exposures, unique=unique)
+    sizes = who.groupBy("experiment_id", "variant").agg(F.count(F.lit(1)).alias("size"))
+    values = (
+        outcomes.where(F.col("metric_name").isNotNull() & ~F.col("metric_name").isin(listed))
+        .groupBy(*KEY, "metric_name")
+        .agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("value"))
+        .join(who, KEY)
+        .groupBy("experiment_id", "metric_name", "variant")
+        .agg(
+            F.count(F.lit(1)).alias("k"),
+            F.avg("value").alias("some"),
+            F.expr("var_pop(value) * count(value) AS m2"),
+        )
+    )
+    # Both arms of a metric that was seen at all: an arm without a value is all zeros.
+    cells = values.select("experiment_id", "metric_name").distinct().join(sizes, "experiment_id")
+    found = cells.join(values, ["experiment_id", "metric_name", "variant"], "left")
+    return found.selectExpr(
+        "experiment_id",
+        "metric_name",
+        "variant",
+        "size AS n",
+        "coalesce(some * k / size, 0D) AS mean",
+        "CASE WHEN size > 1 THEN coalesce(m2 + some * some * k * (size - k) / size, 0D) / (size - 1) END AS var",
+    ).selectExpr("*", "sqrt(var) AS std")
+
+
+def missing_arms(stats: DataFrame, by: Sequence[str] = ("experiment_id", "metric_name")) -> DataFrame:
+    """``by`` and ``status`` of every key: OK, MISSING_CONTROL, MISSING_TREATMENT or NO_DATA."""
+    has = {arm: F.expr(f"coalesce(bool_or(variant = '{arm}' AND n > 0), false)") for arm in ("control", "treatment")}
+    return (
+        stats.groupBy(*by)
+        .agg(*[found.alias(f"_{arm}") for arm, found in has.items()])
+        .selectExpr(
+            *by,
+            "CASE WHEN _control AND _treatment THEN 'OK' WHEN _treatment THEN 'MISSING_CONTROL'"
+            " WHEN _control THEN 'MISSING_TREATMENT' ELSE 'NO_DATA' END AS status",
+        )
+    )
+
+
 def unfold_stats(arms_table: DataFrame) -> DataFrame:
     """Long per-metric statistics from an arm table with a ``stats`` array."""
     return arms_table.selectExpr("experiment_id", "variant", "inline(stats)").selectExpr(
@@ -203,15 +256,16 @@ def welch_t(stats: DataFrame) -> DataFrame:
 
 
 def converted_users(joined: DataFrame) -> DataFrame:
-    """Rows, distinct users with a non-zero value, and their ratio, per variant and metric."""
+    """Users, users with a non-zero value, their ratio, and rows, per variant and metric."""
     users = joined.groupBy("experiment_id", "variant", "metric_name", "user_id").agg(
         F.count(F.lit(1)).alias("rows"), F.expr("max(value <> 0) AS converted")
     )
     return (
         users.groupBy("experiment_id", "variant", "metric_name")
         .agg(
-            F.sum("rows").alias("total_users"),
+            F.count(F.lit(1)).alias("total_users"),
             F.count_if("converted").alias("converted_users"),
+            F.sum("rows").alias("rows"),
         )
         .selectExpr("*", "converted_users / total_users AS conversion_proportion")
     )

@@ -51,7 +51,8 @@ def did(
 ) -> DataFrame:
     """DiD per experiment with the four cell means taken as independent.
 
-    ``window`` (experiment_id, start_ts, end_ts) is reported, not applied.
+    ``window`` (experiment_id, start_ts, end_ts) is reported, not applied; an
+    experiment without one has NULL ends.
     ``confidence`` is reported too; the interval is always the 95% one.  For
     other levels see :func:`did_confidence`.
     """

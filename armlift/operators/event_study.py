@@ -26,6 +26,7 @@ def user_bucket_mean(
     grain: str = "day",
     pre_buckets: int = 28,
     post_buckets: int = 28,
+    unique: bool = False,
 ) -> DataFrame:
     """Mean value ``y`` per user and day or week bucket around the registered start."""
     scoped = event_window(
@@ -37,7 +38,7 @@ def user_bucket_mean(
         .groupBy(*KEY, "metric_name", "bucket", "k")
         .agg(F.avg("value").alias("y"))
     )
-    return per_user.join(arms(exposures), KEY).select(
+    return per_user.join(arms(exposures, unique=unique), KEY).select(
         *SERIES, "variant", "user_id", F.col("bucket").cast("timestamp").alias("bucket_ts"), "k", "y"
     )
 
@@ -113,7 +114,10 @@ def event_study_verdict(
     alpha_fail: float = 0.05,
     alpha_warn: float = 0.10,
 ) -> DataFrame:
-    """FAIL if any lead has p below ``alpha_fail``, WARN below ``alpha_warn``, else PASS."""
+    """FAIL if any lead has p below ``alpha_fail``, WARN below ``alpha_warn``, else PASS.
+
+    INSUFFICIENT_DATA when no lead has a p-value at all.
+    """
     lead = F.col("k") < 0
     failing, warning = (
         F.count_if(lead & (F.col("p_value") < alpha)) for alpha in (alpha_fail, alpha_warn)
@@ -127,5 +131,9 @@ def event_study_verdict(
         F.lit(None).cast("double").alias("joint_p_value"),
         F.count_if(lead).cast("int").alias("num_leads"),
         failing.cast("int").alias("num_sig_leads_0p05"),
-        F.when(failing > 0, "FAIL").when(warning > 0, "WARN").otherwise("PASS").alias("verdict"),
+        F.when(failing > 0, "FAIL")
+        .when(warning > 0, "WARN")
+        .when(F.count_if(lead & F.col("p_value").isNotNull()) > 0, "PASS")
+        .otherwise("INSUFFICIENT_DATA")
+        .alias("verdict"),
     )

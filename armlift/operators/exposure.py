@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from armlift.sources.contracts import ARMS
 from armlift.sources.schemas import KEY
 
+_DERIVED = ("variant", "exposure_ts", "unit")
 
 # Stable 32-bit hash of (experiment, user) from md5, the same in any engine.
 ASSIGNMENT_HASH = (
@@ -36,18 +38,28 @@ def assign_variants(
 
 
 def dedup_exposures(exposures: DataFrame) -> DataFrame:
-    """One row per (experiment, user): the first exposure wins.
+    """One row per (experiment, user): the first exposure to a known arm wins.
 
-    Rows without a key are dropped, an unknown time sorts last, and equal times
-    fall back to the variant name, so a rerun always picks the same row.  The
-    minimum is combined on the map side, so repeated exposures of one user
-    never travel as rows.
+    Rows without a key or under a label that is no arm take no part.  An unknown
+    time sorts last, and equal times fall back to the variant name, so a rerun
+    always gives the same row.  The state is one time and one flag per arm, which
+    hash aggregation keeps in place and combines before the shuffle.
     """
-    rest = [c for c in exposures.columns if c not in (*KEY, "exposure_ts", "variant")]
-    order = ", ".join(["exposure_ts IS NULL AS undated", "exposure_ts", "variant", *rest])
-    return (
-        exposures.dropna(subset=KEY)
-        .groupBy(*KEY)
-        .agg(F.expr(f"min(struct({order})) AS first"))
-        .selectExpr(*[c if c in KEY else f"first.{c} AS {c}" for c in exposures.columns])
+    known = exposures.dropna(subset=KEY).where(F.col("variant").isin(*ARMS))
+    first = {arm: f"min(exposure_ts) FILTER (WHERE variant = '{arm}')" for arm in ARMS}
+    state = known.groupBy(*KEY).agg(
+        *[F.expr(f"{first[arm]} AS _{arm}") for arm in ARMS],
+        F.expr("bool_or(variant = 'control') AS _seen_control"),
+        *([F.expr("bool_or(unit = 'user_id') AS _by_user")] if "unit" in exposures.columns else []),
+        *[F.min(c).alias(c) for c in exposures.columns if c not in (*KEY, *_DERIVED)],
     )
+    control_first = """
+      CASE WHEN _control IS NOT NULL THEN _treatment IS NULL OR _control <= _treatment
+           WHEN _treatment IS NOT NULL THEN false ELSE _seen_control END
+    """
+    derived = {
+        "variant": f"if({control_first}, 'control', 'treatment') AS variant",
+        "exposure_ts": "least(_control, _treatment) AS exposure_ts",
+        "unit": "if(_by_user, 'user_id', NULL) AS unit",
+    }
+    return state.selectExpr(*[derived.get(c, f"`{c}`") for c in exposures.columns])

@@ -17,11 +17,15 @@ from armlift.sources.schemas import KEY, MetricSpec
 USER_METRIC = [*KEY, "metric_name"]
 
 
-def arms(exposures: DataFrame, *extra: str) -> DataFrame:
-    """Deduplicated (experiment_id, user_id, variant, ...)."""
-    return dedup_exposures(exposures.select(*KEY, "variant", "exposure_ts")).select(
-        *KEY, "variant", *extra
-    )
+def arms(exposures: DataFrame, *extra: str, unique: bool = False) -> DataFrame:
+    """(experiment_id, user_id, variant, ...), one row per user.
+
+    ``unique`` states that ``exposures`` already are, as the canonical table is;
+    they are then not aggregated again.
+    """
+    if not unique:
+        exposures = dedup_exposures(exposures.select(*KEY, "variant", "exposure_ts"))
+    return exposures.select(*KEY, "variant", *extra)
 
 
 def join_inner_exposed(outcomes: DataFrame, exposures: DataFrame) -> DataFrame:
@@ -43,27 +47,54 @@ def join_left_exposed(outcomes: DataFrame, exposures: DataFrame) -> DataFrame:
     return outcomes.join(exposures.select(*KEY, "variant"), KEY, "left")
 
 
-def _user_value(agg: str, metric: str | None = None) -> Column:
-    """Roll-up of ``value`` for one user, over the rows of one metric if given.
+# Roll-ups from per-time parts (total, n, lowest, highest), one row per user, metric and time.
+# ``first`` takes the earliest value; undated rows sort last and ties go to the smaller value.
+_FROM_PARTS = {
+    "sum": "sum(total) {filter}",
+    "mean": "try_divide(sum(total) {filter}, sum(n) {filter})",
+    "max": "max(highest) {filter}",
+    "min": "min(lowest) {filter}",
+    "first": "min_by(lowest, coalesce(ts, TIMESTAMP'9999-12-31')) {first}",
+}
+_FROM_ROWS = {
+    "sum": "sum(value) {filter}", "mean": "avg(value) {filter}",
+    "max": "max(value) {filter}", "min": "min(value) {filter}",
+}
+
 
-    ``first`` takes the earliest value; undated rows sort last and ties go to
-    the smaller value.
+def _rollups(outcomes: DataFrame, by: Sequence[str], forms: Sequence[tuple[str, str, str | None]]) -> DataFrame:
+    """Roll-ups (agg, name, metric or None for all rows) of ``value`` per ``by``, all by hash aggregation.
+
+    The earliest value needs the rows of one time combined first: their order
+    is then unique, and the state a time and a value.  Everything else follows
+    from the same parts; without a ``first`` the rows are rolled up directly.
     """
-    first = agg == "first"
-    value = F.expr("struct(ts IS NULL AS undated, ts, value)") if first else F.col("value")
-    if metric is not None:
-        value = F.when(F.col("metric_name") == metric, value)
-    if first:
-        return F.min(value)["value"]
-    return {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min}[agg](value)
+    parts = any(agg == "first" for agg, _, _ in forms)
+    if parts:
+        outcomes = outcomes.groupBy(*USER_METRIC, "ts").agg(
+            F.sum("value").alias("total"),
+            F.count("value").alias("n"),
+            F.min("value").alias("lowest"),
+            F.max("value").alias("highest"),
+        )
+    text = _FROM_PARTS if parts else _FROM_ROWS
+    chosen = []
+    for agg, name, metric in forms:
+        only = [] if metric is None else [f"metric_name = {_literal(metric)}"]
+        where = lambda tests: f"FILTER (WHERE {' AND '.join(tests)})" if tests else ""
+        body = text[agg].format(filter=where(only), first=where([*only, "lowest IS NOT NULL"]))
+        chosen.append(F.expr(f"{body} AS `{name}`"))
+    return outcomes.groupBy(*by).agg(*chosen)
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def user_rollup(outcomes: DataFrame, forms: dict[str, str] | None = None) -> DataFrame:
     """One row per user and metric, with one column per roll-up in ``forms`` (agg -> name)."""
     forms = forms or {"sum": "value"}
-    return outcomes.groupBy(*USER_METRIC).agg(
-        *[_user_value(agg).alias(name) for agg, name in forms.items()]
-    )
+    return _rollups(outcomes, USER_METRIC, [(agg, name, None) for agg, name in forms.items()])
 
 
 def user_columns(
@@ -72,18 +103,18 @@ def user_columns(
     specs: Sequence[MetricSpec],
     names: Sequence[str],
     how: str = "left",
+    unique: bool = False,
 ) -> DataFrame:
     """One row per exposed user: arm and one column per metric (NULL when it has none).
 
     All metrics are rolled up in a single aggregation on (experiment, user),
-    and the exposures are deduplicated on the same key, so each table is
-    shuffled once and the join needs no further exchange.
+    and the exposures are deduplicated on the same key unless ``unique``, so each
+    table is shuffled once and the join needs no further exchange.  A metric's
+    earliest value costs one aggregation more, on its rows' times.
     """
     wanted = outcomes.where(F.col("metric_name").isin([s.name for s in specs]))
-    per_user = wanted.groupBy(*KEY).agg(
-        *[_user_value(s.agg, s.name).alias(n) for s, n in zip(specs, names)]
-    )
-    return arms(exposures).join(per_user, KEY, how)
+    per_user = _rollups(wanted, KEY, [(s.agg, n, s.name) for s, n in zip(specs, names)])
+    return arms(exposures, unique=unique).join(per_user, KEY, how)
 
 
 def user_pivot(

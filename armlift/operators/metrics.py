@@ -29,6 +29,7 @@ def daily_moments(
     exposures: DataFrame,
     registry: DataFrame,
     specs: Sequence[MetricSpec] = DEFAULT_METRICS,
+    unique: bool = False,
 ) -> DataFrame:
     """Moments of outcome rows per experiment, variant, metric and day.
 
@@ -36,7 +37,7 @@ def daily_moments(
     :func:`daily_table`; stored, it saves the second pass over the outcomes.
     """
     rows = _analysed_rows(outcomes, registry, specs).withColumn("day", F.to_date("ts"))
-    return merge_moments(user_moments(rows, "day").join(arms(exposures), KEY), *CELL, "day")
+    return merge_moments(user_moments(rows, "day").join(arms(exposures, unique=unique), KEY), *CELL, "day")
 
 
 def overall_table(moments: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ LEAST_POINTS = 3
 
 
 def pretrend_daily(
-    outcomes: DataFrame, exposures: DataFrame, metric: str = "pre_revenue"
+    outcomes: DataFrame, exposures: DataFrame, metric: str = "pre_revenue", unique: bool = False
 ) -> DataFrame:
     """Mean value per arm and day relative to the user's exposure, before exposure only.
 
@@ -27,7 +27,7 @@ def pretrend_daily(
         .agg(F.sum("value").alias("total"), F.count("value").alias("n"))
     )
     return (
-        days.join(arms(exposures, "exposure_ts"), KEY)
+        days.join(arms(exposures, "exposure_ts", unique=unique), KEY)
         .withColumn("k_days", F.datediff("day", "exposure_ts"))
         .where("k_days < 0")
         .groupBy("experiment_id", "k_days", "variant")

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Window, functions as F
+
+from armlift.sources.tables import checkpointed
 
 PERCENTS = tuple(range(1, 100))
-# Rank error of a quantile is at most rows / ACCURACY; below ACCURACY / 2 rows it is exact.
+# Rank error of an approximate quantile is at most rows / ACCURACY.
 ACCURACY = 30_000
 
 
@@ -44,10 +49,47 @@ def value_histogram(outcomes: DataFrame) -> DataFrame:
 def quantiles(
     df: DataFrame, by: Sequence[str], percents: Sequence[int] = PERCENTS
 ) -> DataFrame:
-    """One row per group and percent: the value at that rank.
+    """One row per group and percent: the value at that rank, exactly, in a group of any size.
+
+    Equal values are counted first.  The distinct values are dealt to tasks by
+    range, so a group may cover many of them; a task's ranks start at the number
+    of rows its group has in the ranges before, which is one number per task.
+    The ranges are checkpointed once, so all steps see the same ones.  NULLs have
+    no rank; the least rank is 1.
+    """
+    by = list(by)
+    counted = df.where(F.col("value").isNotNull()).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_n"))
+    dealt = checkpointed(
+        counted.repartitionByRange(*by, "value").withColumn("_part", F.spark_partition_id())
+    )
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = dealt.groupBy(*by, "_part").agg(F.sum("_n").alias("_rows")).select(
+        *by,
+        "_part",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(Window.partitionBy(*by)).alias("_total"),
+    )
+    same = reduce(and_, [F.col(f"v.{c}").eqNullSafe(F.col(f"p.{c}")) for c in [*by, "_part"]])
+    upto = Window.partitionBy(*[f"v.{c}" for c in by], "v._part").orderBy("value")
+    ranked = dealt.alias("v").join(parts.alias("p"), same).select(
+        *[f"v.{c}" for c in by],
+        "value",
+        "_n",
+        "_total",
+        (F.col("_before") + F.sum("_n").over(upto)).alias("_last"),
+    )
+    wanted = F.array(*[F.lit(int(p)) for p in percents])
+    rank = lambda p: F.greatest(F.ceil(p / F.lit(100.0) * F.col("_total")), F.lit(1))
+    here = lambda p: (rank(p) <= F.col("_last")) & (rank(p) > F.col("_last") - F.col("_n"))
+    return ranked.select(*by, F.explode(F.filter(wanted, here)).alias("q"), "value")
+
+
+def approximate_quantiles(
+    df: DataFrame, by: Sequence[str], percents: Sequence[int] = PERCENTS
+) -> DataFrame:
+    """The table of :func:`quantiles` from mergeable sketches: ranks within rows / ``ACCURACY``.
 
-    Quantile summaries have a bounded size and merge, so a group of any size
-    is reduced where its rows are.
+    One pass and a state of bounded size per group.
     """
     shares = [p / 100 for p in percents]
     found = df.groupBy(*by).agg(

@@ -17,30 +17,46 @@ def results_latest(results: DataFrame, keys: Sequence[str] = RESULT_KEY) -> Data
     return results.groupBy(*keys).agg(newest.alias("row")).select("row.*")
 
 
+NOT_EVALUATED = "NOT_EVALUATED"
+
+
+def _roles(registry: DataFrame) -> DataFrame:
+    """(experiment_id, metric_name, role) once per registered metric; a guardrail stays one."""
+    role = lambda column, name: F.expr(
+        f"transform(coalesce({column}, array()), m -> named_struct('m', m, 'r', '{name}'))"
+    )
+    both = F.concat(role("guardrail_metrics", "guardrail"), role("primary_metrics", "primary"))
+    listed = registry.select("experiment_id", F.explode(both).alias("x"))
+    return (
+        listed.groupBy("experiment_id", F.col("x.m").alias("metric_name"))
+        .agg(F.count_if(F.col("x.r") == "guardrail").alias("guards"))
+        .where("metric_name IS NOT NULL")
+        .selectExpr("experiment_id", "metric_name", "if(guards > 0, 'guardrail', 'primary') AS role")
+    )
+
+
 def guardrail_flags(
     results: DataFrame, registry: DataFrame, lower_is_better: Sequence[str] = ()
 ) -> DataFrame:
-    """Role of each metric and whether it is harmed.
+    """Every registered metric and every result, with its role and whether it is harmed.
 
-    FAIL when the whole interval lies on the harmful side of zero, PASS
-    otherwise; only guardrails get a status.
+    FAIL when the whole interval lies on the harmful side of zero, PASS when it
+    does not, NOT_EVALUATED when the guardrail has no result or no interval; only
+    guardrails get a status.  A registry id given several times counts once.
     """
-    roles = registry.select("experiment_id", "primary_metrics", "guardrail_metrics")
-    role = (
-        F.when(F.array_contains("guardrail_metrics", F.col("metric_name")), "guardrail")
-        .when(F.array_contains("primary_metrics", F.col("metric_name")), "primary")
-        .otherwise("secondary")
-    )
     harmed = F.when(
         F.col("metric_name").isin(list(lower_is_better)), F.col("ci_low") > 0
     ).otherwise(F.col("ci_high") < 0)
+    status = (
+        F.when(F.col("ci_low").isNull() | F.col("ci_high").isNull(), NOT_EVALUATED)
+        .when(harmed, "FAIL")
+        .otherwise("PASS")
+    )
     return (
-        results.join(roles, "experiment_id", "left")
-        .withColumn("role", role)
-        .withColumn(
-            "guardrail_status",
-            F.when(F.col("role") == "guardrail", F.when(harmed, "FAIL").otherwise("PASS")),
-        )
+        _roles(registry)
+        .join(results.select(*RESULT_KEY, "delta", "ci_low", "ci_high"), RESULT_KEY, "full_outer")
+        .withColumn("role", F.coalesce("role", F.lit("secondary")))
+        .withColumn("guardrail_status", F.when(F.col("role") == "guardrail", status))
         .select(*RESULT_KEY, "role", "delta", "ci_low", "ci_high", "guardrail_status")
     )
 
@@ -108,29 +124,39 @@ def decision_summary(
     did: DataFrame,
     pretrend: DataFrame,
     flags: DataFrame,
+    registry: DataFrame,
 ) -> DataFrame:
-    """One memo row per experiment: decision inputs as columns and a text body.
+    """One memo row per registered experiment: decision inputs as columns and a text body.
 
-    The table in the body has one line per metric of the experiment.
+    The table in the body has one line per metric with a result or a role.  The
+    verdict is PASS only if every guardrail is; FAIL if one is harmed, else
+    NOT_EVALUATED if one could not be judged or none is registered.
     """
     g = lambda *columns: [format_general(c) for c in columns]
     shown = lambda **named: ", ', ', ".join(f"'{k}=', {format_general(c)}" for k, c in named.items())
     values = g("mean_control", "mean_treatment", "delta", "rel_lift", "ci_low", "ci_high", "p_value")
-    cells = ["metric_name", *values, "method", "coalesce(guardrail_status, '-')"]
+    cells = ["metric_name", *values, "coalesce(method, 'no result')", "coalesce(guardrail_status, '-')"]
     lines = (
-        ab.join(flags.select(*RESULT_KEY, "guardrail_status"), RESULT_KEY, "left")
+        flags.select(*RESULT_KEY, "guardrail_status")
+        .join(ab, RESULT_KEY, "left")
         .selectExpr(
             "experiment_id",
-            "guardrail_status = 'FAIL' AS failed",
+            "guardrail_status",
+            "method IS NOT NULL AS tested",
             f"concat('| ', concat_ws(' | ', {', '.join(cells)}), ' |') AS line",
         )
         .groupBy("experiment_id")
         .agg(
-            F.expr("count(1) AS metrics"),
-            F.expr("if(count_if(failed) > 0, 'FAIL', 'PASS') AS guardrail_status"),
+            F.expr("count_if(tested) AS metrics"),
+            F.expr(
+                "CASE WHEN count_if(guardrail_status = 'FAIL') > 0 THEN 'FAIL'"
+                f" WHEN count(guardrail_status) = 0 OR count_if(guardrail_status = '{NOT_EVALUATED}') > 0"
+                f" THEN '{NOT_EVALUATED}' ELSE 'PASS' END AS guardrail_status"
+            ),
             F.expr("array_join(sort_array(collect_list(line)), '\n') AS ab_table"),
         )
     )
+    registered = registry.select("experiment_id").where("experiment_id IS NOT NULL").distinct()
     cuped_text = shown(
         theta="theta", delta_cuped="delta_cuped",
         ci_low_cuped="ci_low_cuped", ci_high_cuped="ci_high_cuped",
@@ -148,19 +174,22 @@ def decision_summary(
         [
             "concat('# Decision memo: ', experiment_id)",
             f"'| {' | '.join(columns)} |'",
-            "ab_table",
+            "coalesce(ab_table, 'no metric')",
             optional("CUPED", "cuped_text"),
             optional("DiD", "did_text"),
             optional("Pre-trend", "pretrend_text"),
-            "concat('Guardrails: ', guardrail_status)",
+            f"concat('Guardrails: ', coalesce(guardrail_status, '{NOT_EVALUATED}'))",
         ]
     )
     return (
-        lines.join(part(cuped, cuped_text, "cuped_text"), "experiment_id", "left")
+        registered.join(lines, "experiment_id", "left")
+        .join(part(cuped, cuped_text, "cuped_text"), "experiment_id", "left")
         .join(part(did, did_text, "did_text"), "experiment_id", "left")
         .join(trend, "experiment_id", "left")
         .selectExpr(
-            "experiment_id", "metrics", "guardrail_status",
+            "experiment_id",
+            "coalesce(metrics, 0L) AS metrics",
+            f"coalesce(guardrail_status, '{NOT_EVALUATED}') AS guardrail_status",
             "coalesce(verdict, 'not available') AS pretrend_verdict",
             f"concat_ws('\n', {body}) AS memo",
         )

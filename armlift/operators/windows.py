@@ -82,31 +82,36 @@ def window_filter(
 
 
 def window_from_registry(registry: DataFrame, exposures: DataFrame) -> DataFrame:
-    """(experiment_id, start_ts, end_ts) of every exposed experiment.
+    """(experiment_id, start_ts, end_ts, window_status) of every registered or exposed experiment.
 
-    The registry's window if both of its ends are set, else first and last
-    exposure.  An experiment with neither fails the query.
+    The registry's window if both of its ends are set (``REGISTRY``), else first
+    and last exposure (``EXPOSURES``), else two NULLs (``NO_WINDOW``), which
+    leaves the other experiments alone.  Only exposures of experiments without
+    a registered window are aggregated.
     """
-    seen = exposures.groupBy("experiment_id").agg(
-        F.min("exposure_ts").cast("timestamp").alias("first_seen"),
-        F.max("exposure_ts").cast("timestamp").alias("last_seen"),
-    )
+    columns = ["experiment_id", "start_ts", "end_ts", "window_status"]
     window = registry_window(registry)
     if window is None:
-        both = seen.withColumns(
-            {c: F.lit(None).cast("timestamp") for c in ("window_start", "window_end")}
+        window = registry.select("experiment_id").distinct().selectExpr(
+            "experiment_id", "CAST(NULL AS TIMESTAMP) AS window_start", "CAST(NULL AS TIMESTAMP) AS window_end"
         )
-    else:
-        both = seen.join(window, "experiment_id", "left")
-    registered = F.col("window_start").isNotNull() & F.col("window_end").isNotNull()
-    message = F.concat(F.lit("Could not determine window of "), F.col("experiment_id"))
-    start = F.when(registered, F.col("window_start")).otherwise(F.col("first_seen"))
-    end = F.when(registered, F.col("window_end")).otherwise(F.col("last_seen"))
-    return both.select(
-        "experiment_id",
-        F.when(start.isNull(), F.raise_error(message).cast("timestamp")).otherwise(start).alias("start_ts"),
-        F.when(end.isNull(), F.raise_error(message).cast("timestamp")).otherwise(end).alias("end_ts"),
+    window = window.where("experiment_id IS NOT NULL")
+    both_ends = "window_start IS NOT NULL AND window_end IS NOT NULL"
+    closed = window.where(both_ends).selectExpr(
+        "experiment_id", "window_start AS start_ts", "window_end AS end_ts", "'REGISTRY' AS window_status"
+    )
+    known = closed.select("experiment_id")
+    open_ids = window.where(f"NOT ({both_ends})").select("experiment_id")
+    rest = exposures.select("experiment_id", "exposure_ts").where("experiment_id IS NOT NULL")
+    rest = rest.join(F.broadcast(known) if fits_broadcast(known) else known, "experiment_id", "left_anti")
+    seen = rest.groupBy("experiment_id").agg(
+        F.min("exposure_ts").cast("timestamp").alias("start_ts"),
+        F.max("exposure_ts").cast("timestamp").alias("end_ts"),
+    )
+    logged = seen.join(open_ids, "experiment_id", "full_outer").withColumn(
+        "window_status", F.when(F.col("start_ts").isNull(), "NO_WINDOW").otherwise("EXPOSURES")
     )
+    return closed.unionByName(logged.select(*columns))
 
 
 def event_window(
@@ -119,7 +124,7 @@ def event_window(
     """Outcomes within a number of days or weeks of the registered start, with ``start_ts``."""
     window = registry_window(registry)
     if window is None:
-        raise ValueError("Registry is missing start/end timestamps required for event window.")
+        raise ValueError("an event window needs a start and an end column in the registry")
     days = {"day": 1, "week": 7}[grain]
     start = F.col("window_start")
     earliest = start - F.make_dt_interval(F.lit(pre_buckets * days))

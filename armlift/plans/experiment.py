@@ -13,15 +13,40 @@ from armlift.operators.grain import user_columns
 from armlift.operators.moments import COMPLETE, MOMENTS
 from armlift.operators.windows import window_from_registry
 from armlift.sources import readers, tables
-from armlift.sources.contracts import contract_violations
-from armlift.sources.schemas import DEFAULT_METRICS, DID_RESULTS, MetricSpec
+from armlift.sources.contracts import contract_violations, require_writable
+from armlift.sources.schemas import DEFAULT_METRICS, DID_RESULTS, KEY, MetricSpec
 
 
 @dataclass(frozen=True)
 class Inputs:
+    """The three tables; ``unique`` states that exposures hold one row per user."""
+
     exposures: DataFrame
     outcomes: DataFrame
     registry: DataFrame
+    unique: bool = False
+
+
+def logged(spark: SparkSession, raw: str, experiment_ids: Sequence[str] | None = None) -> Inputs:
+    """The raw tables in canonical columns, rows as they were logged.
+
+    A table without a column it needs is refused here, before anything is written.
+    """
+    read = lambda name: spark.read.parquet(readers._location(f"{raw}/{name}.parquet"))
+    found = {name: read(name) for name in ("exposures", "outcomes", "experiment_registry")}
+    for name, df in found.items():
+        require_writable(df, name)
+    return Inputs(
+        readers.align_exposures(found["exposures"], experiment_ids),
+        readers.align_outcomes(found["outcomes"], experiment_ids),
+        readers.align_registry(found["experiment_registry"], experiment_ids),
+    )
+
+
+def experiments_in(inputs: Inputs) -> list[str]:
+    """Ids of all registered or exposed experiments; one string each reaches the driver."""
+    ids = inputs.registry.select("experiment_id").unionByName(inputs.exposures.select("experiment_id"))
+    return sorted(r[0] for r in ids.where("experiment_id IS NOT NULL").distinct().collect())
 
 
 def ingest(
@@ -30,18 +55,20 @@ def ingest(
     root: str,
     experiment_ids: Sequence[str] | None = None,
 ) -> Inputs:
-    """Raw Parquet to canonical partitioned tables; a rerun replaces the same partitions."""
+    """Raw Parquet to canonical partitioned tables.
+
+    A rerun replaces the same partitions, and empties those of experiments that
+    the raw tables no longer have rows of.
+    """
+    found = logged(spark, raw, experiment_ids)
+    scope = experiments_in(found) if experiment_ids is None else list(experiment_ids)
     canonical = {
-        "exposures": dedup_exposures(
-            readers.read_exposures(spark, f"{raw}/exposures.parquet", experiment_ids)
-        ),
-        "outcomes": readers.read_outcomes(spark, f"{raw}/outcomes.parquet", experiment_ids),
-        "experiment_registry": readers.read_registry(
-            spark, f"{raw}/experiment_registry.parquet", experiment_ids
-        ),
+        "exposures": dedup_exposures(found.exposures),
+        "outcomes": found.outcomes,
+        "experiment_registry": readers.unique_registry(found.registry),
     }
     for name, df in canonical.items():
-        tables.replace_partitions(df, f"{root}/{name}")
+        tables.replace_partitions(df, f"{root}/{name}", scope, staged=False)
     return open_tables(spark, root, experiment_ids)
 
 
@@ -54,7 +81,13 @@ def open_tables(
     spark: SparkSession, root: str, experiment_ids: Sequence[str] | None = None
 ) -> Inputs:
     read = lambda name: _only(tables.read_table(spark, f"{root}/{name}"), experiment_ids)
-    return Inputs(read("exposures"), read("outcomes"), read("experiment_registry"))
+    return Inputs(read("exposures"), read("outcomes"), read("experiment_registry"), unique=True)
+
+
+def with_metrics(specs: Sequence[MetricSpec], *names: str) -> list[MetricSpec]:
+    """``specs`` and a default one for each name they lack."""
+    known = {s.name for s in specs}
+    return [*specs, *(MetricSpec(n) for n in dict.fromkeys(names) if n not in known)]
 
 
 def arm_table(
@@ -69,9 +102,10 @@ def arm_table(
     the joint moments of target and covariate.  A/B, CUPED and DiD results all
     follow from it without reading outcomes or exposures again.
     """
+    specs = with_metrics(specs, target, covariate)
     names = [f"m{i}" for i in range(len(specs))]
     column = {s.name: n for s, n in zip(specs, names)}
-    users = user_columns(inputs.outcomes, inputs.exposures, specs, names).selectExpr(
+    users = user_columns(inputs.outcomes, inputs.exposures, specs, names, unique=inputs.unique).selectExpr(
         "*", f"{column[target]} AS y", f"{column[covariate]} AS x"
     )
     return users.groupBy("experiment_id", "variant").agg(
@@ -87,50 +121,114 @@ def shared_tables(
     covariate: str = "pre_revenue",
 ) -> dict[str, DataFrame]:
     """The three aggregates everything else is computed from: one pass over the outcomes each."""
-    exposures, outcomes = inputs.exposures, inputs.outcomes
+    exposures, outcomes, unique = inputs.exposures, inputs.outcomes, inputs.unique
+    specs = with_metrics(specs, target, covariate)
     return {
+        "experiment_windows": window_from_registry(inputs.registry, exposures),
         "arm_statistics": arm_table(inputs, specs, target, covariate),
-        "daily_moments": metrics.daily_moments(outcomes, exposures, inputs.registry, specs),
-        "did_pretrend_daily": pretrend.pretrend_daily(outcomes, exposures, covariate),
+        "other_arm_statistics": ab.other_arm_stats(outcomes, exposures, specs, unique),
+        "daily_moments": metrics.daily_moments(outcomes, exposures, inputs.registry, specs, unique),
+        "did_pretrend_daily": pretrend.pretrend_daily(outcomes, exposures, covariate, unique),
     }
 
 
+def analysis_status(
+    stats: DataFrame, window: DataFrame, cuped_result: DataFrame, did_result: DataFrame, slope: DataFrame,
+    registry: DataFrame,
+) -> DataFrame:
+    """(experiment_id, analysis, metric_name, status): what was computed, and why not.
+
+    A/B has a row per metric seen; every other analysis one per registered
+    experiment, and A/B too where no metric was seen at all.
+    """
+    ids = registry.select("experiment_id").where("experiment_id IS NOT NULL").distinct()
+    layout = ["experiment_id", "analysis", "metric_name", "status"]
+    by_metric = ab.missing_arms(stats)
+
+    def whole(name: str, found: DataFrame, status: str) -> DataFrame:
+        known = found.selectExpr("experiment_id", f"{status} AS status").groupBy("experiment_id").agg(F.max("status").alias("status"))
+        return ids.join(known, "experiment_id", "left").selectExpr(
+            "experiment_id", f"'{name}' AS analysis", "CAST(NULL AS STRING) AS metric_name",
+            f"coalesce(status, '{summary.NOT_EVALUATED}') AS status",
+        )
+
+    parts = [
+        by_metric.selectExpr("experiment_id", "'ab' AS analysis", "metric_name", "status"),
+        whole("ab", by_metric, "'OK'").where(f"status = '{summary.NOT_EVALUATED}'"),
+        whole("cuped", cuped_result, "'OK'"),
+        whole("did", did_result, "'OK'"),
+        whole("pretrend", slope, "verdict"),
+        whole("window", window, "window_status"),
+    ]
+    found = parts[0].select(*layout)
+    for part in parts[1:]:
+        found = found.unionByName(part.select(*layout))
+    return found
+
+
 def analyse(
     inputs: Inputs,
     shared: dict[str, DataFrame],
     target: str = "revenue",
     covariate: str = "pre_revenue",
+    confidence: float = 0.95,
+    lower_is_better: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """Every result table as a lazy DataFrame; ``shared`` is :func:`shared_tables`, stored."""
     arms, moments = shared["arm_statistics"], shared["daily_moments"]
-    daily = shared["did_pretrend_daily"]
-    window = window_from_registry(inputs.registry, inputs.exposures)
-    results = ab.ab_analysis(ab.unfold_stats(arms))
+    daily, window = shared["did_pretrend_daily"], shared["experiment_windows"]
+    stats = ab.unfold_stats(arms).unionByName(shared["other_arm_statistics"])
+    results = ab.ab_analysis(stats)
     cuped_result = cuped.cuped(arms, target, covariate)
-    did_result = did.did(arms, window, covariate, target)
+    did_result = did.did(arms, window, covariate, target, confidence=confidence)
     slope = pretrend.pretrend_slope(daily)
-    flags = summary.guardrail_flags(results, inputs.registry)
+    flags = summary.guardrail_flags(results, inputs.registry, lower_is_better)
+    computed = lambda df: df.withColumn("computed_ts", F.current_timestamp())
+    analysed = lambda df: df.withColumn("analysis_ts", F.current_timestamp())
     return {
-        "metric_aggregates_overall": metrics.overall_table(moments),
-        "metric_aggregates_daily": metrics.daily_table(moments),
+        "metric_aggregates_overall": computed(metrics.overall_table(moments)),
+        "metric_aggregates_daily": computed(metrics.daily_table(moments)),
         "analysis_results": readers.normalize_results(ab.ab_results_table(results)),
         "analysis_results_cuped": cuped.cuped_results(cuped_result),
+        "cuped_variance_reduction": cuped.cuped_variance_reduction(cuped_result),
+        "balance_check": ab.balance_check(stats),
+        "guardrail_flags": flags,
         "did_results": readers.normalize_results(did.did_results(did_result), DID_RESULTS),
-        "did_pretrend_delta": pretrend.pretrend_delta(daily),
+        "did_pretrend_delta": analysed(pretrend.pretrend_delta(daily)),
         "did_pretrend_tests": slope,
+        "analysis_status": analysis_status(stats, window, cuped_result, did_result, slope, inputs.registry),
         "decision_summary": summary.decision_summary(
-            results, cuped_result, did_result, slope, flags
+            results, cuped_result, did_result, slope, flags, inputs.registry
         ),
     }
 
 
+def quality_tables(raw: Inputs, canonical: Inputs) -> dict[str, DataFrame]:
+    """Quality reports and contract breaks of what was logged, before anything was dropped."""
+    broken = [
+        contract_violations(df, name)
+        for df, name in (
+            (raw.exposures, "exposures"), (raw.outcomes, "outcomes"), (raw.registry, "experiment_registry"),
+        )
+    ]
+    return {
+        "contract_violations": broken[0].unionByName(broken[1]).unionByName(broken[2]),
+        "dq_summary": quality.dq_summary(raw.exposures, raw.outcomes, raw.registry),
+        "dq_variant_dist": quality.dq_variant_dist(raw.exposures),
+        "dq_metric_dist": quality.dq_metric_dist(raw.outcomes),
+        "dq_duplicates": quality.dq_duplicates(raw.exposures, KEY),
+        "dq_rowcount_delta": quality.dq_rowcount_delta(raw.exposures, canonical.exposures),
+        "dq_leakage": quality.dq_leakage(canonical.outcomes, canonical.exposures, canonical.registry),
+    }
+
+
 def event_cells(
     inputs: Inputs, metric: str = "revenue", grain: str = "day", pre: int = 28, post: int = 28
 ) -> DataFrame:
     """Arm x bucket cells of the event study of one metric."""
     return event_study.bucket_cells(
         event_study.user_bucket_mean(
-            inputs.outcomes, inputs.exposures, inputs.registry, metric, grain, pre, post
+            inputs.outcomes, inputs.exposures, inputs.registry, metric, grain, pre, post, inputs.unique
         )
     )
 
@@ -147,12 +245,8 @@ def event_studies(
     }
 
 
-# Keys of the stored results that are merged row by row; the rest replace partitions.
-MERGE_KEYS = {
-    "analysis_results": ["experiment_id", "metric_name"],
-    "analysis_results_cuped": ["experiment_id", "metric_name", "covariate_name"],
-    "did_results": ["experiment_id", "metric_name", "metric_pre", "metric_post"],
-}
+# Results of one target metric, kept beside those of other targets; the rest replace experiments.
+BY_TARGET = ("analysis_results_cuped", "did_results")
 
 
 def run(
@@ -164,36 +258,43 @@ def run(
     event_metric: str | None = None,
     event_grain: str = "day",
     event_buckets: tuple[int, int] = (28, 28),
+    target: str = "revenue",
+    covariate: str = "pre_revenue",
+    confidence: float = 0.95,
+    lower_is_better: Sequence[str] = (),
 ) -> dict[str, str]:
     """Ingest, check, analyse and store; returns the path of every table written.
 
-    Shared aggregates are written once and read back, so the outcomes are read
-    once per aggregate however many results need it.  A second run over the
-    same input leaves the same tables.  With ``event_metric`` the event study
-    of that metric is stored too.
+    Every metric of the outcomes is tested; ``specs`` say how those they name are
+    rolled up.  Shared aggregates are written once and read back, so the outcomes
+    are read once per aggregate however many results need it.  Quality and
+    contracts look at the rows as logged.  Afterwards every table says about the
+    experiments of this run what this run found, and nothing older; an experiment
+    that cannot be analysed has a row in ``analysis_status`` and does not stop the
+    others.  With ``event_metric`` the event study of that metric is stored too.
     """
+    found = logged(spark, raw, experiment_ids)
+    scope = experiments_in(found) if experiment_ids is None else list(experiment_ids)
     inputs = ingest(spark, raw, root, experiment_ids)
     written: dict[str, str] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
         path = written[name] = f"{root}/{name}"
-        if name in MERGE_KEYS:
-            tables.merge_upsert(df, path, MERGE_KEYS[name])
+        if name in BY_TARGET:
+            tables.delete_append_by_metric(df, path, scope, [target])
         else:
-            tables.replace_partitions(df, path)
+            tables.replace_partitions(df, path, scope)
         return _only(tables.read_table(spark, path, df.schema), experiment_ids)
 
-    store("dq_summary", quality.dq_summary(inputs.exposures, inputs.outcomes, inputs.registry))
-    broken = contract_violations(inputs.exposures, "exposures").unionByName(
-        contract_violations(inputs.outcomes, "outcomes")
-    ).unionByName(contract_violations(inputs.registry, "experiment_registry"))
-    store("contract_violations", broken)
-    shared = {name: store(name, df) for name, df in shared_tables(inputs, specs).items()}
-    for name, df in analyse(inputs, shared).items():
+    for name, df in quality_tables(found, inputs).items():
+        store(name, df)
+    shared = {n: store(n, df) for n, df in shared_tables(inputs, specs, target, covariate).items()}
+    for name, df in analyse(inputs, shared, target, covariate, confidence, lower_is_better).items():
         store(name, df)
     if event_metric is not None:
         pre, post = event_buckets
         cells = store("event_study_cells", event_cells(inputs, event_metric, event_grain, pre, post))
         for name, df in event_studies(cells, event_grain, pre, post).items():
-            store(name, df)
+            clocked = name != "event_study_tests"
+            store(name, df.withColumn("analysis_ts", F.current_timestamp()) if clocked else df)
     return written

@@ -8,8 +8,16 @@ from armlift.sources.schemas import Columns
 from armlift.sources.tables import PARTITION
 
 
+def _identifier(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
+    return ".".join(_identifier(part) for part in name.split("."))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -24,10 +32,10 @@ def ensure_table(spark: SparkSession, name: str, columns: Columns, path: str) ->
     namespace = name.rpartition(".")[0]
     if namespace:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quoted(namespace)}")
-    layout = ", ".join(f"`{c}` {t}" for c, t in columns.items())
+    layout = ", ".join(f"{_identifier(c)} {t}" for c, t in columns.items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({layout}) "
-        f"USING parquet PARTITIONED BY ({PARTITION}) LOCATION '{path}'"
+        f"USING parquet PARTITIONED BY ({PARTITION}) LOCATION {_text(path)}"
     )
     spark.catalog.recoverPartitions(name)
 

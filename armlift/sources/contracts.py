@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from armlift.sources.schemas import require_columns
+
 # Required fields and enumerations of the input contracts.
 REQUIRED = {
     "exposures": ["experiment_id", "user_id", "variant", "exposure_ts", "unit"],
@@ -19,6 +21,19 @@ UNITS = ("user_id",)
 MIN_ITEMS = {"variants": 2, "primary_metrics": 1}
 
 
+# Columns without which nothing can be computed from a table.
+NEEDED = {
+    "exposures": ["experiment_id", "user_id", "variant", "exposure_ts"],
+    "outcomes": ["experiment_id", "user_id", "metric_name", "value"],
+    "experiment_registry": ["experiment_id"],
+}
+
+
+def require_writable(raw: DataFrame, table: str) -> None:
+    """Refuse a raw table that lacks a needed column, before anything is written."""
+    require_columns(raw, NEEDED[table], table)
+
+
 def contract_rules(df: DataFrame, table: str) -> dict[str, Column]:
     """Rule name -> condition that is true for a violating row."""
     rules: dict[str, Column] = {}

@@ -48,6 +48,15 @@ def align_registry(raw: DataFrame, experiment_ids: Iterable[str] | None = None)
     return _only(align(raw, REGISTRY), experiment_ids)
 
 
+def unique_registry(registry: DataFrame) -> DataFrame:
+    """One row per experiment id: of several, the one that sorts first by all columns, NULLs last."""
+    order = F.struct(*[F.struct(F.col(c).isNull().alias("absent"), F.col(c).alias("value")) for c in registry.columns])
+    first = registry.where("experiment_id IS NOT NULL").groupBy("experiment_id").agg(
+        F.min_by(F.struct(*registry.columns), order).alias("row")
+    )
+    return first.select("row.*")
+
+
 def read_exposures(spark: SparkSession, path: str, experiment_ids=None) -> DataFrame:
     return align_exposures(spark.read.parquet(_location(path)), experiment_ids)
 

@@ -10,8 +10,11 @@ replaces the partitions from there, so no plan reads a path it overwrites.
 from __future__ import annotations
 
 import tempfile
+import urllib.parse
 import uuid
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -61,6 +64,19 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(handle, True)
 
 
+def partition_names(spark: SparkSession, path: str) -> set[str]:
+    """Experiments that have a partition, from one listing of the table's folder.
+
+    The folder name of a missing id is left out; others are percent-encoded.
+    """
+    handle, fs = _hadoop_path(spark, f"{path}/{PARTITION}=*")
+    names = (s.getPath().getName().partition("=")[2] for s in fs.globStatus(handle) or ())
+    return {urllib.parse.unquote(n) for n in names if n != _NO_ID}
+
+
+_NO_ID = "__HIVE_DEFAULT_PARTITION__"
+
+
 def has_partitions(spark: SparkSession, path: str) -> bool:
     """Whether anything was ever stored: writing no rows leaves a folder without a schema."""
     handle, fs = _hadoop_path(spark, f"{path}/{PARTITION}=*")
@@ -79,12 +95,27 @@ def read_table(spark: SparkSession, path: str, layout: StructType | None = None)
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, experiment_ids: Iterable[str] | None = None, staged: bool = True
+) -> None:
     """Replace every experiment present in ``df``; other experiments keep their files.
 
+    With ``experiment_ids``, those of them that ``df`` has no row of are emptied
+    too: what is left afterwards is what ``df`` says about them.  The new rows
+    are then staged first, so that ``df`` is computed once and may read the table
+    it replaces.  A fact read straight from its files is better not ``staged``:
+    its ids are then read again, and only those that might be left over.
+
     The rebalance hint lets the adaptive planner split a large experiment over
     many writers and merge small ones, so file sizes follow data, not keys.
     """
+    if experiment_ids is not None and staged:
+        return _swap_in(df, path, experiment_ids)
+    spark = df.sparkSession
+    stale = set() if experiment_ids is None else set(experiment_ids) & partition_names(spark, path)
+    if stale:
+        kept = df.where(F.col(PARTITION).isin(sorted(stale))).select(PARTITION).distinct()
+        stale -= {r[0] for r in kept.collect()}
     (
         df.hint("rebalance", PARTITION)
         .write.mode("overwrite")
@@ -92,7 +123,14 @@ def replace_partitions(df: DataFrame, path: str) -> None:
         .partitionBy(PARTITION)
         .parquet(path)
     )
-    df.sparkSession.catalog.refreshByPath(path)
+    _drop_partitions(spark, path, stale)
+    spark.catalog.refreshByPath(path)
+
+
+def _drop_partitions(spark: SparkSession, path: str, experiment_ids: Iterable[str]) -> None:
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for experiment_id in experiment_ids:
+        drop_path(spark, f"{path}/{PARTITION}={escaped(experiment_id)}")
 
 
 def _stage(df: DataFrame, label: str) -> str:
@@ -107,13 +145,11 @@ def _swap_in(rows: DataFrame, path: str, cleared: Iterable[str] = ()) -> None:
     layout = rows.schema
     staged = _stage(rows, "staging")
     try:
+        empty = set(cleared) - partition_names(spark, staged)
         replace_partitions(spark.read.schema(layout).parquet(staged), path)
-        for experiment_id in cleared:
-            name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(
-                experiment_id
-            )
-            if not exists(spark, f"{staged}/{PARTITION}={name}"):
-                drop_path(spark, f"{path}/{PARTITION}={name}")
+        _drop_partitions(spark, path, empty & partition_names(spark, path))
+        if empty and not exists(spark, f"{staged}/{PARTITION}={_NO_ID}"):
+            drop_path(spark, f"{path}/{PARTITION}={_NO_ID}")  # rows without an id belong to every run
         spark.catalog.refreshByPath(path)
     finally:
         drop_path(spark, staged)
@@ -146,10 +182,10 @@ def delete_append_by_metric(
 
 
 def merge_upsert(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Insert or overwrite by key.  A key given twice in ``df`` is an error.
+    """Insert or overwrite by key.  A key given twice in ``df`` is an error; NULLs are equal.
 
     ``df`` is computed once, into a staging table that the checks and the
-    merge then read.
+    merge then read.  Only the partitions it has rows for are read and written.
     """
     spark, keys = df.sparkSession, list(keys)
     staged = _stage(df, "merge")
@@ -159,11 +195,12 @@ def merge_upsert(df: DataFrame, path: str, keys: Sequence[str]) -> None:
             raise ValueError(f"merge source has several rows for one key {keys}")
         if not has_partitions(spark, path):
             return replace_partitions(rows, path)
-        kept = (
-            read_table(spark, path)
-            .join(rows.select(PARTITION).distinct(), PARTITION, "left_semi")
-            .join(rows.select(*keys), keys, "left_anti")
-        )
+        old, new = read_table(spark, path).alias("old"), rows.select(*keys).alias("new")
+        touched = F.col(PARTITION).isin(sorted(partition_names(spark, staged)))
+        if not rows.where(F.col(PARTITION).isNull()).isEmpty():
+            touched |= F.col(PARTITION).isNull()
+        same = reduce(and_, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
+        kept = old.where(touched).join(new, same, "left_anti").select("old.*")
         _swap_in(_same_layout(kept, df).unionByName(rows), path)
     finally:
         drop_path(spark, staged)

@@ -288,3 +288,16 @@ def test_two_experiments_are_the_union_of_single_runs(spark, rows):
     run = lambda keep: rows(ab.ab_analysis(ab.user_arm_stats(
         b.outcomes(spark, [o for o in out if o[4] in keep]), b.exposures(spark, [x for x in exp if x[3] in keep]), specs)))
     assert run(("e1", "e2")) == sorted(run(("e1",)) + run(("e2",)), key=repr)
+
+
+def test_untestable_leads_are_no_pass(spark):
+    layout = "experiment_id string, metric_name string, grain string, k int, p_value double"
+    verdict = lambda rows: one(event_study.event_study_verdict(spark.createDataFrame([("e", "m", "day", k, p) for k, p in rows], layout)))
+    assert verdict([(-2, None), (1, 0.001)]).verdict == "INSUFFICIENT_DATA"
+    assert verdict([(1, 0.001)]).verdict == "INSUFFICIENT_DATA"
+    assert verdict([(-2, None), (-3, 0.5)]).verdict == "PASS"
+
+
+def test_missing_arm_has_a_status(spark):
+    stats = b.arm_stats(spark, [("a", "control", 5, 1, 1), ("a", "treatment", 5, 1, 1), ("b", "control", 5, 1, 1), ("c", "treatment", 5, 1, 1)])
+    assert {r.metric_name: r.status for r in ab.missing_arms(stats).collect()} == {"a": "OK", "b": "MISSING_TREATMENT", "c": "MISSING_CONTROL"}

@@ -33,7 +33,7 @@ def test_p_is_symmetric(spark):
 def test_z_critical(spark):
     got = [r[0] for r in column(spark, [0.90, 0.95, 0.99]).selectExpr(z_critical("x")).collect()]
     assert got == [1.6448536269514722, 1.959963984540054, 2.5758293035489004]
-    with pytest.raises(Exception, match="Unsupported confidence"):
+    with pytest.raises(Exception, match="tabulated for"):
         column(spark, [0.8]).selectExpr(z_critical("x")).collect()
 
 
@@ -101,5 +101,5 @@ def test_event_time_floors_before_start(spark):
     week = event_time_k(bucket_start(F.col("ts"), "week"), F.col("start"), "week")
     day = event_time_k(bucket_start(F.col("ts"), "day"), F.col("start"), "day")
     assert df.select(day, week).first() == (-8, -2)
-    with pytest.raises(ValueError, match="grain"):
+    with pytest.raises(ValueError, match="buckets"):
         bucket_start(F.col("ts"), "month")

@@ -45,13 +45,15 @@ def test_long_ids_are_not_broadcast(spark, monkeypatch):
     assert not windows.fits_broadcast(spark.sql("SELECT 'a longer one' AS experiment_id"))
 
 
-def test_window_falls_back_to_exposures_and_fails_without_either(spark):
-    exp = b.exposures(spark, [("u1", "control", 3), ("u2", "control", 7)])
-    r = windows.window_from_registry(b.registry(spark, [("e1", b.START, None)]), exp).first()
-    assert (r.start_ts, r.end_ts) == (b.day(3), b.day(7))
-    undated = b.exposures(spark, [("u1", "control", None)])
-    with pytest.raises(Exception, match="Could not determine window"):
-        windows.window_from_registry(b.registry(spark, [("x", b.START, b.END)]), undated).collect()
+def test_window_falls_back_to_exposures_and_has_a_status(spark):
+    exp = b.exposures(spark, [("u1", "control", 3, "open"), ("u2", "control", 7, "open"), ("u3", "control", None, "undated"),
+                              ("u4", "control", 2, "unlisted"), ("u5", "control", 5, "closed")])
+    reg = b.registry(spark, [("open", b.START, None), ("undated", None, None), ("closed", b.START, b.END), ("unseen", None, b.END)])
+    for registry in (reg, reg.drop("end_ts")):
+        got = {r.experiment_id: (r.start_ts, r.end_ts, r.window_status) for r in windows.window_from_registry(registry, exp).collect()}
+        closed = (b.START, b.END, "REGISTRY") if registry is reg else (b.day(5), b.day(5), "EXPOSURES")
+        assert got == {"open": (b.day(3), b.day(7), "EXPOSURES"), "undated": (None, None, "NO_WINDOW"), "closed": closed,
+                       "unlisted": (b.day(2), b.day(2), "EXPOSURES"), "unseen": (None, None, "NO_WINDOW")}
 
 
 @pytest.mark.parametrize("offset", [0.0, 1e7])
@@ -130,13 +132,60 @@ def test_leakage(spark):
     assert (got["pre_revenue"].pre_after_exposure, got["pre_revenue"].undated) == (1, 1)
 
 
-def test_quantile_rank_error_is_bounded(spark):
+def test_quantiles_are_exact_in_a_large_group(spark):
+    """Two million distinct values in one group, a group of few, one of equal values and one of NULLs."""
+    n = 2_000_000
+    df = spark.range(n).selectExpr("'g' AS g", "CAST((id * 7919) % 2000000 AS DOUBLE) AS value").unionByName(
+        spark.sql("SELECT 'few' AS g, CAST(id AS DOUBLE) AS value FROM range(3) UNION ALL SELECT 'same', 5D FROM range(1000)"
+                  " UNION ALL SELECT 'none', CAST(NULL AS DOUBLE) UNION ALL SELECT NULL, 1D"))
+    got = {}
+    for r in profile.quantiles(df, ["g"]).collect():
+        got.setdefault(r.g, {})[r.q] = r.value
+    assert got["g"] == {q: -(-q * n // 100) - 1 for q in range(1, 100)}
+    assert got["few"] == {q: float(-(-q * 3 // 100) - 1) for q in range(1, 100)}
+    assert set(got["same"].values()) == {5.0} and len(got["same"]) == 99
+    assert set(got) == {"g", "few", "same", None}
+
+
+def test_approximate_quantiles_are_within_their_bound(spark):
     n = 300_000
     df = spark.range(n).selectExpr("'g' AS g", "CAST(id AS DOUBLE) AS value")
-    for r in profile.quantiles(df, ["g"]).collect():
+    for r in profile.approximate_quantiles(df, ["g"]).collect():
         assert abs(r.value - r.q / 100 * n) <= n / profile.ACCURACY + 1
 
 
+def test_an_unknown_label_never_wins(spark):
+    df = b.exposures(spark, [("u", "holdout", 0), ("u", "control", 1), ("w", "holdout", 0)])
+    assert [(r.user_id, r.variant, r.exposure_ts, r.unit) for r in dedup_exposures(df).collect()] == [("u", "control", b.day(1), "user_id")]
+
+
+def test_users_are_counted_not_rows(spark):
+    out = b.outcomes(spark, [("u", "conversion", 1.0, d) for d in range(3)] + [("w", "conversion", float(d == 2), d) for d in range(3)])
+    joined = grain.join_inner_exposed(out, b.exposures(spark, [("u", "control", 0), ("w", "control", 0)]))
+    r = ab.converted_users(joined).first()
+    assert (r.total_users, r.converted_users, r.conversion_proportion, r["rows"]) == (2, 2, 1.0, 6)
+
+
+def test_missing_users_follow_the_spec(spark):
+    out = b.outcomes(spark, [("u", "latency", 100.0, 1), ("t", "latency", 100.0, 1), ("u", "revenue", 4.0, 1)])
+    exp = b.exposures(spark, [("u", "control", 0), ("v", "control", 0), ("t", "treatment", 0)])
+    specs = [MetricSpec("latency", "mean"), MetricSpec("revenue")]
+    got = {(r.metric_name, r.variant): (r.n, r["mean"]) for r in ab.user_arm_stats(out, exp, specs).collect()}
+    assert got["latency", "control"] == (1, 100.0) and got["revenue", "control"] == (2, 2.0)
+    zero = ab.user_arm_stats(out, exp, [MetricSpec("latency", "mean", missing="zero")]).where("variant = 'control'").first()
+    assert (zero.n, zero["mean"]) == (2, 50.0)
+
+
+def test_other_metrics_equal_a_spec_of_their_own(spark, rows):
+    out = b.outcomes(spark, [(f"u{i}", m, float(i % 5), d) for i in range(30) for m in ("clicks", "views") for d in range(i % 3)] + [("x", "clicks", 9.0, 1)])
+    exp = b.exposures(spark, [(f"u{i}", "control" if i % 2 else "treatment", 0) for i in range(40)])
+    mine = {(r["metric_name"], r["variant"]): r for r in rows(ab.other_arm_stats(out, exp, []))}
+    plain = {(r["metric_name"], r["variant"]): r for r in rows(ab.user_arm_stats(out, exp, [MetricSpec("clicks"), MetricSpec("views")]))}
+    assert set(mine) == set(plain) and len(mine) == 4
+    for key, r in mine.items():
+        assert r["n"] == plain[key]["n"] and abs(r["mean"] - plain[key]["mean"]) < 1e-12 and abs(r["var"] - plain[key]["var"]) < 1e-9
+
+
 def test_approximate_distinct_users(spark):
     df = spark.range(50_000).selectExpr("'g' AS g", "CAST(id % 20000 AS STRING) AS user_id")
     assert profile.distinct_users(df, ["g"]).first().users == 20_000

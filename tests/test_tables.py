@@ -90,9 +90,9 @@ def test_align_fills_casts_and_drops(spark):
     raw = spark.sql("SELECT 7 AS experiment_id, 'x' AS start_ts, array(1, 2) AS variants, 1 AS extra")
     r = readers.align_registry(raw).first()
     assert (r.experiment_id, r.start_ts, r.variants, r.primary_metrics, r.owner) == ("7", None, ["1", "2"], [], None)
-    with pytest.raises(ValueError, match="missing columns"):
+    with pytest.raises(ValueError, match="cannot be used without experiment_id"):
         readers.align_exposures(spark.sql("SELECT 1 AS user_id"))
-    with pytest.raises(ValueError, match="outcomes missing"):
+    with pytest.raises(ValueError, match="outcomes cannot be used"):
         require_columns(raw, ["value"], "outcomes")
 
 

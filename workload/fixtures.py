@@ -61,11 +61,11 @@ def per_experiment(df: DataFrame) -> DataFrame:
     return df.selectExpr("*", f"inline(array({windows}))")
 
 
-def _assigned(df: DataFrame, user: str, kept: str = "TRUE") -> DataFrame:
-    """Rows of exposed users, per experiment; rows that fail ``kept`` are not even hashed."""
-    users = per_experiment(df.selectExpr("*", f"CAST({user} AS STRING) AS user_id")).where(kept)
+def _assigned(df: DataFrame, user: str, rate: float = EXPOSURE_RATE) -> DataFrame:
+    """Rows of the users exposed at ``rate``, per experiment, with arm and time of exposure."""
+    users = per_experiment(df.selectExpr("*", f"CAST({user} AS STRING) AS user_id"))
     offset = f"make_dt_interval(CAST(assignment_hash % {EXPOSURE_DAYS} AS INT))"
-    return assign_variants(users, EXPOSURE_RATE, TREATMENT_SHARE).selectExpr(
+    return assign_variants(users, rate, TREATMENT_SHARE).selectExpr(
         "*", f"start_ts + {offset} AS exposure_ts", "'user_id' AS unit"
     )
 
@@ -99,8 +99,17 @@ def exposures_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def exposures_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty log in canonical columns: what every analysis has to cope with."""
+    return align_exposures(exposures_raw(spark, sf_dir))
+
+
 def outcomes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of exposed customers as long outcome rows, under raw column names."""
+    """Orders of all customers as long outcome rows, under raw column names.
+
+    Some customers were never exposed, some orders come after the end of the
+    experiment, and every 97th has lost its time.
+    """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
@@ -111,11 +120,11 @@ def outcomes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"if(o_orderdate < exposure_ts, array({metric('pre_revenue', amount)}),"
         f" array({metric('revenue', amount)}, {metric('conversion', fulfilled)}))"
     )
-    return _assigned(orders, "o_custkey", "o_orderdate <= end_ts").selectExpr(
+    return _assigned(orders, "o_custkey", 1.0).selectExpr(
         "experiment_id",
         "o_custkey AS user_id",
         f"inline({rows})",
-        "o_orderdate AS outcome_ts",
+        "if(o_orderkey % 97 = 0, NULL, o_orderdate) AS outcome_ts",
         "o_orderkey",
     )
 

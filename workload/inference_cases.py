@@ -19,12 +19,12 @@ _PAIRED = f"mean_control std_control mean_treatment std_treatment {_TEST}"
 
 
 def stats(spark, sf) -> DataFrame:
-    return ab.user_arm_stats(fx.outcomes(spark, sf), fx.exposures(spark, sf), fx.SPECS)
+    return ab.user_arm_stats(fx.outcomes(spark, sf), fx.exposures_logged(spark, sf), fx.SPECS)
 
 
 def complete_cases(spark, sf) -> DataFrame:
     """Users with pre and post orders; each side is the user's total."""
-    return grain.user_pivot(fx.outcomes(spark, sf), fx.exposures(spark, sf), agg="sum")
+    return grain.user_pivot(fx.outcomes(spark, sf), fx.exposures_logged(spark, sf), agg="sum")
 
 
 def moments(spark, sf) -> DataFrame:
@@ -120,7 +120,7 @@ def cuped_moments(spark, sf):
            avg(x * y) AS xy_mean, any_value(t.theta) AS theta
     FROM cases JOIN (SELECT experiment_id, theta FROM theta) t USING (experiment_id) GROUP BY ALL
     """,
-    digits="x_mean y_mean x2_mean:2 xy_mean:2 theta",
+    digits="x_mean y_mean x2_mean:5 xy_mean:5 theta",
 )
 def theta_from_moments(spark, sf):
     return cu.theta_from_moments(complete_cases(spark, sf))
@@ -188,7 +188,7 @@ _CELLS = "y_treat_pre y_treat_post y_ctrl_pre y_ctrl_post"
 
 
 def _did(spark, sf) -> DataFrame:
-    window = windows.window_from_registry(fx.registry(spark), fx.exposures(spark, sf))
+    window = windows.window_from_registry(fx.registry(spark), fx.exposures_logged(spark, sf))
     return dd.did(moments(spark, sf), window)
 
 
@@ -285,23 +285,50 @@ def pretrend_slope(spark, sf):
     return pretrend.pretrend_slope(pretrend_daily(spark, sf))
 
 
-@case(
+def _hill_tail(t: str, df: str) -> str:
+    a, y = f"({df} - 0.5)", f"(({df} - 0.5) * ln(1 + {t} * {t} / {df}))"
+    b = f"(48 * {a} * {a})"
+    return (
+        f"(((((-0.4 * {y} - 3.3) * {y} - 24.0) * {y} - 85.5) / (0.8 * {y} * {y} + 100 + {b})"
+        f" + {y} + 3) / {b} + 1) * sqrt({y})"
+    )
+
+
+def _hill_quantile(rows: str) -> str:
+    """``rows`` (with df) and ``tq``, the two-sided 95% quantile of t as Hill's algorithm gives it."""
+    x = "(-1.959963984540054::DOUBLE)"
+    top = f"((((0.4 * {x} * {x} + 6.3) * {x} * {x} + 36.0) * {x} * {x} + 94.5) / e - {x} * {x} - 3)"
+    return f"""
+      SELECT * EXCLUDE (a, b, c, d, e, g),
+             sqrt(df * CASE WHEN g > a + 0.05 THEN exp(a * pow(({top} / b + 1) * {x}, 2)) - 1
+               ELSE ((1 / (((df + 6) / (df * g) - 0.089 * d - 0.822) * (df + 2) * 3) + 0.5 / (df + 4)) * g - 1)
+                    * (df + 1) / (df + 2) + 1 / g END) AS tq
+      FROM (SELECT *, pow(d * 0.05, 2 / df) AS g,
+                   (((0.05 * d * {x} - 5) * {x} - 7) * {x} - 2) * {x} + b + c
+                   + CASE WHEN df < 5 THEN 0.3 * (df - 4.5) * ({x} + 0.6) ELSE 0 END AS e
+            FROM (SELECT *, ((94.5 / (b + c) - 3) / b + 1) * sqrt(a * pi() / 2) * df AS d
+                  FROM (SELECT *, ((20700 * a / b - 98) * a - 16) * a + 96.36 AS c
+                        FROM (SELECT *, 48 / (a * a) AS b FROM (SELECT *, 1 / (df - 0.5) AS a FROM {rows})))))
     """
+
+
+@case(
+    f"""
     SELECT experiment_id, n, term, coef, se_ols, se_hc3, coef / se_ols AS t_ols, coef / se_hc3 AS z_hc3,
-           @P(coef / se_hc3)@ AS p_hc3
-    FROM (
+           @P(zz)@ AS p_ols, @P(coef / se_hc3)@ AS p_hc3
+    FROM (SELECT *, {_hill_tail("(coef / se_ols)", "(n - 2)")} AS zz FROM (
       SELECT experiment_id, n, 'k_days' AS term, slope AS coef, sqrt(sum(e * e) / (n - 2) / sxx) AS se_ols,
              sqrt(sum(pow((k_days - xbar) / sxx * e / (1 - 1.0 / n - pow(k_days - xbar, 2) / sxx), 2))) AS se_hc3
       FROM trend_resid GROUP BY experiment_id, n, slope, sxx
       UNION ALL
       SELECT experiment_id, n, 'Intercept', intercept, sqrt(sum(e * e) / (n - 2) * (1.0 / n + xbar * xbar / sxx)),
              sqrt(sum(pow((1.0 / n - xbar * (k_days - xbar) / sxx) * e / (1 - 1.0 / n - pow(k_days - xbar, 2) / sxx), 2)))
-      FROM trend_resid GROUP BY experiment_id, n, intercept, xbar, sxx)
+      FROM trend_resid GROUP BY experiment_id, n, intercept, xbar, sxx))
     """,
-    digits="coef se_ols se_hc3 t_ols z_hc3 p_hc3:8",
+    digits="coef se_ols se_hc3 t_ols z_hc3 p_ols:8 p_hc3:8",
 )
 def pretrend_slope_hc3(spark, sf):
-    return pretrend.pretrend_slope_hc3(pretrend_delta(spark, sf)).drop("p_ols")
+    return pretrend.pretrend_slope_hc3(pretrend_delta(spark, sf))
 
 
 _STUDY = "beta se p_value:8 ci_low ci_high"
@@ -335,36 +362,28 @@ def event_study_verdict(spark, sf):
     return es.event_study_verdict(_study(spark, sf), 8, 8)
 
 
-def _hill_tail(t: str, df: str) -> str:
-    a, y = f"({df} - 0.5)", f"(({df} - 0.5) * ln(1 + {t} * {t} / {df}))"
-    b = f"(48 * {a} * {a})"
-    return (
-        f"(((((-0.4 * {y} - 3.3) * {y} - 24.0) * {y} - 85.5) / (0.8 * {y} * {y} + 100 + {b})"
-        f" + {y} + 3) / {b} + 1) * sqrt({y})"
-    )
-
-
 @case(
-    f"""
+    f'''
     SELECT experiment_id, metric_name, n_control, mean_control, var_control, std_control,
            n_treatment, mean_treatment, var_treatment, std_treatment, delta, rel_lift, se, t_stat, df,
-           @P(zz)@ AS p_value
-    FROM (SELECT *, {_hill_tail("t_stat", "df")} AS zz FROM (
+           @P(zz)@ AS p_value, delta - tq * se AS ci_low, delta + tq * se AS ci_high
+    FROM (SELECT *, {_hill_tail("t_stat", "df")} AS zz FROM ({_hill_quantile("""(
       SELECT *, delta / w AS t_stat,
              pow(w, 4) / (pow(var_control / n_control, 2) / (n_control - 1) + pow(var_treatment / n_treatment, 2) / (n_treatment - 1)) AS df
       FROM (SELECT * REPLACE (w AS se) FROM
-            (SELECT *, sqrt(var_control / n_control + var_treatment / n_treatment) AS w FROM tested))))
-    """,
+            (SELECT *, sqrt(var_control / n_control + var_treatment / n_treatment) AS w FROM tested)))""")}))
+    ''',
     digits="mean_control var_control:3 std_control mean_treatment var_treatment:3 std_treatment"
-    " delta rel_lift se t_stat df:4 p_value:8",
+    " delta rel_lift se t_stat df:4 p_value:8 ci_low ci_high",
 )
 def welch_t(spark, sf):
-    return ab.welch_t(stats(spark, sf)).drop("ci_low", "ci_high")
+    return ab.welch_t(stats(spark, sf))
 
 
 _COUNTS = """
     (SELECT experiment_id, metric_name,
-            count(*) FILTER (variant = 'control') AS n_control, count(*) FILTER (variant = 'treatment') AS n_treatment,
+            count(DISTINCT user_id) FILTER (variant = 'control') AS n_control,
+            count(DISTINCT user_id) FILTER (variant = 'treatment') AS n_treatment,
             count(DISTINCT user_id) FILTER (variant = 'control' AND value <> 0) AS x_control,
             count(DISTINCT user_id) FILTER (variant = 'treatment' AND value <> 0) AS x_treatment
      FROM joined WHERE metric_name = 'conversion' GROUP BY ALL)
@@ -515,7 +534,7 @@ def _g(expression: str) -> str:
     """
 )
 def decision_summary(spark, sf):
-    inputs = Inputs(fx.exposures(spark, sf), fx.outcomes(spark, sf), fx.registry(spark))
+    inputs = Inputs(fx.exposures_logged(spark, sf), fx.outcomes(spark, sf), fx.registry(spark))
     arms = checkpointed(arm_table(inputs, fx.SPECS))
     results = ab.ab_analysis(ab.unfold_stats(arms))
     window = windows.window_from_registry(inputs.registry, inputs.exposures)
@@ -525,4 +544,5 @@ def decision_summary(spark, sf):
         dd.did(arms, window),
         pretrend_slope(spark, sf),
         summary.guardrail_flags(results, inputs.registry),
+        inputs.registry,
     )

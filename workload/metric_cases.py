@@ -40,18 +40,22 @@ def window_filter(spark, sf):
 
 @case(
     """
-    SELECT experiment_id, start_ts, end_ts FROM registry WHERE experiment_id = 'exp_orders_a'
+    SELECT experiment_id, start_ts, end_ts, 'REGISTRY' AS window_status FROM registry WHERE experiment_id = 'exp_orders_a'
     UNION ALL
-    SELECT experiment_id, min(exposure_ts), max(exposure_ts) FROM exposures
+    SELECT experiment_id, min(exposure_ts), max(exposure_ts), 'EXPOSURES' FROM exposures
     WHERE experiment_id = 'exp_orders_b' GROUP BY ALL
+    UNION ALL SELECT 'exp_unseen', NULL, NULL, 'NO_WINDOW'
     """
 )
 def window_from_registry(spark, sf):
-    """The registry leaves one experiment open, whose window then comes from its exposures."""
+    """One experiment open in the registry, with its exposures as window, and one nobody was exposed to."""
     half_open = fx.registry(spark).withColumn(
         "end_ts", F.when(F.col("experiment_id") == "exp_orders_a", F.col("end_ts"))
     )
-    return windows.window_from_registry(half_open, fx.exposures(spark, sf))
+    unseen = half_open.limit(1).withColumn("experiment_id", F.lit("exp_unseen")).withColumn(
+        "end_ts", F.lit(None).cast("timestamp")
+    )
+    return windows.window_from_registry(half_open.unionByName(unseen), fx.exposures(spark, sf))
 
 
 @case(
@@ -143,7 +147,7 @@ def quantiles(spark, sf):
 )
 def metric_overall(spark, sf):
     return metrics.metric_overall(
-        fx.outcomes(spark, sf), fx.exposures(spark, sf), fx.registry(spark, CUT)
+        fx.outcomes(spark, sf), fx.exposures_logged(spark, sf), fx.registry(spark, CUT)
     )
 
 
@@ -153,21 +157,21 @@ _DAILY_SQL = f"""
 """
 
 
-@case(_DAILY_SQL, digits="mean:9 sum:6")
+@case(_DAILY_SQL, digits="mean:10 sum:6")
 def metric_daily(spark, sf):
     return metrics.metric_daily(
-        fx.outcomes(spark, sf), fx.exposures(spark, sf), fx.registry(spark, CUT)
+        fx.outcomes(spark, sf), fx.exposures_logged(spark, sf), fx.registry(spark, CUT)
     )
 
 
 @case(
-    f"SELECT * FROM ({_DAILY_SQL}) ORDER BY experiment_id, day, metric_name, variant LIMIT 10",
-    digits="mean:9 sum:6",
+    f"SELECT * FROM ({_DAILY_SQL}) ORDER BY experiment_id, day NULLS FIRST, metric_name, variant LIMIT 10",
+    digits="mean:10 sum:6",
 )
 def daily_preview(spark, sf):
     return metrics.daily_preview(
         metrics.metric_daily(
-            fx.outcomes(spark, sf), fx.exposures(spark, sf), fx.registry(spark, CUT)
+            fx.outcomes(spark, sf), fx.exposures_logged(spark, sf), fx.registry(spark, CUT)
         )
     )
 
@@ -181,20 +185,20 @@ def daily_preview(spark, sf):
     digits="mean var:3 std",
 )
 def ab_stats(spark, sf):
-    return ab.ab_stats(fx.outcomes(spark, sf), fx.exposures(spark, sf))
+    return ab.ab_stats(fx.outcomes(spark, sf), fx.exposures_logged(spark, sf))
 
 
 @case(
     """
     SELECT experiment_id, user_id, variant,
-           (min({'t': ts, 'v': value}) FILTER (metric_name = 'revenue')).v AS y,
-           (min({'t': ts, 'v': value}) FILTER (metric_name = 'pre_revenue')).v AS x
+           (min({'t': coalesce(ts, TIMESTAMP '9999-12-31'), 'v': value}) FILTER (metric_name = 'revenue')).v AS y,
+           (min({'t': coalesce(ts, TIMESTAMP '9999-12-31'), 'v': value}) FILTER (metric_name = 'pre_revenue')).v AS x
     FROM joined GROUP BY ALL HAVING y IS NOT NULL AND x IS NOT NULL
     """,
     digits="x y",
 )
 def user_pivot(spark, sf):
-    return grain.user_pivot(fx.outcomes(spark, sf), fx.exposures(spark, sf))
+    return grain.user_pivot(fx.outcomes(spark, sf), fx.exposures_logged(spark, sf))
 
 
 @case(
@@ -207,16 +211,16 @@ def user_pivot(spark, sf):
     digits="x y",
 )
 def user_pivot_zero(spark, sf):
-    return grain.user_pivot_zero(fx.outcomes(spark, sf), fx.exposures(spark, sf))
+    return grain.user_pivot_zero(fx.outcomes(spark, sf), fx.exposures_logged(spark, sf))
 
 
 @case(
     """
     SELECT experiment_id, user_id, metric_name, sum(value) AS value, avg(value) AS mean_value,
-           max(value) AS max_value, min({'t': ts, 'v': value}).v AS first_value
+           max(value) AS max_value, min({'t': coalesce(ts, TIMESTAMP '9999-12-31'), 'v': value}).v AS first_value
     FROM outcomes GROUP BY ALL
     """,
-    digits="value mean_value:9 max_value first_value",
+    digits="value mean_value:10 max_value first_value",
 )
 def user_rollup(spark, sf):
     outcomes = fx.outcomes(spark, sf)
@@ -224,14 +228,14 @@ def user_rollup(spark, sf):
     return grain.user_rollup(outcomes, forms)
 
 
-@case("SELECT experiment_id, k_days, variant, mean FROM trend_daily", digits="mean:9")
+@case("SELECT experiment_id, k_days, variant, mean FROM trend_daily", digits="mean:10")
 def pretrend_daily(spark, sf):
-    return pretrend.pretrend_daily(fx.outcomes(spark, sf), fx.exposures(spark, sf))
+    return pretrend.pretrend_daily(fx.outcomes(spark, sf), fx.exposures_logged(spark, sf))
 
 
 @case(
     "SELECT experiment_id, k_days, treat_mean, control_mean, delta FROM trend_delta",
-    digits="treat_mean:9 control_mean:9 delta:9",
+    digits="treat_mean:10 control_mean:10 delta:10",
 )
 def pretrend_delta(spark, sf):
     return pretrend.pretrend_delta(pretrend_daily(spark, sf))
@@ -244,7 +248,7 @@ def pretrend_delta(spark, sf):
            regr_sxx(delta, k_days) AS s_xx, regr_sxy(delta, k_days) AS s_xy, regr_syy(delta, k_days) AS s_yy
     FROM (SELECT *, treat_mean - control_mean AS delta FROM trend_all) GROUP BY ALL
     """,
-    digits="xbar ybar s_xx:0 s_xy:1 s_yy:1",
+    digits="xbar ybar s_xx:3 s_xy:4 s_yy:4",
 )
 def pretrend_moments(spark, sf):
     return pretrend.pretrend_moments(pretrend_daily(spark, sf))
@@ -252,12 +256,12 @@ def pretrend_moments(spark, sf):
 
 def user_buckets(spark, sf):
     return event_study.user_bucket_mean(
-        fx.order_values(spark, sf), fx.exposures(spark, sf), fx.registry(spark),
+        fx.order_values(spark, sf), fx.exposures_logged(spark, sf), fx.registry(spark),
         "order_value", "week", 8, 8,
     )
 
 
-@case("SELECT * FROM user_buckets", digits="y:9")
+@case("SELECT * FROM user_buckets", digits="y:10")
 def user_bucket_mean(spark, sf):
     return user_buckets(spark, sf)
 
@@ -267,7 +271,7 @@ def bucket_cells(spark, sf):
     return event_study.bucket_cells(user_buckets(spark, sf))
 
 
-@case("SELECT * FROM bucket_delta", digits="delta:9")
+@case("SELECT * FROM bucket_delta", digits="delta:10")
 def bucket_delta(spark, sf):
     return event_study.bucket_delta(event_study.bucket_cells(user_buckets(spark, sf)), "week")
 
@@ -317,7 +321,7 @@ def event_time_k(spark, sf):
 )
 def dq_summary(spark, sf):
     return quality.dq_summary(
-        readers.align_exposures(fx.exposures_raw(spark, sf)),
+        fx.exposures_logged(spark, sf),
         fx.outcomes(spark, sf),
         fx.registry(spark),
     )
@@ -325,7 +329,7 @@ def dq_summary(spark, sf):
 
 @case("SELECT experiment_id, variant, count(*) AS rows FROM exposures_raw GROUP BY ALL")
 def dq_variant_dist(spark, sf):
-    return quality.dq_variant_dist(readers.align_exposures(fx.exposures_raw(spark, sf)))
+    return quality.dq_variant_dist(fx.exposures_logged(spark, sf))
 
 
 @case(
@@ -381,7 +385,7 @@ def dq_leakage(spark, sf):
     """
 )
 def dq_rowcount_delta(spark, sf):
-    raw = readers.align_exposures(fx.exposures_raw(spark, sf))
+    raw = fx.exposures_logged(spark, sf)
     return quality.dq_rowcount_delta(raw, dedup_exposures(raw))
 
 
@@ -397,7 +401,7 @@ def dq_rowcount_delta(spark, sf):
 )
 def distinct_users(spark, sf):
     label = lambda prefix, c: F.concat(F.lit(prefix), F.col(c))
-    exposures = readers.align_exposures(fx.exposures_raw(spark, sf))
+    exposures = fx.exposures_logged(spark, sf)
     parts = [
         exposures.withColumn("grouping", label("variant ", "variant")),
         fx.outcomes(spark, sf).withColumn("grouping", label("metric ", "metric_name")),
@@ -415,9 +419,9 @@ def distinct_days(spark, sf):
 
 @case(
     """
-    SELECT experiment_id, variant, metric_name, count(*) AS total_users,
-           count(DISTINCT CASE WHEN value <> 0 THEN user_id END) AS converted_users,
-           count(DISTINCT CASE WHEN value <> 0 THEN user_id END) / count(*) AS conversion_proportion
+    SELECT experiment_id, variant, metric_name, count(DISTINCT user_id) AS total_users,
+           count(DISTINCT CASE WHEN value <> 0 THEN user_id END) AS converted_users, count(*) AS rows,
+           count(DISTINCT CASE WHEN value <> 0 THEN user_id END) / count(DISTINCT user_id) AS conversion_proportion
     FROM joined WHERE metric_name = 'conversion' GROUP BY ALL
     """,
     digits="conversion_proportion",

@@ -19,10 +19,13 @@ hashed AS (
          ('0x' || substr(md5(r.experiment_id || ':' || c.c_custkey::VARCHAR), 1, 8))::BIGINT AS h
   FROM customer c CROSS JOIN registry r
 ),
-assigned AS (
+everyone AS (
   SELECT *, CASE WHEN (h // 100) % 100 < 50 THEN 'treatment' ELSE 'control' END AS variant,
          start_ts + to_days((h % 28)::INTEGER) AS exposure_ts, 'user_id' AS unit
-  FROM hashed WHERE h % 100 < 85
+  FROM hashed
+),
+assigned AS (
+  SELECT * FROM everyone WHERE h % 100 < 85
 ),
 exposures AS (
   SELECT experiment_id, user_id, variant, exposure_ts, unit FROM assigned
@@ -41,18 +44,18 @@ exposures_raw AS (
 ),
 visits AS (
   SELECT a.experiment_id, a.user_id, a.variant, a.exposure_ts, a.start_ts, a.end_ts,
-         o.o_orderstatus, o.o_totalprice / 1000 AS amount, o.o_orderdate AS ts
-  FROM assigned a JOIN orders o ON o.o_custkey = a.c_custkey
-  WHERE o.o_orderdate <= a.end_ts
+         o.o_orderstatus, o.o_totalprice / 1000 AS amount, o.o_orderdate AS placed,
+         CASE WHEN o.o_orderkey % 97 > 0 THEN o.o_orderdate END AS ts
+  FROM everyone a JOIN orders o ON o.o_custkey = a.c_custkey
 ),
 outcomes AS (
   SELECT experiment_id, user_id, 'pre_revenue' AS metric_name, amount AS value, ts
-  FROM visits WHERE ts < exposure_ts
+  FROM visits WHERE placed < exposure_ts
   UNION ALL
-  SELECT experiment_id, user_id, 'revenue', amount, ts FROM visits WHERE ts >= exposure_ts
+  SELECT experiment_id, user_id, 'revenue', amount, ts FROM visits WHERE placed >= exposure_ts
   UNION ALL
   SELECT experiment_id, user_id, 'conversion', CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END::DOUBLE, ts
-  FROM visits WHERE ts >= exposure_ts
+  FROM visits WHERE placed >= exposure_ts
 ),
 order_values AS (
   SELECT r.experiment_id, r.start_ts, o.o_custkey::VARCHAR AS user_id, 'order_value' AS metric_name,

@@ -17,7 +17,7 @@ from workload.case import case
 
 @case("SELECT * FROM exposures_raw")
 def ingest_exposures(spark, sf):
-    return readers.align_exposures(fx.exposures_raw(spark, sf))
+    return fx.exposures_logged(spark, sf)
 
 
 @case("SELECT * FROM outcomes", digits="value")
@@ -116,10 +116,12 @@ def _arms_by_experiment(spark, path) -> DataFrame:
     """
 )
 def replace_partition(spark, sf):
-    """Both experiments stored as logged, then one of them replaced by its clean rows, twice."""
+    """Two experiments as logged and one that lost its rows since; one is replaced by its clean rows, twice."""
     path = tables.new_path(spark, "replace_partition")
-    raw = readers.align_exposures(fx.exposures_raw(spark, sf))
-    tables.replace_partitions(raw, path)
+    raw = fx.exposures_logged(spark, sf)
+    lost = raw.where(F.col("experiment_id") == "exp_orders_b").withColumn("experiment_id", F.lit("exp_lost"))
+    tables.replace_partitions(raw.unionByName(lost), path)
+    tables.replace_partitions(raw, path, ["exp_orders_a", "exp_orders_b", "exp_lost"])
     clean = dedup(raw).where(F.col("experiment_id") == "exp_orders_b")
     for _ in range(2):
         tables.replace_partitions(clean, path)
@@ -128,8 +130,10 @@ def replace_partition(spark, sf):
 
 @case(
     """
-    SELECT experiment_id, variant, metric_name, count(*) AS n, avg(value) AS mean FROM joined
-    WHERE experiment_id = 'exp_orders_a' OR metric_name = 'revenue' GROUP BY ALL
+    SELECT experiment_id, variant, metric_name, count(*) AS n, avg(value) AS mean
+    FROM joined JOIN registry USING (experiment_id)
+    WHERE (experiment_id = 'exp_orders_a' OR metric_name = 'revenue')
+      AND (metric_name = 'pre_revenue' OR ts BETWEEN start_ts AND end_ts) GROUP BY ALL
     """,
     digits="mean",
 )
@@ -283,7 +287,7 @@ def contract_violations(spark, sf):
 
 @case("SELECT * FROM exposures")
 def dedup_exposures(spark, sf):
-    return dedup(readers.align_exposures(fx.exposures_raw(spark, sf)))
+    return dedup(fx.exposures_logged(spark, sf))
 
 
 @case("SELECT experiment_id, user_id, variant FROM exposures")
