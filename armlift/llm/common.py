@@ -13,6 +13,7 @@ from armlift.sources.tables import new_path
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 SPACE = " \t\n\x0b\x0c\r"
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8 << 20
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -44,12 +45,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` (narrow) rows, else as it is.
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, text_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it has at most so many rows and bytes of text, else as it is.
 
-    Without the mark the same join shuffles, and adaptive execution splits its hot keys.
+    Other columns have a fixed width, so both bounds together bound its size.  Without the mark the
+    same join shuffles, and adaptive execution splits its hot keys.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    texts_ = [c for c, kind in df.dtypes if kind == "string"]
+    wide = [c for c, kind in df.dtypes if kind == "binary" or kind.startswith(("array", "map", "struct"))]
+    if wide:
+        raise ValueError(f"no bound on the size of {wide}")
+    held = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts_), F.lit(0))
+    found, size = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
+    return F.broadcast(df) if found <= rows and size <= text_bytes else df
 
 
 def spread(df: DataFrame, key: str, rows: int) -> DataFrame:

@@ -105,9 +105,10 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFram
     rows, items = _rows(docs), stored(items_of(benchmark), "benchmark-items")
     windows = stored(_windows(rows, items), "benchmark-windows")
     same = F.col("r._id").eqNullSafe(F.col("w._id")) & (F.col("r._hash") == F.col("w._hash"))
+    touched = rows.alias("r").join(small(windows.select("_id", "_hash")).alias("w"), same, "left_semi")
     laid = (
-        rows.alias("r")
-        .join(small(windows).alias("w"), same)
+        touched.alias("r")
+        .join(windows.alias("w"), same)
         .select("r._id", "r._hash", "windows", _words(F.col("_text")).alias("_words"))
         .select(
             "_id",
@@ -124,7 +125,6 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFram
     )
     keyed = items.select(
         "item_id",
-        "item_words",
         "item_fp",
         F.explode(
             F.array(
@@ -148,6 +148,9 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFram
         .join(small(keyed), "key")
         .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
         .where(F.floor(F.col("key") / 4096) == first)  # a pair that meets in several blocks counts once
+        .alias("c")
+        .join(items.alias("i"), F.col("c.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("c.item_fp") == F.col("i.item_fp")))
+        .select("c.*", "item_words")
         .select("_id", "_hash", "item_id", "begin", F.size("words").alias("length"), mine.alias("mine"), theirs.alias("theirs"))
         .withColumn("common", common)
         .withColumn("similarity", F.col("common") / (F.size("mine") + F.size("theirs") - F.col("common")))
