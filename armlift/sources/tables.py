@@ -9,6 +9,8 @@ replaces the partitions from there, so no plan reads a path it overwrites.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import urllib.parse
 import uuid
@@ -25,7 +27,8 @@ PARTITION = "experiment_id"
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting falls back to a temporary folder.
+    Only a local session without the setting falls back to a temporary folder,
+    which goes when the program ends.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -33,7 +36,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="armlift-"))
+    folder = tempfile.mkdtemp(prefix="armlift-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
