@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from armlift.functions.scalars import bucket_start, event_time_k as event_k
 from armlift.operators import ab, event_study, grain, metrics, pretrend, profile, quality, windows
 from armlift.operators.exposure import assign_variants, dedup_exposures
-from armlift.sources import readers
 from workload import fixtures as fx
 from workload.case import case
 
