@@ -140,6 +140,11 @@ def assess(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs`` that ``assess`` keeps, with all their columns; otherwise as there."""
+    """The rows of ``docs`` that ``assess`` keeps, with all their columns; otherwise as there.
+
+    The one-element explode is a barrier: a filter right on the measures would be pushed below them
+    and take their expressions along, to be evaluated again for every word.
+    """
     rows = docs.select(F.struct(*docs.columns).alias("_carry"), _text())
-    return _judged(rows, rules).where("kept").select("_carry.*")
+    judged = _judged(rows, rules).select("_carry", F.explode(F.array("kept")).alias("_kept"))
+    return judged.where("_kept").select("_carry.*")
