@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from armlift.llm.common import small, stored, texts
+from armlift.llm.common import stored, texts
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -154,11 +154,13 @@ def _scan(docs: DataFrame) -> DataFrame:
 
 
 def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``term`` and ``n_t``: documents that hold each of ``terms``, over the whole corpus."""
+    """``term`` and ``n_t``: documents that hold each of ``terms``, over the whole corpus.
+
+    All words are counted, with map-side combine, before the terms (distinct) are looked up: common
+    ones among them would else carry a row of nearly every document through the join.  An inner join
+    stays above the count, where the planner would move a semi-join below it.
+    """
     held = texts(docs).select(F.explode(F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+"))).alias("term"))
-    few = small(terms)
-    if few is not terms:
-        return held.join(few, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
     return held.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term")
 
 
