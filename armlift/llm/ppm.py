@@ -32,7 +32,7 @@ from armlift.sources.tables import drop_path, new_path
 ORDER = 4
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never contains
 ALPHABET = 256
-BLOCK_CHARACTERS = 32_000_000
+BLOCK_CHARACTERS = 20_000_000
 FOLD = 1 << 22
 FOLDS, HELD_OUT = 7, 2
 #: Stands for the end token among a block's words; no word holds a space.
@@ -55,12 +55,14 @@ def grams(text: bytes) -> np.ndarray:
     return packed
 
 
-def _blocked(docs: DataFrame) -> DataFrame:
-    """``block``, ``doc_id``, ``held``, ``text`` (bytes, A-Z lower-cased) of every row."""
-    rows = texts(docs)
-    size = rows.agg(F.sum(F.char_length("_text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_CHARACTERS))
-    return rows.select(
+def _blocks(docs: DataFrame) -> int:
+    size = texts(docs).agg(F.sum(F.char_length("_text"))).first()[0] or 0
+    return max(1, -(-size // BLOCK_CHARACTERS))
+
+
+def _blocked(docs: DataFrame, blocks: int) -> DataFrame:
+    """``block``, ``doc_id``, ``held``, ``text`` (bytes) of every row."""
+    return texts(docs).select(
         F.pmod(F.xxhash64("_id", "_text"), F.lit(blocks)).cast("int").alias("block"),
         F.col("_id").alias("doc_id"),
         held_out(F.col("_id")).alias("held"),
@@ -282,8 +284,9 @@ def score(docs: DataFrame) -> DataFrame:
     columns are ignored.
     """
     spark = docs.sparkSession
-    blocked = _blocked(docs)
-    dealt = blocked.select("block", "held", "text").repartition("block").sortWithinPartitions("block")
+    blocks = _blocks(docs)
+    blocked = _blocked(docs, blocks)
+    dealt = blocked.select("block", "held", "text").repartitionById(blocks, "block")
     path = new_path(spark, "ppm-inventory")
     _inventory(dealt).withColumn("is_word", F.col("word").isNotNull()).write.partitionBy("is_word").parquet(path)
     inventory = spark.read.schema("block int, word binary, gram long, n long, is_word boolean").parquet(path)
@@ -321,6 +324,6 @@ def score(docs: DataFrame) -> DataFrame:
         .unionByName(rows(packed.join(prices, "gram"), GRAM, number=F.col("gram"), price=F.col("log10")))
         .unionByName(rows(blocked, DOCUMENT, number=F.col("doc_id"), held=F.col("held"), text=F.col("text")))
     )
-    dealt = parts.repartition("block").sortWithinPartitions("block", "kind")
+    dealt = parts.repartitionById(blocks, "block").sortWithinPartitions("block", "kind")
     scored = dealt.mapInArrow(_scorer(floor), SCHEMA)
     return scored.withColumn("train_tokens", F.lit(tokens).cast("long"))
