@@ -1,26 +1,22 @@
-"""Benchmark decontamination by SimHash over item-sized windows, in SQL expressions only.
+"""Benchmark decontamination by item-sized windows, in SQL expressions only.
 
 1. Windows.  A text's five-word shingles meet the items' by hash; each meeting lays a window as long
    as the item where the item would begin.  A window that shares no shingle has similarity zero.
-2. Fingerprints.  Windows and items get a 64-bit SimHash of their words.
-3. Multi-index.  Fingerprints are cut into ``BLOCKS`` blocks; within ``RADIUS`` bits at least one
-   block differs by at most one bit, so items are keyed by each block and its one-bit changes, and
-   windows by their blocks alone.  No pair within the radius is missed.
-4. Verification.  Candidates within the radius are compared by their shingles with multiplicities:
-   the sum of the lesser counts over the sum of the larger ones.
+2. Candidates.  A window of the wanted similarity holds so many of an item's shingles that it holds at
+   least one of any few of them (a fifth at 0.8).  Items are keyed by the few that the fewest items
+   have, and windows by all of theirs, so no pair is missed and wording common to items pairs little.
+3. Verification.  Candidates are compared by their shingles with multiplicities: the sum of the lesser
+   counts over the sum of the larger ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from armlift.llm.common import small, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
-#: Two bits in every block but one, and one in that: 6 blocks hold up to 11 changes with one at most in some block.
-RADIUS = 2 * len(BLOCKS) - 1
 
 
 def _words(text: Column) -> Column:
@@ -45,42 +41,31 @@ def _shingles(words: Column) -> Column:
     )
 
 
-def _simhash(words: str) -> Column:
-    """64-bit SimHash of the words, each weighing as often as it occurs."""
-    return F.expr(
-        f"""
-        element_at(transform(array(transform({words}, w -> xxhash64(w))), hs ->
-          aggregate(sequence(0, 63), 0L, (fp, b) -> fp | CASE WHEN
-            2 * aggregate(hs, 0, (n, h) -> n + cast(shiftright(h, b) & 1L AS int)) > size(hs)
-            THEN shiftleft(1L, b) ELSE 0L END)), 1)
-        """
-    )
-
-
-def _block(fp: str, block: tuple[int, int]) -> Column:
-    at, width = block
-    return F.expr(f"shiftrightunsigned({fp}, {at}) & {(1 << width) - 1}L")
-
-
-def _key(number: int, value: Column) -> Column:
-    return (F.lit(number).cast("long") * 4096 + value).alias("key")
-
-
-def _near(block: tuple[int, int]) -> Column:
-    """At most one differing bit of ``fp`` and ``item_fp`` in a block."""
-    return F.bit_count(_block("fp", block).bitwiseXOR(_block("item_fp", block))) <= 1
-
-
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """``item_id``, ``item_words``, ``n`` and ``item_fp`` of items with at least one shingle."""
+    """``item_id``, ``item_words``, ``n`` and ``item`` (a hash of the words) of items with at least one shingle."""
     return (
         benchmark.select(F.col("item_id"), _words(F.col("text")).alias("item_words"))
         .withColumn("n", F.size("item_words"))
         .where(F.col("n") >= SHINGLE)
-        .withColumn("item_fp", _simhash("item_words"))
+        .withColumn("item", F.xxhash64("item_words"))
     )
 
 
+def _keys(items: DataFrame, similarity: float) -> DataFrame:
+    """``h``, ``item``: of each item the rarest shingles, as many as no similar window lacks all of.
+
+    A window of similarity s has at least s t of the item's t shingles, counted as often as they occur
+    there, so of any t - s t + 1 it has one.
+    """
+    places = items.dropDuplicates(["item"]).select("item", "n", F.explode(_shingle_hashes("item_words")).alias("h"))
+    held = places.groupBy("h").agg(F.countDistinct("item").alias("held"))
+    rare = Window.partitionBy("item").orderBy("held", "h")
+    t = F.col("n") - (SHINGLE - 1)
+    least = F.ceil(F.lit(similarity) * t - F.lit(1e-9))
+    ranked = places.join(held, "h").withColumn("at", F.row_number().over(rare))
+    return ranked.where(F.col("at") <= t - least + 1).select("h", "item").distinct()
+
+
 def _windows(rows: DataFrame, items: DataFrame) -> DataFrame:
     """``_id``, ``_hash``, ``windows`` (first word and length) of the rows that share a shingle."""
     places = items.select("n", F.posexplode(_shingle_hashes("item_words")).alias("offset", "h")).distinct()
@@ -121,37 +106,28 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFram
             ).alias("window"),
         )
         .select("_id", "_hash", "window.begin", "window.words")
-        .withColumn("fp", _simhash("words"))
     )
-    keyed = items.select(
-        "item_id",
-        "item_fp",
-        F.explode(
-            F.array(
-                *(
-                    _key(k, _block("item_fp", block).bitwiseXOR(F.lit(flip)))
-                    for k, block in enumerate(BLOCKS)
-                    for flip in (0, *(1 << b for b in range(block[1])))
-                )
-            )
-        ).alias("key"),
+    keys = stored(_keys(items, similarity), "benchmark-keys")
+    met = (
+        laid.select("*", F.explode(F.array_distinct(_shingle_hashes("words"))).alias("h"))
+        .join(small(keys), "h")
+        .withColumn("length", F.size("words"))
+        .dropDuplicates(["_id", "_hash", "begin", "length", "item"])
     )
-    own = F.array(*(_key(k, _block("fp", block)) for k, block in enumerate(BLOCKS)))
-    first = F.coalesce(*(F.when(_near(block), F.lit(k)) for k, block in enumerate(BLOCKS)))
     mine, theirs = _shingles(F.col("words")), _shingles(F.col("item_words"))
     common = F.expr(
         "aggregate(array_intersect(mine, theirs), 0, (n, x) -> n + "
         "least(size(filter(mine, y -> y = x)), size(filter(theirs, y -> y = x))))"
     )
+    # No more can be common than what either side has of shingles that the other has too.
+    bound = F.least(
+        F.size("mine") - F.size(F.array_except("mine", "theirs")), F.size("theirs") - F.size(F.array_except("theirs", "mine"))
+    )
     return (
-        laid.select("*", F.explode(own).alias("key"))
-        .join(small(keyed), "key")
-        .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
-        .where(F.floor(F.col("key") / 4096) == first)  # a pair that meets in several blocks counts once
-        .alias("c")
-        .join(items.alias("i"), F.col("c.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("c.item_fp") == F.col("i.item_fp")))
-        .select("c.*", "item_words")
-        .select("_id", "_hash", "item_id", "begin", F.size("words").alias("length"), mine.alias("mine"), theirs.alias("theirs"))
+        met.alias("c")
+        .join(items.alias("i"), F.col("c.item") == F.col("i.item"))
+        .select("_id", "_hash", "item_id", "begin", "length", mine.alias("mine"), theirs.alias("theirs"))
+        .where(bound >= similarity * (F.size("mine") + F.size("theirs") - bound))
         .withColumn("common", common)
         .withColumn("similarity", F.col("common") / (F.size("mine") + F.size("theirs") - F.col("common")))
         .where(F.col("similarity") >= similarity)

@@ -81,3 +81,18 @@ def test_no_python_in_the_plan(spark):
     rows, items = corpus()
     plan = dc.leaks(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string"))
     assert "Python" not in plan._jdf.queryExecution().toString() and "Arrow" not in plan._jdf.queryExecution().toString()
+
+
+def test_replaced_tenths(spark):
+    """Items whose first or last tenth is replaced keep a similarity of 0.8 and are all found."""
+    rng = random.Random(21)
+    draw = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    items, rows = [], []
+    for i in range(200):
+        item = draw(50)
+        leak = item[:45] + draw(5) if i % 2 else draw(5) + item[5:]
+        items.append((i, " ".join(item)))
+        rows.append((i, " ".join(draw(20) + leak + draw(20)), 1, "x"))
+    assert all(similarity(words(t)[20:70], words(w)) >= 0.8 for (_, t, *_), (_, w) in zip(rows, items))
+    found = dc.leaks(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i in range(200)}
