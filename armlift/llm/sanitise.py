@@ -3,10 +3,11 @@
 1. Detection.  Addresses, numbers and cards are found in every whole text.  Around each, the words
    within ``WINDOW`` words are candidate terms.
 2. Co-occurrence.  With documents as trials, an entity ``c`` has information ``IC = -log2 p(c)`` and a
-   term ``t`` reveals ``PMI = log2 p(c, t) / (p(c) p(t))`` of it, at most ``IC``.  Frequencies of
-   terms count over all documents of the corpus, with map-side combine.
-3. Disclosure.  A term met with an entity in at least ``SUPPORT`` distinct texts whose ``PMI`` is at
-   least ``ALPHA`` of ``IC`` gives the entity away, and is a span of its own wherever it stands in a
+   term ``t`` reveals ``PMI = log2 p(c, t) / (p(c) p(t))`` of it, at most ``IC``.  A candidate's
+   frequencies, alone and with the entity, count whole documents of the whole corpus, wherever in them
+   it stands.
+3. Disclosure.  A candidate held with its entity by at least ``SUPPORT`` distinct texts whose ``PMI`` is
+   at least ``ALPHA`` of ``IC`` gives the entity away, and is a span of its own wherever it stands in a
    document that holds the entity.
 4. Sanitisation.  Entities are generalised to their kind and revealing terms to ``[TERM]``, or both
    are removed.
@@ -111,16 +112,15 @@ def _near(text: str, spans: list[tuple[str, int, int]], words: list[tuple[int, i
 
 _FOUND = (
     "doc_id long, hash long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "entities array<string>, terms array<struct<entity:string, term:string>>, "
-    "places array<struct<term:string, start:int, end:int>>"
+    "entities array<string>, terms array<struct<entity:string, term:string>>, words array<string>"
 )
-_NAMES = ["doc_id", "hash", *(f"n_{kind}" for kind in KINDS), "base", "entities", "terms", "places"]
+_NAMES = ["doc_id", "hash", *(f"n_{kind}" for kind in KINDS), "base", "entities", "terms", "words"]
 _TYPES = [
     *[pa.int64()] * 6,
     pa.string(),
     pa.list_(pa.string()),
     pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())])),
-    pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])),
+    pa.list_(pa.string()),
 ]
 
 
@@ -128,7 +128,6 @@ def _found_in(doc_id: int | None, text: str, digest: int) -> tuple:
     spans = entities(text)
     words = _words(text, spans) if spans else []
     pairs = sorted(_near(text, spans, words))
-    wanted = {term for _, term in pairs}
     return (
         doc_id,
         digest,
@@ -136,12 +135,12 @@ def _found_in(doc_id: int | None, text: str, digest: int) -> tuple:
         ",".join(f"{k}:{a}:{b}" for k, a, b in spans),
         sorted({f"{k}:{text[a:b]}" for k, a, b in spans}),
         [{"entity": e, "term": t} for e, t in pairs],
-        [{"term": t, "start": a, "end": b} for a, b, t in words if t in wanted],
+        sorted({t for _, _, t in words if len(t) >= MIN_TERM}),
     )
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: its entities, candidate terms, and where those terms stand."""
+    """One row per row of ``docs``: its entities, candidate terms, and the words beside entities."""
 
     def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -171,52 +170,62 @@ def revealing(found: DataFrame, docs: DataFrame) -> DataFrame:
     """
     total = found.count()
     held = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_c"))
-    joint = (
-        found.select("hash", F.explode("terms").alias("p"))
-        .groupBy("p.entity", "p.term", "hash")
-        .agg(F.count("*").alias("n"))
+    near = found.select(F.explode("terms").alias("p")).select("p.entity", "p.term").distinct()
+    near = stored(near, "sanitise-near")
+    counts = _documents_with(docs, near.select("term").distinct())
+    n = F.lit(float(total))
+    ic = F.log2(n / F.col("n_c"))
+    # Not even in all of the entity's documents would the other terms reach ALPHA.
+    most = F.log2(n / F.greatest("n_c", F.coalesce("n_t", F.lit(0))))
+    pairs = near.join(held, "entity").join(counts, "term", "left").where((ic > 0) & (most >= ALPHA * ic - 1e-9))
+    pairs = stored(pairs, "sanitise-pairs")
+    n_t = F.greatest(F.coalesce("n_t", "n_ct"), F.col("n_ct"))
+    return (
+        _met(found, pairs)
         .groupBy("entity", "term")
         .agg(F.sum("n").alias("n_ct"), F.count("*").alias("n_texts"))
         .where(F.col("n_texts") >= SUPPORT)
+        .join(pairs, ["entity", "term"])
+        .select("entity", "term", F.log2(F.col("n_ct") * n / (F.col("n_c") * n_t)).alias("pmi"), ic.alias("ic"))
+        .where(F.col("pmi") >= ALPHA * F.col("ic"))
     )
-    joint = stored(joint, "sanitise-pairs")
-    counts = _documents_with(docs, joint.select("term").distinct())
-    n_t = F.greatest(F.coalesce("n_t", "n_ct"), F.col("n_ct"))
-    return (
-        joint.join(held, "entity")
-        .join(counts, "term", "left")
-        .select(
-            "entity",
-            "term",
-            F.log2(F.col("n_ct") * F.lit(float(total)) / (F.col("n_c") * n_t)).alias("pmi"),
-            F.log2(F.lit(float(total)) / F.col("n_c")).alias("ic"),
-        )
-        .where((F.col("ic") > 0) & (F.col("pmi") >= ALPHA * F.col("ic")))
-    )
+
+
+def _met(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``entity``, ``term``, ``hash``, ``n``: the texts, and their rows, that hold both of a pair."""
+    copies = found.where("base <> ''").groupBy("hash").agg(F.count("*").alias("n"))
+    words = found.select("hash", F.explode("words").alias("term"))
+    words = words.join(pairs.select("term").distinct(), "term", "left_semi").distinct()
+    entities_ = found.select("hash", F.explode("entities").alias("entity"))
+    entities_ = entities_.join(pairs.select("entity").distinct(), "entity", "left_semi").distinct()
+    both = words.join(pairs.select("entity", "term"), "term").join(entities_, ["hash", "entity"])
+    return both.join(copies, "hash").select("entity", "term", "hash", "n")
+
+
+def _extra(docs: DataFrame, given: DataFrame) -> DataFrame:
+    """``hash`` and ``extra``: the spans of the terms given to each text."""
+
+    def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            extra = []
+            for text, terms in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                wanted = set(terms)
+                words = _words(text, entities(text))
+                extra.append(",".join(f"{TERM}:{a}:{b}" for a, b, t in words if t in wanted))
+            yield pa.record_batch([part.column(0), pa.array(extra, pa.string())], ["hash", "extra"])
+
+    rows = texts(docs).select(F.xxhash64("_text").alias("hash"), "_text")
+    return rows.join(given, "hash").mapInArrow(each, "hash long, extra string").dropDuplicates(["hash"])
 
 
 def _judged(docs: DataFrame) -> DataFrame:
     """The scan's rows with ``spans``, the base spans and those of revealing terms."""
     found = stored(_scan(docs), "sanitise-found")
-    given = (
-        found.select("doc_id", "hash", F.explode("terms").alias("p"))
-        .select("doc_id", "hash", "p.entity", "p.term")
-        .join(revealing(found, docs).select("entity", "term"), ["entity", "term"])
-        .groupBy("doc_id", "hash")
-        .agg(F.collect_set("term").alias("given"))
-    )
-    same = F.col("f.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("f.hash") == F.col("g.hash"))
-    spans = F.expr(
-        f"""
-        array_join(transform(
-          array_sort(transform(filter(places, p -> array_contains(given, p.term)), p -> struct(p.start AS a, p.end AS b))),
-          p -> concat('{TERM}:', p.a, ':', p.b)), ',')
-        """
-    )
+    terms = stored(revealing(found, docs).select("entity", "term"), "sanitise-terms")
+    given = _met(found, terms).groupBy("hash").agg(F.collect_set("term").alias("given"))
+    extra = _extra(docs, given)
     return (
-        found.alias("f")
-        .join(given.alias("g"), same, "left")
-        .select("f.*", F.coalesce(F.when(F.size("given") > 0, spans), F.lit("")).alias("extra"))
+        found.join(extra, "hash", "left")
         .withColumn("spans", F.concat_ws(",", F.nullif("base", F.lit("")), F.nullif("extra", F.lit(""))))
     )
 

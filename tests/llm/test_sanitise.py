@@ -102,3 +102,14 @@ def test_sanitised(spark):
     bare = {r.doc_id: r.text for r in sanitise.sanitised(docs, remove=True).collect()}
     assert bare[93] == "pay  today"
     assert sanitise._replaced("ab cdef", "email:1:4,ip:3:5", False) == "a[EMAIL][IP]ef"
+
+
+def test_terms_far_from_the_entity(spark):
+    """A term near an entity in one text counts, and goes, wherever the others hold it."""
+    far = "some other words that fill the line between both of them here"
+    rows = [(i, f"plain filler number {i} about nothing", "x", 1) for i in range(60)]
+    rows += [(100, "Zorblax writes from zed@mill.example.com", "x", 1)]
+    rows += [(101 + i, f"Zorblax {far} {far} {i} zed@mill.example.com", "x", 1) for i in range(3)]
+    rows += [(110, "Zorblax alone", "x", 1)]
+    spans = {r.doc_id: r.spans for r in sanitise.personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all("term:0:7" in spans[i] for i in range(100, 104)) and spans[110] == ""
