@@ -71,3 +71,15 @@ def test_sentences_are_lossless():
         assert "".join(raws) == text and len(raws) == len(norms) == len(sizes)
         assert sizes == [len(r.split()) for r in raws]
     assert len(sentences(" ".join(f"w{i}" for i in range(400)))[0]) > 400 / LONG_SENTENCE
+
+
+def test_passages_in_run_on_text():
+    """Any 51 equal words in text without end marks hold a full span."""
+    rng = random.Random(13)
+    draw = lambda n: [f"r{rng.randrange(5000)}" for _ in range(n)]
+    for length in (46, 51, 55, 60):
+        for _ in range(500):
+            passage = draw(length)
+            one, two = (" ".join(draw(rng.randint(0, 60)) + passage + draw(rng.randint(0, 60))) for _ in range(2))
+            both = [{s[0] for s in ss.spans(*sentences(t)[1:])} for t in (one, two)]
+            assert both[0] & both[1]
