@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from armlift.llm.common import stored, texts
+from armlift.llm.common import small, stored, texts
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -215,6 +215,7 @@ def _extra(docs: DataFrame, given: DataFrame) -> DataFrame:
             yield pa.record_batch([part.column(0), pa.array(extra, pa.string())], ["hash", "extra"])
 
     rows = texts(docs).select(F.xxhash64("_text").alias("hash"), "_text")
+    rows = rows.join(small(given.select("hash")), "hash", "left_semi")  # texts without such terms are not shuffled
     return rows.join(given, "hash").mapInArrow(each, "hash long, extra string").dropDuplicates(["hash"])
 
 
@@ -222,7 +223,7 @@ def _judged(docs: DataFrame) -> DataFrame:
     """The scan's rows with ``spans``, the base spans and those of revealing terms."""
     found = stored(_scan(docs), "sanitise-found")
     terms = stored(revealing(found, docs).select("entity", "term"), "sanitise-terms")
-    given = _met(found, terms).groupBy("hash").agg(F.collect_set("term").alias("given"))
+    given = stored(_met(found, terms).groupBy("hash").agg(F.collect_set("term").alias("given")), "sanitise-given")
     extra = _extra(docs, given)
     return (
         found.join(extra, "hash", "left")
