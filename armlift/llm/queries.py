@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from armlift.llm import decontaminate, licenses, mixing, ppm, prefix_counts, quality, sanitise, sentence_spans, simhash, wavelet
+from armlift.llm import (
+    decontaminate,
+    hard_negatives,
+    licenses,
+    mixing,
+    ppm,
+    prefix_counts,
+    quality,
+    sanitise,
+    sentence_spans,
+    simhash,
+    spelling,
+    top_k,
+    wavelet,
+)
 from armlift.sources.tables import new_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +88,18 @@ def op10_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_multi_index_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_asymmetric_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_block_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_temperature_mix": op1_temperature_mix,
     "op2_wavelet_shards": op2_wavelet_shards,
@@ -85,6 +111,9 @@ QUERIES: dict[str, Run] = {
     "op8_disclosing_terms": op8_disclosing_terms,
     "op9_partial_matching": op9_partial_matching,
     "op10_prefix_counts": op10_prefix_counts,
+    "op11_multi_index_negatives": op11_multi_index_negatives,
+    "op12_asymmetric_chunks": op12_asymmetric_chunks,
+    "op13_block_pruning": op13_block_pruning,
 }
 
 
@@ -166,7 +195,80 @@ SELECT doc_id, source, n AS n_tokens, round(weight, 9) AS weight, pass, block,
     / (passes + CASE WHEN cut >= 0 THEN 1 ELSE 0 END), 9) AS slot
 FROM passed"""
 
+def _vectors_sql(factor: int, columns: str = "") -> str:
+    """Rows of whole-number vectors."""
+    return f"""
+  SELECT DISTINCT vec_id{columns}, list_transform(embedding, lambda x: floor({factor} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+NEGATIVES_SQL = f"""
+WITH rows AS ({_vectors_sql(256, ", CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label")} AND label IS NOT NULL),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows AS a JOIN rows AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, p.other_id AS positive_id,
+  row_number() OVER (PARTITION BY anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)::INTEGER AS rank,
+  n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives AS p JOIN scored AS n USING (anchor_id)
+WHERE NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3"""
+
+TOP_K_SQL = f"""
+WITH rows AS ({_vectors_sql(64)}),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM rows AS q JOIN rows AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20"""
+
+#: CRC-32 has no function in DuckDB: its table by the polynomial's rule, and a fold over the bytes.
+SPELLING_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc, count(*) AS n, run FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{spelling.RUN}')) AS run
+    FROM documents) GROUP BY doc_id, run),
+bytes AS (
+  SELECT run, n, list_transform(range(1, strlen(doc || ':' || run) + 1),
+    lambda i: ('0x' || substr(hex(doc || ':' || run), 2 * i - 1, 2))::BIGINT) AS b FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, b),
+    lambda acc, x: xor(acc >> 8, t[(xor(acc, x) & 255) + 1])), 4294967295) AS h FROM bytes, crc),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % {spelling.SLIP} = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  GROUP BY word HAVING length(word) >= {spelling.MIN_LETTERS} AND sum(n) >= {spelling.MIN_COUNT}),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+masked AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM masked AS a JOIN masked AS b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM masked AS a JOIN words AS b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM masked AS a JOIN words AS b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(m := -m, other := hex(other), name := other)) AS b FROM near GROUP BY word),
+judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -b.m >= {spelling.DOMINANCE} * n THEN b.name END AS form,
+    CASE WHEN -b.m >= {spelling.DOMINANCE} * n THEN -b.m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chains AS (
+  SELECT word, coalesce(form, word) AS root, 0 AS step FROM judged
+  UNION ALL SELECT c.word, j.form, step + 1 FROM chains AS c JOIN judged AS j ON c.root = j.word WHERE j.form IS NOT NULL)
+SELECT word, form, arg_max(root, step) AS root, any_value(n) AS n, any_value(n_near) AS n_near, any_value(form_n) AS form_n
+FROM chains JOIN judged USING (word) GROUP BY word, form"""
+
 SQL: dict[str, str] = {
+    "op11_multi_index_negatives": NEGATIVES_SQL,
+    "op12_asymmetric_chunks": SPELLING_SQL,
+    "op13_block_pruning": TOP_K_SQL,
     "op1_temperature_mix": MIX_SQL,
     "op5_quality_rules": f"""
 WITH source AS (SELECT *, row_number() OVER () AS row_no FROM documents), {OP5_BODY}
