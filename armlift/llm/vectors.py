@@ -24,8 +24,8 @@ from armlift.llm.common import stored
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 #: Components are held within these ends, so that they can be negated and summed in pairs.
 END = 1 << 61
-#: Rows of a part and queries of a chunk.
-PART, CHUNK = 8192, 1024
+#: Rows of a part and queries of a chunk, at most; a small table is dealt into about ``PARTS`` parts.
+PART, CHUNK, PARTS, LEAST = 8192, 1024, 64, 256
 #: Parts whose summaries are looked through in one cell.
 SPAN = 64
 
@@ -57,7 +57,7 @@ def unit(key: Column) -> Column:
 
 
 def dealt(rows: DataFrame, code: str, size: int, name: str) -> tuple[DataFrame, int]:
-    """``rows`` with ``name``, the number of the bounded part they belong to, and how many parts there are.
+    """``rows`` with ``name``, the number of the part of at most about ``size`` rows they belong to, and the parts' number.
 
     Parts follow the order of ``code``, of which there are few distinct values; rows of one code are
     spread over the parts it reaches by their id's hash, so no code is too common.
@@ -67,6 +67,7 @@ def dealt(rows: DataFrame, code: str, size: int, name: str) -> tuple[DataFrame,
     for value, held in sorted((r[0], r[1]) for r in counts):
         before[value] = (at, held)
         at += held
+    size = min(size, max(LEAST, -(-at // PARTS)))
     parts = max(1, -(-at // size))
     if not before:
         return rows.withColumn(name, F.lit(0).cast("long")), parts
