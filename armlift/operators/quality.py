@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from armlift.operators.windows import lookup, registry_window
 from armlift.sources.schemas import KEY
+from armlift.sources.tables import table_counts
 
 _CLOCK = "yyyy-MM-dd HH:mm:ss"
 
@@ -81,6 +82,25 @@ def dq_leakage(outcomes: DataFrame, exposures: DataFrame, registry: DataFrame) -
     )
 
 
+def ingest_balance(
+    logged: dict[str, DataFrame], canonical: dict[str, DataFrame], kept_out: dict[str, DataFrame]
+) -> DataFrame:
+    """(table_name, experiment_id, logged_rows, canonical_rows, quarantined_rows, repeated_rows).
+
+    What was logged is in the table, in the quarantine, or a repeat of a row in the table: ``repeated_rows``
+    is what remains, and not below zero unless rows were made up.  A missing id is an id like others.
+    """
+    places = {"logged_rows": logged, "canonical_rows": canonical, "quarantined_rows": kept_out}
+    parts = [
+        table_counts(found).select("table_name", "experiment_id", F.lit(place).alias("place"), "rows")
+        for place, found in places.items()
+    ]
+    found = reduce(DataFrame.unionByName, parts).groupBy("table_name", "experiment_id").agg(
+        *[F.expr(f"coalesce(sum(rows) FILTER (WHERE place = '{place}'), 0L) AS {place}") for place in places]
+    )
+    return found.withColumn("repeated_rows", F.expr("logged_rows - canonical_rows - quarantined_rows"))
+
+
 def dq_rowcount_delta(raw: DataFrame, canonical: DataFrame) -> DataFrame:
     """Rows per experiment before and after canonicalisation."""
     counted = lambda df, name: df.groupBy("experiment_id").agg(F.count(F.lit(1)).alias(name))

@@ -11,10 +11,11 @@ from armlift.operators import ab, cuped, did, event_study, metrics, pretrend, qu
 from armlift.operators.exposure import dedup_exposures
 from armlift.operators.grain import user_columns
 from armlift.operators.moments import COMPLETE, MOMENTS
+from armlift.operators.replays import dedup_outcomes, outcome_replays
 from armlift.operators.windows import window_from_registry
 from armlift.sources import readers, tables
-from armlift.sources.contracts import contract_violations, require_writable
-from armlift.sources.schemas import DEFAULT_METRICS, DID_RESULTS, KEY, MetricSpec
+from armlift.sources.contracts import admitted, contract_violations, quarantined, require_writable
+from armlift.sources.schemas import DEFAULT_METRICS, DID_RESULTS, EXPOSURES, KEY, OUTCOMES, REGISTRY, MetricSpec
 
 
 @dataclass(frozen=True)
@@ -26,20 +27,27 @@ class Inputs:
     registry: DataFrame
     unique: bool = False
 
+    def by_name(self) -> dict[str, DataFrame]:
+        return {"exposures": self.exposures, "outcomes": self.outcomes, "experiment_registry": self.registry}
+
 
 def logged(spark: SparkSession, raw: str, experiment_ids: Sequence[str] | None = None) -> Inputs:
     """The raw tables in canonical columns, rows as they were logged.
 
+    Each row carries its fields as logged in one more column, and an outcome its event id if it has one.
     A table without a column it needs is refused here, before anything is written.
     """
     read = lambda name: spark.read.parquet(readers._location(f"{raw}/{name}.parquet"))
     found = {name: read(name) for name in ("exposures", "outcomes", "experiment_registry")}
     for name, df in found.items():
         require_writable(df, name)
+    text = (readers.LOGGED,)
+    event = (readers.EVENT_ID,) if readers.EVENT_ID in found["outcomes"].columns else ()
+    carried = {name: readers.with_logged_row(df) for name, df in found.items()}
     return Inputs(
-        readers.align_exposures(found["exposures"], experiment_ids),
-        readers.align_outcomes(found["outcomes"], experiment_ids),
-        readers.align_registry(found["experiment_registry"], experiment_ids),
+        readers.align_exposures(carried["exposures"], experiment_ids, text),
+        readers.align_outcomes(carried["outcomes"], experiment_ids, text + event),
+        readers.align_registry(carried["experiment_registry"], experiment_ids, text),
     )
 
 
@@ -55,23 +63,42 @@ def ingest(
     root: str,
     experiment_ids: Sequence[str] | None = None,
 ) -> Inputs:
-    """Raw Parquet to canonical partitioned tables.
+    """Raw Parquet to canonical partitioned tables, and what cannot go there to the quarantine.
 
-    A rerun replaces the same partitions, and empties those of experiments that
-    the raw tables no longer have rows of.
+    A row that breaks a blocking rule of its contract goes, as it was logged and with the rules it
+    breaks, to ``quarantine_<table>``; exposures and registry rows are made unique, and copies of
+    outcomes that a log wrote again are dropped.  A rerun replaces the same partitions, and empties
+    those of experiments that the raw tables no longer have rows of: a mended row leaves the
+    quarantine with the next run.
     """
     found = logged(spark, raw, experiment_ids)
     scope = experiments_in(found) if experiment_ids is None else list(experiment_ids)
+    good = {name: admitted(df, name) for name, df in found.by_name().items()}
     canonical = {
-        "exposures": dedup_exposures(found.exposures),
-        "outcomes": found.outcomes,
-        "experiment_registry": readers.unique_registry(found.registry),
+        "exposures": dedup_exposures(good["exposures"].drop(readers.LOGGED)),
+        "outcomes": dedup_outcomes(good["outcomes"]),
+        "experiment_registry": readers.unique_registry(good["experiment_registry"].drop(readers.LOGGED)),
     }
     for name, df in canonical.items():
-        tables.replace_partitions(df, f"{root}/{name}", scope, staged=False)
+        tables.replace_partitions(df, f"{root}/{name}", scope)
+    for name, df in found.by_name().items():
+        tables.replace_partitions(quarantined(df, name), f"{root}/quarantine_{name}", scope)
     return open_tables(spark, root, experiment_ids)
 
 
+def quarantine(
+    spark: SparkSession, root: str, experiment_ids: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """The rows that :func:`ingest` kept out, per table: canonical columns, the row as logged, broken rules."""
+    layouts = {"exposures": EXPOSURES, "outcomes": OUTCOMES, "experiment_registry": REGISTRY}
+    kept_out = {}
+    for name, columns in layouts.items():
+        fields = [*columns.items(), (readers.LOGGED, "string"), ("broken_rules", "array<string>")]
+        layout = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in fields)).schema
+        kept_out[name] = _only(tables.read_table(spark, f"{root}/quarantine_{name}", layout), experiment_ids)
+    return kept_out
+
+
 def _only(df: DataFrame, experiment_ids: Sequence[str] | None) -> DataFrame:
     """The listed experiments' partitions, or all."""
     return df if experiment_ids is None else df.where(F.col("experiment_id").isin(list(experiment_ids)))
@@ -203,15 +230,15 @@ def analyse(
     }
 
 
-def quality_tables(raw: Inputs, canonical: Inputs) -> dict[str, DataFrame]:
-    """Quality reports and contract breaks of what was logged, before anything was dropped."""
-    broken = [
-        contract_violations(df, name)
-        for df, name in (
-            (raw.exposures, "exposures"), (raw.outcomes, "outcomes"), (raw.registry, "experiment_registry"),
-        )
-    ]
+def quality_tables(raw: Inputs, canonical: Inputs, kept_out: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Quality reports and contract breaks of what was logged, before anything was dropped.
+
+    ``kept_out`` is :func:`quarantine` of the same run.
+    """
+    broken = [contract_violations(df, name) for name, df in raw.by_name().items()]
     return {
+        "ingest_balance": quality.ingest_balance(raw.by_name(), canonical.by_name(), kept_out),
+        "dq_outcome_replays": outcome_replays(admitted(raw.outcomes, "outcomes")),
         "contract_violations": broken[0].unionByName(broken[1]).unionByName(broken[2]),
         "dq_summary": quality.dq_summary(raw.exposures, raw.outcomes, raw.registry),
         "dq_variant_dist": quality.dq_variant_dist(raw.exposures),
@@ -286,7 +313,7 @@ def run(
             tables.replace_partitions(df, path, scope)
         return _only(tables.read_table(spark, path, df.schema), experiment_ids)
 
-    for name, df in quality_tables(found, inputs).items():
+    for name, df in quality_tables(found, inputs, quarantine(spark, root, experiment_ids)).items():
         store(name, df)
     shared = {n: store(n, df) for n, df in shared_tables(inputs, specs, target, covariate).items()}
     for name, df in analyse(inputs, shared, target, covariate, confidence, lower_is_better).items():

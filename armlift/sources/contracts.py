@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from armlift.sources.schemas import require_columns
@@ -67,11 +65,39 @@ def contract_violations(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+# Rules a row cannot break and stay: it then belongs to no experiment, user, arm or metric, or adds nothing.
+# The others are counted, and the row still takes part where it can.
+BLOCKING = {
+    "exposures": ("experiment_id_missing", "user_id_missing", "variant_missing", "variant_not_allowed"),
+    "outcomes": ("experiment_id_missing", "user_id_missing", "metric_name_missing", "value_missing"),
+    "experiment_registry": ("experiment_id_missing",),
+}
+
+
+def broken_rules(df: DataFrame, table: str) -> Column:
+    """Names of the rules a row breaks, in the order of the contract."""
+    rules = contract_rules(df, table)
+    return F.array_compact(F.array(*[F.when(broken, F.lit(rule)) for rule, broken in rules.items()]))
+
+
+def routed(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with ``broken_rules`` and ``kept_out``: every row goes to the table or to the quarantine."""
+    blocking = F.array(*[F.lit(rule) for rule in BLOCKING[table]])
+    return df.withColumn("broken_rules", broken_rules(df, table)).withColumn(
+        "kept_out", F.arrays_overlap("broken_rules", blocking)
+    )
+
+
+def admitted(df: DataFrame, table: str) -> DataFrame:
+    """The rows that go to the table."""
+    return routed(df, table).where(~F.col("kept_out")).drop("broken_rules", "kept_out")
+
+
+def quarantined(df: DataFrame, table: str) -> DataFrame:
+    """The rows that are kept out, with all the rules they break."""
+    return routed(df, table).where("kept_out").drop("kept_out")
+
+
 def valid_rows(df: DataFrame, table: str) -> DataFrame:
     """Rows that break no rule."""
-    broken = reduce(
-        lambda acc, c: acc | F.coalesce(c, F.lit(False)),
-        contract_rules(df, table).values(),
-        F.lit(False),
-    )
-    return df.where(~broken)
+    return routed(df, table).where(F.size("broken_rules") == 0).drop("broken_rules", "kept_out")

@@ -30,22 +30,44 @@ def _only(df: DataFrame, experiment_ids: Iterable[str] | None) -> DataFrame:
     return df.where(F.col("experiment_id").isin(list(experiment_ids)))
 
 
-def align_exposures(raw: DataFrame, experiment_ids: Iterable[str] | None = None) -> DataFrame:
+#: Text of a logged row, as it came.
+LOGGED = "logged_row"
+#: An outcome's own id in its log; optional.
+EVENT_ID = "event_id"
+
+
+def with_logged_row(raw: DataFrame) -> DataFrame:
+    """``raw`` with every row's fields as JSON beside them, for rows that cannot be used as they are."""
+    return raw.withColumn(LOGGED, F.to_json(F.struct("*")))
+
+
+def _kept(columns: Columns, keep: Iterable[str]) -> Columns:
+    return {**columns, **{name: "string" for name in keep}}
+
+
+def align_exposures(
+    raw: DataFrame, experiment_ids: Iterable[str] | None = None, keep: Iterable[str] = ()
+) -> DataFrame:
+    """Canonical exposures; ``keep`` names columns to carry along as text."""
     require_columns(raw, ["experiment_id"], "exposures")
-    return _only(align(raw, EXPOSURES), experiment_ids)
+    return _only(align(raw, _kept(EXPOSURES, keep)), experiment_ids)
 
 
-def align_outcomes(raw: DataFrame, experiment_ids: Iterable[str] | None = None) -> DataFrame:
+def align_outcomes(
+    raw: DataFrame, experiment_ids: Iterable[str] | None = None, keep: Iterable[str] = ()
+) -> DataFrame:
     """Canonical outcomes; ``ts`` comes from ``ts``, else ``outcome_ts``, else NULL."""
     require_columns(raw, ["experiment_id"], "outcomes")
     if "ts" not in raw.columns and "outcome_ts" in raw.columns:
         raw = raw.withColumnRenamed("outcome_ts", "ts")
-    return _only(align(raw, OUTCOMES), experiment_ids)
+    return _only(align(raw, _kept(OUTCOMES, keep)), experiment_ids)
 
 
-def align_registry(raw: DataFrame, experiment_ids: Iterable[str] | None = None) -> DataFrame:
+def align_registry(
+    raw: DataFrame, experiment_ids: Iterable[str] | None = None, keep: Iterable[str] = ()
+) -> DataFrame:
     require_columns(raw, ["experiment_id"], "experiment_registry")
-    return _only(align(raw, REGISTRY), experiment_ids)
+    return _only(align(raw, _kept(REGISTRY, keep)), experiment_ids)
 
 
 def unique_registry(registry: DataFrame) -> DataFrame:

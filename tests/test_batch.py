@@ -158,3 +158,73 @@ def test_names_with_quotes(spark, tmp_path):
     tables.replace_partitions(df, path)
     catalog.ensure_table(spark, "odd.results", {"delta": "double", "experiment_id": "string"}, path)
     assert spark.table("odd.results").first().delta == 1.0
+
+
+def test_broken_rows_go_to_the_quarantine_and_come_back(spark, folders):
+    raw, root = folders
+    people = [(f"u{i}", "treatment" if i % 2 else "control", 0, "e") for i in range(6)]
+    people += [(None, "control", 0, "e"), ("u9", "holdout", 0, "e"), ("u8", None, None, "e"), ("u1", "control", 3, "e")]
+    out = [("u1", "revenue", 1.0, 2, "e"), (None, "revenue", 2.0, 2, "e"), ("u2", None, 3.0, 2, "e"), ("u3", "revenue", None, None, "e")]
+    out += [("u4", "revenue", 4.0, None, "e"), ("u5", "revenue", 5.0, 2, None), ("u5", "revenue", 7.0, 2, "other")]
+    write(spark, raw, people, out, [("e", b.START, b.END, [], None), (None, b.START, b.END, [], None)])
+    stored = experiment.ingest(spark, raw, root)
+    kept_out = experiment.quarantine(spark, root)
+    rules = lambda name: sorted((r.experiment_id or "", r.user_id or "", *r.broken_rules) for r in kept_out[name].collect())
+    assert rules("exposures") == [
+        ("e", "", "user_id_missing"), ("e", "u8", "variant_missing", "exposure_ts_missing"), ("e", "u9", "variant_not_allowed"),
+    ]
+    assert rules("outcomes") == [
+        ("", "u5", "experiment_id_missing"), ("e", "", "user_id_missing"), ("e", "u2", "metric_name_missing"),
+        ("e", "u3", "value_missing", "ts_missing"),
+    ]
+    assert [r.broken_rules for r in kept_out["experiment_registry"].collect()] == [["experiment_id_missing", "name_missing"]]
+    assert sorted(r.user_id for r in stored.outcomes.collect()) == ["u1", "u4", "u5"]
+    assert '"metric_name":"revenue"' in kept_out["outcomes"].where("user_id = 'u3'").first().logged_row
+    balance = experiment.quality.ingest_balance(
+        experiment.logged(spark, raw).by_name(), stored.by_name(), kept_out
+    ).collect()
+    assert {(r.table_name, r.experiment_id): tuple(r)[2:] for r in balance} == {
+        ("exposures", "e"): (10, 6, 3, 1), ("outcomes", "e"): (5, 2, 3, 0), ("outcomes", None): (1, 0, 1, 0),
+        ("outcomes", "other"): (1, 1, 0, 0), ("experiment_registry", "e"): (1, 1, 0, 0), ("experiment_registry", None): (1, 0, 1, 0),
+    }
+
+    # The log is mended: the rows move from the quarantine to the tables.
+    write(spark, raw, people[:6], [("u1", "revenue", 1.0, 2, "e"), ("u2", "revenue", 3.0, 2, "e")], [("e", b.START, b.END, [], None)])
+    again = experiment.ingest(spark, raw, root, ["e", "other"])
+    kept_out = experiment.quarantine(spark, root)
+    assert all(df.count() == 0 for df in kept_out.values())
+    assert sorted(r.user_id for r in again.outcomes.collect()) == ["u1", "u2"]
+
+
+def test_a_value_that_is_no_number_keeps_its_text(spark, folders):
+    raw, root = folders
+    write(spark, raw, [("u", "control", 0, "e")], [("u", "revenue", 1.0, 2, "e")], [("e", b.START, b.END, [], None)])
+    odd = spark.createDataFrame([("e", "u", "revenue", "12,5", b.day(1))], "experiment_id string, user_id string, metric_name string, value string, ts timestamp")
+    odd.write.mode("overwrite").parquet(f"{raw}/outcomes.parquet")
+    experiment.ingest(spark, raw, root)
+    row = experiment.quarantine(spark, root)["outcomes"].first()
+    assert row.value is None and '"value":"12,5"' in row.logged_row and row.broken_rules == ["value_missing"]
+
+
+def test_replayed_logs(spark):
+    from armlift.operators import replays
+
+    layout = "experiment_id string, user_id string, metric_name string, value double, ts timestamp, event_id string"
+    day = lambda rows, n: [("e", f"u{i}", "m", float(i), b.day(n), None) for i in range(rows)]
+    rows = day(25, 1) * 3 + [("e", "u0", "m", 0.0, b.day(1), None)] * 3  # a day logged three times, u0 bought twice
+    rows += day(25, 2) * 2 + [("e", "late", "m", 1.0, b.day(2), None)]  # one row stands once: no replay
+    rows += day(5, 3) * 2  # too few rows to tell
+    rows += [("e", "u", "m", v, b.day(4), "id1") for v in (2.0, 1.0, 1.0)] + [("e", "u", "m", 1.0, b.day(4), "id2")]
+    rows += [("e", "u", "m", 1.0, None, "id1"), ("e", None, None, None, None, None), ("e", None, None, None, None, None)]
+    df = spark.createDataFrame(rows, layout)
+    got = replays.dedup_outcomes(df).groupBy("ts").count().collect()
+    assert {r.ts: r["count"] for r in got} == {b.day(1): 26, b.day(2): 51, b.day(3): 10, b.day(4): 2, None: 3}
+    report = {r.batch and r.batch.day: r for r in replays.outcome_replays(df).collect()}
+    assert set(report) == {2, 5}
+    assert (report[2].logged, report[2].kept, report[2].replayed_rows, report[2].factor) == (78, 26, 52, 3)
+    assert (report[5].event_copies, report[5].conflicting, report[5].kept) == (2, 1, 2)
+    assert replays.dedup_outcomes(df.drop("event_id").limit(0)).count() == 0
+    low = replays.dedup_outcomes(df.where("event_id = 'id1' AND ts IS NOT NULL")).first()
+    assert low.value == 1.0
+    many = spark.createDataFrame(day(20, 1) * 62, layout)
+    assert replays.dedup_outcomes(many).count() == 20

@@ -7,7 +7,7 @@ from the hash alone, so no join is needed to build either table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from armlift.operators.exposure import assign_variants
 from armlift.sources.readers import align_exposures, align_outcomes
@@ -129,6 +129,38 @@ def outcomes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outcomes_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes with values as text, of which some rows lost a field, by the last digits of the order.
+
+    0: no user, 1: no metric, 2: a value that is no number, 3: no value and no metric.
+    """
+    digit = "o_orderkey % 100"
+    return outcomes_raw(spark, sf_dir).selectExpr(
+        "experiment_id",
+        f"if({digit} = 0, NULL, user_id) AS user_id",
+        f"if({digit} IN (1, 3), NULL, metric_name) AS metric_name",
+        f"CASE {digit} WHEN 2 THEN 'n/a' WHEN 3 THEN NULL ELSE CAST(value AS STRING) END AS value",
+        "outcome_ts",
+        "o_orderkey",
+    )
+
+
+def outcomes_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of which a log wrote some again; urgent and high-priority orders have event ids.
+
+    Every fifth event is logged twice, every 25th the second time with a larger value.  Rows
+    without an event id are logged three times in odd months.
+    """
+    urgent = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS key", "o_orderpriority < '3' AS urgent")
+    rows = outcomes_raw(spark, sf_dir).join(urgent, F.col("o_orderkey") == F.col("key"))
+    rows = rows.withColumn("event_id", F.expr("if(urgent, concat(o_orderkey, '/', metric_name), NULL)"))
+    copies = "if(urgent, if(o_orderkey % 5 = 0, 2, 1), if(month(outcome_ts) % 2 = 1, 3, 1))"
+    return rows.selectExpr("*", f"explode(sequence(1, {copies})) AS copy").selectExpr(
+        "experiment_id", "user_id", "metric_name",
+        "if(urgent AND copy = 2 AND o_orderkey % 25 = 0, value + 1, value) AS value", "outcome_ts", "event_id",
+    )
+
+
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_outcomes(outcomes_raw(spark, sf_dir))
 

@@ -57,6 +57,37 @@ outcomes AS (
   SELECT experiment_id, user_id, 'conversion', CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END::DOUBLE, ts
   FROM visits WHERE placed >= exposure_ts
 ),
+keyed AS (
+  SELECT *, o_orderkey % 100 AS digit,
+         CASE WHEN o_orderpriority < '3' THEN o_orderkey || '/' || metric_name END AS event_id
+  FROM (
+    SELECT a.experiment_id, a.user_id, o.o_orderkey, o.o_orderpriority,
+           CASE WHEN o.o_orderkey % 97 > 0 THEN o.o_orderdate END AS ts,
+           unnest(CASE WHEN o.o_orderdate < a.exposure_ts THEN ['pre_revenue'] ELSE ['revenue', 'conversion'] END) AS metric_name,
+           o.o_totalprice / 1000 AS amount, o.o_orderstatus
+    FROM everyone a JOIN orders o ON o.o_custkey = a.c_custkey)
+),
+keyed_outcomes AS (
+  SELECT *, CASE WHEN metric_name <> 'conversion' THEN amount WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END::DOUBLE AS value
+  FROM keyed
+),
+replayed AS (
+  SELECT experiment_id, user_id, metric_name, ts, event_id,
+         CASE WHEN event_id IS NULL THEN value END AS same, min(value) AS value,
+         coalesce(date_trunc('month', ts)::DATE, DATE '0001-01-01') AS batch,
+         sum(CASE WHEN event_id IS NOT NULL THEN CASE WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END
+                  WHEN month(ts) % 2 = 1 THEN 3 ELSE 1 END)::BIGINT AS copies,
+         bool_or(event_id IS NOT NULL AND o_orderkey % 25 = 0) AS conflicting
+  FROM keyed_outcomes GROUP BY ALL
+),
+factors AS (
+  SELECT experiment_id, batch, CASE WHEN count(*) < 20 THEN 1 ELSE list_reduce(list(copies), lambda a, b: gcd(a, b)) END AS factor
+  FROM replayed WHERE event_id IS NULL GROUP BY ALL
+),
+unrepeated AS (
+  SELECT r.*, coalesce(factor, 1) AS factor, CASE WHEN event_id IS NULL THEN copies // coalesce(factor, 1) ELSE 1 END AS kept
+  FROM replayed r LEFT JOIN factors f USING (experiment_id, batch)
+),
 order_values AS (
   SELECT r.experiment_id, r.start_ts, o.o_custkey::VARCHAR AS user_id, 'order_value' AS metric_name,
          o.o_totalprice / 1000 AS value, o.o_orderdate AS ts

@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from armlift.functions.scalars import TIMESTAMP_LAYOUTS, coerce_timestamp as coerce
-from armlift.operators import ab, metrics, summary
+from armlift.operators import ab, metrics, quality, replays, summary
 from armlift.operators.exposure import dedup_exposures as dedup
+from armlift.plans import experiment
 from armlift.sources import contracts, readers, tables
 from armlift.sources.schemas import MetricSpec
 from workload import fixtures as fx
@@ -285,6 +286,104 @@ def contract_violations(spark, sf):
     return reduce(DataFrame.unionByName, checked)
 
 
+def _ingested(spark, sf, *logs: DataFrame) -> tuple[str, str]:
+    """Folders of the raw and the ingested tables, after one ingest for each outcome log."""
+    raw, root = tables.new_path(spark, "raw"), tables.new_path(spark, "ingested")
+    fx.exposures_raw(spark, sf).write.parquet(f"{raw}/exposures.parquet")
+    fx.registry(spark).write.parquet(f"{raw}/experiment_registry.parquet")
+    for log in logs:
+        log.write.mode("overwrite").parquet(f"{raw}/outcomes.parquet")
+        experiment.ingest(spark, raw, root)
+    return raw, root
+
+
+@case(
+    """
+    SELECT 'exposures' AS table_name, experiment_id, user_id, variant, NULL::VARCHAR AS metric_name,
+           CASE WHEN user_id IS NULL THEN 'user_id_missing' ELSE 'variant_not_allowed,unit_not_allowed' END AS rules,
+           NULL::VARCHAR AS logged_value
+    FROM exposures_raw WHERE user_id IS NULL OR variant = 'holdout'
+    UNION ALL
+    SELECT 'outcomes', experiment_id, CASE WHEN digit <> 0 THEN user_id END, NULL,
+           CASE WHEN digit IN (0, 2) THEN metric_name END,
+           CASE digit WHEN 0 THEN 'user_id_missing' WHEN 1 THEN 'metric_name_missing' WHEN 2 THEN 'value_missing'
+             ELSE 'metric_name_missing,value_missing' END || CASE WHEN ts IS NULL THEN ',ts_missing' ELSE '' END,
+           CASE digit WHEN 2 THEN 'n/a' WHEN 3 THEN NULL ELSE 'number' END
+    FROM keyed WHERE experiment_id = 'exp_orders_a' AND digit < 4
+    """
+)
+def quarantine_rows(spark, sf):
+    """A faulty log, ingested; then again after one experiment's outcomes were mended."""
+    faulty = fx.outcomes_faulty(spark, sf)
+    sound = fx.outcomes_raw(spark, sf).withColumn("value", F.col("value").cast("string"))
+    of = lambda df, e: df.where(F.col("experiment_id") == e).select(*faulty.columns)
+    mended = of(faulty, "exp_orders_a").unionByName(of(sound, "exp_orders_b"))
+    _, root = _ingested(spark, sf, faulty, mended)
+    kept_out = experiment.quarantine(spark, root)
+    value = F.get_json_object(readers.LOGGED, "$.value")
+    shown = {
+        "exposures": ("variant", F.lit(None).cast("string"), F.lit(None).cast("string")),
+        "outcomes": (F.lit(None).cast("string"), "metric_name", F.when(value == "n/a", value).otherwise(F.nvl2(value, F.lit("number"), value))),
+    }
+    parts = [
+        kept_out[name].select(
+            F.lit(name).alias("table_name"), "experiment_id", "user_id",
+            *[(F.col(c) if isinstance(c, str) else c).alias(to) for c, to in zip(columns, ("variant", "metric_name", "logged_value"))],
+            F.array_join("broken_rules", ",").alias("rules"),
+        )
+        for name, columns in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@case(
+    """
+    SELECT 'exposures' AS table_name, experiment_id, count(*) AS logged_rows,
+           count(DISTINCT user_id) FILTER (variant <> 'holdout') AS canonical_rows,
+           count(*) FILTER (user_id IS NULL OR variant = 'holdout') AS quarantined_rows,
+           count(user_id) FILTER (variant <> 'holdout') - count(DISTINCT user_id) FILTER (variant <> 'holdout') AS repeated_rows
+    FROM exposures_raw GROUP BY ALL
+    UNION ALL
+    SELECT 'outcomes', experiment_id, count(*), count(*) FILTER (digit > 3), count(*) FILTER (digit < 4), 0
+    FROM keyed GROUP BY ALL
+    UNION ALL SELECT 'experiment_registry', experiment_id, 1, 1, 0, 0 FROM registry
+    """
+)
+def ingest_balance(spark, sf):
+    """Logged rows are in the table, in the quarantine, or repeats."""
+    raw, root = _ingested(spark, sf, fx.outcomes_faulty(spark, sf))
+    logged, stored = experiment.logged(spark, raw), experiment.open_tables(spark, root)
+    return quality.ingest_balance(logged.by_name(), stored.by_name(), experiment.quarantine(spark, root))
+
+
+def _replayed(spark, sf) -> DataFrame:
+    return readers.align_outcomes(fx.outcomes_replayed(spark, sf), keep=[readers.EVENT_ID])
+
+
+@case(
+    """
+    SELECT experiment_id, user_id, metric_name, value, ts
+    FROM (SELECT *, unnest(range(kept)) FROM unrepeated)
+    """,
+    digits="value",
+)
+def dedup_outcomes(spark, sf):
+    return replays.dedup_outcomes(_replayed(spark, sf), batch=F.trunc("ts", "month"))
+
+
+@case(
+    """
+    SELECT experiment_id, metric_name, nullif(batch, DATE '0001-01-01') AS batch, sum(copies)::BIGINT AS logged, sum(kept)::BIGINT AS kept,
+           coalesce(sum(copies - kept) FILTER (event_id IS NOT NULL), 0)::BIGINT AS event_copies,
+           coalesce(sum(copies - kept) FILTER (event_id IS NULL), 0)::BIGINT AS replayed_rows,
+           max(factor)::INTEGER AS factor, count(*) FILTER (conflicting) AS conflicting
+    FROM unrepeated GROUP BY experiment_id, metric_name, batch HAVING sum(copies) > sum(kept)
+    """
+)
+def dq_outcome_replays(spark, sf):
+    return replays.outcome_replays(_replayed(spark, sf), batch=F.trunc("ts", "month"))
+
+
 @case("SELECT * FROM exposures")
 def dedup_exposures(spark, sf):
     return dedup(fx.exposures_logged(spark, sf))
