@@ -6,14 +6,19 @@ columns of the input, whatever they are called, are neither read nor in the way.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from armlift.sources.tables import new_path
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from armlift.sources.tables import drop_path, new_path
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 SPACE = " \t\n\x0b\x0c\r"
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 8 << 20
+#: Folders of this program's stored tables that still stand.
+_STORED: list[str] = []
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -42,7 +47,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    _STORED.append(path)
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables that :func:`stored` returned, once nothing reads them any more."""
+    for table in tables:
+        drop_path(table.sparkSession, table._stored_at)
+        _STORED.remove(table._stored_at)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is :func:`stored` inside is removed at the end, for work whose result is written by then."""
+    held, _STORED[:] = list(_STORED), []
+    try:
+        yield
+    finally:
+        for path in _STORED:
+            drop_path(spark, path)
+        _STORED[:] = held
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, text_bytes: int = BROADCAST_BYTES) -> DataFrame:
