@@ -23,7 +23,8 @@ from armlift.llm.tokens import batches, byte_bpe
 
 BLOCK = 512
 SHARD_TOKENS = 1 << 22
-PARTITION_CHARACTERS = 24_000_000
+#: Characters of a task's range of documents at least, and ranges at most; a range is written as several shards.
+PARTITION_CHARACTERS, PARTITIONS = 24_000_000, 20_000
 
 
 class WaveletMatrix:
@@ -136,32 +137,46 @@ _ARROW = pa.schema(
 )
 
 
-def _shard(seq: int, doc_ids: list[int | None], buffers: list[bytes], dtype: np.dtype, width: int) -> pa.RecordBatch:
-    ids = np.frombuffer(b"".join(buffers), dtype)
-    lengths = np.array([len(b) // dtype.itemsize for b in buffers], "<u4")
+def _shard(seq: int, doc_ids: pa.Array, ids: np.ndarray, lengths: np.ndarray, width: int) -> pa.RecordBatch:
     matrix = WaveletMatrix.build(ids, width)
     planes, ranks = b"".join(b.tobytes() for b in matrix.bits), b"".join(r.tobytes() for r in matrix.ranks)
-    row = [seq, len(doc_ids), len(ids), doc_ids, lengths.tobytes(), width, matrix.zeros, planes, ranks]
+    counts = lengths.astype("<u4").tobytes()
+    row = [seq, len(doc_ids), len(ids), doc_ids.to_pylist(), counts, width, matrix.zeros, planes, ranks]
     return pa.record_batch([pa.array([v], f.type) for v, f in zip(row, _ARROW)], schema=_ARROW)
 
 
+def _ended(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids with the end id after every document, and their counts."""
+    return np.insert(ids, np.cumsum(lengths), end_id), lengths + 1
+
+
 def _encoder(tokenizer_path: str, end_id: int, shard_tokens: int):
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(tokenizer_path)
-        end = np.array([end_id], bpe.dtype).tobytes()
         width = max(1, max(len(bpe.starts) - 1, end_id).bit_length())
-        seq, held, doc_ids, buffers = 0, 0, [], []
-        rows = (r for part in parts for r in zip(part.column(0).to_pylist(), part.column(1).to_pylist()))
-        for group in batches(rows, 1):
-            for (doc_id, _), ids in zip(group, bpe.encode([text for _, text in group])):
-                doc_ids.append(doc_id)
-                buffers.append(ids + end)
-                held += len(buffers[-1]) // bpe.dtype.itemsize
-                if held >= shard_tokens:
-                    yield _shard(seq, doc_ids, buffers, bpe.dtype, width)
-                    seq, held, doc_ids, buffers = seq + 1, 0, [], []
-        if doc_ids:
-            yield _shard(seq, doc_ids, buffers, bpe.dtype, width)
+        seq, kept = 0, []  # what the open shard holds: (document ids, ids, counts)
+
+        def closed() -> pa.RecordBatch:
+            docs = pa.concat_arrays([k[0] for k in kept])
+            ids, lengths = (np.concatenate([k[i] for k in kept]) for i in (1, 2))
+            return _shard(seq, docs, ids, lengths, width)
+
+        for batch in batches(parts, "_text"):
+            docs, (ids, lengths) = batch.column("_id"), bpe.encode(batch.column("_text"))
+            ids, lengths = _ended(ids, lengths, end_id)
+            while len(docs):
+                held = sum(len(k[1]) for k in kept)
+                ends = np.cumsum(lengths)
+                fills = int(np.searchsorted(ends, shard_tokens - held)) + 1  # documents up to the one that fills it
+                take = min(fills, len(docs))
+                cut = int(ends[take - 1])
+                kept.append((docs[:take], ids[:cut], lengths[:take]))
+                docs, ids, lengths = docs[take:], ids[cut:], lengths[take:]
+                if take == fills:
+                    yield closed()
+                    seq, kept = seq + 1, []
+        if kept:
+            yield closed()
 
     return encode
 
@@ -180,8 +195,10 @@ def write(
     size = rows.agg(F.sum(F.char_length("_text"))).first()[0] or 0
     ordered = (
         rows.withColumn("_tie", F.xxhash64("_text"))
-        .repartitionByRange(max(1, -(-size // PARTITION_CHARACTERS)), "_id", "_tie")
-        .sortWithinPartitions("_id", "_tie")
+        # Rows equal in both are told apart by where they were read, so that many of them fill several ranges.
+        .withColumn("_read", F.monotonically_increasing_id())
+        .repartitionByRange(min(PARTITIONS, max(1, -(-size // PARTITION_CHARACTERS))), "_id", "_tie", "_read")
+        .sortWithinPartitions("_id", "_tie", "_read")
         .select("_id", "_text")
     )
     ordered.mapInArrow(_encoder(tokenizer_path, end_id, shard_tokens), SCHEMA).select(
@@ -209,7 +226,7 @@ def matrix_of(row) -> WaveletMatrix:
 def starts(spark: SparkSession, path: str) -> DataFrame:
     """``part``, ``seq`` and ``offset``: tokens in all shards before each; reads the counts only.
 
-    Sums run within a writing task and then over one row per task.
+    Sums run within a writing task and then over one row per task, of which there are at most ``PARTITIONS``.
     """
     sizes = shards(spark, path).select("part", "seq", "n_tokens")
     parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("total"))

@@ -1,11 +1,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from armlift.llm import wavelet
 from armlift.llm.queries import vocabulary
-from armlift.llm.tokens import ByteBpe, load
+from armlift.llm.tokens import ByteBpe, batches, load
 
 PATH = vocabulary("byte_bpe_50k.json")
 TEXTS = [
@@ -26,9 +27,25 @@ def direct(text):
 
 def test_cached_encoding_equals_the_library():
     bpe = ByteBpe(PATH, cache_words=5)
-    for group in (TEXTS, TEXTS[::-1], TEXTS):
-        for text, ids in zip(group, bpe.encode(group)):
-            assert np.frombuffer(ids, bpe.dtype).tolist() == direct(text)
+    for group in (TEXTS, TEXTS[::-1], TEXTS, ["x"] + TEXTS, [" "], [""], []):
+        texts = pa.array(group, pa.string()).slice(1) if group[:1] == ["x"] else pa.array(group, pa.string())
+        ids, lengths = bpe.encode(texts)
+        cuts = np.split(ids, np.cumsum(lengths)[:-1]) if group else []
+        assert [c.tolist() for c in cuts] == [direct(t) for t in texts.to_pylist()]
+
+
+def test_batches_are_bounded():
+    texts = ["a" * 40, "b" * 70, None, "", "c" * 500, "d" * 30, "e" * 30]
+    part = pa.record_batch([pa.array(range(7)), pa.array([t or "" for t in texts])], ["_id", "_text"])
+    got = [b.column("_id").to_pylist() for b in batches([part, part.slice(0, 0)], "_text", 100)]
+    assert got == [[0], [1, 2, 3], [4], [5, 6]]
+
+
+def test_very_long_text():
+    rng = np.random.default_rng(2)
+    long = " ".join(f"word{n}" for n in rng.integers(0, 3000, 200_000)) + " " * 1000 + "x" * 100_000
+    ids, lengths = ByteBpe(PATH).encode(pa.array([long, "end"]))
+    assert ids[: lengths[0]].tolist() == direct(long) and ids[lengths[0] :].tolist() == direct("end")
 
 
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 3000])
@@ -76,6 +93,17 @@ def test_shards_round_trip(spark, tmp_path):
     assert ends >= {(r.doc_id, r.n_tokens - 1) for r in got}
 
 
+def test_many_equal_rows_fill_several_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(wavelet, "PARTITION_CHARACTERS", 500)
+    rows = [(None, "one text many times")] * 300 + [(7, "seven")]
+    path = str(tmp_path / "equal")
+    wavelet.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path, PATH)
+    assert wavelet.shards(spark, path).select("part").distinct().count() > 5
+    got = sorted(wavelet.documents(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 300 + [7] and len({r.ids_crc32 for r in got}) == 2
+    assert got[-1].start == 300 * got[0].n_tokens
+
+
 def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     path = str(tmp_path / "none")
