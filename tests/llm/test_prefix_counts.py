@@ -1,4 +1,7 @@
-import numpy as np
+import random
+import time
+
+import pyarrow as pa
 
 from armlift.llm import prefix_counts
 from armlift.llm.queries import vocabulary
@@ -30,10 +33,9 @@ def test_counts_and_prefixes(spark):
         if i == 3:
             continue  # the id is used by other rows too
         raw = text.encode()
-        step = max(1, len(text) // 60)
-        for n in range(0, len(text) + 1, step):
-            cut = len(text[:n].encode())
-            assert prefix_counts.tokens_of_prefix(table[i], cut, raw, tokenizer) == count(text[:n])
+        step = max(1, len(raw) // 90)
+        for cut in range(0, len(raw) + 1, step):  # any byte, also inside a character
+            assert prefix_counts.tokens_of_prefix(table[i], cut) == count(raw[:cut].decode(errors="ignore"))
         for budget in (0, 1, 3, 8, 10_000):
             end = prefix_counts.truncation(table[i], budget)
             assert count(raw[:end].decode()) <= budget
@@ -44,9 +46,43 @@ def test_counts_and_prefixes(spark):
     assert prefix_counts.count_tokens(docs.limit(0), PATH).count() == 0
 
 
+def odd_words(n):
+    rng = random.Random(9)
+    letters = ["abcdefghijklmnopqrstuvwxyz", "etaoin", "aA", "éÉßüñÑöàœ", "漢字かなкириллица", "'sStTrReEvVmMlLdD", "0123456789"]
+    letters += ["!?.,;:-_()[]{}<>|/\\@#$%^&*+=~`\"'", "ΣσςİıŞ", "e\u0301a\u0308=\u0338", "\x1c\x85\u00a0"]
+    return ["".join(rng.choice(rng.choice(letters[: rng.randint(1, len(letters))])) for _ in range(rng.randint(1, 14))) for _ in range(n)]
+
+
+def test_every_prefix_of_odd_words():
+    counter, words = prefix_counts.WordCounts(PATH), odd_words(3000) + ["it's", "we'll", "a<|endoftext|>b", "<|endoftext", "aaaaaaa"]
+    assert counter.split is not None
+    asked = [counter._asked(w) for w in words]
+    assert counter.of(words) == asked
+    assert [c[-1] for c in counter.of(words, every=False)] == [a[-1] for a in asked]
+
+
+def test_the_recurrence_asks_nothing():
+    """Plain words are counted without the library; a file of other pieces has all words asked."""
+    counter = prefix_counts.WordCounts(PATH)
+    counter.tokenizer = None
+    assert counter.of(["There", "therefore", "x;;"], every=False) and len(counter.of(["Therefore"])[0]) == 9
+    other = prefix_counts.WordCounts(vocabulary("byte_bpe_50k.json"))
+    assert other.of(["there's"]) == [other._asked("there's")]
+
+
+def test_long_piece_is_linear():
+    counter = prefix_counts.WordCounts(PATH)
+    begun = time.perf_counter()
+    found = counter.of(["abcdefghij" * 20_000, "-+" * 50_000])
+    assert len(found[0]) == 200_000 and time.perf_counter() - begun < 60
+    assert found[0][999] == len(load(PATH).encode("abcdefghij" * 100, add_special_tokens=False).ids)
+
+
 def test_small_cache_gives_the_same():
-    split = [t.encode().split() for t in TEXTS]
-    whole = prefix_counts.WordCounts(PATH).counts(split)
-    tiny = prefix_counts.WordCounts(PATH, cache_words=2)
-    for words, counts in zip(split, whole):
-        assert np.array_equal(tiny.counts([words])[0], counts)
+    words = [w for t in TEXTS for w in t.split() if w]
+    whole, tiny = prefix_counts.WordCounts(PATH), prefix_counts.WordCounts(PATH, cache_words=2)
+    for group in (words, words[::-1], words[:3]):
+        column = pa.array(group, pa.large_string())
+        for counter in (whole, tiny):
+            numbers = counter.numbers(column)
+            assert counter.totals()[numbers].tolist() == [c[-1] for c in whole.of(group)]
