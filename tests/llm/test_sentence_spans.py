@@ -1,30 +1,67 @@
 import random
+import re
+import time
+import zlib
 
 from armlift.llm import sentence_spans as ss
-from armlift.llm.sentence_spans import LONG_SENTENCE, SENTENCES, WORDS, sentences
+from armlift.llm.sentence_spans import CUT_WINDOW, SENTENCES, WORDS, Pieces
 
 SCHEMA = "doc_id long, text string, span string, doc int"
 
 
+def sentences(text):
+    """Pieces by the rule, word by word: (as they stand, in lower case with single spaces, words)."""
+    raws, out = re.findall(r"[^.!?\n]*[.!?\n]+[\"')\]]*\s*|[^.!?\n]+\Z", text), []
+    for raw in raws:
+        words = [(m.end(), m[0]) for m in re.finditer(r"\S+", raw)]
+        hashes = [zlib.crc32(w.lower().encode()) for _, w in words]
+        cuts = set()
+        for end in range(CUT_WINDOW, len(hashes) + 1):
+            window = range(end - CUT_WINDOW, end)
+            cuts.add(max(i for i in window if hashes[i] == min(hashes[k] for k in window)))
+        at = 0
+        for place in [words[i][0] for i in sorted(cuts) if i < len(words) - 1] + [len(raw)]:
+            part = raw[at:place]
+            if part.split() or not out:
+                out.append(part)
+            else:
+                out[-1] += part
+            at = place
+    merged = []
+    for part in out:  # blanks before the first word belong to it
+        if merged and not merged[-1].split():
+            merged[-1] += part
+        else:
+            merged.append(part)
+    return merged, [" ".join(p.lower().split()) for p in merged], [len(p.split()) for p in merged]
+
+
 def brute(rows):
     """Every span of every text compared with all texts before it, by wording."""
-    def runs(norms, sizes):
+    def runs(norms, sizes, raws):
+        full = lambda i, j: j - i >= SENTENCES and sum(sizes[i:j]) >= WORDS
         for i in range(len(norms)):
             for j in range(i + SENTENCES, len(norms) + 1):
-                if sum(sizes[i:j]) >= WORDS:
+                if full(i, j):
                     yield i, j, " ".join(norms[i:j])
                     break
+        for j in range(1, len(norms) + 1):
+            if j == len(norms) or "\n" in raws[j - 1]:
+                for i in range(j - SENTENCES, -1, -1):
+                    if full(i, j):
+                        yield i, j, " ".join(norms[i:j])
+                        break
 
     texts = [(r[0], r[1] or "") for r in rows]
     cut = [sentences(t) for _, t in texts]
     out = []
-    for (doc, text), (raws, norms, sizes) in zip(texts, cut):
+    for (doc, _), (raws, norms, sizes) in zip(texts, cut):
         before = set()
-        for (other, other_text), (_, n, s) in zip(texts, cut):
+        for (other, _), (other_raws, n, s) in zip(texts, cut):
             if other is not None and (doc is None or other < doc):
-                before |= {r for _, _, r in runs(n, s)}
+                before |= {r for _, _, r in runs(n, s, other_raws)}
         gone, met = set(), set()
-        for i, j, run in runs(norms, sizes):
+        for i, j, run in sorted(set(runs(norms, sizes, raws))):
             if run in before or run in met:
                 gone |= set(range(i, j))
             met.add(run)
@@ -65,12 +102,40 @@ def test_against_brute_force(spark):
     assert ss.deduplicate(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_sentences_are_lossless():
-    for text in ["", "\n\n", "a.b. c", " lead. x", "no end", "q? (yes!) 'ok.' end ", "w " * 200, "...", "a\n\n\nb"]:
+def test_pieces_are_lossless_and_by_the_rule():
+    rng = random.Random(3)
+    texts = ["", "\n\n", "a.b. c", " lead. x", "no end", "q? (yes!) 'ok.' end ", "w " * 200, "...", "a\n\n\nb", "  \n x y"]
+    texts += ["".join(rng.choice([". ", " ", " ", " ", "\n", "  "]) + rng.choice("abcdef") * 2 for _ in range(80)) for _ in range(200)]
+    for text in texts:
+        pieces = Pieces(text)
         raws, norms, sizes = sentences(text)
-        assert "".join(raws) == text and len(raws) == len(norms) == len(sizes)
-        assert sizes == [len(r.split()) for r in raws]
-    assert len(sentences(" ".join(f"w{i}" for i in range(400)))[0]) > 400 / LONG_SENTENCE
+        assert "".join(pieces.texts()) == text and pieces.texts() == raws
+        if any(sizes):
+            assert pieces.sizes.tolist() == sizes and pieces.joined.decode() == " ".join(norms)
+    assert max(Pieces(" ".join(f"w{i}" for i in range(4000))).sizes) <= 2 * CUT_WINDOW
+
+
+def test_passage_in_short_and_long_sentences():
+    """One passage, once in a sentence of its own length and once inside a longer one."""
+    rng = random.Random(19)
+    draw = lambda n: [f"p{rng.randrange(5000)}" for _ in range(n)]
+    met = 0
+    for _ in range(300):
+        sentences_ = [draw(14) for _ in range(4)]
+        one = ". ".join(" ".join(s) for s in sentences_) + "."
+        two = "Once " + " ".join(draw(6)) + " " + " ".join(w for s in sentences_ for w in s).replace(" ", " ") + " " + " ".join(draw(6))
+        two_marked = ". ".join(" ".join(s) for s in [draw(6) + sentences_[0], *sentences_[1:3], sentences_[3] + draw(6)]) + "."
+        spans = [{s[0] for s in Pieces(t).spans()} for t in (one, two, two_marked)]
+        met += bool(spans[0] & spans[2])
+    assert met == 300
+
+
+def test_a_megabyte_of_blanks_is_linear():
+    begun = time.perf_counter()
+    for text in (" " * 10**6, "word" + " " * 10**6 + "end", "\n" * 10**6, "x" * 10**6, "a. " * 300_000, ". " * 10**5):
+        assert "".join(Pieces(text).texts()) == text
+        Pieces(text).spans()
+    assert time.perf_counter() - begun < 60
 
 
 def test_passages_in_run_on_text():
@@ -81,5 +146,5 @@ def test_passages_in_run_on_text():
         for _ in range(500):
             passage = draw(length)
             one, two = (" ".join(draw(rng.randint(0, 60)) + passage + draw(rng.randint(0, 60))) for _ in range(2))
-            both = [{s[0] for s in ss.spans(*sentences(t)[1:])} for t in (one, two)]
+            both = [{s[0] for s in Pieces(t).spans()} for t in (one, two)]
             assert both[0] & both[1]
