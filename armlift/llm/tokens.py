@@ -16,7 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Known stretches and ids are forgotten beyond these numbers.
-CACHE_WORDS, CACHE_IDS = 1_500_000, 12_000_000
+CACHE_WORDS, CACHE_IDS = 700_000, 8_000_000
+#: Texts that the library is given in one call.
+AT_ONCE = 16
 
 
 def load(path: str):
@@ -56,9 +58,12 @@ class ByteBpe:
         self.flat = np.zeros(0, self.dtype)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts, straight from the library."""
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, self.dtype) for one in found]
+        """Ids of whole texts, straight from the library; few at a time, since its answers are large."""
+        out = []
+        for at in range(0, len(texts), AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False)
+            out += [np.array(one.ids, self.dtype) for one in found]
+        return out
 
     def _learn(self, new: pa.Array) -> None:
         """Ids that each new stretch has behind a space; many in one call of the library."""
@@ -134,7 +139,7 @@ def byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def batches(parts: Iterator[pa.RecordBatch], text: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def batches(parts: Iterator[pa.RecordBatch], text: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The rows in batches of at most about so many bytes of text; a longer text is a batch of its own."""
     for part in parts:
         sizes = pc.binary_length(part.column(text)).to_numpy(zero_copy_only=False)
