@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Known stretches and ids are forgotten beyond these numbers.
-CACHE_WORDS, CACHE_IDS = 700_000, 8_000_000
+CACHE_WORDS, CACHE_IDS = 400_000, 8_000_000
 #: Texts that the library is given in one call.
 AT_ONCE = 16
 
@@ -139,7 +139,7 @@ def byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def batches(parts: Iterator[pa.RecordBatch], text: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def batches(parts: Iterator[pa.RecordBatch], text: str, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
     """The rows in batches of at most about so many bytes of text; a longer text is a batch of its own."""
     for part in parts:
         sizes = pc.binary_length(part.column(text)).to_numpy(zero_copy_only=False)

@@ -22,7 +22,7 @@ from armlift.llm.common import texts
 from armlift.llm.tokens import batches, byte_bpe
 
 BLOCK = 512
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 #: Characters of a task's range of documents at least, and ranges at most; a range is written as several shards.
 PARTITION_CHARACTERS, PARTITIONS = 24_000_000, 20_000
 
