@@ -201,8 +201,8 @@ def ab_welch(paired: DataFrame) -> DataFrame:
     return _tested(paired, WELCH_SE, WELCH_Z, "'welch_normal_approx'")
 
 
-def ab_analysis(stats: DataFrame) -> DataFrame:
-    """A/B result per experiment and metric from per-arm statistics.
+def ab_analysis(stats: DataFrame, by: Sequence[str] = ("experiment_id", "metric_name")) -> DataFrame:
+    """A/B result per ``by`` (which includes the metric) from per-arm statistics.
 
     Metrics named like a conversion get the two-proportion test, all others
     Welch.  A metric seen in one arm only has no result.  A control mean of 0
@@ -211,7 +211,7 @@ def ab_analysis(stats: DataFrame) -> DataFrame:
     names = ", ".join(f"'{m}'" for m in BINARY_METRICS)
     choose = f"if(lower(metric_name) IN ({names}), {{}}, {{}})".format
     tested = _tested(
-        pair_arms(stats),
+        pair_arms(stats, by),
         choose(PROPORTION_SE, WELCH_SE),
         choose(PROPORTION_Z, WELCH_Z),
         choose("'two_proportion_z'", "'welch_normal_approx'"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from armlift.functions.chi_square import chi_square_tail
 from armlift.functions.normal import Z_95, two_sided_p
 from armlift.functions.scalars import bucket_start, event_time_k
 from armlift.operators.grain import arms
@@ -66,15 +67,8 @@ def bucket_delta(cells: DataFrame, grain: str = "day") -> DataFrame:
     )
 
 
-def event_study(cells: DataFrame, grain: str = "day") -> DataFrame:
-    """Effect of each bucket relative to k = -1, with HC1 errors.
-
-    The regression of user-bucket values on arm, bucket and their interaction
-    is saturated, so a coefficient is the difference of two bucket deltas and
-    its HC1 variance the sum of four cell terms (n - 1) s^2 / n^2 scaled by
-    N / (N - P): N user-bucket rows, P cells.  A series without a reference
-    bucket in both arms has no coefficients.
-    """
+def _relative(cells: DataFrame) -> DataFrame:
+    """Per bucket: delta, its error term, those at the reference, rows and free rows of its series."""
     in_arms = "FILTER (WHERE variant IN ('control', 'treatment'))"
     term = "coalesce(std_y * std_y, 0D) * (n_users - 1) / (n_users * n_users)"
     over = "OVER (PARTITION BY experiment_id, metric_name)"
@@ -88,15 +82,49 @@ def event_study(cells: DataFrame, grain: str = "day") -> DataFrame:
         )
         .dropna(subset=["delta"])
     )
+    return buckets.selectExpr(
+        "*",
+        f"delta - {at_reference.format(c='delta')} AS beta",
+        f"{at_reference.format(c='error')} AS reference_error",
+        f"sum(rows) {over} AS n_all",
+        f"sum(rows) {over} - 2 * count(1) {over} AS free",
+    ).where(f"k <> {REFERENCE_K} AND beta IS NOT NULL")
+
+
+def joint_leads(cells: DataFrame) -> DataFrame:
+    """Wald test that all leads are zero: ``joint_stat`` and its chi-square ``joint_p_value`` per series.
+
+    Coefficients share the reference bucket's error, so their covariance is a diagonal plus a constant,
+    which has an inverse in closed form.  A series without leads, without free rows or with a lead without
+    error has NULLs.
+    """
+    sums = _relative(cells).where("k < 0").groupBy(*SERIES).agg(
+        F.count(F.lit(1)).alias("leads"),
+        F.expr("sum(beta * beta / nullif(error, 0)) AS quadratic"),
+        F.expr("sum(beta / nullif(error, 0)) AS linear"),
+        F.expr("sum(1 / nullif(error, 0)) AS weight"),
+        F.expr("bool_and(error > 0 AND free > 0) AS regular"),
+        F.max("reference_error").alias("reference_error"),
+        F.max(F.expr("try_divide(n_all, free)")).alias("factor"),
+    )
+    stat = "(quadratic - reference_error * linear * linear / (1 + reference_error * weight)) / factor"
+    return sums.selectExpr(
+        *SERIES, "leads", f"CASE WHEN regular THEN greatest({stat}, 0D) END AS joint_stat"
+    ).selectExpr(*SERIES, "joint_stat", f"{chi_square_tail('joint_stat', 'leads')} AS joint_p_value")
+
+
+def event_study(cells: DataFrame, grain: str = "day") -> DataFrame:
+    """Effect of each bucket relative to k = -1, with HC1 errors.
+
+    The regression of user-bucket values on arm, bucket and their interaction
+    is saturated, so a coefficient is the difference of two bucket deltas and
+    its HC1 variance the sum of four cell terms (n - 1) s^2 / n^2 scaled by
+    N / (N - P): N user-bucket rows, P cells.  A series without a reference
+    bucket in both arms has no coefficients.
+    """
     return (
-        buckets.selectExpr(
-            "*",
-            f"delta - {at_reference.format(c='delta')} AS beta",
-            f"error + {at_reference.format(c='error')} AS variance",
-            f"sum(rows) {over} AS n_all",
-            f"sum(rows) {over} - 2 * count(1) {over} AS free",
-        )
-        .where(f"k <> {REFERENCE_K} AND beta IS NOT NULL")
+        _relative(cells)
+        .selectExpr("*", "error + reference_error AS variance")
         .selectExpr("*", "CASE WHEN free > 0 THEN sqrt(variance * n_all / free) END AS se")
         .selectExpr("*", "try_divide(beta, se) AS z")
         .selectExpr(
@@ -113,22 +141,22 @@ def event_study_verdict(
     post_buckets: int = 28,
     alpha_fail: float = 0.05,
     alpha_warn: float = 0.10,
+    joint: DataFrame | None = None,
 ) -> DataFrame:
     """FAIL if any lead has p below ``alpha_fail``, WARN below ``alpha_warn``, else PASS.
 
-    INSUFFICIENT_DATA when no lead has a p-value at all.
+    INSUFFICIENT_DATA when no lead has a p-value at all.  ``joint`` (:func:`joint_leads`) fills the two
+    joint columns, which take no part in the verdict; without it they are NULL.
     """
     lead = F.col("k") < 0
     failing, warning = (
         F.count_if(lead & (F.col("p_value") < alpha)) for alpha in (alpha_fail, alpha_warn)
     )
-    return coefficients.groupBy(*SERIES, "grain").agg(
+    tested = coefficients.groupBy(*SERIES, "grain").agg(
         F.lit(pre_buckets).alias("pre_buckets"),
         F.lit(post_buckets).alias("post_buckets"),
         F.lit(float(alpha_fail)).alias("alpha_fail"),
         F.lit(float(alpha_warn)).alias("alpha_warn"),
-        F.lit(None).cast("double").alias("joint_stat"),
-        F.lit(None).cast("double").alias("joint_p_value"),
         F.count_if(lead).cast("int").alias("num_leads"),
         failing.cast("int").alias("num_sig_leads_0p05"),
         F.when(failing > 0, "FAIL")
@@ -137,3 +165,9 @@ def event_study_verdict(
         .otherwise("INSUFFICIENT_DATA")
         .alias("verdict"),
     )
+    absent = {c: F.lit(None).cast("double") for c in ("joint_stat", "joint_p_value")}
+    full = tested.withColumns(absent) if joint is None else tested.join(joint, SERIES, "left")
+    return full.select(
+        *SERIES, "grain", "pre_buckets", "post_buckets", "alpha_fail", "alpha_warn", "joint_stat", "joint_p_value",
+        "num_leads", "num_sig_leads_0p05", "verdict",
+    )

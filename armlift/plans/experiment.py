@@ -268,7 +268,9 @@ def event_studies(
     return {
         "event_study_delta": event_study.bucket_delta(cells, grain),
         "event_study_coefficients": coefficients,
-        "event_study_tests": event_study.event_study_verdict(coefficients, pre, post),
+        "event_study_tests": event_study.event_study_verdict(
+            coefficients, pre, post, joint=event_study.joint_leads(cells)
+        ),
     }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from armlift.functions.normal import two_sided_p
-from armlift.operators import ab, cuped as cu, did as dd, event_study as es, grain, pretrend, summary, windows
+from armlift.operators import ab, cuped as cu, did as dd, event_study as es, grain, pretrend, ratios, regression, segments, summary, windows
 from armlift.operators.moments import arm_moments
 from armlift.plans.experiment import Inputs, arm_table
 from armlift.sources.tables import checkpointed
@@ -346,20 +346,162 @@ def event_study(spark, sf):
     return _study(spark, sf)
 
 
+#: The tail by closed sums: powers over factorials, or over odd products after the normal tail.
+_CHI_TAIL = """
+  CASE WHEN m % 2 = 0 THEN exp(-s / 2) * list_sum(list_transform(range(0, m // 2), lambda i: pow(s / 2, i) / factorial(i::INTEGER)))
+  ELSE @P(sqrt(s))@ + coalesce(list_sum(list_transform(range(1, (m + 1) // 2), lambda i:
+    2 * exp(-s / 2) / sqrt(2 * pi()) * pow(s, i - 0.5) * pow(2, i) * factorial(i::INTEGER) / factorial((2 * i)::INTEGER))), 0) END
+"""
+
+
 @case(
-    """
-    SELECT experiment_id, metric_name, grain, 8 AS pre_buckets, 8 AS post_buckets, 0.05::DOUBLE AS alpha_fail,
-           0.10::DOUBLE AS alpha_warn, NULL::DOUBLE AS joint_stat, NULL::DOUBLE AS joint_p_value,
-           count(*) FILTER (k < 0)::INTEGER AS num_leads,
-           count(*) FILTER (k < 0 AND p_value < 0.05)::INTEGER AS num_sig_leads_0p05,
-           CASE WHEN count(*) FILTER (k < 0 AND p_value < 0.05) > 0 THEN 'FAIL'
-                WHEN count(*) FILTER (k < 0 AND p_value < 0.10) > 0 THEN 'WARN' ELSE 'PASS' END AS verdict
-    FROM event_study GROUP BY ALL
+    f"""
+    SELECT t.*, joint_stat, joint_p_value FROM (
+      SELECT experiment_id, metric_name, grain, 8 AS pre_buckets, 8 AS post_buckets, 0.05::DOUBLE AS alpha_fail,
+             0.10::DOUBLE AS alpha_warn,
+             count(*) FILTER (k < 0)::INTEGER AS num_leads,
+             count(*) FILTER (k < 0 AND p_value < 0.05)::INTEGER AS num_sig_leads_0p05,
+             CASE WHEN count(*) FILTER (k < 0 AND p_value < 0.05) > 0 THEN 'FAIL'
+                  WHEN count(*) FILTER (k < 0 AND p_value < 0.10) > 0 THEN 'WARN' ELSE 'PASS' END AS verdict
+      FROM event_study GROUP BY ALL) t
+    JOIN (
+      SELECT experiment_id, metric_name, s AS joint_stat, {_CHI_TAIL} AS joint_p_value
+      FROM (
+        SELECT experiment_id, metric_name, count(*) AS m,
+               (sum(beta * beta / v) - any_value(rv) * pow(sum(beta / v), 2) / (1 + any_value(rv) * sum(1 / v))) / any_value(factor) AS s
+        FROM (
+          SELECT e.experiment_id, e.metric_name, e.beta, v.v, rv.v AS rv,
+                 v.n_all / (v.n_all - 2 * (SELECT count(*) FROM bucket_delta b WHERE b.experiment_id = e.experiment_id)) AS factor
+          FROM event_study e
+          JOIN study_var v ON v.experiment_id = e.experiment_id AND v.k = e.k
+          JOIN study_var rv ON rv.experiment_id = e.experiment_id AND rv.k = -1
+          WHERE e.k < 0) GROUP BY ALL)
+    ) j USING (experiment_id, metric_name)
     """,
     digits="alpha_fail alpha_warn joint_stat joint_p_value",
 )
 def event_study_verdict(spark, sf):
-    return es.event_study_verdict(_study(spark, sf), 8, 8)
+    cells = es.bucket_cells(user_buckets(spark, sf))
+    return es.event_study_verdict(es.event_study(cells, "week"), 8, 8, joint=es.joint_leads(cells))
+
+
+@case(
+    """
+    WITH long_rows AS (
+      SELECT experiment_id, user_id, (variant = 'treatment')::INTEGER AS g, (metric_name = 'revenue')::INTEGER AS p, value AS y
+      FROM joined WHERE metric_name IN ('pre_revenue', 'revenue')),
+    means AS (SELECT experiment_id, g, p, count(*) AS n, avg(y) AS m FROM long_rows GROUP BY ALL),
+    left_over AS (
+      SELECT l.experiment_id, l.user_id, l.g, l.p, sum(l.y - m.m) / any_value(m.n) AS e
+      FROM long_rows l JOIN means m USING (experiment_id, g, p) GROUP BY ALL),
+    pairs AS (
+      SELECT experiment_id, g, sum(a * a) AS v0, sum(b * b) AS v1, sum((b - a) * (b - a)) AS vd, count(*) AS users
+      FROM (SELECT experiment_id, user_id, g, coalesce(sum(e) FILTER (p = 0), 0) AS a, coalesce(sum(e) FILTER (p = 1), 0) AS b
+            FROM left_over GROUP BY ALL) GROUP BY ALL),
+    sizes AS (
+      SELECT experiment_id, sum(n)::BIGINT AS n_obs, max(m) FILTER (g = 0 AND p = 0) AS m00, max(m) FILTER (g = 0 AND p = 1) AS m01,
+             max(m) FILTER (g = 1 AND p = 0) AS m10, max(m) FILTER (g = 1 AND p = 1) AS m11 FROM means GROUP BY ALL),
+    cells2 AS (
+      SELECT s.*, c.users + t.users AS n_clusters, c.v0 AS c0, t.v0 AS t0, c.vd AS cd, t.vd AS td
+      FROM sizes s JOIN pairs c ON c.experiment_id = s.experiment_id AND c.g = 0 JOIN pairs t ON t.experiment_id = s.experiment_id AND t.g = 1),
+    terms AS (
+      SELECT experiment_id, n_obs, n_clusters, 'Intercept' AS term, m00 AS coef, c0 AS v FROM cells2
+      UNION ALL SELECT experiment_id, n_obs, n_clusters, 'group', m10 - m00, c0 + t0 FROM cells2
+      UNION ALL SELECT experiment_id, n_obs, n_clusters, 'period', m01 - m00, cd FROM cells2
+      UNION ALL SELECT experiment_id, n_obs, n_clusters, 'group:period', (m11 - m10) - (m01 - m00), cd + td FROM cells2)
+    SELECT *, coef / se AS z, @P(coef / se)@ AS p_value, coef - 1.96 * se AS ci_low, coef + 1.96 * se AS ci_high
+    FROM (SELECT * EXCLUDE (v), sqrt(v * n_clusters / (n_clusters - 1) * (n_obs - 1) / (n_obs - 4)) AS se FROM terms)
+    """,
+    digits="coef se z p_value:8 ci_low ci_high",
+)
+def did_clustered_long(spark, sf):
+    """The regression on raw rows: many rows a user and period, and users that miss one."""
+    return regression.did_clustered_long(
+        regression.did_rows(fx.outcomes(spark, sf), fx.exposures(spark, sf), "pre_revenue", "revenue")
+    )
+
+
+RATIOS = (
+    ratios.RatioSpec("revenue_per_conversion", "revenue", "conversion"),
+    ratios.RatioSpec("post_to_pre", "revenue", "pre_revenue"),
+)
+
+
+@case(
+    """
+    WITH sums AS (
+      SELECT e.experiment_id, e.user_id, e.variant,
+             coalesce(sum(o.value) FILTER (o.metric_name = 'conversion'), 0) AS conversion,
+             coalesce(sum(o.value) FILTER (o.metric_name = 'revenue'), 0) AS revenue,
+             coalesce(sum(o.value) FILTER (o.metric_name = 'pre_revenue'), 0) AS pre_revenue
+      FROM exposures e LEFT JOIN outcomes o USING (experiment_id, user_id) GROUP BY ALL),
+    sides AS (
+      SELECT experiment_id, variant, 'revenue_per_conversion' AS metric_name, revenue AS x, conversion AS y FROM sums
+      UNION ALL SELECT experiment_id, variant, 'post_to_pre', revenue, pre_revenue FROM sums),
+    linear AS (
+      SELECT *, sum(x) OVER cell / sum(y) OVER cell AS r, avg(y) OVER cell AS ybar FROM sides
+      WINDOW cell AS (PARTITION BY experiment_id, variant, metric_name)),
+    arms AS (
+      SELECT experiment_id, variant, metric_name, count(*) AS n, any_value(r) AS ratio, var_samp((x - r * y) / ybar) / count(*) AS error
+      FROM linear GROUP BY ALL)
+    SELECT *, delta / se AS z, @P(delta / se)@ AS p_value, delta - 1.96 * se AS ci_low, delta + 1.96 * se AS ci_high
+    FROM (
+      SELECT c.experiment_id, c.metric_name, c.n AS n_control, c.ratio AS ratio_control, t.n AS n_treatment, t.ratio AS ratio_treatment,
+             t.ratio - c.ratio AS delta, t.ratio / c.ratio - 1 AS rel_lift, sqrt(c.error + t.error) AS se
+      FROM arms c JOIN arms t USING (experiment_id, metric_name) WHERE c.variant = 'control' AND t.variant = 'treatment')
+    """,
+    digits="ratio_control ratio_treatment delta rel_lift se z p_value:8 ci_low ci_high",
+)
+def ab_ratio(spark, sf):
+    return ratios.ab_ratio(ratios.ratio_stats(fx.outcomes(spark, sf), fx.exposures_logged(spark, sf), RATIOS))
+
+
+_SEGMENTED = """
+    WITH parts AS (
+      SELECT u.experiment_id, u.metric_name, u.variant, u.value, s.segment,
+             CASE s.segment WHEN 'all' THEN 'all' WHEN 'market' THEN c.c_mktsegment
+               WHEN 'region' THEN CASE WHEN c.c_nationkey % 5 > 0 THEN (c.c_nationkey % 5)::VARCHAR END END AS segment_value
+      FROM user_metric u JOIN customer c ON c.c_custkey::VARCHAR = u.user_id,
+           (VALUES ('all'), ('market'), ('region')) s(segment)),
+    stats AS (
+      SELECT experiment_id, segment, segment_value, metric_name, variant, count(*) AS n, avg(value) AS mean,
+             var_samp(value) AS var FROM parts GROUP BY ALL),
+    two AS (
+      SELECT c.experiment_id, c.segment, c.segment_value, c.metric_name, c.n AS n_control, c.mean AS mean_control, sqrt(c.var) AS std_control,
+             t.n AS n_treatment, t.mean AS mean_treatment, sqrt(t.var) AS std_treatment, c.var AS vc, t.var AS vt,
+             t.mean - c.mean AS delta, (t.mean - c.mean) / nullif(c.mean, 0) AS rel_lift,
+             (c.mean * c.n + t.mean * t.n) / (c.n + t.n) AS share
+      FROM stats c JOIN stats t ON c.experiment_id = t.experiment_id AND c.segment = t.segment AND c.metric_name = t.metric_name
+        AND c.segment_value IS NOT DISTINCT FROM t.segment_value
+      WHERE c.variant = 'control' AND t.variant = 'treatment'),
+    errors AS (
+      SELECT *, CASE WHEN metric_name = 'conversion'
+          THEN sqrt(mean_control * (1 - mean_control) / n_control + mean_treatment * (1 - mean_treatment) / n_treatment)
+          WHEN vc IS NOT NULL AND vt IS NOT NULL THEN sqrt(vc / n_control + vt / n_treatment) ELSE 0 END AS se,
+        CASE WHEN metric_name = 'conversion' THEN sqrt(share * (1 - share) * (1.0 / n_control + 1.0 / n_treatment))
+          WHEN vc IS NOT NULL AND vt IS NOT NULL THEN sqrt(vc / n_control + vt / n_treatment) ELSE 0 END AS test_se,
+        CASE WHEN metric_name = 'conversion' THEN 'two_proportion_z' ELSE 'welch_normal_approx' END AS method FROM two)
+    SELECT * EXCLUDE (vc, vt, share, test_se), coalesce(delta / nullif(test_se, 0), 0) AS z,
+           @P(coalesce(delta / nullif(test_se, 0), 0))@ AS p_value, delta - 1.96 * se AS ci_low, delta + 1.96 * se AS ci_high
+    FROM errors
+"""
+
+
+def _segments(spark, sf) -> DataFrame:
+    """Market and region of every customer but those without one; one region is unknown."""
+    customers = fx.per_experiment(fx.table(spark, sf, "customer"))
+    return customers.selectExpr(
+        "experiment_id", "CAST(c_custkey AS STRING) AS user_id", "c_mktsegment AS market",
+        "nullif(c_nationkey % 5, 0) AS region",
+    )
+
+
+@case(_SEGMENTED, digits=_PAIRED)
+def ab_segments(spark, sf):
+    stats_ = segments.segment_stats(
+        fx.outcomes(spark, sf), fx.exposures_logged(spark, sf), _segments(spark, sf), ["market", "region"], fx.SPECS
+    )
+    return segments.ab_segments(stats_)
 
 
 @case(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from armlift.functions.scalars import bucket_start, event_time_k as event_k
-from armlift.operators import ab, event_study, grain, metrics, pretrend, profile, quality, windows
+from armlift.operators import ab, event_study, grain, metrics, pretrend, profile, quality, sketches, windows
 from armlift.operators.exposure import assign_variants, dedup_exposures
 from workload import fixtures as fx
 from workload.case import case
@@ -443,3 +443,23 @@ def distinct_rows(spark, sf):
     return profile.distinct_rows(
         fx.outcomes(spark, sf), ["experiment_id", "metric_name", "user_id"]
     )
+
+
+@case(
+    """
+    SELECT experiment_id, metric_name, date_trunc('month', ts)::DATE AS month, count(*) AS rows,
+           count(DISTINCT user_id) AS exact_users, TRUE AS within_error
+    FROM outcomes WHERE ts IS NOT NULL GROUP BY ALL
+    """
+)
+def users_from_sketches(spark, sf):
+    """Monthly users from daily sketches, beside the exact count they have to be within five errors of."""
+    outcomes = fx.outcomes(spark, sf).where("ts IS NOT NULL")
+    by = ["experiment_id", "metric_name", "month"]
+    monthly = sketches.daily_sketches(outcomes).withColumn("month", F.trunc("day", "month"))
+    exact = profile.distinct_users(outcomes.withColumn("month", F.trunc("ts", "month")), by)
+    found = sketches.united(monthly, by).withColumnRenamed("users", "estimate").join(
+        exact.select(*by, F.col("users").alias("exact_users")), by
+    )
+    close = F.abs(F.col("estimate") - F.col("exact_users")) <= 5 * sketches.error_of() * F.col("exact_users") + 1
+    return found.select(*by, "rows", "exact_users", close.alias("within_error"))
