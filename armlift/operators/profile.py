@@ -106,10 +106,9 @@ def quantile_join(
     both = quantiles(
         outcomes.where(F.col("metric_name").isin(left, right)), ["experiment_id", "metric_name"]
     )
-    one = lambda name: both.where(F.col("metric_name") == name).select(
-        "experiment_id", "q", F.col("value").alias(f"{name}_value")
-    )
-    return one(left).join(one(right), ["experiment_id", "q"])
+    one = lambda name: F.max(F.when(F.col("metric_name") == name, F.col("value"))).alias(f"{name}_value")
+    sides = both.groupBy("experiment_id", "q").agg(one(left), one(right))
+    return sides.dropna(subset=[f"{left}_value", f"{right}_value"])
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

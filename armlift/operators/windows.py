@@ -86,8 +86,8 @@ def window_from_registry(registry: DataFrame, exposures: DataFrame) -> DataFrame
 
     The registry's window if both of its ends are set (``REGISTRY``), else first
     and last exposure (``EXPOSURES``), else two NULLs (``NO_WINDOW``), which
-    leaves the other experiments alone.  Only exposures of experiments without
-    a registered window are aggregated.
+    leaves the other experiments alone.  Exposures are reduced to two times per
+    experiment before they meet the registry, so no row of them is joined.
     """
     columns = ["experiment_id", "start_ts", "end_ts", "window_status"]
     window = registry_window(registry)
@@ -100,14 +100,12 @@ def window_from_registry(registry: DataFrame, exposures: DataFrame) -> DataFrame
     closed = window.where(both_ends).selectExpr(
         "experiment_id", "window_start AS start_ts", "window_end AS end_ts", "'REGISTRY' AS window_status"
     )
-    known = closed.select("experiment_id")
     open_ids = window.where(f"NOT ({both_ends})").select("experiment_id")
-    rest = exposures.select("experiment_id", "exposure_ts").where("experiment_id IS NOT NULL")
-    rest = rest.join(F.broadcast(known) if fits_broadcast(known) else known, "experiment_id", "left_anti")
-    seen = rest.groupBy("experiment_id").agg(
+    first_last = exposures.where("experiment_id IS NOT NULL").groupBy("experiment_id").agg(
         F.min("exposure_ts").cast("timestamp").alias("start_ts"),
         F.max("exposure_ts").cast("timestamp").alias("end_ts"),
     )
+    seen = first_last.join(closed.select("experiment_id"), "experiment_id", "left_anti")
     logged = seen.join(open_ids, "experiment_id", "full_outer").withColumn(
         "window_status", F.when(F.col("start_ts").isNull(), "NO_WINDOW").otherwise("EXPOSURES")
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from armlift.operators import ab, cuped, did, event_study, metrics, pretrend, quality, summary
+from armlift.operators import ab, cuped, did, event_study, metrics, pretrend, quality, rollup, summary
 from armlift.operators.exposure import dedup_exposures
 from armlift.operators.grain import user_columns
 from armlift.operators.moments import COMPLETE, MOMENTS
@@ -90,13 +90,22 @@ def quarantine(
     spark: SparkSession, root: str, experiment_ids: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
     """The rows that :func:`ingest` kept out, per table: canonical columns, the row as logged, broken rules."""
-    layouts = {"exposures": EXPOSURES, "outcomes": OUTCOMES, "experiment_registry": REGISTRY}
-    kept_out = {}
-    for name, columns in layouts.items():
-        fields = [*columns.items(), (readers.LOGGED, "string"), ("broken_rules", "array<string>")]
-        layout = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in fields)).schema
-        kept_out[name] = _only(tables.read_table(spark, f"{root}/quarantine_{name}", layout), experiment_ids)
-    return kept_out
+    more = {readers.LOGGED: "string", "broken_rules": "array<string>"}
+    return {
+        name: _stored(spark, f"{root}/quarantine_{name}", {**columns, **more}, experiment_ids)
+        for name, columns in CANONICAL.items()
+    }
+
+
+CANONICAL = {"exposures": EXPOSURES, "outcomes": OUTCOMES, "experiment_registry": REGISTRY}
+
+
+def _stored(
+    spark: SparkSession, path: str, columns: dict[str, str], experiment_ids: Sequence[str] | None
+) -> DataFrame:
+    """A stored table, with these columns if it never had a row."""
+    layout = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in columns.items())).schema
+    return _only(tables.read_table(spark, path, layout), experiment_ids)
 
 
 def _only(df: DataFrame, experiment_ids: Sequence[str] | None) -> DataFrame:
@@ -107,7 +116,7 @@ def _only(df: DataFrame, experiment_ids: Sequence[str] | None) -> DataFrame:
 def open_tables(
     spark: SparkSession, root: str, experiment_ids: Sequence[str] | None = None
 ) -> Inputs:
-    read = lambda name: _only(tables.read_table(spark, f"{root}/{name}"), experiment_ids)
+    read = lambda name: _stored(spark, f"{root}/{name}", CANONICAL[name], experiment_ids)
     return Inputs(read("exposures"), read("outcomes"), read("experiment_registry"), unique=True)
 
 
@@ -131,10 +140,15 @@ def arm_table(
     """
     specs = with_metrics(specs, target, covariate)
     names = [f"m{i}" for i in range(len(specs))]
+    users = user_columns(inputs.outcomes, inputs.exposures, specs, names, unique=inputs.unique)
+    return _arm_table(users, specs, names, target, covariate)
+
+
+def _arm_table(
+    users: DataFrame, specs: Sequence[MetricSpec], names: Sequence[str], target: str, covariate: str
+) -> DataFrame:
     column = {s.name: n for s, n in zip(specs, names)}
-    users = user_columns(inputs.outcomes, inputs.exposures, specs, names, unique=inputs.unique).selectExpr(
-        "*", f"{column[target]} AS y", f"{column[covariate]} AS x"
-    )
+    users = users.selectExpr("*", f"{column[target]} AS y", f"{column[covariate]} AS x")
     return users.groupBy("experiment_id", "variant").agg(
         F.array(*ab.stats_items(specs, names)).alias("stats"),
         *[F.expr(f"{value} {COMPLETE} AS {name}") for name, value in MOMENTS.items()],
@@ -143,19 +157,25 @@ def arm_table(
 
 def shared_tables(
     inputs: Inputs,
+    days: DataFrame,
     specs: Sequence[MetricSpec] = DEFAULT_METRICS,
     target: str = "revenue",
     covariate: str = "pre_revenue",
 ) -> dict[str, DataFrame]:
-    """The three aggregates everything else is computed from: one pass over the outcomes each."""
-    exposures, outcomes, unique = inputs.exposures, inputs.outcomes, inputs.unique
+    """The aggregates everything else is computed from; ``days`` is :func:`rollup.user_days`, stored.
+
+    None of them reads the outcomes.
+    """
+    exposures, unique = inputs.exposures, inputs.unique
     specs = with_metrics(specs, target, covariate)
+    names = [f"m{i}" for i in range(len(specs))]
+    users = rollup.user_values(days, exposures, specs, names, unique)
     return {
         "experiment_windows": window_from_registry(inputs.registry, exposures),
-        "arm_statistics": arm_table(inputs, specs, target, covariate),
-        "other_arm_statistics": ab.other_arm_stats(outcomes, exposures, specs, unique),
-        "daily_moments": metrics.daily_moments(outcomes, exposures, inputs.registry, specs, unique),
-        "did_pretrend_daily": pretrend.pretrend_daily(outcomes, exposures, covariate, unique),
+        "arm_statistics": _arm_table(users, specs, names, target, covariate),
+        "other_arm_statistics": ab.other_arm_stats(rollup.totals(days), exposures, specs, unique),
+        "daily_moments": rollup.daily_moments(days, specs),
+        "did_pretrend_daily": rollup.pretrend_daily(days, covariate),
     }
 
 
@@ -249,15 +269,9 @@ def quality_tables(raw: Inputs, canonical: Inputs, kept_out: dict[str, DataFrame
     }
 
 
-def event_cells(
-    inputs: Inputs, metric: str = "revenue", grain: str = "day", pre: int = 28, post: int = 28
-) -> DataFrame:
-    """Arm x bucket cells of the event study of one metric."""
-    return event_study.bucket_cells(
-        event_study.user_bucket_mean(
-            inputs.outcomes, inputs.exposures, inputs.registry, metric, grain, pre, post, inputs.unique
-        )
-    )
+def event_cells(inputs: Inputs, days: DataFrame, metric: str = "revenue", grain: str = "day") -> DataFrame:
+    """Arm x bucket cells of the event study of one metric, from a roll-up made for its reach."""
+    return event_study.bucket_cells(rollup.user_bucket_mean(days, inputs.registry, metric, grain))
 
 
 def event_studies(
@@ -295,9 +309,9 @@ def run(
     """Ingest, check, analyse and store; returns the path of every table written.
 
     Every metric of the outcomes is tested; ``specs`` say how those they name are
-    rolled up.  Shared aggregates are written once and read back, so the outcomes
-    are read once per aggregate however many results need it.  Quality and
-    contracts look at the rows as logged.  Afterwards every table says about the
+    rolled up.  The outcomes are rolled up per user and day once, and all results
+    follow from that table (``user_days``); the leakage check alone looks at their
+    times again.  Quality and contracts look at the rows as logged.  Afterwards every table says about the
     experiments of this run what this run found, and nothing older; an experiment
     that cannot be analysed has a row in ``analysis_status`` and does not stop the
     others.  With ``event_metric`` the event study of that metric is stored too.
@@ -317,12 +331,19 @@ def run(
 
     for name, df in quality_tables(found, inputs, quarantine(spark, root, experiment_ids)).items():
         store(name, df)
-    shared = {n: store(n, df) for n, df in shared_tables(inputs, specs, target, covariate).items()}
+    event = (event_grain, *event_buckets) if event_metric is not None else None
+    days = store(
+        "user_days",
+        rollup.user_days(
+            inputs.outcomes, inputs.exposures, inputs.registry, with_metrics(specs, target, covariate), event, inputs.unique
+        ),
+    )
+    shared = {n: store(n, df) for n, df in shared_tables(inputs, days, specs, target, covariate).items()}
     for name, df in analyse(inputs, shared, target, covariate, confidence, lower_is_better).items():
         store(name, df)
     if event_metric is not None:
         pre, post = event_buckets
-        cells = store("event_study_cells", event_cells(inputs, event_metric, event_grain, pre, post))
+        cells = store("event_study_cells", event_cells(inputs, days, event_metric, event_grain))
         for name, df in event_studies(cells, event_grain, pre, post).items():
             clocked = name != "event_study_tests"
             store(name, df.withColumn("analysis_ts", F.current_timestamp()) if clocked else df)

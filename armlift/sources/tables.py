@@ -3,8 +3,9 @@
 A table is a directory partitioned by ``experiment_id``.  Replacement is
 Spark's dynamic partition overwrite: a rerun gives the same table and leaves
 other experiments alone.  An upsert reads the partitions it touches, writes
-the merged rows to a staging table in the shared checkpoint folder, and then
-replaces the partitions from there, so no plan reads a path it overwrites.
+the merged rows to a staging table beside the table, and then moves the staged
+folders into place, so no plan reads a path it overwrites and rows are written
+once.
 """
 
 from __future__ import annotations
@@ -69,6 +70,40 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(handle, True)
 
 
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as it stands in a folder name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another, which is dropped."""
+    handle, fs = _hadoop_path(spark, target)
+    fs.delete(handle, True)
+    fs.mkdirs(handle.getParent())
+    if not fs.rename(_hadoop_path(spark, source)[0], handle):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def drop_matching(spark: SparkSession, pattern: str) -> None:
+    """Drop all folders that a pattern names."""
+    handle, fs = _hadoop_path(spark, pattern)
+    for found in fs.globStatus(handle) or ():
+        fs.delete(found.getPath(), True)
+
+
+def replace_folders(spark: SparkSession, staged: str, path: str, depth: int = 1) -> None:
+    """Put a staged table's partition folders in the place of those of a table; other folders stay.
+
+    Both lie in one file system.  Nothing is written again: a folder takes two calls.  A failure
+    between them leaves that partition out until the next run.
+    """
+    root, fs = _hadoop_path(spark, staged)
+    below = len(fs.makeQualified(root).toString()) + 1
+    for found in fs.globStatus(_hadoop_path(spark, staged + "/*=*" * depth)[0]) or ():
+        folder = found.getPath()
+        move(spark, folder.toString(), f"{path}/{folder.toString()[below:]}")
+
+
 def partition_names(spark: SparkSession, path: str) -> set[str]:
     """Experiments that have a partition, from one listing of the table's folder.
 
@@ -133,27 +168,35 @@ def replace_partitions(
 
 
 def _drop_partitions(spark: SparkSession, path: str, experiment_ids: Iterable[str]) -> None:
-    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for experiment_id in experiment_ids:
-        drop_path(spark, f"{path}/{PARTITION}={escaped(experiment_id)}")
+        drop_path(spark, f"{path}/{PARTITION}={escaped(spark, experiment_id)}")
+
 
+def beside(table: str) -> str:
+    """A new folder in the file system of a table, to move folders from."""
+    return f"{table.rstrip('/')}-staged-{uuid.uuid4().hex}"
 
-def _stage(df: DataFrame, label: str) -> str:
-    path = new_path(df.sparkSession, label)
+
+def _stage(df: DataFrame, table: str) -> str:
+    """``df`` as a partitioned table in a new folder beside ``table``."""
+    path = beside(table)
     df.hint("rebalance", PARTITION).write.partitionBy(PARTITION).parquet(path)
     return path
 
 
 def _swap_in(rows: DataFrame, path: str, cleared: Iterable[str] = ()) -> None:
-    """Stage ``rows``, replace their partitions, drop ``cleared`` ones left with no row."""
+    """Stage ``rows``, replace their partitions, drop ``cleared`` ones left with no row.
+
+    Rows are written once: the staged folders, beside the table, are moved into their places.
+    """
     spark = rows.sparkSession
-    layout = rows.schema
-    staged = _stage(rows, "staging")
+    staged = _stage(rows, path)
     try:
         empty = set(cleared) - partition_names(spark, staged)
-        replace_partitions(spark.read.schema(layout).parquet(staged), path)
+        unnamed = exists(spark, f"{staged}/{PARTITION}={_NO_ID}")
+        replace_folders(spark, staged, path)
         _drop_partitions(spark, path, empty & partition_names(spark, path))
-        if empty and not exists(spark, f"{staged}/{PARTITION}={_NO_ID}"):
+        if empty and not unnamed:
             drop_path(spark, f"{path}/{PARTITION}={_NO_ID}")  # rows without an id belong to every run
         spark.catalog.refreshByPath(path)
     finally:
@@ -193,7 +236,7 @@ def merge_upsert(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     merge then read.  Only the partitions it has rows for are read and written.
     """
     spark, keys = df.sparkSession, list(keys)
-    staged = _stage(df, "merge")
+    staged = _stage(df, path)
     try:
         rows = spark.read.schema(df.schema).parquet(staged)
         if not rows.groupBy(*keys).count().where("count > 1").isEmpty():

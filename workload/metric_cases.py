@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from armlift.functions.scalars import bucket_start, event_time_k as event_k
-from armlift.operators import ab, event_study, grain, metrics, pretrend, profile, quality, sketches, windows
+from armlift.operators import ab, event_study, grain, metrics, pretrend, profile, quality, rollup, sketches, windows
 from armlift.operators.exposure import assign_variants, dedup_exposures
+from armlift.plans import late
+from armlift.sources import tables
+from armlift.sources.readers import align_outcomes
 from workload import fixtures as fx
 from workload.case import case
 
@@ -463,3 +466,37 @@ def users_from_sketches(spark, sf):
     )
     close = F.abs(F.col("estimate") - F.col("exact_users")) <= 5 * sketches.error_of() * F.col("exact_users") + 1
     return found.select(*by, "rows", "exact_users", close.alias("within_error"))
+
+
+@case(
+    """
+    SELECT experiment_id, variant, metric_name, ts::DATE AS day, count(*) AS n, avg(value) AS mean, sum(value) AS sum
+    FROM joined JOIN registry USING (experiment_id)
+    WHERE metric_name = 'pre_revenue' OR ts BETWEEN start_ts AND end_ts GROUP BY ALL
+    """,
+    digits="mean:4 sum:4",
+)
+def late_daily(spark, sf):
+    """Daily metrics after a batch, a late one with wrong values, and the same late one mended."""
+    root = tables.new_path(spark, "late_daily")
+    exposures, registry = fx.exposures(spark, sf), fx.registry(spark)
+    logged = fx.outcomes_raw(spark, sf)
+    part = lambda when: align_outcomes(logged.where(when))
+    wrong = part("o_orderkey % 10 < 2").withColumn("value", F.col("value") * 2)
+    for batch, rows in (("first", part("o_orderkey % 10 > 0")), ("late", wrong), ("late", part("o_orderkey % 10 = 0"))):
+        late.absorb(spark, root, batch, rows, exposures, registry, fx.SPECS, span="month")
+    return late.daily(spark, root)
+
+
+@case(
+    """
+    SELECT experiment_id, user_id, variant, metric_name, ts::DATE AS day, count(*) AS rows, sum(value) AS total,
+           max(value) AS highest, coalesce(ts BETWEEN start_ts AND end_ts, FALSE) AS inside
+    FROM joined JOIN registry USING (experiment_id) GROUP BY ALL
+    """,
+    digits="total highest",
+)
+def user_days(spark, sf):
+    """The roll-up that every analysis of the batch follows from."""
+    days = rollup.user_days(fx.outcomes(spark, sf), fx.exposures(spark, sf), fx.registry(spark), fx.SPECS, unique=True)
+    return days.select("experiment_id", "user_id", "variant", "metric_name", "day", "rows", "total", "highest", "inside")
