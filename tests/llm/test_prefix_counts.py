@@ -58,14 +58,14 @@ def test_every_prefix_of_odd_words():
     assert counter.split is not None
     asked = [counter._asked(w) for w in words]
     assert counter.of(words) == asked
-    assert [c[-1] for c in counter.of(words, every=False)] == [a[-1] for a in asked]
+    assert [c[-1] for c in counter.whole(words)] == [a[-1] for a in asked]
 
 
 def test_the_recurrence_asks_nothing():
     """Plain words are counted without the library; a file of other pieces has all words asked."""
     counter = prefix_counts.WordCounts(PATH)
     counter.tokenizer = None
-    assert counter.of(["There", "therefore", "x;;"], every=False) and len(counter.of(["Therefore"])[0]) == 9
+    assert counter.whole(["There", "therefore", "x;;"]) and len(counter.of(["Therefore"])[0]) == 9
     other = prefix_counts.WordCounts(vocabulary("byte_bpe_50k.json"))
     assert other.of(["there's"]) == [other._asked("there's")]
 
