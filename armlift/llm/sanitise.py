@@ -1,7 +1,7 @@
 """Personal data: detected entities, and terms that give them away by corpus co-occurrence.
 
-1. Detection.  Addresses, numbers and cards are found in every whole text.  Around each, the words
-   within ``WINDOW`` words are candidate terms.
+1. Detection.  Addresses, numbers and cards are found in every whole text.  All words of a text that
+   holds any are candidate terms, wherever in it they stand.
 2. Co-occurrence.  With documents as trials, an entity ``c`` has information ``IC = -log2 p(c)`` and a
    term ``t`` reveals ``PMI = log2 p(c, t) / (p(c) p(t))`` of it, at most ``IC``.  A candidate's
    frequencies, alone and with the entity, count whole documents of the whole corpus, wherever in them
@@ -16,7 +16,6 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +25,6 @@ from armlift.llm.common import small, stored, texts
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-WINDOW = 5
 SUPPORT = 3
 ALPHA = 0.9
 MIN_TERM = 3
@@ -99,27 +97,15 @@ def _words(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int,
     return words
 
 
-def _near(text: str, spans: list[tuple[str, int, int]], words: list[tuple[int, int, str]]) -> set[tuple[str, str]]:
-    """(entity, term): the words within ``WINDOW`` words of an entity, short ones left out."""
-    starts = [w[0] for w in words]
-    return {
-        (f"{kind}:{text[a:b]}", term)
-        for kind, a, b in spans
-        for _, _, term in words[max(0, bisect_left(starts, a) - WINDOW) : bisect_left(starts, b) + WINDOW]
-        if len(term) >= MIN_TERM
-    }
-
-
 _FOUND = (
     "doc_id long, hash long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "entities array<string>, terms array<struct<entity:string, term:string>>, words array<string>"
+    "entities array<string>, words array<string>"
 )
-_NAMES = ["doc_id", "hash", *(f"n_{kind}" for kind in KINDS), "base", "entities", "terms", "words"]
+_NAMES = ["doc_id", "hash", *(f"n_{kind}" for kind in KINDS), "base", "entities", "words"]
 _TYPES = [
     *[pa.int64()] * 6,
     pa.string(),
     pa.list_(pa.string()),
-    pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())])),
     pa.list_(pa.string()),
 ]
 
@@ -127,20 +113,18 @@ _TYPES = [
 def _found_in(doc_id: int | None, text: str, digest: int) -> tuple:
     spans = entities(text)
     words = _words(text, spans) if spans else []
-    pairs = sorted(_near(text, spans, words))
     return (
         doc_id,
         digest,
         *(sum(s[0] == kind for s in spans) for kind in KINDS),
         ",".join(f"{k}:{a}:{b}" for k, a, b in spans),
         sorted({f"{k}:{text[a:b]}" for k, a, b in spans}),
-        [{"entity": e, "term": t} for e, t in pairs],
         sorted({t for _, _, t in words if len(t) >= MIN_TERM}),
     )
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: its entities, candidate terms, and the words beside entities."""
+    """One row per row of ``docs``: its entities, and the words of texts that hold any."""
 
     def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -163,15 +147,29 @@ def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return held.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term")
 
 
-def revealing(found: DataFrame, docs: DataFrame) -> DataFrame:
+def _together(found: DataFrame, support: int) -> DataFrame:
+    """``entity`` and ``term`` that stand together in so many distinct texts, wherever in them.
+
+    Entities of fewer texts, which most are, are left out before words are paired with them; a pair is
+    one row a text, counted with map-side combine.
+    """
+    different = found.where("base <> ''").select("hash", "entities", "words").dropDuplicates(["hash"])
+    different = stored(different, "sanitise-texts")
+    held = different.select("hash", F.explode("entities").alias("entity"))
+    often = held.groupBy("entity").agg(F.count("*").alias("n")).where(F.col("n") >= support).select("entity")
+    words = different.select("hash", F.explode("words").alias("term"))
+    both = held.join(often, "entity", "left_semi").join(words, "hash").groupBy("entity", "term").agg(F.count("*").alias("n"))
+    return both.where(F.col("n") >= support).select("entity", "term")
+
+
+def revealing(found: DataFrame, docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """``entity``, ``term``, ``pmi`` and ``ic`` (bits) of the terms that give an entity away.
 
-    Support counts distinct texts, so copies of one text are one piece of evidence.
+    ``support`` counts distinct texts, so copies of one text are one piece of evidence.
     """
     total = found.count()
     held = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_c"))
-    near = found.select(F.explode("terms").alias("p")).select("p.entity", "p.term").distinct()
-    near = stored(near, "sanitise-near")
+    near = stored(_together(found, support), "sanitise-near")
     counts = _documents_with(docs, near.select("term").distinct())
     n = F.lit(float(total))
     ic = F.log2(n / F.col("n_c"))
@@ -184,7 +182,7 @@ def revealing(found: DataFrame, docs: DataFrame) -> DataFrame:
         _met(found, pairs)
         .groupBy("entity", "term")
         .agg(F.sum("n").alias("n_ct"), F.count("*").alias("n_texts"))
-        .where(F.col("n_texts") >= SUPPORT)
+        .where(F.col("n_texts") >= support)
         .join(pairs, ["entity", "term"])
         .select("entity", "term", F.log2(F.col("n_ct") * n / (F.col("n_c") * n_t)).alias("pmi"), ic.alias("ic"))
         .where(F.col("pmi") >= ALPHA * F.col("ic"))
@@ -219,10 +217,10 @@ def _extra(docs: DataFrame, given: DataFrame) -> DataFrame:
     return rows.join(given, "hash").mapInArrow(each, "hash long, extra string").dropDuplicates(["hash"])
 
 
-def _judged(docs: DataFrame) -> DataFrame:
+def _judged(docs: DataFrame, support: int) -> DataFrame:
     """The scan's rows with ``spans``, the base spans and those of revealing terms."""
     found = stored(_scan(docs), "sanitise-found")
-    terms = stored(revealing(found, docs).select("entity", "term"), "sanitise-terms")
+    terms = stored(revealing(found, docs, support).select("entity", "term"), "sanitise-terms")
     given = stored(_met(found, terms).groupBy("hash").agg(F.collect_set("term").alias("given")), "sanitise-given")
     extra = _extra(docs, given)
     return (
@@ -231,14 +229,15 @@ def _judged(docs: DataFrame) -> DataFrame:
     )
 
 
-def personal_data(docs: DataFrame) -> DataFrame:
+def personal_data(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """Counts, digest of the base spans, and all spans of every row of ``docs``.
 
-    Spans are ``kind:start:end`` in code points, by kind and then start, revealing terms last.  A NULL
-    or empty text has none; NULL ids and equal rows are returned as they are, a text equal to another
+    Spans are ``kind:start:end`` in code points, by kind and then start, revealing terms last.  A term
+    needs ``support`` distinct texts that hold it with the entity: with few, a term that stands only
+    there is not told from chance.  Texts of any length are searched in full.  A NULL or empty text has none; NULL ids and equal rows are returned as they are, a text equal to another
     adds no support, an empty table gives no rows, and further columns are ignored.
     """
-    return _judged(docs).select(
+    return _judged(docs, support).select(
         "doc_id", *(f"n_{kind}" for kind in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans"
     )
 
@@ -255,7 +254,7 @@ def _replaced(text: str, spans: str, remove: bool) -> str:
     return "".join([*out, text[at:]])
 
 
-def sanitised(docs: DataFrame, remove: bool = False) -> DataFrame:
+def sanitised(docs: DataFrame, remove: bool = False, support: int = SUPPORT) -> DataFrame:
     """``doc_id`` and ``text`` with every span generalised to its kind, or removed."""
 
     def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +263,7 @@ def sanitised(docs: DataFrame, remove: bool = False) -> DataFrame:
             cleaned = [_replaced(text, spans, remove) if spans else text for text, spans in rows]
             yield pa.record_batch([part.column(0), pa.array(cleaned, pa.string())], ["doc_id", "text"])
 
-    spans = _judged(docs).select("doc_id", "hash", "spans").where("spans <> ''").distinct()
+    spans = _judged(docs, support).select("doc_id", "hash", "spans").where("spans <> ''").distinct()
     rows = texts(docs).withColumn("_hash", F.xxhash64("_text")).alias("r")
     same = F.col("r._id").eqNullSafe(F.col("s.doc_id")) & (F.col("r._hash") == F.col("s.hash"))
     joined = rows.join(spans.alias("s"), same, "left").select("r._id", "r._text", "spans")

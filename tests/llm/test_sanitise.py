@@ -56,14 +56,14 @@ def corpus():
     return rows + [(93, "pay 4111 1111 1111 1111 today", "s", 3)] * 2
 
 
-def expected_terms(rows):
+def expected_terms(rows, support=sanitise.SUPPORT):
     texts = [r[1] or "" for r in rows]
     words = [set(re.findall(r"[^\W\d_]+", t.lower())) for t in texts]
     found = [{f"{k}:{t[a:b]}" for k, a, b in sanitise.entities(t)} for t in texts]
     near = []
-    for t in texts:
-        spans = sanitise.entities(t)
-        near.append(sanitise._near(t, spans, sanitise._words(t, spans)) if spans else set())
+    for t, held in zip(texts, found):
+        own = {w for *_, w in sanitise._words(t, sanitise.entities(t)) if len(w) >= sanitise.MIN_TERM} if held else set()
+        near.append({(e, w) for e in held for w in own})
     out = {}
     for entity, term in set().union(*near):
         holders = [i for i in range(len(rows)) if (entity, term) in near[i]]
@@ -71,17 +71,19 @@ def expected_terms(rows):
         n_t = sum(term in w for w in words)
         ic = math.log2(len(rows) / n_c)
         pmi = math.log2(len(holders) * len(rows) / (n_c * n_t))
-        if len({texts[i] for i in holders}) >= sanitise.SUPPORT and pmi >= sanitise.ALPHA * ic:
+        if len({texts[i] for i in holders}) >= support and pmi >= sanitise.ALPHA * ic:
             for i in holders:
                 out.setdefault(i, set()).add(term)
     return out
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("support", [1, 2, sanitise.SUPPORT])
+def test_against_brute_force(spark, support):
     rows = corpus()
     docs = spark.createDataFrame(rows, SCHEMA)
-    terms = expected_terms(rows)
-    assert "zorblax" in terms[60] and "common" not in terms[60] and not any(70 <= rows[i][0] < 90 for i in terms if rows[i][0])
+    terms = expected_terms(rows, support)
+    assert {"zorblax", "mill", "ask"} <= terms[60] and "common" not in terms[60]
+    assert any(70 <= rows[i][0] < 90 for i in terms if rows[i][0]) == (support == 1)  # copies are one piece of evidence
     want = []
     for i, (doc, text, *_) in enumerate(rows):
         base = [f"{k}:{a}:{b}" for k, a, b in brute(text or "")]
@@ -89,7 +91,7 @@ def test_against_brute_force(spark):
         extra = [f"term:{a}:{b}" for a, b, t in spans if t in terms.get(i, ())]
         count = [sum(b.startswith(k + ":") for b in base) for k in sanitise.KINDS]
         want.append((doc, *count, hashlib.sha256(",".join(base).encode()).hexdigest(), ",".join(base + extra)))
-    got = sanitise.personal_data(docs).collect()
+    got = sanitise.personal_data(docs, support).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
     assert sanitise.personal_data(docs.limit(0)).count() == 0
 
@@ -97,7 +99,7 @@ def test_against_brute_force(spark):
 def test_sanitised(spark):
     docs = spark.createDataFrame(corpus(), SCHEMA)
     texts = {r.doc_id: r.text for r in sanitise.sanitised(docs).collect()}
-    assert texts[60].startswith("Ask [TERM] near") and "[EMAIL]" in texts[60] and "zed" not in texts[60]
+    assert texts[60].startswith("[TERM] [TERM] [TERM]") and "[EMAIL]" in texts[60] and "zed" not in texts[60]
     assert texts[90] == "Zorblax alone is here" and texts[93] == "pay [CARD] today" and texts[91] == ""
     bare = {r.doc_id: r.text for r in sanitise.sanitised(docs, remove=True).collect()}
     assert bare[93] == "pay  today"
@@ -105,11 +107,11 @@ def test_sanitised(spark):
 
 
 def test_terms_far_from_the_entity(spark):
-    """A term near an entity in one text counts, and goes, wherever the others hold it."""
+    """A term that stands in no document without the address reveals it, however far from it."""
     far = "some other words that fill the line between both of them here"
     rows = [(i, f"plain filler number {i} about nothing", "x", 1) for i in range(60)]
-    rows += [(100, "Zorblax writes from zed@mill.example.com", "x", 1)]
+    rows += [(100, f"Zorblax {far} writes from zed@mill.example.com", "x", 1)]
     rows += [(101 + i, f"Zorblax {far} {far} {i} zed@mill.example.com", "x", 1) for i in range(3)]
-    rows += [(110, "Zorblax alone", "x", 1)]
+    rows += [(110, "Nobody at all, alone", "x", 1)]
     spans = {r.doc_id: r.spans for r in sanitise.personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert all("term:0:7" in spans[i] for i in range(100, 104)) and spans[110] == ""
