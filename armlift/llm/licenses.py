@@ -25,6 +25,9 @@ PHRASES = {
     "cc-by-nc": "cc by nc",
 }
 
+_TORT = """IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN
+AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+DEALINGS IN THE SOFTWARE."""
 _AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
 LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
 _BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
@@ -33,7 +36,26 @@ list of conditions and the following disclaimer. [[2.]] Redistributions in binar
 copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials
 provided with the distribution."""
 _BSD_AS_IS = """THIS SOFTWARE IS PROVIDED BY {{1-12}} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
-LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+SHALL {{1-14}} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC_AS_IS = """THE SOFTWARE IS PROVIDED "AS IS" AND {{1-8}} DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL {{1-8}} BE LIABLE FOR ANY SPECIAL,
+DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER
+IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+_ZLIB = """Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter
+it and redistribute it freely, subject to the following restrictions: [[1.]] The origin of this software must not be
+misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an
+acknowledgment [[(see the following)]] in the product documentation would be appreciated but is not required. [[2.]]
+Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+[[3.]] This notice may not be removed or altered from any source distribution."""
+_APACHE = """you may not use this file except in compliance with the License. You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0 [[Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
+express or implied. See the License for the specific language governing permissions and limitations under the License.]]"""
 _FSF = "as published by the Free Software Foundation[[,]] [[; either]]"
 
 TEMPLATES = (
@@ -42,28 +64,41 @@ TEMPLATES = (
             "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
             "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
             "subject to the following conditions: The above copyright notice and this permission notice "
-            f"[[(including the next paragraph)]] shall be included in all copies or substantial portions of the Software. {_AS_IS}"),
+            f"[[(including the next paragraph)]] shall be included in all copies or substantial portions of the Software. {_AS_IS} {_TORT}"),
     ("mit", "released under the MIT License"),
     ("isc", "Permission to use, copy, modify, and[[/or]] distribute this software for any purpose with or without fee "
-            "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+            f"is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. {_ISC_AS_IS}"),
     ("bsd-2", f"{_BSD} {_BSD_AS_IS}"),
     ("bsd-3", f"{_BSD} [[3.]] Neither the name of {{{{1-12}}}} nor the names of its contributors may be used to endorse or "
               "promote products derived from this software without specific prior written permission. " + _BSD_AS_IS),
     ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the "
-             "{{1-1}} be held liable for any damages arising from the use of this software."),
+             "{{1-1}} be held liable for any damages arising from the use of this software. " + _ZLIB),
     ("boost-1", "Distributed under the Boost Software License, Version 1.0"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
+    ("apache-2", f"Licensed under the Apache License, Version 2.0 [[(the \"License\"); {_APACHE}]]"),
     ("gpl-2", f"under the [[terms of the]] GNU General Public License [[{_FSF}]] version 2"),
+    ("gpl-2", "GNU General Public License v2 [[0]] [[only]] [[or later]]"),
     ("gpl-3", f"under the [[terms of the]] GNU General Public License [[{_FSF}]] version 3"),
+    ("gpl-3", "GNU General Public License v3 [[0]] [[only]] [[or later]]"),
     ("lgpl-2.1", f"under the [[terms of the]] GNU Lesser General Public License [[{_FSF}]] version 2.1"),
+    ("lgpl-2.1", "GNU Lesser General Public License v2.1 [[only]] [[or later]]"),
     ("lgpl-3", f"under the [[terms of the]] GNU Lesser General Public License [[{_FSF}]] version 3"),
+    ("lgpl-3", "GNU Lesser General Public License v3 [[0]] [[only]] [[or later]]"),
     ("agpl-3", f"under the [[terms of the]] GNU Affero General Public License [[{_FSF}]] version 3"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("agpl-3", "GNU Affero General Public License v3 [[0]] [[only]] [[or later]]"),
+    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. [[If a copy of the MPL was not "
+              "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.]]"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+                  "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+                  "purpose, commercial or non-commercial, and by any means."),
     ("cc0", "[[This work is]] dedicated to the public domain under CC0 [[1.0]]"),
-    ("cc-by", "licensed under [[a]] Creative Commons Attribution {{0-1}} International License"),
+    ("cc0", "[[Creative Commons]] CC0 {{0-2}} Universal"),
+    ("cc-by", "licensed under [[a]] Creative Commons Attribution {{0-2}} International License"),
     ("cc-by-sa", "licensed under [[a]] Creative Commons Attribution ShareAlike {{0-2}} International License"),
-    ("cc-by-nc", "licensed under CC BY-NC {{0-1}} [[0]]"),
+    ("cc-by-nc", "licensed under [[a]] Creative Commons Attribution NonCommercial {{0-2}} International License"),
+    ("cc-by-nc-sa", "licensed under [[a]] Creative Commons Attribution NonCommercial ShareAlike {{0-2}} International License"),
+    ("cc-by-nd", "licensed under [[a]] Creative Commons Attribution NoDerivatives {{0-2}} International License"),
+    ("cc-by-nc-nd", "licensed under [[a]] Creative Commons Attribution NonCommercial NoDerivatives {{0-2}} International License"),
+    ("cc-by-nc", "licensed under CC BY-NC"),
 )
 
 _WORDS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))

@@ -87,3 +87,45 @@ def test_broken_template():
         compile_template("x", "[[only]]")
     with pytest.raises(ValueError):
         compile_template("x", "open [[region")
+
+
+NOTICES = {
+    "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa": "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc-by-nc": "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "cc-by-nc-nd": "licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
+    "gpl-3": "Released under the GNU General Public License v3.0 or later",
+    "lgpl-2.1": "GNU Lesser General Public License v2.1",
+    "apache-2": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance',
+}
+
+
+@pytest.mark.parametrize("label", sorted(NOTICES))
+def test_usual_notices(spark, label):
+    docs = spark.createDataFrame([(1, NOTICES[label])], "doc_id long, text string")
+    assert label in licenses.scan(docs).first().labels.split(",")
+
+
+def plain(template):
+    """The template's wording with all optional regions and a word for each replaceable one."""
+    text = re.sub(r"\[\[|\]\]", "", template)
+    return re.sub(r"\{\{(\d+)-\d+\}\}", lambda m: " ".join(["x"] * int(m[1])), text)
+
+
+def mandatory_only(template):
+    while "[[" in template:
+        template = re.sub(r"\[\[((?:(?!\[\[|\]\]).)*)\]\]", "", template, flags=re.S)
+    return plain(template)
+
+
+def test_one_mandatory_word_changed():
+    """Every template is accepted as published, and not with any tenth mandatory word changed."""
+    for label, template in TEMPLATES:
+        automaton = compile_template(label, template)
+        for text in (plain(template), mandatory_only(template)):
+            assert automaton.read(licenses.words_of(text.encode()))[0], (label, text)
+        words = brute_words(mandatory_only(template))
+        for at in range(0, len(words), 10):
+            if words[at] != "x":
+                broken = [*words[:at], "changed", *words[at + 1 :]]
+                assert not automaton.read(licenses.words_of(" ".join(broken).encode()))[0], (label, at)
