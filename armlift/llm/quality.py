@@ -15,7 +15,7 @@ from armlift.llm.common import words
 
 
 class Rule(NamedTuple):
-    """``low <= numerator / denominator <= high``; an empty denominator passes."""
+    """``low <= numerator / denominator <= high``, both included; an empty denominator passes."""
 
     name: str
     numerator: str
@@ -24,13 +24,15 @@ class Rule(NamedTuple):
     high: float | None
 
 
-#: Frequent function words of the languages served, in lower case (fixed values).
-STOP_WORDS = (
-    "the of and to in that is was for it with as on be at by this from or are an not "
-    "der die und das den von zu mit sich des auf für ist im dem nicht ein eine als auch "
-    "de la que el en y los se del las un por con una su para al lo como más "
-    "le les et des est dans qui pas une sur au ce il du pour par plus avec"
-).split()
+#: Frequent function words by language, in lower case (fixed values).
+STOP_WORDS = {
+    "en": "the of and to in that is was for it with as on be at by this from or are an not".split(),
+    "de": "der die und das den von zu mit sich des auf für ist im dem nicht ein eine als auch".split(),
+    "es": "de la que el en y los se del las un por con una su para al lo como más".split(),
+    "fr": "le les et des est dans qui pas une sur au ce il du pour par plus avec de la un en".split(),
+}
+#: What is stripped from both ends of a word before it is looked up.
+MARKS = ".,;:!?\"'()[]«»„“”…-"
 
 MIN_WORDS = 10
 #: Percent of words in repeated windows above which a text fails.
@@ -40,7 +42,7 @@ WINDOW = 5
 RULES = (
     Rule("word_length", "word_chars", "n_words", 2.0, 25.0),
     Rule("symbols", "n_symbols", "n_words", None, 0.25),
-    Rule("stop_words", "n_stop_words", "n_words", 0.02, None),
+    Rule("stop_words", "n_stop_words", "n_served_words", 0.02, None),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 0.5),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", None, 0.9),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", None, 0.3),
@@ -69,11 +71,25 @@ def _repeat_words() -> Column:
     return F.when(F.size(F.array_distinct("_grams")) == F.size("_grams"), F.lit(0)).otherwise(covered)
 
 
+def _is_stop_word(word: Column, lang: Column) -> Column:
+    """Whether a word, without marks and case, is a function word of the language."""
+    bare = F.lower(F.btrim(word, F.lit(MARKS)))
+    found = F.lit(False)
+    for language, listed in STOP_WORDS.items():
+        found = found | ((lang == language) & bare.isin(*listed))
+    return found
+
+
 def measures(rows: DataFrame) -> DataFrame:
-    """``_carry`` as it is and every measure the rules use, per row of (``_carry``, ``_text``)."""
+    """``_carry`` as it is and every measure the rules use, per row of (``_carry``, ``_text``, ``_lang``).
+
+    ``n_stop_words`` are function words of the row's language; ``n_served_words`` are its words if that
+    language has a list, else none.
+    """
     split = rows.select(
         "_carry",
         "_text",
+        "_lang",
         words(F.col("_text")).alias("_words"),
         F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"),
     )
@@ -90,7 +106,8 @@ def measures(rows: DataFrame) -> DataFrame:
         "n_words": F.size("_words"),
         "word_chars": F.char_length(F.array_join("_words", "")),
         "n_symbols": F.regexp_count("_text", F.lit(r"[#*$%&|<>]")),
-        "n_stop_words": F.size(F.filter("_words", lambda w: w.isin(*STOP_WORDS))),
+        "n_stop_words": F.size(F.filter("_words", lambda w: _is_stop_word(w, F.col("_lang")))),
+        "n_served_words": F.when(F.col("_lang").isin(*STOP_WORDS), F.size("_words")).otherwise(0),
         "n_lines": F.size("_lines"),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_bullet_lines": F.size(F.filter("_lines", lambda x: x.rlike(r"^\s*[-*•]"))),
@@ -124,18 +141,22 @@ def _judged(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     )
 
 
-def _text() -> Column:
-    return F.coalesce("text", F.lit("")).alias("_text")
+def _read(docs: DataFrame) -> list[Column]:
+    """The text, and the language where the table has one."""
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    return [F.coalesce("text", F.lit("")).alias("_text"), lang.alias("_lang")]
 
 
 def assess(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per row of ``docs``: the measures, ``base_failed`` and ``kept``.
 
-    A NULL or empty text has no words, fails the length base and is not kept.  A NULL id is
-    returned as it is, equal rows are judged alike, an empty table gives none, and further columns
-    are ignored.  Windows are compared by 64-bit hash within one text.
+    The rule of function words holds for rows whose ``lang`` has a list in ``STOP_WORDS``; others, and rows
+    or tables without a language, pass it.  A NULL or empty text has no words, fails the length base
+    and is not kept.  A NULL id is returned as it is, equal rows are judged alike, a text of any length
+    is measured in full, a ratio that ties with a bound passes, an empty table gives no rows, and further
+    columns are ignored.  Windows are compared by 64-bit hash within one text.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("_carry"), _text())
+    rows = docs.select(F.col("doc_id").cast("long").alias("_carry"), *_read(docs))
     return _judged(rows, rules).withColumnRenamed("_carry", "doc_id")
 
 
@@ -145,6 +166,6 @@ def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     The one-element explode is a barrier: a filter right on the measures would be pushed below them
     and take their expressions along, to be evaluated again for every word.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("_carry"), _text())
+    rows = docs.select(F.struct(*docs.columns).alias("_carry"), *_read(docs))
     judged = _judged(rows, rules).select("_carry", F.explode(F.array("kept")).alias("_kept"))
     return judged.where("_kept").select("_carry.*")

@@ -128,7 +128,12 @@ def _rules_sql() -> str:
     return " AND ".join(bounds)
 
 
-_STOPS = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+_MARKS = quality.MARKS.replace("'", "''")
+_STOPS = " OR ".join(
+    "(lang = '{}' AND lower(trim(x, '{}')) IN ({}))".format(lang, _MARKS, ", ".join(f"'{w}'" for w in listed))
+    for lang, listed in quality.STOP_WORDS.items()
+)
+_SERVED = ", ".join(f"'{lang}'" for lang in quality.STOP_WORDS)
 
 OP5_BODY = rf"""
 split AS (
@@ -145,7 +150,8 @@ repeated AS (
 counted AS (
   SELECT split.*, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
     len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
-    len(list_filter(w, lambda x: x IN ({_STOPS}))) AS n_stop_words,
+    len(list_filter(w, lambda x: {_STOPS})) AS n_stop_words,
+    CASE WHEN lang IN ({_SERVED}) THEN len(w) ELSE 0 END AS n_served_words,
     len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
     len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•]'))) AS n_bullet_lines,
     len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS n_ellipsis_lines,
