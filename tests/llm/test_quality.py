@@ -28,7 +28,7 @@ def test_odd_rows(spark):
     rows = [(1, None, "en"), (2, "", None), (3, " \n\t ", "en"), (None, ENGLISH, "en"), (None, ENGLISH, "en"), (4, ENGLISH, "xx")]
     got = judged(spark, rows)
     assert sorted((r.doc_id or 0, r.n_words, r.base_failed, r.kept) for r in got) == [
-        (0, 18, False, True), (0, 18, False, True), (1, 0, True, False), (2, 0, True, False), (3, 0, True, False), (4, 18, False, True),
+        (0, 19, False, True), (0, 19, False, True), (1, 0, True, False), (2, 0, True, False), (3, 0, True, False), (4, 19, False, True),
     ]
     assert quality.assess(spark.createDataFrame([], SCHEMA)).count() == 0
     assert quality.keep(spark.createDataFrame([], SCHEMA)).count() == 0
