@@ -28,11 +28,11 @@ from armlift.sources.schemas import DEFAULT_METRICS, MetricSpec
 
 PARTS, MOMENTS, PENDING = "metric_parts", "metric_moments", "metric_pending"
 _STATE = "variant string, metric_name string, day date, rows bigint, n bigint, total double, m2 double, lowest double, highest double"
-#: Partition columns; ``span`` is the day, or the month, as text, for undated rows ``UNDATED``.
+#: Partition columns; ``span`` is the day, month or year as text, for undated rows ``UNDATED``.
 PLACE = ["experiment_id", "span"]
 _PLACE = "experiment_id string, span string"
 UNDATED = "undated"
-_SPANS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+_SPANS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 
 
 def _read(spark: SparkSession, path: str, layout: str) -> DataFrame:
@@ -79,7 +79,7 @@ def absorb(
     """Take in a batch of canonical outcomes, or take it in again, and correct the days it touches.
 
     ``unique`` states that exposures hold one row per user.  ``span`` is what a partition holds, a ``day``
-    or, for experiments of years, a ``month``; it is the same for all batches of a root.  What a failed call has begun is finished by
+    or, for experiments of years, a ``month`` or ``year``; it is the same for all batches of a root.  What a failed call has begun is finished by
     the next one for the batch: the changed days are noted before anything is replaced.
     """
     new = metrics.daily_moments(outcomes, exposures, registry, specs, unique)

@@ -474,7 +474,7 @@ def users_from_sketches(spark, sf):
     FROM joined JOIN registry USING (experiment_id)
     WHERE metric_name = 'pre_revenue' OR ts BETWEEN start_ts AND end_ts GROUP BY ALL
     """,
-    digits="mean:4 sum:4",
+    digits="mean:9 sum:6",
 )
 def late_daily(spark, sf):
     """Daily metrics after a batch, a late one with wrong values, and the same late one mended."""
@@ -484,7 +484,7 @@ def late_daily(spark, sf):
     part = lambda when: align_outcomes(logged.where(when))
     wrong = part("o_orderkey % 10 < 2").withColumn("value", F.col("value") * 2)
     for batch, rows in (("first", part("o_orderkey % 10 > 0")), ("late", wrong), ("late", part("o_orderkey % 10 = 0"))):
-        late.absorb(spark, root, batch, rows, exposures, registry, fx.SPECS, span="month")
+        late.absorb(spark, root, batch, rows, exposures, registry, fx.SPECS, span="year")
     return late.daily(spark, root)
 
 
