@@ -60,7 +60,7 @@ def ab_ratio(stats: DataFrame) -> DataFrame:
     """
     spread = "var_num - 2 * ratio * cov + ratio * ratio * var_den"
     arms = stats.selectExpr("*", "try_divide(mean_num, mean_den) AS ratio").selectExpr(
-        "*", f"try_divide(greatest({spread}, 0D), mean_den * mean_den * n) AS error"
+        "*", f"try_divide(CASE WHEN {spread} < 0 THEN 0D ELSE {spread} END, mean_den * mean_den * n) AS error"
     )
     return (
         pair_arms(arms, columns=("n", "ratio", "error"))

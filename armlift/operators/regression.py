@@ -122,7 +122,8 @@ def ols_clustered(
     def error(i: int) -> Column:
         """Standard error of one coefficient: its row of the inverse on both sides of the scores' products."""
         mine = F.get("_inverse", i)
-        return F.sqrt(F.greatest(F.lit(0.0), factor * _dot(F.transform("_meat", lambda row: _dot(row, mine)), mine)))
+        variance = factor * _dot(F.transform("_meat", lambda row: _dot(row, mine)), mine)
+        return F.sqrt(F.when(variance < 0, 0.0).otherwise(variance))  # below zero by rounding only
 
     each = [
         F.struct(F.lit(name).alias("term"), F.get("_coef", i).alias("coef"), error(i).alias("se"))
