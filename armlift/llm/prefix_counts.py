@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import functools
 import json
+import sys
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,10 @@ SCHEMA = (
     "doc_id long, n_bytes long, n_tokens long, word_ends binary, word_refs binary, "
     "count_places binary, prefix_counts binary"
 )
-#: Known words and, of whole pieces, known counts are forgotten beyond these numbers.
-CACHE_WORDS, CACHE_PIECES = 1_500_000, 500_000
-#: Bytes of text that are counted at once.
-AT_ONCE = 8_000_000
+#: Known words and pieces are forgotten beyond these numbers.
+CACHE_WORDS, CACHE_PIECES = 1_000_000, 300_000
+#: Bytes of text that are counted at once, and characters of prefixes that the library is asked at once.
+AT_ONCE, ASKED_AT_ONCE = 4_000_000, 1_000_000
 #: Words whose counts are right in this form are counted by the recurrence; a file that fails has all asked.
 PROBES = ("Hello", "worldwide", "ab12c", "a,b;;c", "--x--", "été", "ÑANDÚ", "它们words", "it's", "we'll've", "'sabc", "!!'re")
 
@@ -65,7 +66,7 @@ class PieceCounts:
         self.open = {t for t in whole if not self.end or not t.endswith(self.end)}
         self.closed = {t.removesuffix(self.end) for t in whole if t.endswith(self.end)}
         self.longest = max(map(len, self.open | self.closed), default=1)
-        self.beside = functools.lru_cache(1 << 19)(self._beside)
+        self.beside = functools.lru_cache(1 << 17)(self._beside)
 
     def _beside(self, left: str, right: str) -> bool:
         """Whether merging the joint text of two tokens gives just them back.
@@ -87,37 +88,40 @@ class PieceCounts:
             else:  # of like pairs the left one is merged first, so one at the seam would have come before
                 before, right = b[0] + 1, b[1]
 
-    def runs(self, pieces: Iterable[str], every: bool = True) -> Iterator[list[int]]:
-        """Tokens of each prefix of each piece, as if it ended there, or of the piece alone.
+    def runs(self, pieces: Iterable[str]) -> Iterator[list[int]]:
+        """Tokens of each prefix of each piece, as if it ended there.
 
         What a piece shares with the one before it is not run through again, so sorted ones cost least.
         """
         last, inner, ended, before = [""], [0], [], ""
+        beside, longest, opened, closed, end = self.beside, self.longest, self.open, self.closed, self.end
         for symbols in pieces:
             same, most = 0, min(len(before), len(symbols))
             while same < most and before[same] == symbols[same]:
                 same += 1
             del last[same + 1 :], inner[same + 1 :], ended[same:]
             for i in range(same + 1, len(symbols) + 1):
-                token = self._final(symbols, i, last, self.open, "")
+                least = i - longest if i > longest else 0
+                for begin in range(least, i):
+                    token = symbols[begin:i]
+                    if token in opened and (not begin or beside(last[begin], token)):
+                        break
+                else:
+                    raise ValueError(f"no token for {symbols[i - 1]!r}")
                 last.append(token)
-                inner.append(inner[i - len(token)] + 1)
-                if every:
-                    ended.append(self._ended(symbols, i, last, inner))
+                inner.append(inner[begin] + 1)
+                if not end:
+                    ended.append(inner[i])
+                    continue
+                for begin in range(least, i):
+                    token = symbols[begin:i]
+                    if token in closed and (not begin or beside(last[begin], token + end)):
+                        break
+                else:
+                    raise ValueError(f"no token for {symbols[i - 1]!r}")
+                ended.append(inner[begin] + 1)
             before = symbols
-            yield ended[:] if every else [self._ended(symbols, len(symbols), last, inner)]
-
-    def _final(self, symbols: str, i: int, last: list[str], tokens: set[str], end: str) -> str:
-        """The last token of the first ``i`` symbols."""
-        beside = self.beside
-        for begin in range(max(0, i - self.longest), i):
-            token = symbols[begin:i]
-            if token in tokens and (not begin or beside(last[begin], token + end)):
-                return token
-        raise ValueError(f"no token for {symbols[i - 1]!r}")
-
-    def _ended(self, symbols: str, i: int, last: list[str], inner: list[int]) -> int:
-        return inner[i - len(self._final(symbols, i, last, self.closed, self.end))] + 1 if self.end else inner[i]
+            yield ended[:]
 
 
 class WordCounts:
@@ -125,14 +129,13 @@ class WordCounts:
 
     The file's pieces hold no white space and its characters are lower-cased one by one, or not at all;
     otherwise, and for words that Unicode composition changes or that hold a special string, every prefix
-    is asked of the library, once a distinct word, in time that grows with the square of its length.
+    is asked of the library, once a distinct word.  Such a word is asked in parts, cut where letters or
+    digits follow a mark or a digit; a part takes time that grows with the square of its length.
     """
 
-    def __init__(self, path: str, every: bool = True, cache_words: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
         import regex
 
-        self.every = every  # counts at all bytes of a word are kept, or the whole word's alone
-
         self.tokenizer = load(path)
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
@@ -149,16 +152,47 @@ class WordCounts:
 
     def _clear(self) -> None:
         """No known words; counts at all bytes of the known ones lie one after the other."""
-        self.totals_of: dict[str, int] = {}
         self.known = pa.array([], pa.large_string())
         self.places = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
-
-    def _asked(self, word: str, prefixes: list[str] | None = None) -> list[int]:
-        """Counts at all code points of a word, or of some texts, from the library."""
-        prefixes = prefixes or [word[: i + 1] for i in range(len(word))]
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(prefixes, add_special_tokens=False)]
+        self._clear_pieces()
+
+    def _clear_pieces(self) -> None:
+        """No known pieces; theirs lie one after the other too."""
+        self.number_of: dict[str, int] = {}
+        self.piece_sizes = np.zeros(0, np.int64)
+        self.piece_flat = np.zeros(0, np.uint32)
+
+    def _asked(self, word: str) -> list[int]:
+        """Counts at all code points of a word from the library."""
+        counts, ask = [], self.tokenizer.encode_batch_fast
+        while len(counts) < len(word):
+            at = len(counts)
+            ends = range(at + 1, min(len(word), at + max(1, ASKED_AT_ONCE // (at + 100))) + 1)
+            counts += [len(e.ids) for e in ask([word[:end] for end in ends], add_special_tokens=False)]
+        return counts
+
+    def _cuts(self, word: str) -> list[int]:
+        """Where no piece, composition or special string of the word or of a prefix reaches over."""
+        if self.split is None:
+            return []
+        kinds = [unicodedata.category(c)[0] for c in word]
+        cuts = [i for i in range(1, len(word)) if kinds[i] in "LN" and kinds[i - 1] in "NPS" and word[i - 1] != "'"]
+        for special in self.specials:
+            at = word.find(special)
+            while at >= 0:
+                cuts = [c for c in cuts if not at < c < at + len(special)]
+                at = word.find(special, at + 1)
+        return cuts
+
+    def _asked_in_parts(self, word: str) -> list[int]:
+        """The same, each part between two cuts asked alone."""
+        counts, edges = [], [0, *self._cuts(word), len(word)]
+        for begin, end in zip(edges, edges[1:]):
+            before = counts[-1] if counts else 0
+            counts += [before + n for n in self._asked(word[begin:end])]
+        return counts
 
     def _shown(self, word: str) -> str | None:
         """The word as the file's pieces have it; None if its prefixes are to be asked."""
@@ -204,38 +238,74 @@ class WordCounts:
         """Counts at all code points of each word."""
         shown = [self._shown(w) for w in words]
         pieces = self._pieces([s for s in shown if s is not None])
-        return [self._asked(w) if s is None else self._recurred(s, pieces) for w, s in zip(words, shown)]
+        return [self._asked_in_parts(w) if s is None else self._recurred(s, pieces) for w, s in zip(words, shown)]
 
     def whole(self, words: list[str]) -> list[list[int]]:
-        """The count of each whole word alone; pieces once counted are remembered."""
-        shown = [self._shown(w) for w in words]
-        split = [None if form is None else self.split.findall(form) for form in shown]
-        if len(self.totals_of) > CACHE_PIECES:
-            self.totals_of.clear()
-        known = self.totals_of
-        new = {p for pieces in split if pieces for p in pieces if p not in known}
-        written = sorted((self._symbols(p), p) for p in new)
-        counts = self.pieces.runs((s for s, _ in written), every=False)
-        known.update((p, found[0]) for (_, p), found in zip(written, counts))
-        return [
-            self._asked(word, [word]) if pieces is None else [sum([known[p] for p in pieces])]
-            for word, pieces in zip(words, split)
-        ]
+        """The count of each whole word alone."""
+        return [counts[-1:] for counts in self.of(words)]
 
-    def _learn(self, new: pa.Array) -> None:
-        words, rows = new.to_pylist(), [np.zeros(0, np.uint32)]
-        for word, found in zip(words, self.of(words) if self.every else self.whole(words)):
+    def _piece_numbers(self, pieces: list[str]) -> np.ndarray:
+        """The known number of each of these pieces; new ones are counted at all bytes.
+
+        A cut inside a character counts what is before it.
+        """
+        number_of = self.number_of
+        new = sorted((self._symbols(p), p) for p in {p for p in pieces if p not in number_of})
+        if new:
+            sizes = np.array([len(s) for s, _ in new], np.int64)
+            runs = self.pieces.runs(s for s, _ in new)
+            counts = np.fromiter((n for run in runs for n in run), np.uint32, int(sizes.sum()))
+            raw = np.frombuffer("".join(p for _, p in new).encode() + b"\0", np.uint8)
+            at = np.arange(len(counts))
+            ends = np.maximum.accumulate(np.where(raw[1:] & 0xC0 != 0x80, at, -1))
+            counts = np.where(ends < np.repeat(np.cumsum(sizes) - sizes, sizes), 0, counts[ends]).astype(np.uint32)
+            number_of.update((p, number) for number, (_, p) in enumerate(new, len(number_of)))
+            self.piece_sizes = np.concatenate([self.piece_sizes, sizes])
+            self.piece_flat = np.concatenate([self.piece_flat, counts])
+        return np.fromiter(map(number_of.__getitem__, pieces), np.int64, len(pieces))
+
+    def _by_pieces(self, split: list[list[str]]) -> np.ndarray:
+        """Counts at all bytes of words that are these pieces, one word after the other."""
+        numbers = self._piece_numbers([p for pieces in split for p in pieces])
+        held = np.fromiter(map(len, split), np.int64, len(split))
+        places = np.cumsum(self.piece_sizes) - self.piece_sizes
+        sizes = self.piece_sizes[numbers]
+        totals = self.piece_flat[places[numbers] + sizes - 1].astype(np.int64)
+        before = np.cumsum(totals) - totals
+        before -= np.repeat(before[np.cumsum(held) - held], held)
+        shift = places[numbers] - (np.cumsum(sizes) - sizes)
+        inside = self.piece_flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+        return inside + np.repeat(before, sizes).astype(np.uint32)
+
+    def _by_characters(self, words: list[str]) -> Iterator[np.ndarray]:
+        """Counts at all bytes of each word; a cut inside a character counts what is before it."""
+        for word, found in zip(words, self.of(words)):
             counts = np.array(found, np.uint32)
-            if self.every and not word.isascii():  # a cut inside a character counts what is before it
-                widths = np.array([len(c.encode()) for c in word])
-                held = np.repeat(np.concatenate([[0], counts[:-1]]), widths)
-                held[np.cumsum(widths) - 1] = counts
-                counts = held.astype(np.uint32)
-            rows.append(counts)
-        sizes = np.array([len(r) for r in rows[1:]], np.int64)
-        self.places = np.concatenate([self.places, len(self.flat) + np.cumsum(sizes) - sizes])
+            widths = np.array([len(c.encode()) for c in word])
+            held = np.repeat(np.concatenate([[0], counts[:-1]]), widths)
+            held[np.cumsum(widths) - 1] = counts
+            yield held.astype(np.uint32)
+
+    def _learn(self, new: pa.Array) -> None:
+        """Counts at all bytes of new words: of most, that is those without contractions, from their pieces' counts."""
+        if len(self.number_of) > CACHE_PIECES:
+            self._clear_pieces()
+        words = new.to_pylist()
+        split: list[list[str]] = [[]] * len(words)
+        if self.split:
+            even = lambda w: w.isascii() or not self.lowers or _uneven().isdisjoint(w)
+            shown = [self._shown(w) if "'" not in w and even(w) else None for w in words]
+            split = [[] if form is None else self.split.findall(form) for form in shown]
+        plain = np.fromiter((sum(map(len, p)) == len(w) for w, p in zip(words, split)), bool, len(words))
+        sizes = pc.binary_length(new).to_numpy().astype(np.int64)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])  # of their counts
+        found = [self._by_pieces([p for p, easy in zip(split, plain.tolist()) if easy])] if plain.any() else []
+        found += self._by_characters([w for w, easy in zip(words, plain.tolist()) if not easy])
+        places = np.empty(len(words), np.int64)
+        places[order] = len(self.flat) + np.cumsum(sizes[order]) - sizes[order]
+        self.places = np.concatenate([self.places, places])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, *rows])
+        self.flat = np.concatenate([self.flat, *found])
         self.known = pa.concat_arrays([self.known, new])
 
     def numbers(self, words: pa.Array) -> np.ndarray:
@@ -258,15 +328,22 @@ class WordCounts:
         return self.flat[self.places + self.sizes - 1].astype(np.int64)
 
 
+@functools.cache
+def _uneven() -> frozenset[str]:
+    """Characters that are lower-cased to a form of other bytes."""
+    width = lambda c: len(c.encode(errors="surrogatepass"))
+    return frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.lower() != c and width(c.lower()) != width(c))
+
+
 def _flat(node: dict) -> list[dict]:
     """The steps of a pre-tokenizer."""
     return node["pretokenizers"] if node["type"] == "Sequence" else [node]
 
 
 @functools.lru_cache(maxsize=2)
-def word_counts(path: str, every: bool) -> WordCounts:
+def word_counts(path: str) -> WordCounts:
     """One table of words per worker process."""
-    return WordCounts(path, every)
+    return WordCounts(path)
 
 
 def _words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -290,11 +367,12 @@ def _row(text: bytes, numbers: np.ndarray, counter: WordCounts) -> list[bytes]:
     return [a.astype("<u4").tobytes() for a in (ends, refs, places, flat)]
 
 
-def _tables(docs: DataFrame, tokenizer_path: str, prefixes: bool) -> DataFrame:
+def packed(tokenizer_path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The table's rows (``SCHEMA``) for batches of ``_id`` and ``_text``, a bounded number of bytes at a time."""
     names = ["doc_id", "n_bytes", "n_tokens", "word_ends", "word_refs", "count_places", "prefix_counts"]
 
     def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = word_counts(tokenizer_path, prefixes)
+        counter = word_counts(tokenizer_path)
         for part in batches(parts, "_text", AT_ONCE):
             column = part.column("_text")
             words, held = _words(column)
@@ -302,15 +380,12 @@ def _tables(docs: DataFrame, tokenizer_path: str, prefixes: bool) -> DataFrame:
             edges = np.concatenate([[0], np.cumsum(held)])
             running = np.concatenate([[0], np.cumsum(counter.totals()[numbers])])
             tokens = running[edges[1:]] - running[edges[:-1]]
+            raw = column.cast(pa.binary()).to_pylist()
+            rows = [_row(t, numbers[a:b], counter) for t, a, b in zip(raw, edges[:-1], edges[1:])]
             columns = [part.column("_id"), pc.binary_length(column).cast(pa.int64()), pa.array(tokens, pa.int64())]
-            if prefixes:
-                raw = column.cast(pa.binary()).to_pylist()
-                rows = [_row(t, numbers[a:b], counter) for t, a, b in zip(raw, edges[:-1], edges[1:])]
-                columns += [pa.array(list(c), pa.binary()) for c in zip(*rows)]
-            yield pa.record_batch(columns, names[: len(columns)])
+            yield pa.record_batch(columns + [pa.array(list(c), pa.binary()) for c in zip(*rows)], names)
 
-    schema = SCHEMA if prefixes else "doc_id long, n_bytes long, n_tokens long"
-    return texts(docs).mapInArrow(each, schema)
+    return each
 
 
 def prefix_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -324,7 +399,7 @@ def prefix_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     counted in full, NULL ids and equal rows are returned as they are, an empty table gives none, and
     further columns are ignored.
     """
-    return _tables(docs, tokenizer_path, True)
+    return texts(docs).mapInArrow(packed(tokenizer_path), SCHEMA)
 
 
 def _unpacked(row) -> tuple[np.ndarray, ...]:
@@ -373,11 +448,18 @@ def truncated(docs: DataFrame, tokenizer_path: str, budgets: list[int]) -> DataF
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit`` of every row: the counts at the longest prefixes.
+    """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit`` of every row: its longest prefix, asked of its table row.
 
-    The recurrence is that of :func:`prefix_table`, whose docstring says how odd rows count; of every
-    distinct word the last count alone is kept.
+    The rows are those of :func:`prefix_table`, whose docstring says how odd ones count.  They are asked
+    in the task that makes them, as they are some four times as large as the texts.
     """
-    return _tables(docs, tokenizer_path, False).select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
-    )
+    table = packed(tokenizer_path)
+
+    def ask(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in table(parts):
+            sizes, stored = part.column("n_bytes"), part.to_pylist()
+            counts = [tokens_of_prefix(row, size) for row, size in zip(stored, sizes.to_pylist())]
+            yield pa.record_batch([part.column("doc_id"), sizes, pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+
+    asked = texts(docs).mapInArrow(ask, "doc_id long, n_bytes long, n_tokens long")
+    return asked.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -1,6 +1,7 @@
 import random
 import time
 
+import numpy as np
 import pyarrow as pa
 
 from armlift.llm import prefix_counts
@@ -86,3 +87,54 @@ def test_small_cache_gives_the_same():
         for counter in (whole, tiny):
             numbers = counter.numbers(column)
             assert counter.totals()[numbers].tolist() == [c[-1] for c in whole.of(group)]
+
+
+def at_bytes(word, counts):
+    """Counts at all bytes by those at all code points."""
+    ends = [len(word[:i].encode()) for i in range(len(word) + 1)]
+    return [([0] + counts)[max(i for i, end in enumerate(ends) if end <= cut)] for cut in range(1, ends[-1] + 1)]
+
+
+def test_known_counts_at_all_bytes():
+    """Words counted from their pieces, in batches that share some, and those that are not."""
+    words = list(dict.fromkeys(odd_words(1500) + ["\u212aelvin", "\u023abc", "caf\u00e9", "caf\u00e9s", "it's", "A<|endoftext|>b"]))
+    counter = prefix_counts.WordCounts(PATH)
+    words = [w for w in words if not set(w) & set(" \t\n")]
+    for group in (words[::3], words[1::2], words):
+        numbers = counter.numbers(pa.array(group, pa.large_string()))
+        for word, number in zip(group, numbers.tolist()):
+            begin = counter.places[number]
+            got = counter.flat[begin : begin + counter.sizes[number]].tolist()
+            assert got == at_bytes(word, counter._asked(word)), word
+
+
+def test_words_asked_in_parts():
+    counter = prefix_counts.WordCounts(PATH)
+    words = odd_words(2000) + ["!!<|endoftext|>a<|endoftext|>", "<|a<|startoftext|>9", "1\u0301a", "=\u0338b", "'9's"]
+    assert all(counter._asked_in_parts(w) == counter._asked(w) for w in words)
+    begun = time.perf_counter()
+    long = "\u6f22\u5b57\u3002" * 20_000 + "e\u0301"
+    found = counter.of([long])[0]
+    assert len(found) == len(long) and time.perf_counter() - begun < 60
+    assert [found[i] for i in (599, 60_001)] == [
+        len(counter.tokenizer.encode(long[: i + 1], add_special_tokens=False).ids) for i in (599, 60_001)
+    ]
+
+
+def test_counts_are_asked_of_the_table(spark, monkeypatch):
+    """The query's counts are those stored for the longest prefixes, not a count beside them."""
+    packed = prefix_counts.packed
+
+    def doubled(path):
+        def each(parts):
+            for part in packed(path)(parts):
+                at = part.schema.get_field_index("prefix_counts")
+                counts = [(2 * np.frombuffer(c, "<u4")).astype("<u4").tobytes() for c in part.column(at).to_pylist()]
+                yield part.set_column(at, "prefix_counts", pa.array(counts, pa.binary()))
+
+        return each
+
+    monkeypatch.setattr(prefix_counts, "packed", doubled)
+    docs = spark.createDataFrame([(1, "some more words here"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in prefix_counts.count_tokens(docs, PATH).collect()}
+    assert got == {1: 8, 2: 0}
